@@ -264,5 +264,72 @@ WHERE type IS DISTINCT FROM 'None' AND type IS NOT NULL AND timestamp IS NOT NUL
 GROUP BY date_trunc('hour', timestamp), type ORDER BY 1, 2""")
 
 
+ORACLE["raw_roundtrip"] = sql(["raw_vehicle"], "SELECT * FROM raw_vehicle")
+ORACLE["refined_write_read"] = sql(["vehicle"], "SELECT * FROM vehicle")
+ORACLE["catalog_pruned_scan"] = ORACLE["active_incidents"]
+ORACLE["refine_all_status"] = sql(["vehicle", "gps", "traffic", "weather", "emergency"], " UNION ALL ".join(
+    f"SELECT '{t}_data' AS feed, 'OK' AS status, COUNT(*) AS rows FROM {t}" for t in _SHORT))
+ORACLE["stream_ingest"] = sql([f"raw_{t}" for t in _SHORT], " UNION ALL ".join(
+    f"""SELECT '{t}_data' AS feed, COUNT(*) AS records, COUNT(DISTINCT id) AS ids,
+           MIN(timestamp) AS first_time, MAX(timestamp) AS last_time FROM raw_{t}""" for t in _SHORT))
+ORACLE["lat_lon"] = sql(["vehicle"], """SELECT id, location, (TRY_CAST(location AS DOUBLE[]))[1] AS lat,
+    (TRY_CAST(location AS DOUBLE[]))[2] AS lon FROM vehicle""")
+ORACLE["stream_dedup"] = sql(["raw_vehicle"], "SELECT DISTINCT * FROM raw_vehicle")
+ORACLE["stream_refine"] = sql(["vehicle"], "SELECT * FROM vehicle")
+ORACLE["stream_incident_timeline"] = ORACLE["incident_timeline"]
+ORACLE["stream_sliding_speed"] = sql(["vehicle"], f"""
+SELECT window_start, window_start + INTERVAL 10 MINUTE AS window_end, COUNT(*) AS observations,
+       {RM('speed_kmh', 1, 1)} AS avg_speed_kmh, MAX(speed_kmh) AS max_speed_kmh
+FROM (SELECT make_timestamp((epoch_us(timestamp) // 300000000) * 300000000) AS window_start, speed_kmh FROM vehicle
+      UNION ALL
+      SELECT make_timestamp((epoch_us(timestamp) // 300000000 - 1) * 300000000) AS window_start, speed_kmh FROM vehicle)
+GROUP BY window_start""")
+ORACLE["stream_join_weather"] = sql(["vehicle", "weather"], """
+SELECT v.id AS vehicle_record, v.vehicle_id, v.timestamp AS vehicle_time, v.speed_kmh,
+       w.id AS weather_record, w.timestamp AS weather_time, w.temperature, w.weatherCondition
+FROM vehicle v JOIN weather w ON v.vehicle_id = w.vehicle_id
+ AND w.timestamp BETWEEN v.timestamp - INTERVAL 5 MINUTE AND v.timestamp + INTERVAL 5 MINUTE""")
+ORACLE["trips"] = sql(["vehicle"], f"""
+SELECT vehicle_id, MIN(timestamp) AS trip_start, MAX(timestamp) AS trip_end, COUNT(*) AS points,
+       {RM('speed_kmh', 1, 1)} AS avg_speed_kmh,
+       CAST((epoch_us(MAX(timestamp)) - epoch_us(MIN(timestamp))) // 1000000 AS BIGINT) AS duration_s
+FROM (SELECT *, SUM(is_start) OVER (PARTITION BY vehicle_id ORDER BY timestamp ROWS UNBOUNDED PRECEDING) AS trip_no
+      FROM (SELECT vehicle_id, timestamp, speed_kmh,
+                   CASE WHEN lag(timestamp) OVER w IS NULL
+                          OR epoch_us(timestamp) - epoch_us(lag(timestamp) OVER w) >= 7200000000 THEN 1 ELSE 0 END
+                   AS is_start
+            FROM vehicle WHERE vehicle_id IS NOT NULL AND timestamp IS NOT NULL
+            WINDOW w AS (PARTITION BY vehicle_id ORDER BY timestamp)))
+GROUP BY vehicle_id, trip_no ORDER BY vehicle_id, trip_start""")
+ORACLE["asof_weather"] = sql(["vehicle", "weather"], """
+SELECT v.id, v.vehicle_id, v.timestamp, v.speed_kmh, w.id AS weather_id, w.timestamp AS weather_time,
+       w.temperature, w.weatherCondition
+FROM (SELECT * FROM vehicle WHERE vehicle_id IS NOT NULL AND timestamp IS NOT NULL) v
+ASOF LEFT JOIN (SELECT * FROM weather WHERE vehicle_id IS NOT NULL AND timestamp IS NOT NULL) w
+  ON v.vehicle_id = w.vehicle_id AND v.timestamp >= w.timestamp""")
+ORACLE["dead_letter"] = sql(["obs"], """SELECT 'veh-' || CAST(n AS VARCHAR) AS key, 'vehicle_data' AS feed
+FROM obs WHERE event_type = 'error'""")
+ORACLE["dedup_latest"] = sql(["raw_vehicle"], "SELECT DISTINCT * FROM raw_vehicle")
+
+
+def _rejects(feed: str, table: str, checks: dict[str, str]) -> str:
+    parts = []
+    every = " AND ".join(f"COALESCE({c}, FALSE)" for c in checks.values())
+    for rule, cond in list(checks.items()) + [("any_rule", every)]:
+        cond = cond if rule == "any_rule" else f"COALESCE({cond}, FALSE)"
+        parts.append(f"SELECT '{feed}' AS feed, '{rule}' AS rule, COUNT(*) FILTER (WHERE NOT ({cond})) AS rejected, "
+                     f"COUNT(*) AS checked FROM (SELECT DISTINCT * FROM {table})")
+    return " UNION ALL ".join(parts)
+
+
+ORACLE["reject_counts"] = sql(["raw_vehicle", "raw_gps", "raw_weather"], " UNION ALL ".join([
+    _rejects("vehicle_data", "raw_vehicle", {"speed_range": "speed BETWEEN 0 AND 200"}),
+    _rejects("gps_data", "raw_gps", {"speed_range": "speed BETWEEN 0 AND 200"}),
+    _rejects("weather_data", "raw_weather", {"temperature_range": "temperature BETWEEN -10 AND 60",
+                                             "humidity_range": "humidity BETWEEN 0 AND 100"}),
+]))
+ORACLE["incremental_refine"] = sql(["vehicle"], "SELECT date, COUNT(*) AS rows FROM vehicle GROUP BY date")
+
+
 def oracle_sql() -> dict[str, str]:
     return dict(ORACLE)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from roadpulse.operators import dashboard as D
 from roadpulse.operators import emergency as E
@@ -119,3 +120,167 @@ plan("incident_timeline")(lambda s, d: D.incident_timeline(_e(s, d)))
 
 def queries() -> dict[str, Plan]:
     return dict(PLANS)
+
+
+# ---- storage, catalog ----------------------------------------------------------------
+from roadpulse.functions.rules import lat_lon  # noqa: E402
+from roadpulse.operators import temporal as X  # noqa: E402
+from roadpulse.plans import streams as ST  # noqa: E402
+from roadpulse.session import scratch_dir  # noqa: E402
+from roadpulse.sources import catalog as C  # noqa: E402
+from roadpulse.sources import storage as S  # noqa: E402
+from roadpulse.sources.feeds import feed_columns, observations  # noqa: E402
+from roadpulse.sources.wire import split_dead_letters  # noqa: E402
+from roadpulse.streaming import ingest as I  # noqa: E402
+from roadpulse.streaming import operators as SO  # noqa: E402
+
+
+@plan("raw_roundtrip")
+def _raw_roundtrip(s, d):
+    """Raw vehicle rows written as Parquet and read back with the registry schema."""
+    base = scratch_dir(s, "raw")
+    S.write_raw_batch(raw(s, d, VEHICLE), VEHICLE, base)
+    return S.read_raw(s, VEHICLE, base)
+
+
+@plan("refined_write_read")
+def _refined_write_read(s, d):
+    """Refined vehicle written partitioned by date, read back with date as STRING."""
+    base = scratch_dir(s, "refined")
+    S.write_refined(_v(s, d), VEHICLE, base)
+    return S.read_refined(s, VEHICLE, base)
+
+
+@plan("catalog_pruned_scan")
+def _catalog_pruned_scan(s, d):
+    """Refined emergency -> database -> external table -> partition repair ->
+    scan pruned to the newest date -> active real incidents of that date (E2)."""
+    base = scratch_dir(s, "catalog")
+    S.write_refined(_e(s, d), EMERGENCY, base)
+    db = "roadpulse_" + base.rsplit("-", 1)[-1]
+    C.ensure_database(s, db, f"{base}/_db")
+    C.register_tables(s, db, base, (EMERGENCY,), strict=True)
+    C.repair_partitions(s, db, EMERGENCY)
+    table = C.scan(s, db, EMERGENCY)
+    newest = E.latest_date(table)
+    return E.active_incidents(C.scan(s, db, EMERGENCY, dates=newest), as_of=newest)
+
+
+@plan("refine_all_status")
+def _refine_all_status(s, d):
+    """Every feed raw -> refined in one call; per-feed status and row count."""
+    base = scratch_dir(s, "refine-all")
+    ev = events(s, d)
+    for feed in FEEDS:
+        S.write_raw_batch(derive_feed(ev, feed), feed, base)
+    return S.refine_all(s, base, base)
+
+
+@plan("stream_ingest")
+def _stream_ingest(s, d):
+    """Five concurrent streams (landing -> decode -> watermark -> raw Parquet),
+    then a per-feed summary of what reached the raw layer."""
+    landing = ST.land(s, d, FEEDS)
+    base = scratch_dir(s, "ingest")
+    I.run_ingest(s, landing, base, FEEDS, trigger=ST.AVAILABLE_NOW)
+    parts = [S.read_raw(s, feed, base)
+             .agg(F.count(F.lit(1)).alias("records"), F.count_distinct("id").alias("ids"),
+                  F.min("timestamp").alias("first_time"), F.max("timestamp").alias("last_time"))
+             .select(F.lit(feed).alias("feed"), "*") for feed in FEEDS]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+# ---- extensions ------------------------------------------------------------------------
+@plan("lat_lon")
+def _lat_lon(s, d):
+    """Location text -> latitude / longitude doubles."""
+    lat, lon = lat_lon("location")
+    return _v(s, d).select("id", "location", lat.alias("lat"), lon.alias("lon"))
+
+
+@plan("stream_dedup")
+def _stream_dedup(s, d):
+    """Vehicle stream deduplicated within the watermark."""
+    landing = ST.land(s, d, (VEHICLE,))
+    return ST.run_to_parquet(s, SO.stream_dedup(ST.decoded_stream(s, landing, VEHICLE)), "dedup")
+
+
+@plan("stream_refine")
+def _stream_refine(s, d):
+    """Vehicle stream refined on the fly, sink partitioned by date."""
+    landing = ST.land(s, d, (VEHICLE,))
+    stream = SO.stream_refine(ST.decoded_stream(s, landing, VEHICLE), VEHICLE)
+    return ST.run_to_parquet(s, stream, "refine", partition_by=["date"],
+                             read_schema=S.refined_read_schema(VEHICLE))
+
+
+@plan("stream_incident_timeline")
+def _stream_incident_timeline(s, d):
+    """Hourly incident counts per type from the emergency stream (tumbling windows)."""
+    landing = ST.land(s, d, (EMERGENCY,), end_marker=True)
+    stream = SO.hourly_incidents(SO.stream_refine(ST.decoded_stream(s, landing, EMERGENCY), EMERGENCY))
+    return ST.before_end(ST.run_to_parquet(s, stream, "timeline"), "timestamp")
+
+
+@plan("stream_sliding_speed")
+def _stream_sliding_speed(s, d):
+    """10-minute windows every 5 minutes over the refined vehicle stream."""
+    landing = ST.land(s, d, (VEHICLE,), end_marker=True)
+    stream = SO.sliding_speed(SO.stream_refine(ST.decoded_stream(s, landing, VEHICLE), VEHICLE))
+    return ST.before_end(ST.run_to_parquet(s, stream, "sliding"), "window_start")
+
+
+@plan("stream_join_weather")
+def _stream_join_weather(s, d):
+    """X11: refined vehicle stream x refined weather stream, same vehicle, within 5 minutes."""
+    landing = ST.land(s, d, (VEHICLE, WEATHER))
+    v = SO.stream_refine(ST.decoded_stream(s, landing, VEHICLE), VEHICLE)
+    w = SO.stream_refine(ST.decoded_stream(s, landing, WEATHER), WEATHER)
+    return ST.run_to_parquet(s, SO.join_weather(v, w), "join")
+
+
+plan("trips")(lambda s, d: X.trips(_v(s, d)))
+plan("asof_weather")(lambda s, d: X.asof_weather(_v(s, d), _w(s, d)))
+
+
+@plan("dead_letter")
+def _dead_letter(s, d):
+    """Vehicle wire records damaged in transit (the first byte lost on every 'error'
+    step) are split off undecoded; the rest decode normally."""
+    obs = observations(events(s, d))
+    rows = obs.select(*feed_columns(VEHICLE, F.col("event_id"), F.col("ts"), F.col("user_id"),
+                                    F.col("event_type"), F.col("value")),
+                      (F.col("event_type") == "error").alias("_damaged"))
+    wire = encode(rows, VEHICLE, keep=("_damaged",))
+    wire = wire.select("key", F.when(F.col("_damaged"), F.expr("substr(value, 2)"))
+                       .otherwise(F.col("value")).alias("value"))
+    _, bad = split_dead_letters(wire, VEHICLE)
+    return bad.select("key", F.lit(VEHICLE).alias("feed"))
+
+
+plan("dedup_latest")(lambda s, d: P.dedup_latest(raw(s, d, VEHICLE)))
+
+
+@plan("reject_counts")
+def _reject_counts(s, d):
+    """Rows each range rule rejects, per feed."""
+    out = None
+    for feed in (VEHICLE, GPS, WEATHER):
+        part = P.reject_counts(raw(s, d, feed), feed)
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+@plan("incremental_refine")
+def _incremental_refine(s, d):
+    """Full refined write, then the newest three dates re-delivered and rewritten
+    with dynamic partition overwrite; every other date must survive. Rows per date."""
+    base = scratch_dir(s, "incremental")
+    S.write_refined(_v(s, d), VEHICLE, base)
+    r = raw(s, d, VEHICLE)
+    newest = r.agg(F.max(F.to_date("timestamp"))).scalar()
+    S.incremental_refine(r.filter(F.to_date("timestamp") >= F.date_sub(newest, 2)), VEHICLE, base)
+    return S.read_refined(s, VEHICLE, base).groupBy("date").agg(F.count(F.lit(1)).alias("rows"))

@@ -14,8 +14,9 @@ from roadpulse.schemas import FEED_SCHEMAS
 WIRE_TIMESTAMP_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 
 
-def encode(df: DataFrame, feed: str) -> DataFrame:
-    """Feed rows -> (key = id, value = JSON). `location` goes on the wire as a JSON array."""
+def encode(df: DataFrame, feed: str, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Feed rows -> (key = id, value = JSON). `location` goes on the wire as a JSON array.
+    Columns named in `keep` pass through beside the record."""
     cols = []
     for field in FEED_SCHEMAS[feed].fields:
         if field.name == "location":
@@ -23,7 +24,7 @@ def encode(df: DataFrame, feed: str) -> DataFrame:
         else:
             cols.append(F.col(field.name))
     value = F.to_json(F.struct(*cols), {"timestampFormat": WIRE_TIMESTAMP_FORMAT})
-    return df.select(F.col("id").alias("key"), value.alias("value"))
+    return df.select(F.col("id").alias("key"), value.alias("value"), *keep)
 
 
 def _decoded(df: DataFrame, feed: str, value_col: str = "value"):
