@@ -1,0 +1,99 @@
+"""Cleaning and enrichment rules on literal edge rows."""
+
+import math
+
+from pyspark.sql import functions as F
+
+from roadpulse.functions import rules
+from roadpulse.operators.refine import refine_emergency, refine_vehicle, refine_weather
+from roadpulse.schemas import EMERGENCY, FEED_SCHEMAS, VEHICLE, WEATHER
+
+
+def _vehicle(spark, rows):
+    return spark.createDataFrame(rows, FEED_SCHEMAS[VEHICLE])
+
+
+def test_speed_range_inclusive_drops_null_and_nan(spark):
+    speeds = [0.0, 200.0, 200.01, -0.1, None, float("nan"), 100.0]
+    df = spark.createDataFrame([(s,) for s in speeds], "speed double")
+    kept = sorted(r.speed for r in df.filter(rules.speed_ok()).collect())
+    assert kept == [0.0, 100.0, 200.0]
+
+
+def test_temperature_humidity_ranges(spark):
+    rows = [(-10.0, 0), (60.0, 100), (-10.1, 50), (60.1, 50), (20.0, -1), (20.0, 101), (None, 50), (20.0, None)]
+    df = spark.createDataFrame(rows, "temperature double, humidity int")
+    kept = df.filter(rules.temperature_ok() & rules.humidity_ok()).collect()
+    assert sorted((r.temperature, r.humidity) for r in kept) == [(-10.0, 0), (60.0, 100)]
+
+
+def test_aqi_bands_and_null_falls_through(spark):
+    df = spark.createDataFrame([(50.0,), (100.0,), (150.0,), (150.1,), (None,), (0.0,)], "airQualityIndex double")
+    got = [r.c for r in df.select(rules.aqi_category().alias("c")).collect()]
+    assert got == ["Good", "Moderate", "Unhealthy for Sensitive", "Unhealthy", "Unhealthy", "Good"]
+
+
+def test_heat_index(spark):
+    df = spark.createDataFrame([(30.0, 70)], "temperature double, humidity int")
+    assert df.select(rules.heat_index().alias("h")).first().h == 28.3
+
+
+def test_is_ev_and_real_incident_three_valued(spark):
+    df = spark.createDataFrame([("Electric", "Fire"), ("Gasoline", "None"), (None, None)], "fuelType string, type string")
+    got = [(r.ev, r.real, r.keep) for r in df.select(rules.is_ev().alias("ev"), rules.is_real_incident().alias("real"),
+                                                     rules.not_none_type().alias("keep")).collect()]
+    assert got == [(True, True, True), (False, False, False), (None, None, True)]
+
+
+def test_refine_vehicle_dedup_and_columns(spark):
+    import datetime as dt
+    t = dt.datetime(2024, 1, 5, 13, 45, 0)
+    rows = [("a", "V1", t, "[1,2]", 55.55, "S", "Kia", "Vios", 2020, "Electric"),
+            ("a", "V1", t, "[1,2]", 55.55, "S", "Kia", "Vios", 2020, "Electric"),
+            (None, None, None, None, None, None, None, None, None, None),
+            (None, None, None, None, None, None, None, None, None, None),
+            ("b", "V2", t, "[1,2]", 250.0, "S", "Kia", "Vios", 2020, None)]
+    out = refine_vehicle(_vehicle(spark, rows)).collect()
+    assert len(out) == 1
+    r = out[0]
+    assert (r.id, r.date, r.hour, r.speed_kmh, r.is_ev) == ("a", "2024-01-05", 13, 55.6, True)
+
+
+def test_refine_weather_and_emergency(spark):
+    import datetime as dt
+    t = dt.datetime(2024, 1, 5, 1, 0, 0)
+    w = spark.createDataFrame([("w1", "V", "[1,2]", t, 30.0, "Sunny", 1.0, 2.0, 70, None)], FEED_SCHEMAS[WEATHER])
+    r = refine_weather(w).first()
+    assert (r.heat_index, r.aqi_category, r.date) == (28.3, "Unhealthy", "2024-01-05")
+    e = spark.createDataFrame([("e1", "V", "i", "None", t, "[1,2]", "Active", "x"),
+                               ("e2", "V", "i", None, None, "[1,2]", "Resolved", "x")], FEED_SCHEMAS[EMERGENCY])
+    got = {r.id: (r.is_active, r.is_real_incident, r.date) for r in refine_emergency(e).collect()}
+    assert got == {"e1": (True, False, "2024-01-05"), "e2": (False, None, None)}
+
+
+def test_lat_lon_bad_text_is_null(spark):
+    df = spark.createDataFrame([("[10.5,106.25]",), ("junk",), ("[1.0]",), (None,)], "location string")
+    lat, lon = rules.lat_lon()
+    got = [(r.a, r.b) for r in df.select(lat.alias("a"), lon.alias("b")).collect()]
+    assert got == [(10.5, 106.25), (None, None), (1.0, None), (None, None)]
+    assert not any(isinstance(x, float) and math.isnan(x) for pair in got for x in pair)
+
+
+def test_exact_mean_is_order_independent(spark):
+    from roadpulse.functions.stats import exact_mean, exact_stddev
+    vals = [0.1, 0.2, 0.3, 55.25, 74.75, 12.3]
+    df = spark.createDataFrame([(v,) for v in vals], "x double").repartition(3)
+    r = df.agg(exact_mean("x", 2).alias("m"), exact_stddev("x", 2).alias("s")).first()
+    assert r.m == sum(int(round(v * 100)) for v in vals) / (len(vals) * 100)
+    import statistics
+    assert abs(r.s - statistics.stdev(vals)) < 1e-9
+    one = spark.createDataFrame([(1.5,)], "x double").agg(exact_stddev("x", 1).alias("s")).first()
+    assert one.s is None
+
+
+def test_date_is_string_partition_value(spark):
+    import datetime as dt
+    df = spark.createDataFrame([(dt.datetime(2024, 1, 31, 23, 59, 59),)], "timestamp timestamp")
+    assert df.select(rules.event_date().alias("d")).first().d == "2024-01-31"
+    assert dict(df.select(rules.event_date().alias("d")).dtypes)["d"] == "string"
+    assert df.select(F.lit(1)).count() == 1

@@ -1,0 +1,61 @@
+"""Trips and the as-of join against brute force, with small buckets so that trips and
+weather carries cross many bucket edges (including empty buckets)."""
+
+import datetime as dt
+import random
+
+import pandas as pd
+
+from roadpulse.operators.temporal import asof_weather, trips
+
+
+def _readings(n_vehicles=4, n=150, seed=3):
+    rnd = random.Random(seed)
+    rows = []
+    for vi in range(n_vehicles):
+        t = dt.datetime(2024, 1, 1) + dt.timedelta(seconds=rnd.randint(0, 5000))
+        for i in range(n):
+            t += dt.timedelta(seconds=rnd.choice([30, 200, 900, 3000, 3600, 3601, 7000, 20000]),
+                              microseconds=rnd.randint(0, 999999))
+            rows.append((f"v{vi}-{i}", f"veh{vi}", t, round(rnd.uniform(0, 200), 1)))
+    return rows
+
+
+def test_trips_match_bruteforce(spark):
+    rows = _readings()
+    v = spark.createDataFrame(rows, "id string, vehicle_id string, timestamp timestamp, speed_kmh double")
+    got = trips(v, gap_seconds=3600, bucket_seconds=600).toPandas()
+    pdf = pd.DataFrame(rows, columns=["id", "vehicle_id", "timestamp", "speed_kmh"]).sort_values(
+        ["vehicle_id", "timestamp"])
+    gap = pdf.groupby("vehicle_id")["timestamp"].diff()
+    pdf["trip"] = (gap.isna() | (gap >= pd.Timedelta(seconds=3600))).groupby(pdf["vehicle_id"]).cumsum()
+    expect = pdf.groupby(["vehicle_id", "trip"]).agg(trip_start=("timestamp", "min"), trip_end=("timestamp", "max"),
+                                                    points=("id", "count")).reset_index()
+    a = sorted(zip(got.vehicle_id, got.trip_start, got.trip_end, got.points))
+    b = sorted(zip(expect.vehicle_id, expect.trip_start, expect.trip_end, expect.points))
+    assert len(a) > 100 and a == b
+
+
+def test_asof_matches_merge_asof(spark):
+    vrows = _readings(seed=5)
+    rnd = random.Random(9)
+    wrows = []
+    for i, (vid_row, vid, t, _) in enumerate(_readings(seed=11, n=60)):
+        wrows.append((f"w{i}", vid, t + dt.timedelta(days=1), round(rnd.uniform(-10, 60), 1),
+                      rnd.choice(["Sunny", "Rain"])))
+    # weather exactly at some vehicle instants counts as "before"
+    for i, (_, vid, t, _) in enumerate(vrows[7::25]):
+        wrows.append((f"same{i}", vid, t, 20.0, "Cloudy"))
+    v = spark.createDataFrame(vrows, "id string, vehicle_id string, timestamp timestamp, speed_kmh double")
+    w = spark.createDataFrame(wrows, "id string, vehicle_id string, timestamp timestamp, temperature double, "
+                                     "weatherCondition string")
+    got = asof_weather(v, w, bucket_seconds=900).toPandas().sort_values("id")
+    left = pd.DataFrame(vrows, columns=["id", "vehicle_id", "timestamp", "speed_kmh"]).sort_values("timestamp")
+    right = pd.DataFrame(wrows, columns=["weather_id", "vehicle_id", "weather_time", "temperature",
+                                         "weatherCondition"]).sort_values("weather_time")
+    exp = pd.merge_asof(left, right, left_on="timestamp", right_on="weather_time", by="vehicle_id",
+                        direction="backward", allow_exact_matches=True).sort_values("id")
+    assert len(got) == len(exp)
+    assert list(got.id) == list(exp.id)
+    assert list(got.weather_id.fillna("-")) == list(exp.weather_id.fillna("-"))
+    assert got.weather_id.isna().sum() > 0 and (got.weather_id.str.startswith("same")).sum() > 0
