@@ -43,7 +43,7 @@ def humidity_ok(c: str | Column = "humidity") -> Column:
 
 def event_date(ts: str | Column = "timestamp") -> Column:
     """Calendar date of the event as STRING yyyy-MM-dd (the partition value)."""
-    return F.date_format(F.to_date(_c(ts)), "yyyy-MM-dd")
+    return F.to_date(_c(ts)).cast("string")
 
 
 def event_hour(ts: str | Column = "timestamp") -> Column:

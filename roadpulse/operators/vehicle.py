@@ -15,6 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from roadpulse.operators.quantiles import histogram_summary, sketch_percentiles
 from roadpulse.functions.stats import (
     exact_mean,
     exact_stddev,
@@ -26,7 +27,6 @@ from roadpulse.functions.stats import (
 
 KEYS = ["vehicle_id", "date"]
 SPEED_KMH_SCALE, SPEED_SCALE, TEMP_SCALE, HEAT_SCALE, HUMIDITY_SCALE = 1, 2, 1, 1, 0
-DEFAULT_PERCENTILE_ACCURACY = 1_000_000
 
 
 def speed_by_make_fuel(v: DataFrame) -> DataFrame:
@@ -40,17 +40,20 @@ def speed_by_make_fuel(v: DataFrame) -> DataFrame:
              .orderBy(F.desc("avg_speed_kmh"), "make", "fuelType"))
 
 
-def speed_by_hour(v: DataFrame, accuracy: int = DEFAULT_PERCENTILE_ACCURACY) -> DataFrame:
-    """V2: per hour of day: observations, mean, approximate p50 / p95 (mergeable sketches,
-    one shared summary per group; `accuracy` bounds the rank error at n/accuracy)."""
-    q = F.percentile_approx("speed_kmh", [0.5, 0.95], accuracy)
-    return (v.groupBy("hour")
-             .agg(F.count(F.lit(1)).alias("observations"),
-                  F.round(exact_mean("speed_kmh", SPEED_KMH_SCALE), 1).alias("avg_speed"),
-                  q.alias("_q"))
-             .select("hour", "observations", "avg_speed",
-                     F.round(F.col("_q")[0], 1).alias("p50_speed"),
-                     F.round(F.col("_q")[1], 1).alias("p95_speed"))
+def speed_by_hour(v: DataFrame, method: str = "histogram", accuracy: int = 10_000) -> DataFrame:
+    """V2: per hour of day: observations, mean, p50 and p95 of speed_kmh.
+    `histogram` (default) is exact: speed_kmh has at most 2,001 values, so the per-hour
+    histogram is bounded whatever the data size. `sketch` uses percentile_approx."""
+    if method == "histogram":
+        s = histogram_summary(v, ["hour"], "speed_kmh", [0.5, 0.95], ["p50", "p95"], scale=SPEED_KMH_SCALE)
+        s = s.withColumn("avg", F.col("mean"))
+    elif method == "sketch":
+        s = sketch_percentiles(v, ["hour"], "speed_kmh", [0.5, 0.95], ["p50", "p95"], accuracy)
+        s = s.join(v.groupBy("hour").agg(exact_mean("speed_kmh", SPEED_KMH_SCALE).alias("avg")), "hour")
+    else:
+        raise ValueError(f"unknown method {method!r}")
+    return (s.select("hour", F.col("rows").alias("observations"), F.round("avg", 1).alias("avg_speed"),
+                     F.round("p50", 1).alias("p50_speed"), F.round("p95", 1).alias("p95_speed"))
              .orderBy("hour"))
 
 

@@ -62,6 +62,8 @@ def scratch_dir(spark: SparkSession, purpose: str) -> str:
     """
     base = _checkpoint_dir(spark)
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS, object store) on a cluster")
         base = tempfile.mkdtemp(prefix="roadpulse-ckpt-")
         spark.sparkContext.setCheckpointDir(base)
         base = _checkpoint_dir(spark) or base

@@ -47,9 +47,14 @@ def read_refined(spark: SparkSession, feed: str, base: str) -> DataFrame:
 
 
 def _laid_out(df: DataFrame, layout: str) -> DataFrame:
+    if layout == "rebalance":
+        # AQE rebalance on the partition column: a big date is split into tasks of the
+        # advisory size, small dates are coalesced, so each task writes one or a few
+        # right-sized files; rows are time-ordered inside files (tight min/max stats).
+        return df.hint("rebalance", PARTITION_COLUMN).sortWithinPartitions(PARTITION_COLUMN, "timestamp")
     if layout == "range":
-        # Balanced tasks that each cover a contiguous (date, time) range: about one file per
-        # task and date boundary, rows time-ordered inside files (tight min/max statistics).
+        # Range partitioning on (date, timestamp): balanced, contiguous time ranges per
+        # task, at the cost of a sampling pass.
         return df.repartitionByRange(PARTITION_COLUMN, "timestamp").sortWithinPartitions(PARTITION_COLUMN, "timestamp")
     if layout == "local":
         # No extra shuffle: each task writes one file per date it holds, one at a time.
@@ -58,7 +63,7 @@ def _laid_out(df: DataFrame, layout: str) -> DataFrame:
 
 
 def write_refined(df: DataFrame, feed: str, base: str, *, mode: str = "overwrite",
-                  dynamic: bool = False, layout: str = "range") -> int:
+                  dynamic: bool = False, layout: str = "rebalance") -> int:
     """Write a refined feed partitioned by `date`; returns the row count, observed
     during the write (no second pass). `dynamic=True` replaces only the dates present in
     `df` and keeps every other partition (X13)."""
@@ -72,14 +77,14 @@ def write_refined(df: DataFrame, feed: str, base: str, *, mode: str = "overwrite
     return int(obs.get["rows"])
 
 
-def incremental_refine(raw_delta: DataFrame, feed: str, base: str, *, layout: str = "range") -> int:
+def incremental_refine(raw_delta: DataFrame, feed: str, base: str, *, layout: str = "rebalance") -> int:
     """Refine a delta of raw rows and replace only the dates it touches."""
     from roadpulse.operators.refine import REFINERS
     return write_refined(REFINERS[feed](raw_delta), feed, base, mode="overwrite", dynamic=True, layout=layout)
 
 
 def refine_all(spark: SparkSession, raw_base: str, refined_base: str, feeds: tuple[str, ...] | None = None,
-               *, strict: bool = False, layout: str = "range", **refine_kw) -> DataFrame:
+               *, strict: bool = False, layout: str = "rebalance", **refine_kw) -> DataFrame:
     """Raw -> refined for every feed; one feed failing does not stop the others.
     Returns (feed, status, rows); `strict=True` raises the first failure instead."""
     from roadpulse.operators.refine import REFINERS
