@@ -50,8 +50,9 @@ _LOC = ("'[10.' || CAST(4113 + n % 3657 AS VARCHAR) || '1,106.' || "
 _COMMON = ("'{p}' || CAST(n AS VARCHAR) AS id, 'Vehicle-' || CAST(user_id AS VARCHAR) AS vehicle_id")
 
 CTES: dict[str, tuple[list[str], str]] = {
-    "obs": ([], """SELECT event_id AS n, ts, user_id, event_type, value FROM events
-        UNION ALL SELECT event_id AS n, ts, user_id, event_type, value FROM events WHERE event_id % 10 = 0"""),
+    "obs": ([], """SELECT n, ts, user_id, event_type, value FROM (
+        SELECT event_id AS n, ts, user_id, event_type, value,
+               unnest(CASE WHEN event_id % 10 = 0 THEN [0, 1] ELSE [0] END) AS copy FROM events)"""),
     "raw_vehicle": (["obs"], f"""SELECT {_COMMON.format(p='veh-')}, ts AS timestamp, {_LOC} AS location,
         value AS speed, 'South-East' AS direction, ({_MAKES})[n % 5 + 1] AS make,
         ({_MODELS})[(n // 5) % 5 + 1] AS model, CAST(2018 + n % 7 AS INTEGER) AS year,

@@ -126,7 +126,7 @@ def queries() -> dict[str, Plan]:
 from roadpulse.functions.rules import lat_lon  # noqa: E402
 from roadpulse.operators import temporal as X  # noqa: E402
 from roadpulse.plans import streams as ST  # noqa: E402
-from roadpulse.session import scratch_dir  # noqa: E402
+from roadpulse.session import run_concurrently, scratch_dir  # noqa: E402
 from roadpulse.sources import catalog as C  # noqa: E402
 from roadpulse.sources import storage as S  # noqa: E402
 from roadpulse.sources.feeds import feed_columns, observations  # noqa: E402
@@ -171,8 +171,10 @@ def _refine_all_status(s, d):
     """Every feed raw -> refined in one call; per-feed status and row count."""
     base = scratch_dir(s, "refine-all")
     ev = events(s, d)
-    for feed in FEEDS:
-        S.write_raw_batch(derive_feed(ev, feed), feed, base)
+    landed = run_concurrently({f: (lambda f=f: S.write_raw_batch(derive_feed(ev, f), f, base)) for f in FEEDS})
+    for result in landed.values():
+        if isinstance(result, Exception):
+            raise result
     return S.refine_all(s, base, base)
 
 
@@ -248,14 +250,14 @@ plan("asof_weather")(lambda s, d: X.asof_weather(_v(s, d), _w(s, d)))
 
 @plan("dead_letter")
 def _dead_letter(s, d):
-    """Vehicle wire records damaged in transit (the first byte lost on every 'error'
-    step) are split off undecoded; the rest decode normally."""
+    """Vehicle wire records damaged in transit (a byte of line noise in front of the
+    record on every 'error' step) are split off whole and undecoded; the rest decode."""
     obs = observations(events(s, d))
     rows = obs.select(*feed_columns(VEHICLE, F.col("event_id"), F.col("ts"), F.col("user_id"),
                                     F.col("event_type"), F.col("value")),
                       (F.col("event_type") == "error").alias("_damaged"))
     wire = encode(rows, VEHICLE, keep=("_damaged",))
-    wire = wire.select("key", F.when(F.col("_damaged"), F.expr("substr(value, 2)"))
+    wire = wire.select("key", F.when(F.col("_damaged"), F.concat(F.lit("~"), F.col("value")))
                        .otherwise(F.col("value")).alias("value"))
     _, bad = split_dead_letters(wire, VEHICLE)
     return bad.select("key", F.lit(VEHICLE).alias("feed"))

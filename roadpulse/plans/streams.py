@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from roadpulse.plans.inputs import events
 from roadpulse.schemas import EMERGENCY, VEHICLE, WEATHER
-from roadpulse.session import scratch_dir
+from roadpulse.session import run_concurrently, scratch_dir
 from roadpulse.sources.feeds import derive_feed
 from roadpulse.sources.storage import refined_read_schema
 from roadpulse.sources.wire import encode
@@ -30,12 +30,17 @@ _MARKER_FIELDS = {
 
 
 def land(spark: SparkSession, sf_dir: str, feeds: tuple[str, ...], *, end_marker: bool = False) -> str:
-    """Encode the derived feeds and publish them into a fresh landing folder."""
+    """Encode the derived feeds and publish them into a fresh landing folder (one job per
+    feed, submitted concurrently); the optional end marker goes in afterwards."""
     landing = scratch_dir(spark, "landing")
     ev = events(spark, sf_dir)
-    for feed in feeds:
-        publish(encode(derive_feed(ev, feed), feed), landing, feed)
-        if end_marker:
+    outcome = run_concurrently({feed: (lambda f=feed: publish(encode(derive_feed(ev, f), f), landing, f))
+                                for feed in feeds})
+    for result in outcome.values():
+        if isinstance(result, Exception):
+            raise result
+    if end_marker:
+        for feed in feeds:
             record = {"id": "__end_of_input__", "vehicle_id": "__end_of_input__", "timestamp": END_OF_INPUT,
                       **_MARKER_FIELDS.get(feed, {})}
             marker = spark.createDataFrame([("__end_of_input__", json.dumps(record))], "key string, value string")

@@ -10,6 +10,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Callable  # noqa: F401
 
 from pyspark.sql import SparkSession
 
@@ -68,3 +69,20 @@ def scratch_dir(spark: SparkSession, purpose: str) -> str:
         spark.sparkContext.setCheckpointDir(base)
         base = _checkpoint_dir(spark) or base
     return f"{base.rstrip('/')}/roadpulse/{purpose}-{uuid.uuid4().hex[:12]}"
+
+
+def run_concurrently(tasks: dict[str, "Callable[[], object]"], max_workers: int | None = None) -> dict[str, object]:
+    """Submit independent Spark jobs from driver threads so their stages share the cluster
+    (small jobs fill each other's idle slots; one job's straggler does not idle the rest).
+    Returns name -> result, or name -> the exception it raised."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    results: dict[str, object] = {}
+    with ThreadPoolExecutor(max_workers=max_workers or max(1, len(tasks))) as pool:
+        futures = {name: pool.submit(fn) for name, fn in tasks.items()}
+        for name, fut in futures.items():
+            try:
+                results[name] = fut.result()
+            except Exception as exc:  # reported to the caller, never swallowed silently
+                results[name] = exc
+    return results

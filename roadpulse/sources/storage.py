@@ -84,20 +84,37 @@ def incremental_refine(raw_delta: DataFrame, feed: str, base: str, *, layout: st
 
 
 def refine_all(spark: SparkSession, raw_base: str, refined_base: str, feeds: tuple[str, ...] | None = None,
-               *, strict: bool = False, layout: str = "rebalance", **refine_kw) -> DataFrame:
+               *, strict: bool = False, layout: str = "rebalance", concurrent: bool = True,
+               **refine_kw) -> DataFrame:
     """Raw -> refined for every feed; one feed failing does not stop the others.
+    Feeds are independent jobs and run concurrently unless `concurrent=False`.
     Returns (feed, status, rows); `strict=True` raises the first failure instead."""
     from roadpulse.operators.refine import REFINERS
     from roadpulse.schemas import FEEDS
-
+    from roadpulse.session import run_concurrently
+
+    feeds = tuple(feeds or FEEDS)
+
+    def job(feed: str):
+        return lambda: write_refined(REFINERS[feed](read_raw(spark, feed, raw_base), **refine_kw), feed,
+                                     refined_base, layout=layout)
+
+    if concurrent:
+        outcome = run_concurrently({feed: job(feed) for feed in feeds})
+    else:
+        outcome = {}
+        for feed in feeds:
+            try:
+                outcome[feed] = job(feed)()
+            except Exception as exc:
+                outcome[feed] = exc
     results = []
-    for feed in feeds or FEEDS:
-        try:
-            rows = write_refined(REFINERS[feed](read_raw(spark, feed, raw_base), **refine_kw), feed,
-                                 refined_base, layout=layout)
-            results.append((feed, "OK", rows))
-        except Exception as exc:
+    for feed in feeds:
+        got = outcome[feed]
+        if isinstance(got, Exception):
             if strict:
-                raise
-            results.append((feed, f"FAIL: {type(exc).__name__}: {str(exc)[:200]}", None))
+                raise got
+            results.append((feed, f"FAIL: {type(got).__name__}: {str(got)[:200]}", None))
+        else:
+            results.append((feed, "OK", int(got)))
     return spark.createDataFrame(results, "feed string, status string, rows bigint")
