@@ -331,6 +331,9 @@ ORACLE["reject_counts"] = sql(["raw_vehicle", "raw_gps", "raw_weather"], " UNION
 ]))
 ORACLE["incremental_refine"] = sql(["vehicle"], "SELECT date, COUNT(*) AS rows FROM vehicle GROUP BY date")
 
+ORACLE["catalog_tables"] = sql(["vehicle", "gps", "traffic", "weather", "emergency"], " UNION ALL ".join(
+    f"SELECT '{t}_data' AS \"table\", COUNT(*) AS rows, COUNT(DISTINCT date) AS dates FROM {t}" for t in _SHORT))
+
 
 def oracle_sql() -> dict[str, str]:
     return dict(ORACLE)

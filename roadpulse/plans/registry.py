@@ -286,3 +286,30 @@ def _incremental_refine(s, d):
     newest = r.agg(F.max(F.to_date("timestamp"))).scalar()
     S.incremental_refine(r.filter(F.to_date("timestamp") >= F.date_sub(newest, 2)), VEHICLE, base)
     return S.read_refined(s, VEHICLE, base).groupBy("date").agg(F.count(F.lit(1)).alias("rows"))
+
+
+@plan("catalog_tables")
+def _catalog_tables(s, d):
+    """S7-S9 for all five feeds: refined tables written (concurrently), database and five
+    external partitioned tables created, partitions repaired; rows per table and date count
+    as the catalog reports them."""
+    base = scratch_dir(s, "catalog-all")
+    ev = events(s, d)
+    written = run_concurrently({f: (lambda f=f: S.write_refined(P.REFINERS[f](derive_feed(ev, f)), f, base))
+                                for f in FEEDS})
+    for result in written.values():
+        if isinstance(result, Exception):
+            raise result
+    db = "roadpulse_" + base.rsplit("-", 1)[-1]
+    C.ensure_database(s, db, f"{base}/_db")
+    C.register_tables(s, db, base, FEEDS, strict=True)
+    parts = []
+    for feed in FEEDS:
+        C.repair_partitions(s, db, feed)
+        parts.append(C.scan(s, db, feed).agg(F.count(F.lit(1)).alias("rows"),
+                                               F.count_distinct("date").alias("dates"))
+                     .select(F.lit(feed).alias("table"), "rows", "dates"))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out

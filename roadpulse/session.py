@@ -32,6 +32,9 @@ def build_session(master: str | None = None, *, shuffle_partitions: int | None =
         .config("spark.driver.memory", "8g")
         .config("spark.sql.sources.partitionOverwriteMode", "static")
         .config("spark.sql.streaming.noDataMicroBatches.enabled", "true")
+        # streaming state (dedup ids, windows, join buffers) lives in RocksDB, not the JVM heap
+        .config("spark.sql.streaming.stateStore.providerClass",
+                "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
     )
     for key, value in (extra or {}).items():
         builder = builder.config(key, value)

@@ -95,3 +95,20 @@ def test_run_ingest_writes_every_feed_and_surfaces_failures(spark):
     bad = scratch_dir(spark, "missing-landing")
     with pytest.raises(Exception):
         I.run_ingest(spark, bad, scratch_dir(spark, "base2"), (VEHICLE,), trigger=AVAILABLE_NOW)
+
+
+@pytest.mark.parametrize("fmt", ["json", "text"])
+def test_landing_formats_decode_the_same(spark, fmt):
+    landing = scratch_dir(spark, "landing")
+    rows = [_record(i, f"2024-01-01T10:0{i}:00") for i in range(3)]
+    df = spark.createDataFrame(rows, "key string, value string").coalesce(1)
+    path = I.landing_path(landing, VEHICLE)
+    if fmt == "json":
+        df.write.json(path)
+    else:
+        df.select("value").write.text(path)
+    out = scratch_dir(spark, "out")
+    stream = I.decode_stream(I.read_topic(spark, VEHICLE, fmt=fmt, landing=landing), VEHICLE)
+    q = I.write_stream(stream, f"{out}/data", f"{out}/ckpt", trigger=AVAILABLE_NOW)
+    q.awaitTermination()
+    assert sorted(r.id for r in spark.read.parquet(f"{out}/data").collect()) == ["id0", "id1", "id2"]
