@@ -1,0 +1,31 @@
+"""The production path end to end: land -> ingest (stream) -> refine -> catalog -> report."""
+
+from pyspark.sql import functions as F
+
+from roadpulse.__main__ import main
+from roadpulse.plans.oracle import ORACLE  # noqa: F401
+from roadpulse.schemas import EMERGENCY, FEEDS
+from roadpulse.session import scratch_dir
+from roadpulse.sources.feeds import derive_feed
+from roadpulse.sources.wire import encode
+from roadpulse.streaming.ingest import publish
+from tests.conftest import SF_SMALL
+
+
+def test_ingest_refine_catalog_report(spark, capsys):
+    ev = spark.read.parquet(f"{SF_SMALL}/events.parquet")
+    landing, base = scratch_dir(spark, "landing"), scratch_dir(spark, "base")
+    for feed in FEEDS:
+        publish(encode(derive_feed(ev, feed), feed), landing, feed)
+    main(["ingest", "--base", base, "--landing", landing, "--available-now"])
+    main(["refine", "--raw", base, "--refined", f"{base}/refined-root"])
+    assert '"status": "OK"' in capsys.readouterr().out
+    db = "cli_" + base.rsplit("-", 1)[-1]
+    main(["catalog", "--db", db, "--refined", f"{base}/refined-root", "--location", f"{base}/_db"])
+    out = f"{base}/report"
+    main(["report", "incidents_by_day", "--db", db, "--out", out])
+    got = spark.read.parquet(out)
+    assert got.agg(F.sum("total_events")).first()[0] == 1000
+    main(["report", "incidents_by_day", "--db", db, "--dates", "2024-01-05", "--out", out])
+    assert {r.date for r in spark.read.parquet(out).select("date").distinct().collect()} == {"2024-01-05"}
+    assert spark.table(f"{db}.{EMERGENCY}").count() == 1000
