@@ -29,22 +29,30 @@ def latest(df: DataFrame, cols: list[str], n: int = 500, ts: str = "timestamp",
     return df.orderBy(F.desc_nulls_last(ts), F.asc(key)).limit(n).select(*cols)
 
 
+KPI_METRICS = ["avg_speed", "ev_pct", "total_records", "active_incidents", "real_incidents", "avg_temp"]
+
+
 def kpi_row(v: DataFrame, w: DataFrame, e: DataFrame) -> DataFrame:
     """One row: active incidents (status Active, any type), real incidents, mean speed,
-    mean temperature, EV % (over non-null is_ev), vehicle record count; 0 when empty."""
-    e_counts = e.agg(F.struct(F.count_if(F.col("status") == rules.ACTIVE).alias("a"),
-                              F.count_if(F.col("is_real_incident") == F.lit(True)).alias("r"))).scalar()
-    mean_temp = w.agg(F.round(exact_mean("temperature", TEMP_SCALE), 1)).scalar()
-    return v.agg(
-        F.coalesce(F.round(exact_mean("speed", SPEED_SCALE), 1), F.lit(0.0)).alias("avg_speed"),
-        F.coalesce(F.round(F.avg(F.col("is_ev").cast("double")) * 100, 1), F.lit(0.0)).alias("ev_pct"),
-        F.count(F.lit(1)).alias("total_records"),
-    ).select(
-        "avg_speed", "ev_pct", "total_records",
-        F.coalesce(e_counts.getField("a"), F.lit(0)).cast("bigint").alias("active_incidents"),
-        F.coalesce(e_counts.getField("r"), F.lit(0)).cast("bigint").alias("real_incidents"),
-        F.coalesce(mean_temp, F.lit(0.0)).alias("avg_temp"),
-    )
+    mean temperature, EV % (over non-null is_ev), vehicle record count; 0 when empty.
+    Each table is aggregated once to one row, turned into (metric, value) rows, and the
+    three are pivoted into the single KPI row: one scan per table, no join."""
+    def long(one_row: DataFrame, names: list[str]) -> DataFrame:
+        return one_row.unpivot([], names, "metric", "value")
+
+    vk = v.agg(F.round(exact_mean("speed", SPEED_SCALE), 1).alias("avg_speed"),
+               F.round(F.avg(F.col("is_ev").cast("double")) * 100, 1).alias("ev_pct"),
+               F.count(F.lit(1)).cast("double").alias("total_records"))
+    wk = w.agg(F.round(exact_mean("temperature", TEMP_SCALE), 1).alias("avg_temp"))
+    ek = e.agg(F.count_if(F.col("status") == rules.ACTIVE).cast("double").alias("active_incidents"),
+               F.count_if(F.col("is_real_incident") == F.lit(True)).cast("double").alias("real_incidents"))
+    metrics = (long(vk, ["avg_speed", "ev_pct", "total_records"])
+               .unionByName(long(wk, ["avg_temp"]))
+               .unionByName(long(ek, ["active_incidents", "real_incidents"])))
+    row = metrics.groupBy().pivot("metric", KPI_METRICS).agg(F.first("value"))
+    counts = {"total_records", "active_incidents", "real_incidents"}
+    return row.select(*[(F.coalesce(F.col(m), F.lit(0.0)).cast("bigint") if m in counts
+                         else F.coalesce(F.col(m), F.lit(0.0))).alias(m) for m in KPI_METRICS])
 
 
 def speed_timeline(v: DataFrame) -> DataFrame:

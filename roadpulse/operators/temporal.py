@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from roadpulse.functions.stats import exact_mean
+from roadpulse.functions.stats import mean_from_parts, scaled
 
 DEFAULT_BUCKET_SECONDS = 3600
 
@@ -25,40 +25,35 @@ def _bucket(ts: Column, seconds: int) -> Column:
     return F.floor(F.unix_micros(ts) / F.lit(seconds * 1_000_000)).cast("bigint")
 
 
-def trips(v: DataFrame, gap_seconds: int = 7200, bucket_seconds: int = DEFAULT_BUCKET_SECONDS,
+def trips(v: DataFrame, gap_seconds: int = 7200, bucket_seconds: int | None = None,
           key: str = "vehicle_id", ts: str = "timestamp") -> DataFrame:
     """Per vehicle, consecutive readings form one trip while the pause between them is
     shorter than `gap_seconds`; a pause of at least the gap starts a new trip.
-    Output: vehicle_id, trip_start, trip_end, points, avg_speed_kmh, duration_s."""
-    rows = (v.filter(F.col(key).isNotNull() & F.col(ts).isNotNull())
-              .select(key, ts, "speed_kmh", _bucket(F.col(ts), bucket_seconds).alias("_b")))
-    in_bucket = Window.partitionBy(key, "_b").orderBy(ts)
-    over_buckets = Window.partitionBy(key).orderBy("_b")
-
-    # 1) previous reading of the same vehicle: inside the bucket, else the previous bucket's last
-    last_per_bucket = rows.groupBy(key, "_b").agg(F.max(ts).alias("_last"))
-    carried_last = last_per_bucket.select(key, "_b", F.lag("_last").over(over_buckets).alias("_carry_last"))
-    with_prev = (rows.withColumn("_prev", F.lag(ts).over(in_bucket))
-                     .join(carried_last, [key, "_b"], "left")
-                     .withColumn("_prev", F.coalesce("_prev", "_carry_last")))
-    gap = F.unix_micros(F.col(ts)) - F.unix_micros(F.col("_prev"))
-    flagged = with_prev.withColumn(
-        "_start", F.when(F.col("_prev").isNull() | (gap >= F.lit(gap_seconds * 1_000_000)), F.col(ts)))
-
-    # 2) trip of each reading = latest trip start at or before it (bucket-local, else carried)
-    upto = in_bucket.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    starts_per_bucket = flagged.groupBy(key, "_b").agg(F.max("_start").alias("_bstart"))
-    carried_start = starts_per_bucket.select(
-        key, "_b", F.max("_bstart").over(over_buckets.rowsBetween(Window.unboundedPreceding, -1))
-        .alias("_carry_start"))
-    sessions = (flagged.withColumn("_trip", F.max("_start").over(upto))
-                       .join(carried_start, [key, "_b"], "left")
-                       .withColumn("_trip", F.coalesce("_trip", "_carry_start")))
-
-    # 3) one row per trip: a plain aggregate, combined map-side
-    return (sessions.groupBy(key, F.col("_trip").alias("trip_start"))
-                    .agg(F.max(ts).alias("trip_end"), F.count(F.lit(1)).alias("points"),
-                         F.round(exact_mean("speed_kmh", 1), 1).alias("avg_speed_kmh"))
+    Output: vehicle_id, trip_start, trip_end, points, avg_speed_kmh, duration_s.
+
+    Buckets are at most `gap_seconds` wide, so two readings in one bucket are less than a
+    gap apart: only the first reading of a bucket can start a trip, and every reading of a
+    bucket belongs to the same trip. The rows are therefore aggregated once to one summary
+    per (vehicle, bucket) -- map-side combined, so a busy vehicle never lands in one task --
+    and trip boundaries are found by a window over those summaries (one row per non-empty
+    bucket of a vehicle). Trips are the sums of their buckets. One scan, no row-level join."""
+    bucket_seconds = bucket_seconds or gap_seconds
+    if bucket_seconds > gap_seconds:
+        raise ValueError("bucket_seconds must not exceed gap_seconds")
+    rows = v.filter(F.col(key).isNotNull() & F.col(ts).isNotNull())
+    buckets = (rows.groupBy(key, _bucket(F.col(ts), bucket_seconds).alias("_b"))
+                   .agg(F.min(ts).alias("_first"), F.max(ts).alias("_last"), F.count(F.lit(1)).alias("_n"),
+                        F.sum(scaled("speed_kmh", 1)).alias("_s"), F.count(scaled("speed_kmh", 1)).alias("_c")))
+    by_vehicle = Window.partitionBy(key).orderBy("_b")
+    prev_last = F.lag("_last").over(by_vehicle)
+    pause = F.unix_micros(F.col("_first")) - F.unix_micros(prev_last)
+    starts = buckets.withColumn(
+        "_start", F.when(prev_last.isNull() | (pause >= F.lit(gap_seconds * 1_000_000)), F.col("_first")))
+    assigned = starts.withColumn(
+        "trip_start", F.max("_start").over(by_vehicle.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    return (assigned.groupBy(key, "trip_start")
+                    .agg(F.max("_last").alias("trip_end"), F.sum("_n").alias("points"),
+                         F.round(mean_from_parts(F.sum("_s"), F.sum("_c"), 1), 1).alias("avg_speed_kmh"))
                     .withColumn("duration_s",
                                 ((F.unix_micros("trip_end") - F.unix_micros("trip_start")) / 1_000_000)
                                 .cast("bigint"))
@@ -69,39 +64,45 @@ WX_TYPE = "struct<t:timestamp,wid:string,temp:double,cond:string>"
 
 
 def asof_weather(v: DataFrame, w: DataFrame, bucket_seconds: int = DEFAULT_BUCKET_SECONDS,
-                 key: str = "vehicle_id", ts: str = "timestamp") -> DataFrame:
+                 key: str = "vehicle_id", ts: str = "timestamp", materialize: bool = True) -> DataFrame:
     """Every vehicle reading with the latest weather reading of the same vehicle at or
     before its timestamp (a weather reading at the same instant counts as before; among
     weather readings at one instant the greatest id wins). No earlier reading: nulls.
     Output: id, vehicle_id, timestamp, speed_kmh, weather_id, weather_time, temperature,
-    weatherCondition."""
+    weatherCondition.
+
+    Both inputs are read once: their narrow union (key, time, bucket, side, ids, payload) is
+    written to the shared checkpoint folder and serves the bucket windows and the bucket
+    summaries (`materialize=False` re-reads the inputs instead, for cheap table scans)."""
     wx = F.struct(F.col(ts).alias("t"), F.col("id").alias("wid"), F.col("temperature").alias("temp"),
                   F.col("weatherCondition").alias("cond"))
     vk = (v.filter(F.col(key).isNotNull() & F.col(ts).isNotNull())
-           .select(key, ts, "id", "speed_kmh", _bucket(F.col(ts), bucket_seconds).alias("_b")))
+           .select(key, ts, _bucket(F.col(ts), bucket_seconds).alias("_b"), F.lit(1).alias("_side"), "id",
+                   "speed_kmh", F.lit(None).cast(WX_TYPE).alias("_wx")))
     wk = (w.filter(F.col(key).isNotNull() & F.col(ts).isNotNull())
-           .select(key, ts, "id", wx.alias("_wx"), _bucket(F.col(ts), bucket_seconds).alias("_b")))
+           .select(key, ts, _bucket(F.col(ts), bucket_seconds).alias("_b"), F.lit(0).alias("_side"), "id",
+                   F.lit(None).cast("double").alias("speed_kmh"), wx.alias("_wx")))
+    both = vk.unionByName(wk)
+    if materialize:
+        from roadpulse.sources.storage import materialize as write_once
+        both = write_once(both, "asof")
 
     # 1) inside a (vehicle, bucket): weather rows sort before vehicle rows at equal time
-    both = (vk.select(key, ts, "_b", F.lit(1).alias("_side"), "id", "speed_kmh",
-                      F.lit(None).cast(WX_TYPE).alias("_wx"))
-              .unionByName(wk.select(key, ts, "_b", F.lit(0).alias("_side"), "id",
-                                     F.lit(None).cast("double").alias("speed_kmh"), "_wx")))
     upto = (Window.partitionBy(key, "_b").orderBy(ts, "_side", "id")
             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     local = (both.withColumn("_near", F.last("_wx", ignorenulls=True).over(upto))
                  .filter(F.col("_side") == 1).drop("_wx", "_side"))
 
-    # 2) carry: latest weather of any earlier bucket, for every bucket holding vehicle rows
-    wsum = (wk.groupBy(key, "_b").agg(F.max_by("_wx", F.struct(F.col(ts), F.col("id"))).alias("_bwx"))
-              .withColumn("_ord", F.lit(1)))
-    vmark = vk.select(key, "_b").distinct().select(key, "_b", F.lit(None).cast(WX_TYPE).alias("_bwx"),
-                                                   F.lit(0).alias("_ord"))
-    before = (Window.partitionBy(key).orderBy("_b", "_ord")
-              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    carry = (vmark.unionByName(wsum)
-                  .withColumn("_carry", F.last("_bwx", ignorenulls=True).over(before))
-                  .filter(F.col("_ord") == 0).select(key, "_b", "_carry"))
+    # 2) carry: the latest weather reading of any earlier bucket. One aggregate over the
+    # union gives, per (vehicle, bucket), its latest weather reading and whether it holds
+    # vehicle rows; a window over those summaries (one row per bucket) carries it forward.
+    summary = both.groupBy(key, "_b").agg(
+        F.max_by(F.when(F.col("_side") == 0, F.col("_wx")),
+                 F.when(F.col("_side") == 0, F.struct(F.col(ts), F.col("id")))).alias("_bwx"),
+        F.max("_side").alias("_has_v"))
+    earlier = Window.partitionBy(key).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    carry = (summary.withColumn("_carry", F.last("_bwx", ignorenulls=True).over(earlier))
+                    .filter(F.col("_has_v") == 1).select(key, "_b", "_carry"))
 
     out = local.join(carry, [key, "_b"], "left").withColumn("_m", F.coalesce("_near", "_carry"))
     return out.select("id", key, ts, "speed_kmh", F.col("_m.wid").alias("weather_id"),

@@ -27,6 +27,18 @@ def checkpoint_path(base: str, feed: str, purpose: str = "ingest") -> str:
     return f"{base.rstrip('/')}/_checkpoints/{purpose}/{feed}"
 
 
+def materialize(df: DataFrame, purpose: str) -> DataFrame:
+    """Write `df` once as Parquet below the session's shared checkpoint folder and return
+    a scan of it: a frame read several times is computed once, and its lineage is cut
+    (a lost executor re-reads the files instead of recomputing upstream shuffles)."""
+    from roadpulse.session import scratch_dir
+
+    spark = df.sparkSession
+    path = scratch_dir(spark, purpose)
+    df.write.parquet(path)
+    return spark.read.parquet(path)
+
+
 def read_raw(spark: SparkSession, feed: str, base: str) -> DataFrame:
     """Raw feed with the registry schema imposed (no inference, no schema merge)."""
     return spark.read.schema(FEED_SCHEMAS[feed]).parquet(raw_path(base, feed))

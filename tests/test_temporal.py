@@ -59,3 +59,11 @@ def test_asof_matches_merge_asof(spark):
     assert list(got.id) == list(exp.id)
     assert list(got.weather_id.fillna("-")) == list(exp.weather_id.fillna("-"))
     assert got.weather_id.isna().sum() > 0 and (got.weather_id.str.startswith("same")).sum() > 0
+
+
+def test_trips_reject_buckets_wider_than_gap(spark):
+    import pytest
+    v = spark.createDataFrame([("a", "veh", dt.datetime(2024, 1, 1), 1.0)],
+                              "id string, vehicle_id string, timestamp timestamp, speed_kmh double")
+    with pytest.raises(ValueError):
+        trips(v, gap_seconds=600, bucket_seconds=3600)
