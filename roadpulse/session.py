@@ -35,6 +35,7 @@ def build_session(master: str | None = None, *, shuffle_partitions: int | None =
         # streaming state (dedup ids, windows, join buffers) lives in RocksDB, not the JVM heap
         .config("spark.sql.streaming.stateStore.providerClass",
                 "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+        .config("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
     )
     for key, value in (extra or {}).items():
         builder = builder.config(key, value)
