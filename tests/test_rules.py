@@ -97,3 +97,31 @@ def test_date_is_string_partition_value(spark):
     assert df.select(rules.event_date().alias("d")).first().d == "2024-01-31"
     assert dict(df.select(rules.event_date().alias("d")).dtypes)["d"] == "string"
     assert df.select(F.lit(1)).count() == 1
+
+
+def test_dedup_latest_keeps_newest_copy_deterministically(spark):
+    from roadpulse.operators.refine import dedup_latest
+    t1, t2 = dt_(2024, 1, 1, 10), dt_(2024, 1, 1, 11)
+    rows = [("a", "V", t1, "[1,2]", 10.0, "S", "Kia", "Vios", 2020, "Hybrid"),
+            ("a", "V", t2, "[1,2]", 20.0, "S", "Kia", "Vios", 2020, "Hybrid"),
+            ("a", "V", t2, "[1,2]", 15.0, "S", "Kia", "Vios", 2020, "Hybrid"),
+            ("b", "W", t1, "[1,2]", 30.0, "S", "Kia", "Vios", 2020, None)]
+    df = spark.createDataFrame(rows, FEED_SCHEMAS[VEHICLE])
+    for parts in (1, 3):
+        got = {r.id: r.speed for r in dedup_latest(df.repartition(parts)).collect()}
+        assert got == {"a": 20.0, "b": 30.0}
+
+
+def test_reject_counts_null_and_nan_fail_their_rule(spark):
+    from roadpulse.operators.refine import reject_counts
+    rows = [(f"w{i}", "V", "[1,2]", None, t, "Sunny", 0.0, 0.0, h, 10.0)
+            for i, (t, h) in enumerate([(20.0, 50), (70.0, 50), (float("nan"), 50), (None, 50), (20.0, 101),
+                                        (70.0, None)])]
+    df = spark.createDataFrame(rows, FEED_SCHEMAS[WEATHER])
+    got = {r.rule: (r.rejected, r.checked) for r in reject_counts(df, WEATHER).collect()}
+    assert got == {"temperature_range": (4, 6), "humidity_range": (2, 6), "any_rule": (5, 6)}
+
+
+def dt_(*a):
+    import datetime as dt
+    return dt.datetime(*a)
