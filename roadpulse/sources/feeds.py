@@ -90,7 +90,7 @@ def feed_columns(feed: str, n: Column, ts: Column, user_id: Column, event_type:
         mapping = F.create_map(*[F.lit(x) for kv in INCIDENT_TYPE_BY_EVENT.items() for x in kv])
         specific = {
             "incidentId": F.concat(F.lit("inc-"), n.cast("string")),
-            "type": F.element_at(mapping, event_type),
+            "type": F.try_element_at(mapping, event_type),
             "status": _pick(STATUSES, n % 2),
             "description": F.lit(DESCRIPTION),
         }
