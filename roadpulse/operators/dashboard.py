@@ -56,9 +56,11 @@ def kpi_row(v: DataFrame, w: DataFrame, e: DataFrame) -> DataFrame:
 
 
 def speed_timeline(v: DataFrame) -> DataFrame:
-    """(timestamp, speed) with the overall mean speed beside every point."""
+    """(timestamp, speed) with the overall mean speed beside every point, in time order.
+    `id` breaks timestamp ties so the range partitioning of the sort can split a timestamp
+    shared by many rows."""
     mean_speed = v.agg(exact_mean("speed", SPEED_SCALE)).scalar()
-    return v.select("timestamp", "speed", mean_speed.alias("mean_speed")).orderBy("timestamp")
+    return v.orderBy("timestamp", "id").select("timestamp", "speed", mean_speed.alias("mean_speed"))
 
 
 def mean_speed_by_hour(v: DataFrame) -> DataFrame:
@@ -87,8 +89,8 @@ def speed_mean_max_by_make(v: DataFrame) -> DataFrame:
 
 
 def weather_series(w: DataFrame) -> DataFrame:
-    """Temperature and humidity over time."""
-    return w.select("timestamp", "temperature", "humidity").orderBy("timestamp")
+    """Temperature and humidity over time (`id` breaks timestamp ties, as in D5)."""
+    return w.orderBy("timestamp", "id").select("timestamp", "temperature", "humidity")
 
 
 def incident_type_counts(e: DataFrame) -> DataFrame:
