@@ -30,6 +30,7 @@ def main(argv: list[str] | None = None) -> None:
     r.add_argument("--strict", action="store_true")
     r.add_argument("--filter-first", action="store_true")
     r.add_argument("--layout", default="rebalance", choices=["rebalance", "range", "local"])
+    r.add_argument("--dynamic", action="store_true", help="replace only the dates present in the raw input")
     c = sub.add_parser("catalog")
     c.add_argument("--db", required=True)
     c.add_argument("--refined", required=True)
@@ -59,7 +60,7 @@ def main(argv: list[str] | None = None) -> None:
     elif args.cmd == "refine":
         from roadpulse.sources.storage import refine_all
         status = refine_all(spark, args.raw, args.refined, strict=args.strict, layout=args.layout,
-                            filter_first=args.filter_first)
+                            dynamic=args.dynamic, filter_first=args.filter_first)
         print(json.dumps([r.asDict() for r in status.collect()]))
     elif args.cmd == "catalog":
         from roadpulse.sources import catalog as C

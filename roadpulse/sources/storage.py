@@ -97,9 +97,10 @@ def incremental_refine(raw_delta: DataFrame, feed: str, base: str, *, layout: st
 
 def refine_all(spark: SparkSession, raw_base: str, refined_base: str, feeds: tuple[str, ...] | None = None,
                *, strict: bool = False, layout: str = "rebalance", concurrent: bool = True,
-               **refine_kw) -> DataFrame:
+               dynamic: bool = False, **refine_kw) -> DataFrame:
     """Raw -> refined for every feed; one feed failing does not stop the others.
-    Feeds are independent jobs and run concurrently unless `concurrent=False`.
+    Feeds are independent jobs and run concurrently unless `concurrent=False`. With
+    `dynamic=True` only the dates present in the raw input are replaced (X13).
     Returns (feed, status, rows); `strict=True` raises the first failure instead."""
     from roadpulse.operators.refine import REFINERS
     from roadpulse.schemas import FEEDS
@@ -109,7 +110,7 @@ def refine_all(spark: SparkSession, raw_base: str, refined_base: str, feeds: tup
 
     def job(feed: str):
         return lambda: write_refined(REFINERS[feed](read_raw(spark, feed, raw_base), **refine_kw), feed,
-                                     refined_base, layout=layout)
+                                     refined_base, layout=layout, dynamic=dynamic)
 
     if concurrent:
         outcome = run_concurrently({feed: job(feed) for feed in feeds})
