@@ -3,7 +3,6 @@
 from pyspark.sql import functions as F
 
 from roadpulse.__main__ import main
-from roadpulse.plans.oracle import ORACLE  # noqa: F401
 from roadpulse.schemas import EMERGENCY, FEEDS
 from roadpulse.session import scratch_dir
 from roadpulse.sources.feeds import derive_feed
