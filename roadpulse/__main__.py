@@ -1,5 +1,6 @@
 """Command line: python -m roadpulse <ingest|refine|catalog|report> ...
 
+  land     derive the five feeds from an observation table and publish their wire records
   ingest   five concurrent streams: topic -> decode -> watermark -> raw Parquet
   refine   raw -> refined for every feed (dedup, rules, date partitions); status table
   catalog  database + five external partitioned tables + partition repair
@@ -17,6 +18,9 @@ from roadpulse.schemas import FEEDS
 def main(argv: list[str] | None = None) -> None:
     ap = argparse.ArgumentParser(prog="roadpulse")
     sub = ap.add_subparsers(dest="cmd", required=True)
+    ld = sub.add_parser("land")
+    ld.add_argument("--events", required=True, help="Parquet path of the observation table")
+    ld.add_argument("--landing", required=True)
     a = sub.add_parser("ingest")
     a.add_argument("--base", required=True, help="raw layer root (raw/<feed>, _checkpoints/...)")
     a.add_argument("--landing", help="landing folder root for file topics")
@@ -44,7 +48,18 @@ def main(argv: list[str] | None = None) -> None:
 
     spark = _session()
 
-    if args.cmd == "ingest":
+    if args.cmd == "land":
+        from roadpulse.session import run_concurrently
+        from roadpulse.sources.feeds import derive_feed
+        from roadpulse.sources.wire import encode
+        from roadpulse.streaming.ingest import publish
+        ev = spark.read.parquet(args.events)
+        done = run_concurrently({f: (lambda f=f: publish(encode(derive_feed(ev, f), f), args.landing, f))
+                                 for f in FEEDS})
+        failed = {f: str(r) for f, r in done.items() if isinstance(r, Exception)}
+        if failed:
+            raise SystemExit(json.dumps(failed))
+    elif args.cmd == "ingest":
         from roadpulse.streaming.ingest import run_ingest
         from roadpulse.streaming import ingest as I
         options = dict(kv.split("=", 1) for kv in args.option)

@@ -14,6 +14,8 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from roadpulse.schemas import FEED_SCHEMAS, PARTITION_COLUMN, refined_schema
 
+COMPRESSION = "snappy"  # Parquet codec of the raw and refined layers
+
 
 def raw_path(base: str, feed: str) -> str:
     return f"{base.rstrip('/')}/raw/{feed}"
@@ -46,7 +48,8 @@ def read_raw(spark: SparkSession, feed: str, base: str) -> DataFrame:
 
 def write_raw_batch(df: DataFrame, feed: str, base: str, mode: str = "append") -> None:
     """Batch landing of raw rows (the streaming sink writes the same layout)."""
-    df.select(*[f.name for f in FEED_SCHEMAS[feed].fields]).write.mode(mode).parquet(raw_path(base, feed))
+    (df.select(*[f.name for f in FEED_SCHEMAS[feed].fields]).write.mode(mode)
+       .option("compression", COMPRESSION).parquet(raw_path(base, feed)))
 
 
 def refined_read_schema(feed: str) -> StructType:
@@ -82,7 +85,7 @@ def write_refined(df: DataFrame, feed: str, base: str, *, mode: str = "overwrite
     obs = Observation(f"rows_{feed}")
     cols = [f.name for f in refined_read_schema(feed).fields]
     out = _laid_out(df.select(*cols), layout).observe(obs, F.count(F.lit(1)).alias("rows"))
-    writer = out.write.mode(mode).partitionBy(PARTITION_COLUMN)
+    writer = out.write.mode(mode).option("compression", COMPRESSION).partitionBy(PARTITION_COLUMN)
     if dynamic:
         writer = writer.option("partitionOverwriteMode", "dynamic")
     writer.parquet(refined_path(base, feed))

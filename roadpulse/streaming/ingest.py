@@ -67,7 +67,7 @@ def write_stream(df: DataFrame, path: str, checkpoint: str, *, trigger: dict | N
                  output_mode: str = "append") -> StreamingQuery:
     """Append a stream to Parquet with a checkpoint (exactly-once file sink, T2-T4)."""
     writer = (df.writeStream.format("parquet").option("checkpointLocation", checkpoint)
-              .option("path", path).outputMode(output_mode))
+              .option("path", path).option("compression", "snappy").outputMode(output_mode))
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     if query_name:

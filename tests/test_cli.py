@@ -5,17 +5,14 @@ from pyspark.sql import functions as F
 from roadpulse.__main__ import main
 from roadpulse.schemas import EMERGENCY, FEEDS
 from roadpulse.session import scratch_dir
-from roadpulse.sources.feeds import derive_feed
-from roadpulse.sources.wire import encode
-from roadpulse.streaming.ingest import publish
 from tests.conftest import SF_SMALL
 
 
 def test_ingest_refine_catalog_report(spark, capsys):
     ev = spark.read.parquet(f"{SF_SMALL}/events.parquet")
     landing, base = scratch_dir(spark, "landing"), scratch_dir(spark, "base")
-    for feed in FEEDS:
-        publish(encode(derive_feed(ev, feed), feed), landing, feed)
+    main(["land", "--events", f"{SF_SMALL}/events.parquet", "--landing", landing])
+    assert spark.read.parquet(f"{landing}/{FEEDS[0]}").count() == ev.count() + ev.filter("event_id % 10 = 0").count()
     main(["ingest", "--base", base, "--landing", landing, "--available-now"])
     main(["refine", "--raw", base, "--refined", f"{base}/refined-root"])
     assert '"status": "OK"' in capsys.readouterr().out
