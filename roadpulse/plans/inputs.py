@@ -11,9 +11,14 @@ from roadpulse.session import pin_utc
 from roadpulse.sources.feeds import derive_feed
 
 
+# Observation table schema (declared, so no job reads Parquet footers to infer it).
+EVENTS_SCHEMA = ("event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, "
+                 "props string")
+
+
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     pin_utc(spark)
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet")
+    return spark.read.schema(EVENTS_SCHEMA).parquet(f"{sf_dir.rstrip('/')}/events.parquet")
 
 
 def raw(spark: SparkSession, sf_dir: str, feed: str) -> DataFrame:
