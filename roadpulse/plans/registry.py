@@ -21,7 +21,7 @@ from roadpulse.plans import streams as ST
 from roadpulse.session import run_concurrently, scratch_dir
 from roadpulse.sources import catalog as C
 from roadpulse.sources import storage as S
-from roadpulse.sources.feeds import feed_columns, observations
+from roadpulse.sources.feeds import feed_exprs, observations
 from roadpulse.sources.wire import split_dead_letters
 from roadpulse.streaming import ingest as I
 from roadpulse.streaming import operators as SO
@@ -257,10 +257,7 @@ plan("asof_weather")(lambda s, d: X.asof_weather(_v(s, d), _w(s, d)))
 def _dead_letter(s, d):
     """Vehicle wire records damaged in transit (a byte of line noise in front of the
     record on every 'error' step) are split off whole and undecoded; the rest decode."""
-    obs = observations(events(s, d))
-    rows = obs.select(*feed_columns(VEHICLE, F.col("event_id"), F.col("ts"), F.col("user_id"),
-                                    F.col("event_type"), F.col("value")),
-                      (F.col("event_type") == "error").alias("_damaged"))
+    rows = observations(events(s, d)).selectExpr(*feed_exprs(VEHICLE), "event_type = 'error' AS _damaged")
     wire = encode(rows, VEHICLE, keep=("_damaged",))
     wire = wire.select("key", F.when(F.col("_damaged"), F.concat(F.lit("~"), F.col("value")))
                        .otherwise(F.col("value")).alias("value"))

@@ -10,8 +10,7 @@ derives identical values. The projection is narrow: no shuffle, one pass over th
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from roadpulse.schemas import EMERGENCY, FEED_SCHEMAS, GPS, TRAFFIC, VEHICLE, WEATHER
 
@@ -34,75 +33,81 @@ NULL_FUEL_EVERY = 97    # fuel type missing on every 97th step
 NULL_AQI_EVERY = 89     # AQI missing on every 89th step
 
 
-def _pick(options: list[str], index: Column) -> Column:
-    return F.element_at(F.array(*[F.lit(o) for o in options]), (index + 1).cast("int"))
+def _q(text: str) -> str:
+    """SQL string literal."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def observations(events: DataFrame) -> DataFrame:
-    """Steps with re-deliveries: every row once, every REDELIVERY_EVERY-th row a second
-    time. One scan: the second copy is generated next to the first (no union re-scan)."""
-    copies = F.when(F.col("event_id") % REDELIVERY_EVERY == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
-    return (events.select("event_id", "ts", "user_id", "event_type", "value", F.explode(copies).alias("_copy"))
-                  .drop("_copy"))
+def _pick(options: list[str], index_sql: str) -> str:
+    return f"element_at(array({', '.join(_q(o) for o in options)}), CAST(({index_sql}) + 1 AS INT))"
+
 
+def _tenths(int_sql: str) -> str:
+    return f"(CAST({int_sql} AS DOUBLE) / 10.0D)"
 
-def _location(n: Column) -> Column:
-    return F.concat(F.lit("[10."), (F.lit(4113) + n % 3657).cast("string"), F.lit("1,106."),
-                    (F.lit(7009) + n % 2991).cast("string"), F.lit("1]"))
+
+def observations(events: DataFrame) -> DataFrame:
+    """Steps with re-deliveries: every row once, every REDELIVERY_EVERY-th row a second
+    time. One scan: the second copy is generated next to the first (no union re-scan).
+    Columns: n (the step number), ts, user_id, event_type, value."""
+    return events.selectExpr(
+        "event_id AS n", "ts", "user_id", "event_type", "value",
+        f"explode(IF(event_id % {REDELIVERY_EVERY} = 0, array(0, 1), array(0))) AS _copy").drop("_copy")
 
 
-def _tenths(expr: Column) -> Column:
-    return expr.cast("double") / F.lit(10.0)
+def feed_exprs(feed: str, n: str = "n") -> list[str]:
+    """SQL expressions of one feed record over an observation row (`n` names the step
+    column; ts, user_id, event_type, value), in schema order, each cast to its schema type.
+    Built as text so the whole projection reaches the JVM in one call."""
+    exprs = _feed_sql(feed, n)
+    return [f"CAST({exprs[f.name]} AS {f.dataType.simpleString()}) AS `{f.name}`" for f in FEED_SCHEMAS[feed].fields]
 
 
-def feed_columns(feed: str, n: Column, ts: Column, user_id: Column, event_type: Column,
-                 value: Column) -> list[Column]:
-    """Column expressions of one feed record, in schema order."""
+def _feed_sql(feed: str, n: str) -> dict[str, str]:
     common = {
-        "id": F.concat(F.lit(ID_PREFIX[feed]), n.cast("string")),
-        "vehicle_id": F.concat(F.lit("Vehicle-"), user_id.cast("string")),
-        "timestamp": ts.cast("timestamp"),
-        "location": _location(n),
+        "id": f"concat({_q(ID_PREFIX[feed])}, CAST({n} AS STRING))",
+        "vehicle_id": "concat('Vehicle-', CAST(user_id AS STRING))",
+        "timestamp": "CAST(ts AS TIMESTAMP)",
+        "location": f"concat('[10.', CAST(4113 + {n} % 3657 AS STRING), '1,106.', CAST(7009 + {n} % 2991 AS STRING), '1]')",
     }
-    specific: dict[str, Column]
     if feed == VEHICLE:
         specific = {
-            "speed": value, "direction": F.lit(DIRECTION),
-            "make": _pick(MAKES, n % 5), "model": _pick(MODELS, F.floor(n / 5) % 5),
-            "year": (F.lit(2018) + n % 7).cast("int"),
-            "fuelType": F.when(n % NULL_FUEL_EVERY != 0, _pick(FUEL_TYPES, n % 3)),
+            "speed": "value", "direction": _q(DIRECTION),
+            "make": _pick(MAKES, f"{n} % 5"), "model": _pick(MODELS, f"({n} div 5) % 5"),
+            "year": f"2018 + {n} % 7",
+            "fuelType": f"CASE WHEN {n} % {NULL_FUEL_EVERY} <> 0 THEN {_pick(FUEL_TYPES, f'{n} % 3')} END",
         }
     elif feed == GPS:
-        specific = {"speed": value, "direction": F.lit(DIRECTION), "vehicleType": F.lit(VEHICLE_TYPE)}
+        specific = {"speed": "value", "direction": _q(DIRECTION), "vehicleType": _q(VEHICLE_TYPE)}
     elif feed == TRAFFIC:
-        specific = {"camera_id": F.concat(F.lit(CAMERA_PREFIX), (n % 5).cast("string")),
-                    "snapshot": F.lit(SNAPSHOT)}
+        specific = {"camera_id": f"concat({_q(CAMERA_PREFIX)}, CAST({n} % 5 AS STRING))", "snapshot": _q(SNAPSHOT)}
     elif feed == WEATHER:
         specific = {
-            "temperature": _tenths((n * 7) % 800) - F.lit(15.0),
-            "weatherCondition": _pick(WEATHER_CONDITIONS, n % 4),
-            "precipitation": _tenths((n * 3) % 500),
-            "windSpeed": _tenths((n * 11) % 600),
-            "humidity": (n % 111).cast("int") - F.lit(5),
-            "airQualityIndex": F.when(n % NULL_AQI_EVERY != 0, _tenths((n * 13) % 2500)),
+            "temperature": f"{_tenths(f'({n} * 7) % 800')} - 15.0D",
+            "weatherCondition": _pick(WEATHER_CONDITIONS, f"{n} % 4"),
+            "precipitation": _tenths(f"({n} * 3) % 500"),
+            "windSpeed": _tenths(f"({n} * 11) % 600"),
+            "humidity": f"CAST({n} % 111 AS INT) - 5",
+            "airQualityIndex": f"CASE WHEN {n} % {NULL_AQI_EVERY} <> 0 THEN {_tenths(f'({n} * 13) % 2500')} END",
         }
     elif feed == EMERGENCY:
-        mapping = F.create_map(*[F.lit(x) for kv in INCIDENT_TYPE_BY_EVENT.items() for x in kv])
+        pairs = ", ".join(f"{_q(k)}, {_q(v)}" for k, v in INCIDENT_TYPE_BY_EVENT.items())
         specific = {
-            "incidentId": F.concat(F.lit("inc-"), n.cast("string")),
-            "type": F.try_element_at(mapping, event_type),
-            "status": _pick(STATUSES, n % 2),
-            "description": F.lit(DESCRIPTION),
+            "incidentId": f"concat('inc-', CAST({n} AS STRING))",
+            "type": f"try_element_at(map({pairs}), event_type)",
+            "status": _pick(STATUSES, f"{n} % 2"),
+            "description": _q(DESCRIPTION),
         }
     else:
         raise KeyError(feed)
-    cols = {**common, **specific}
-    schema = FEED_SCHEMAS[feed]
-    return [cols[f.name].cast(f.dataType).alias(f.name) for f in schema.fields]
+    return {**common, **specific}
 
 
 def derive_feed(events: DataFrame, feed: str) -> DataFrame:
-    """Raw records of one feed derived from the observation table (with re-deliveries)."""
-    obs = observations(events)
-    return obs.select(*feed_columns(feed, F.col("event_id"), F.col("ts"), F.col("user_id"),
-                                    F.col("event_type"), F.col("value")))
+    """Raw records of one feed derived from the observation table (with re-deliveries):
+    one statement, one scan; LATERAL VIEW generates the second copy of every
+    REDELIVERY_EVERY-th step."""
+    return events.sparkSession.sql(
+        f"SELECT {', '.join(feed_exprs(feed, 'event_id'))} FROM {{events}} "
+        f"LATERAL VIEW explode(IF(event_id % {REDELIVERY_EVERY} = 0, array(0, 1), array(0))) copies AS _copy",
+        events=events)
