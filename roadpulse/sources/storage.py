@@ -8,6 +8,8 @@ Layout below one `base` folder (any Hadoop path: object store, HDFS, local in te
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
@@ -82,7 +84,7 @@ def write_refined(df: DataFrame, feed: str, base: str, *, mode: str = "overwrite
     """Write a refined feed partitioned by `date`; returns the row count, observed
     during the write (no second pass). `dynamic=True` replaces only the dates present in
     `df` and keeps every other partition (X13)."""
-    obs = Observation(f"rows_{feed}")
+    obs = Observation(f"rows_{feed}_{uuid.uuid4().hex[:12]}")  # unique: writes may run concurrently
     cols = [f.name for f in refined_read_schema(feed).fields]
     out = _laid_out(df.select(*cols), layout).observe(obs, F.count(F.lit(1)).alias("rows"))
     writer = out.write.mode(mode).option("compression", COMPRESSION).partitionBy(PARTITION_COLUMN)
