@@ -145,3 +145,10 @@ def test_window_state_survives_restart(spark):
     batch = incident_timeline(refine_emergency(feed))
     assert got.count() == batch.count() > 0
     assert got.exceptAll(batch.select(got.columns)).count() == 0
+
+
+def test_kafka_topic_needs_the_connector(spark):
+    """The Kafka source is wired (subscribe, startingOffsets=latest, failOnDataLoss=false);
+    this image has no connector jar, so resolving it fails with a clear data-source error."""
+    with pytest.raises(Exception, match="(?i)kafka"):
+        I.read_topic(spark, VEHICLE, fmt="kafka", options={"kafka.bootstrap.servers": "localhost:9092"})
