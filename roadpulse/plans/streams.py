@@ -12,7 +12,6 @@ from roadpulse.plans.inputs import events
 from roadpulse.schemas import EMERGENCY, VEHICLE, WEATHER
 from roadpulse.session import run_concurrently, scratch_dir
 from roadpulse.sources.feeds import derive_feed
-from roadpulse.sources.storage import refined_read_schema
 from roadpulse.sources.wire import encode
 from roadpulse.streaming.ingest import decode_stream, publish, read_topic, write_stream
 
@@ -65,8 +64,7 @@ def run_to_parquet(spark: SparkSession, df: DataFrame, name: str, *, partition_b
 
 
 def before_end(df: DataFrame, col: str) -> DataFrame:
-    return df.filter(F.col(col) < F.lit(END_OF_INPUT.replace("T", " ")).cast("timestamp"))
-
-
-def refined_stream_schema(feed: str):
-    return refined_read_schema(feed)
+    """Rows (windows) starting at least a day before the end marker: no window shorter than
+    a day that holds the marker can pass, whether or not it was ever emitted."""
+    cut = F.lit(END_OF_INPUT.replace("T", " ")).cast("timestamp") - F.expr("INTERVAL 1 DAY")
+    return df.filter(F.col(col) < cut)
