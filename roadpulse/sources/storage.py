@@ -64,6 +64,8 @@ def read_refined(spark: SparkSession, feed: str, base: str) -> DataFrame:
 
 
 def _laid_out(df: DataFrame, layout: str) -> DataFrame:
+    if layout == "rebalance" and df.sparkSession.conf.get("spark.sql.adaptive.enabled", "true") != "true":
+        layout = "range"  # without AQE a rebalance is one task per date; range-partition instead
     if layout == "rebalance":
         # AQE rebalance on the partition column: a big date is split into tasks of the
         # advisory size, small dates are coalesced, so each task writes one or a few
