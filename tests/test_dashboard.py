@@ -1,0 +1,61 @@
+"""Dashboard and incident operators on literal edge rows."""
+
+import datetime as dt
+
+from roadpulse.operators import dashboard as D
+from roadpulse.operators import emergency as E
+
+T = dt.datetime(2024, 1, 2, 10, 30)
+V_SCHEMA = "id string, vehicle_id string, timestamp timestamp, speed double, make string, fuelType string, is_ev boolean, hour int, date string"
+W_SCHEMA = "id string, timestamp timestamp, temperature double, humidity int, weatherCondition string, aqi_category string, date string"
+E_SCHEMA = "id string, vehicle_id string, timestamp timestamp, type string, status string, description string, is_active boolean, is_real_incident boolean, date string"
+
+
+def test_kpi_row_on_empty_tables_is_one_row_of_zeros(spark):
+    v, w, e = (spark.createDataFrame([], s) for s in (V_SCHEMA, W_SCHEMA, E_SCHEMA))
+    rows = D.kpi_row(v, w, e).collect()
+    assert len(rows) == 1
+    assert rows[0].asDict() == {"avg_speed": 0.0, "ev_pct": 0.0, "total_records": 0, "active_incidents": 0,
+                                "real_incidents": 0, "avg_temp": 0.0}
+
+
+def test_kpi_row_counts_active_including_none_type(spark):
+    v = spark.createDataFrame([("v1", "A", T, 50.25, "Kia", "Electric", True, 10, "2024-01-02"),
+                               ("v2", "A", T, 60.0, "Kia", None, None, 10, "2024-01-02")], V_SCHEMA)
+    w = spark.createDataFrame([("w1", T, 30.1, 70, "Sunny", "Good", "2024-01-02"),
+                               ("w2", T, 30.2, 70, "Sunny", "Good", "2024-01-02")], W_SCHEMA)
+    e = spark.createDataFrame([("e1", "A", T, "None", "Active", "x", True, False, "2024-01-02"),
+                               ("e2", "A", T, "Fire", "Active", "x", True, True, "2024-01-02"),
+                               ("e3", "A", T, "Fire", "Resolved", "x", False, True, "2024-01-02")], E_SCHEMA)
+    r = D.kpi_row(v, w, e).first()
+    assert (r.active_incidents, r.real_incidents, r.total_records) == (2, 2, 2)
+    assert (r.avg_speed, r.ev_pct, r.avg_temp) == (55.1, 100.0, 30.2)  # 30.15 rounds HALF_UP
+
+
+def test_value_counts_drop_nulls_and_share(spark):
+    v = spark.createDataFrame([(f"v{i}", "A", T, 1.0, m, f, None, 1, "d")
+                               for i, (m, f) in enumerate([("Kia", "Hybrid"), ("Kia", None), (None, "Hybrid"),
+                                                           ("Ford", "Gasoline")])], V_SCHEMA)
+    assert [(r.make, r["count"]) for r in D.value_counts(v, "make").collect()] == [("Kia", 2), ("Ford", 1)]
+    shares = {r.fuelType: r.share for r in D.value_counts(v, "fuelType", share=True).collect()}
+    assert shares == {"Hybrid": 2 / 3, "Gasoline": 1 / 3}
+
+
+def test_active_table_keeps_null_type_feed_does_not(spark):
+    e = spark.createDataFrame([("e1", "A", T, None, "Active", "x", True, None, "d"),
+                               ("e2", "A", T, "None", "Active", "x", True, False, "d"),
+                               ("e3", "A", T, "Fire", "Active", "x", True, True, "d")], E_SCHEMA)
+    table_types = sorted((r.type is None, r.type) for r in D.active_table(e).collect())
+    feed_types = [r.type for r in E.active_incident_feed(e).collect()]
+    assert table_types == [(False, "Fire"), (True, None)]
+    assert feed_types == ["Fire"]
+
+
+def test_top_incident_vehicles_requires_a_real_incident(spark):
+    e = spark.createDataFrame([("e1", "A", T, "None", "Active", "x", True, False, "d"),
+                               ("e2", "B", T, "Fire", "Active", "x", True, True, "d"),
+                               ("e3", "B", T, "Medical", "Resolved", "x", False, True, "d"),
+                               ("e4", "B", T, "Fire", "Resolved", "x", False, True, "d")], E_SCHEMA)
+    rows = E.top_incident_vehicles(e).collect()
+    assert [(r.vehicle_id, r.total_incidents, r.real_incidents, r.incident_types) for r in rows] == \
+        [("B", 3, 3, "Fire, Medical")]
