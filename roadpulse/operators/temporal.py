@@ -18,7 +18,6 @@ from pyspark.sql import functions as F
 
 from roadpulse.functions.stats import mean_from_parts, scaled
 
-DEFAULT_BUCKET_SECONDS = 3600
 
 
 def _bucket(ts: Column, seconds: int) -> Column:
@@ -61,50 +60,68 @@ def trips(v: DataFrame, gap_seconds: int = 7200, bucket_seconds: int | None = No
 
 
 WX_TYPE = "struct<t:timestamp,wid:string,temp:double,cond:string>"
+_US_PER_SECOND, _US_PER_HOUR = 1_000_000, 3_600_000_000
 
 
-def asof_weather(v: DataFrame, w: DataFrame, bucket_seconds: int = DEFAULT_BUCKET_SECONDS,
-                 key: str = "vehicle_id", ts: str = "timestamp", materialize: bool = True) -> DataFrame:
+def asof_weather(v: DataFrame, w: DataFrame, key: str = "vehicle_id", ts: str = "timestamp",
+                 materialize: bool = True) -> DataFrame:
     """Every vehicle reading with the latest weather reading of the same vehicle at or
     before its timestamp (a weather reading at the same instant counts as before; among
     weather readings at one instant the greatest id wins). No earlier reading: nulls.
     Output: id, vehicle_id, timestamp, speed_kmh, weather_id, weather_time, temperature,
     weatherCondition.
 
-    Both inputs are read once: their narrow union (key, time, bucket, side, ids, payload) is
-    written to the shared checkpoint folder and serves the bucket windows and the bucket
-    summaries (`materialize=False` re-reads the inputs instead, for cheap table scans)."""
+    Every window has a size bound that no data volume can break:
+      1. one event per distinct (vehicle, timestamp): the latest weather at exactly that
+         instant and whether vehicle readings exist there (an aggregate, combined map-side;
+         vehicle readings sharing an instant share their answer);
+      2. inside a (vehicle, second): a running last-weather over at most 10^6 distinct
+         microsecond instants;
+      3. across the seconds of a (vehicle, hour): at most 3,600 per-second summaries;
+      4. across the hours of a vehicle: one summary per non-empty hour (its time span);
+      5. the answer per (vehicle, instant) joins back to the readings with one row per key
+         on that side; a hot instant on the readings side is split by AQE's skew join.
+    The narrow union of both inputs is written once to the shared checkpoint folder and
+    feeds every step (`materialize=False` re-reads the inputs instead)."""
     wx = F.struct(F.col(ts).alias("t"), F.col("id").alias("wid"), F.col("temperature").alias("temp"),
                   F.col("weatherCondition").alias("cond"))
     vk = (v.filter(F.col(key).isNotNull() & F.col(ts).isNotNull())
-           .select(key, ts, _bucket(F.col(ts), bucket_seconds).alias("_b"), F.lit(1).alias("_side"), "id",
-                   "speed_kmh", F.lit(None).cast(WX_TYPE).alias("_wx")))
+           .select(key, ts, F.lit(1).alias("_side"), "id", "speed_kmh", F.lit(None).cast(WX_TYPE).alias("_wx")))
     wk = (w.filter(F.col(key).isNotNull() & F.col(ts).isNotNull())
-           .select(key, ts, _bucket(F.col(ts), bucket_seconds).alias("_b"), F.lit(0).alias("_side"), "id",
-                   F.lit(None).cast("double").alias("speed_kmh"), wx.alias("_wx")))
+           .select(key, ts, F.lit(0).alias("_side"), "id", F.lit(None).cast("double").alias("speed_kmh"),
+                   wx.alias("_wx")))
     both = vk.unionByName(wk)
     if materialize:
         from roadpulse.sources.storage import materialize as write_once
         both = write_once(both, "asof")
-
-    # 1) inside a (vehicle, bucket): weather rows sort before vehicle rows at equal time
-    upto = (Window.partitionBy(key, "_b").orderBy(ts, "_side", "id")
-            .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    local = (both.withColumn("_near", F.last("_wx", ignorenulls=True).over(upto))
-                 .filter(F.col("_side") == 1).drop("_wx", "_side"))
-
-    # 2) carry: the latest weather reading of any earlier bucket. One aggregate over the
-    # union gives, per (vehicle, bucket), its latest weather reading and whether it holds
-    # vehicle rows; a window over those summaries (one row per bucket) carries it forward.
-    summary = both.groupBy(key, "_b").agg(
-        F.max_by(F.when(F.col("_side") == 0, F.col("_wx")),
-                 F.when(F.col("_side") == 0, F.struct(F.col(ts), F.col("id")))).alias("_bwx"),
-        F.max("_side").alias("_has_v"))
-    earlier = Window.partitionBy(key).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    carry = (summary.withColumn("_carry", F.last("_bwx", ignorenulls=True).over(earlier))
-                    .filter(F.col("_has_v") == 1).select(key, "_b", "_carry"))
-
-    out = local.join(carry, [key, "_b"], "left").withColumn("_m", F.coalesce("_near", "_carry"))
+    is_w = F.col("_side") == 0
+
+    micros = F.unix_micros(F.col(ts))
+    second = F.floor(micros / _US_PER_SECOND).cast("bigint")
+    hour = F.floor(micros / _US_PER_HOUR).cast("bigint")
+    latest_w = F.max_by(F.when(is_w, F.col("_wx")), F.when(is_w, F.struct(F.col(ts), F.col("id"))))
+
+    # 1) one row per distinct (vehicle, instant); 2) running last weather within the second
+    instants = (both.groupBy(key, ts)
+                    .agg(latest_w.alias("_at"), F.max("_side").alias("_has_v"))
+                    .withColumn("_s", second).withColumn("_h", hour))
+    upto = Window.partitionBy(key, "_s").orderBy(ts).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    local = (instants.withColumn("_near", F.last("_at", ignorenulls=True).over(upto))
+                     .filter(F.col("_has_v") == 1).select(key, ts, "_s", "_h", "_near"))
+    # 3) carry from earlier seconds of the same hour (every second holding any reading)
+    per_second = both.groupBy(key, second.alias("_s"), hour.alias("_h")).agg(latest_w.alias("_ws"))
+    earlier_s = Window.partitionBy(key, "_h").orderBy("_s").rowsBetween(Window.unboundedPreceding, -1)
+    carry_s = per_second.select(key, "_s", F.last("_ws", ignorenulls=True).over(earlier_s).alias("_cs"))
+    # 4) carry from earlier hours of the vehicle
+    per_hour = both.groupBy(key, hour.alias("_h")).agg(latest_w.alias("_wh"))
+    earlier_h = Window.partitionBy(key).orderBy("_h").rowsBetween(Window.unboundedPreceding, -1)
+    carry_h = per_hour.select(key, "_h", F.last("_wh", ignorenulls=True).over(earlier_h).alias("_ch"))
+
+    answers = (local.join(carry_s, [key, "_s"], "left").join(carry_h, [key, "_h"], "left")
+                    .select(key, ts, F.coalesce("_near", "_cs", "_ch").alias("_m")))
+    # 5) back to every vehicle reading
+    readings = both.filter(F.col("_side") == 1).select("id", key, ts, "speed_kmh")
+    out = readings.join(answers, [key, ts], "left")
     return out.select("id", key, ts, "speed_kmh", F.col("_m.wid").alias("weather_id"),
                       F.col("_m.t").alias("weather_time"), F.col("_m.temp").alias("temperature"),
                       F.col("_m.cond").alias("weatherCondition"))

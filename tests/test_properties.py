@@ -59,20 +59,23 @@ def test_trips_equal_sequential_split(spark, gaps, gap_s, bucket_s):
 
 
 @SETTINGS
-@given(vt=st.lists(st.integers(0, 20000), min_size=1, max_size=25),
-       wt=st.lists(st.integers(0, 20000), max_size=25, unique=True),
-       bucket_s=st.sampled_from([300, 3600, 86400]))
-def test_asof_equals_merge_asof(spark, vt, wt, bucket_s):
+@given(vt=st.lists(st.integers(0, 3 * 3600 * 10**6), min_size=1, max_size=25),
+       wt=st.lists(st.integers(0, 3 * 3600 * 10**6), max_size=25, unique=True),
+       near=st.lists(st.integers(0, 2_000_000), max_size=10), share=st.booleans())
+def test_asof_equals_merge_asof(spark, vt, wt, near, share):
+    """Microsecond instants over three hours: readings cross second and hour edges, some
+    share an instant, some weather sits exactly at a reading's instant."""
     t0 = dt.datetime(2024, 1, 1)
-    vrows = [(f"v{i}", "veh", t0 + dt.timedelta(seconds=s), 1.0) for i, s in enumerate(vt)]
-    wrows = [(f"w{i}", "veh", t0 + dt.timedelta(seconds=s), float(i), "Sunny") for i, s in enumerate(wt)]
+    vt = vt + [vt[0] + d for d in near] + ([vt[0]] * 3 if share else [])
+    wt = sorted(set(wt + ([vt[-1]] if share else [])))
+    vrows = [(f"v{i}", "veh", t0 + dt.timedelta(microseconds=u), 1.0) for i, u in enumerate(vt)]
+    wrows = [(f"w{i:03d}", "veh", t0 + dt.timedelta(microseconds=u), float(i), "Sunny") for i, u in enumerate(wt)]
     v = spark.createDataFrame(vrows, "id string, vehicle_id string, timestamp timestamp, speed_kmh double")
     w = spark.createDataFrame(wrows, "id string, vehicle_id string, timestamp timestamp, temperature double, "
                                      "weatherCondition string")
-    got = {r.id: r.weather_id for r in asof_weather(v, w, bucket_s).collect()}
+    got = {r.id: r.weather_id for r in asof_weather(v, w, materialize=False).collect()}
     left = pd.DataFrame(vrows, columns=["id", "vehicle_id", "timestamp", "s"]).sort_values("timestamp")
-    right = pd.DataFrame(wrows, columns=["weather_id", "vehicle_id", "wt", "temp", "c"])
-    right = right.sort_values("wt")
+    right = pd.DataFrame(wrows, columns=["weather_id", "vehicle_id", "wt", "temp", "c"]).sort_values("wt")
     if len(right):
         exp = pd.merge_asof(left, right, left_on="timestamp", right_on="wt", by="vehicle_id")
         expected = {r.id: (None if pd.isna(r.weather_id) else r.weather_id) for r in exp.itertuples()}

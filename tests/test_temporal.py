@@ -49,7 +49,7 @@ def test_asof_matches_merge_asof(spark):
     v = spark.createDataFrame(vrows, "id string, vehicle_id string, timestamp timestamp, speed_kmh double")
     w = spark.createDataFrame(wrows, "id string, vehicle_id string, timestamp timestamp, temperature double, "
                                      "weatherCondition string")
-    got = asof_weather(v, w, bucket_seconds=900).toPandas().sort_values("id")
+    got = asof_weather(v, w).toPandas().sort_values("id")
     left = pd.DataFrame(vrows, columns=["id", "vehicle_id", "timestamp", "speed_kmh"]).sort_values("timestamp")
     right = pd.DataFrame(wrows, columns=["weather_id", "vehicle_id", "weather_time", "temperature",
                                          "weatherCondition"]).sort_values("weather_time")
