@@ -49,15 +49,27 @@ def sliding_speed(v: DataFrame, length: str = "10 minutes", slide: str = "5 minu
                      "observations", "avg_speed_kmh", "max_speed_kmh"))
 
 
-def join_weather(v: DataFrame, w: DataFrame, within: str = "5 minutes") -> DataFrame:
+def join_weather(v: DataFrame, w: DataFrame, within: str = "5 minutes", within_seconds: int = 300) -> DataFrame:
     """X11: stream-stream join of vehicle and weather readings of the same vehicle whose
     event times are at most `within` apart. Both sides carry watermarks, so each side's
-    join state is dropped once no future row of the other side can match it."""
+    join state is dropped once no future row of the other side can match it.
+
+    State is keyed by (vehicle, time bucket of 2 x within) rather than by vehicle alone, so a
+    busy vehicle spreads over buckets: a weather reading sits in its own bucket, a vehicle
+    reading is emitted to the buckets of its window ends (at most two), so every pair
+    meets in exactly one bucket and the interval condition keeps the exact semantics."""
+    width = 2 * within_seconds * 1_000_000
+    bucket_of = lambda c: F.floor(F.unix_micros(c) / F.lit(width)).cast("bigint")
+    vt = F.col("timestamp")
+    lo = bucket_of(vt - F.expr(f"INTERVAL {within}"))
+    hi = bucket_of(vt + F.expr(f"INTERVAL {within}"))
     vs = v.select(F.col("id").alias("vehicle_record"), F.col("vehicle_id"),
-                  F.col("timestamp").alias("vehicle_time"), "speed_kmh")
+                  F.col("timestamp").alias("vehicle_time"), "speed_kmh",
+                  F.explode(F.array_distinct(F.array(lo, hi))).alias("_vb"))
     ws = w.select(F.col("id").alias("weather_record"), F.col("vehicle_id").alias("w_vehicle_id"),
-                  F.col("timestamp").alias("weather_time"), "temperature", "weatherCondition")
-    cond = ((F.col("vehicle_id") == F.col("w_vehicle_id"))
+                  F.col("timestamp").alias("weather_time"), "temperature", "weatherCondition",
+                  bucket_of(F.col("timestamp")).alias("_wb"))
+    cond = ((F.col("vehicle_id") == F.col("w_vehicle_id")) & (F.col("_vb") == F.col("_wb"))
             & (F.col("weather_time") >= F.col("vehicle_time") - F.expr(f"INTERVAL {within}"))
             & (F.col("weather_time") <= F.col("vehicle_time") + F.expr(f"INTERVAL {within}")))
-    return vs.join(ws, cond, "inner").drop("w_vehicle_id")
+    return vs.join(ws, cond, "inner").drop("w_vehicle_id", "_vb", "_wb")
