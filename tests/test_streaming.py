@@ -152,3 +152,15 @@ def test_kafka_topic_needs_the_connector(spark):
     this image has no connector jar, so resolving it fails with a clear data-source error."""
     with pytest.raises(Exception, match="(?i)kafka"):
         I.read_topic(spark, VEHICLE, fmt="kafka", options={"kafka.bootstrap.servers": "localhost:9092"})
+
+
+def test_stream_dedup_collapses_a_burst_of_one_id(spark):
+    landing = scratch_dir(spark, "landing")
+    burst = [_record(7, "2024-01-01T10:00:00")] * 300 + [_record(i, "2024-01-01T10:00:01") for i in range(20)]
+    I.publish(spark.createDataFrame(burst, "key string, value string").repartition(6), landing, VEHICLE)
+    out = scratch_dir(spark, "out")
+    stream = SO.stream_dedup(I.decode_stream(I.read_topic(spark, VEHICLE, landing=landing), VEHICLE), salts=4)
+    q = I.write_stream(stream, f"{out}/data", f"{out}/ckpt", trigger=AVAILABLE_NOW)
+    q.awaitTermination()
+    ids = [r.id for r in spark.read.parquet(f"{out}/data").collect()]
+    assert sorted(ids) == sorted(f"id{i}" for i in range(20))
