@@ -33,8 +33,11 @@ def read_topic(spark: SparkSession, feed: str, *, fmt: str = "parquet", landing:
     """Unbounded (key, value) records of one feed."""
     options = dict(options or {})
     if fmt == "kafka":
+        # minPartitions splits a large topic partition into several tasks by offset range,
+        # so one hot topic partition does not become one task per batch
         reader = (spark.readStream.format("kafka").option("subscribe", feed)
-                  .option("startingOffsets", "latest").option("failOnDataLoss", "false"))
+                  .option("startingOffsets", "latest").option("failOnDataLoss", "false")
+                  .option("minPartitions", str(spark.sparkContext.defaultParallelism)))
         return reader.options(**options).load().selectExpr("CAST(key AS STRING) AS key",
                                                            "CAST(value AS STRING) AS value")
     if landing is None:
