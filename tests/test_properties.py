@@ -82,3 +82,44 @@ def test_asof_equals_merge_asof(spark, vt, wt, near, share):
     else:
         expected = {r.id: None for r in left.itertuples()}
     assert got == expected
+
+
+@SETTINGS
+@given(values=st.lists(st.tuples(st.integers(0, 3), st.integers(0, 2000)), min_size=1, max_size=60),
+       ps=st.lists(st.sampled_from([0.0, 0.01, 0.25, 0.5, 0.9, 0.95, 0.99, 1.0]), min_size=1, max_size=3,
+                   unique=True))
+def test_histogram_percentiles_equal_discrete_rank(spark, values, ps):
+    import math
+    import statistics
+
+    from roadpulse.operators.quantiles import histogram_summary
+    df = spark.createDataFrame([(g, x / 10) for g, x in values], "g int, x double")
+    names = [f"p{i}" for i in range(len(ps))]
+    got = {r.g: r for r in histogram_summary(df, ["g"], "x", ps, names, scale=1).collect()}
+    for g in {g for g, _ in values}:
+        xs = sorted(x / 10 for gg, x in values if gg == g)
+        n = len(xs)
+        r = got[g]
+        assert r.rows == n
+        assert abs(r.mean - statistics.fmean(xs)) < 1e-9
+        for p, name in zip(ps, names):
+            assert r[name] == xs[max(math.ceil(p * n), 1) - 1]
+
+
+@SETTINGS
+@given(values=st.lists(st.integers(-1000, 2000), min_size=0, max_size=40))
+def test_exact_mean_and_stddev(spark, values):
+    import statistics
+
+    from roadpulse.functions.stats import exact_mean, exact_stddev
+    df = spark.createDataFrame([(x / 10,) for x in values], "x double").repartition(3)
+    r = df.agg(exact_mean("x", 1).alias("m"), exact_stddev("x", 1).alias("s")).first()
+    xs = [x / 10 for x in values]
+    if not xs:
+        assert r.m is None and r.s is None
+        return
+    assert r.m == sum(values) / (len(values) * 10)
+    if len(xs) < 2:
+        assert r.s is None
+    else:
+        assert abs(r.s - statistics.stdev(xs)) < 1e-9 * max(1.0, statistics.stdev(xs))
