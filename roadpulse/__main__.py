@@ -44,6 +44,7 @@ def main(argv: list[str] | None = None) -> None:
     q.add_argument("--db", required=True)
     q.add_argument("--dates", help="comma-separated partition dates to read (pruned scan)")
     q.add_argument("--out", help="write the result as Parquet here; otherwise show it")
+    q.add_argument("--latest", type=int, help="compute over the newest N rows of each input (dashboard scope)")
     args = ap.parse_args(argv)
 
     spark = _session()
@@ -89,7 +90,7 @@ def main(argv: list[str] | None = None) -> None:
         from roadpulse.sources.catalog import scan
         dates = args.dates.split(",") if args.dates else None
         feeds = REPORTS[args.name][0]
-        df = run_report(args.name, {f: scan(spark, args.db, f, dates) for f in feeds})
+        df = run_report(args.name, {f: scan(spark, args.db, f, dates) for f in feeds}, latest=args.latest)
         if args.out:
             df.write.mode("overwrite").parquet(args.out)
         else:

@@ -115,6 +115,12 @@ def incident_timeline(e: DataFrame) -> DataFrame:
              .orderBy("timestamp", "type"))
 
 
+def latest_rows(df: DataFrame, n: int = 500, ts: str = "timestamp", key: str = "id") -> DataFrame:
+    """The newest n rows with all their columns (top-k per task, merged once)."""
+    return df.orderBy(F.desc_nulls_last(ts), F.asc(key)).limit(n)
+
+
 def dashboard_scope(v: DataFrame, w: DataFrame, e: DataFrame, n: int = 500) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """The dashboard's own scope: the newest n rows of each table."""
-    return (latest(v, VEHICLE_COLUMNS, n), latest(w, WEATHER_COLUMNS, n), latest(e, EMERGENCY_COLUMNS, n))
+    """The dashboard's own scope: the newest n rows of each table (D1-D3), every column kept
+    so any dataset can be computed over it."""
+    return latest_rows(v, n), latest_rows(w, n), latest_rows(e, n)

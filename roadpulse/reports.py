@@ -54,6 +54,11 @@ REPORTS: dict[str, tuple[tuple[str, ...], Callable[..., DataFrame]]] = {
 }
 
 
-def run_report(name: str, tables: Tables, **kw) -> DataFrame:
+def run_report(name: str, tables: Tables, *, latest: int | None = None, **kw) -> DataFrame:
+    """Run a named report. With `latest`, each input is first cut to its newest `latest`
+    rows -- the dashboard's own scope (it shows its cards over the newest 500 rows)."""
     feeds, fn = REPORTS[name]
-    return fn(*[tables[f] for f in feeds], **kw)
+    inputs = [tables[f] for f in feeds]
+    if latest:
+        inputs = [D.latest_rows(df, latest) for df in inputs]
+    return fn(*inputs, **kw)

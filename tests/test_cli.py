@@ -25,6 +25,9 @@ def test_ingest_refine_catalog_report(spark, capsys):
     main(["report", "incidents_by_day", "--db", db, "--dates", "2024-01-05", "--out", out])
     assert {r.date for r in spark.read.parquet(out).select("date").distinct().collect()} == {"2024-01-05"}
     assert spark.table(f"{db}.{EMERGENCY}").count() == 1000
+    # the dashboard's own scope: KPIs over the newest 500 rows of each table
+    main(["report", "kpi_row", "--db", db, "--latest", "500", "--out", out])
+    assert spark.read.parquet(out).first().total_records == 500
     # incremental: re-refining with --dynamic replaces only the dates present; nothing is lost
     main(["refine", "--raw", base, "--refined", f"{base}/refined-root", "--dynamic"])
     spark.sql(f"REFRESH TABLE {db}.{EMERGENCY}")
