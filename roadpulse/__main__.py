@@ -28,6 +28,7 @@ def main(argv: list[str] | None = None) -> None:
     a.add_argument("--option", action="append", default=[], help="source option key=value (e.g. kafka.bootstrap.servers=...)")
     a.add_argument("--available-now", action="store_true", help="process what is there, then stop")
     a.add_argument("--watermark", default="2 minutes")
+    a.add_argument("--dead-letters", action="store_true", help="route undecodable records to <base>/dead_letters")
     r = sub.add_parser("refine")
     r.add_argument("--raw", required=True)
     r.add_argument("--refined", required=True)
@@ -62,17 +63,10 @@ def main(argv: list[str] | None = None) -> None:
             raise SystemExit(json.dumps(failed))
     elif args.cmd == "ingest":
         from roadpulse.streaming.ingest import run_ingest
-        from roadpulse.streaming import ingest as I
         options = dict(kv.split("=", 1) for kv in args.option)
         trigger = {"availableNow": True} if args.available_now else None
-        if args.fmt == "kafka":
-            started = []
-            for feed in FEEDS:
-                stream = I.decode_stream(I.read_topic(spark, feed, fmt="kafka", options=options), feed, args.watermark)
-                started.append(I.write_raw(stream, feed, args.base, trigger=trigger))
-            I.await_all(spark, started)
-        else:
-            run_ingest(spark, args.landing, args.base, FEEDS, fmt=args.fmt, trigger=trigger, watermark=args.watermark)
+        run_ingest(spark, args.landing, args.base, FEEDS, fmt=args.fmt, trigger=trigger, watermark=args.watermark,
+                   dead_letters=args.dead_letters, options=options)
     elif args.cmd == "refine":
         from roadpulse.sources.storage import refine_all
         status = refine_all(spark, args.raw, args.refined, strict=args.strict, layout=args.layout,

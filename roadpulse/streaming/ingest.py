@@ -13,7 +13,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from roadpulse.schemas import FEEDS
 from roadpulse.sources.storage import checkpoint_path, raw_path
-from roadpulse.sources.wire import decode
+from roadpulse.sources.wire import decode, split_dead_letters
 
 WIRE_SCHEMA = "key string, value string"
 DEFAULT_WATERMARK = "2 minutes"
@@ -102,14 +102,29 @@ def await_all(spark: SparkSession, queries: list[StreamingQuery], poll_s: int =
             spark.streams.resetTerminated()
 
 
+def dead_letter_path(base: str, feed: str) -> str:
+    return f"{base.rstrip('/')}/dead_letters/{feed}"
+
+
 def run_ingest(spark: SparkSession, landing: str, base: str, feeds: tuple[str, ...] = FEEDS, *,
                fmt: str = "parquet", trigger: dict | None = None, watermark: str | None = DEFAULT_WATERMARK,
-               wait: bool = True) -> list[StreamingQuery]:
+               wait: bool = True, dead_letters: bool = False,
+               options: dict[str, str] | None = None) -> list[StreamingQuery]:
     """One concurrent streaming query per feed (topic -> decode -> raw Parquet).
-    With `wait` (and a finite trigger such as availableNow) block until all finish."""
+    With `dead_letters` (X9), records whose id does not decode go, whole and undecoded, to
+    base/dead_letters/<feed> instead of becoming all-null raw rows (a second checkpointed
+    query per feed over the same topic). With `wait` (and a finite trigger such as
+    availableNow) block until all finish."""
     started = []
     for feed in feeds:
-        stream = decode_stream(read_topic(spark, feed, fmt=fmt, landing=landing), feed, watermark)
+        topic = read_topic(spark, feed, fmt=fmt, landing=landing, options=options)
+        if dead_letters:
+            good, bad = split_dead_letters(topic, feed)
+            stream = good.withWatermark("timestamp", watermark) if watermark else good
+            started.append(write_stream(bad, dead_letter_path(base, feed),
+                                        checkpoint_path(base, feed, "dead_letters"), trigger=trigger))
+        else:
+            stream = decode_stream(topic, feed, watermark)
         started.append(write_raw(stream, feed, base, trigger=trigger))
     if wait:
         await_all(spark, started)

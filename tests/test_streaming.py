@@ -164,3 +164,14 @@ def test_stream_dedup_collapses_a_burst_of_one_id(spark):
     q.awaitTermination()
     ids = [r.id for r in spark.read.parquet(f"{out}/data").collect()]
     assert sorted(ids) == sorted(f"id{i}" for i in range(20))
+
+
+def test_ingest_routes_undecodable_records_to_dead_letters(spark):
+    landing, base = scratch_dir(spark, "landing"), scratch_dir(spark, "base")
+    rows = [_record(1, "2024-01-01T10:00:00"), ("bad1", "not json"), ("bad2", '~{"id":"x"}'),
+            _record(2, "2024-01-01T10:01:00")]
+    I.publish(spark.createDataFrame(rows, "key string, value string").coalesce(1), landing, VEHICLE)
+    I.run_ingest(spark, landing, base, (VEHICLE,), trigger=AVAILABLE_NOW, dead_letters=True)
+    assert sorted(r.id for r in read_raw(spark, VEHICLE, base).collect()) == ["id1", "id2"]
+    dead = spark.read.parquet(I.dead_letter_path(base, VEHICLE)).collect()
+    assert sorted((r.key, r.value) for r in dead) == [("bad1", "not json"), ("bad2", '~{"id":"x"}')]
