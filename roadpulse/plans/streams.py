@@ -51,6 +51,11 @@ def decoded_stream(spark: SparkSession, landing: str, feed: str) -> DataFrame:
     return decode_stream(read_topic(spark, feed, fmt="parquet", landing=landing), feed)
 
 
+# Diagnostics: the stateful operators of each stream run's micro-batches, by run name
+# (rows held in state and rows evicted by the watermark), for tools/plan_report.py.
+STATE_REPORT: dict[str, list[dict]] = {}
+
+
 def run_to_parquet(spark: SparkSession, df: DataFrame, name: str, *, partition_by: list[str] | None = None,
                    read_schema=None) -> DataFrame:
     """Run a stream to completion (availableNow) into a fresh Parquet folder; read it back."""
@@ -59,6 +64,13 @@ def run_to_parquet(spark: SparkSession, df: DataFrame, name: str, *, partition_b
     q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(f"stream {name} failed: {q.exception()}")
+    STATE_REPORT[name] = [
+        {"batches": len(q.recentProgress),
+         "operator": op.get("operatorName"),
+         "rows_in_state_at_end": op.get("numRowsTotal"),
+         "rows_evicted_total": sum(p["stateOperators"][i].get("numRowsRemoved", 0) for p in q.recentProgress
+                                   if len(p.get("stateOperators", [])) > i)}
+        for i, op in enumerate((q.lastProgress or {}).get("stateOperators", []))]
     reader = spark.read.schema(read_schema) if read_schema is not None else spark.read
     return reader.parquet(f"{out}/data")
 
