@@ -37,14 +37,15 @@ def dedup_latest(df: DataFrame, key: str = KEY, order: tuple[str, ...] = ("times
 
 
 def _apply(df: DataFrame, conditions: list[Column], filter_first: bool, dedup_rows: bool) -> DataFrame:
-    if filter_first:
-        for cond in conditions:
-            df = df.filter(cond)
+    keep = None
+    for cond in conditions:  # sequential filters == their conjunction
+        keep = cond if keep is None else keep & cond
+    if filter_first and keep is not None:
+        df = df.filter(keep)
     if dedup_rows:
         df = dedup(df)
-    if not filter_first:
-        for cond in conditions:
-            df = df.filter(cond)
+    if not filter_first and keep is not None:
+        df = df.filter(keep)
     return df
 
 

@@ -31,6 +31,9 @@ def refined(spark: SparkSession, sf_dir: str, feed: str, **kw) -> DataFrame:
 
 def comparable(df: DataFrame) -> DataFrame:
     """Timestamps as TIMESTAMP_NTZ (wall clock, UTC) so results compare with zone-less SQL."""
+    fields = df.schema.fields
+    if not any(isinstance(f.dataType, TimestampType) for f in fields):
+        return df
     cols = [F.col(f.name).cast("timestamp_ntz").alias(f.name) if isinstance(f.dataType, TimestampType)
-            else F.col(f.name) for f in df.schema.fields]
+            else F.col(f.name) for f in fields]
     return df.select(*cols)
