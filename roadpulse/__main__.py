@@ -41,7 +41,8 @@ def main(argv: list[str] | None = None) -> None:
     c.add_argument("--refined", required=True)
     c.add_argument("--location")
     q = sub.add_parser("report")
-    q.add_argument("name")
+    from roadpulse.reports import REPORTS
+    q.add_argument("name", choices=sorted(REPORTS), metavar="name", help="one of: " + ", ".join(sorted(REPORTS)))
     q.add_argument("--db", required=True)
     q.add_argument("--dates", help="comma-separated partition dates to read (pruned scan)")
     q.add_argument("--out", help="write the result as Parquet here; otherwise show it")
