@@ -18,3 +18,21 @@ def test_entry_smoke(spark):
     assert df.columns == ["make", "fuelType", "trip_count", "avg_speed_kmh", "min_speed_kmh", "max_speed_kmh",
                           "stddev_speed"]
     assert df.count() > 0
+
+
+def test_results_do_not_depend_on_layout(spark):
+    """Exact sums make rounded figures independent of partitioning and AQE."""
+    import __spark_entry__ as E
+    names = ["daily_kpi", "speed_by_weather", "speed_by_hour", "speed_by_make_fuel", "trips", "kpi_row"]
+    key = lambda t: tuple((x is None, str(x)) for x in t)
+
+    def run(parts: int, aqe: str):
+        spark.conf.set("spark.sql.shuffle.partitions", str(parts))
+        spark.conf.set("spark.sql.adaptive.enabled", aqe)
+        try:
+            return {n: sorted(map(tuple, E.queries()[n](spark, SF_SMALL).collect()), key=key) for n in names}
+        finally:
+            spark.conf.set("spark.sql.shuffle.partitions", "8")
+            spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+    assert run(3, "false") == run(13, "true")
