@@ -1,6 +1,7 @@
 """Streaming = batch, late rows, restart from a checkpoint, concurrent ingest failure."""
 
 import json
+import time
 
 import pytest
 
@@ -48,6 +49,7 @@ def test_late_row_dropped_by_dedup_after_watermark(spark):
              [_record(3, "2024-01-01T09:00:00")]]
     for rows in files:
         I.publish(spark.createDataFrame(rows, "key string, value string").coalesce(1), landing, VEHICLE)
+        time.sleep(1.1)  # distinct modification times fix the batch order, whatever the FS granularity
     out = scratch_dir(spark, "out")
     stream = SO.stream_dedup(I.decode_stream(I.read_topic(spark, VEHICLE, landing=landing,
                                                           max_files_per_trigger=1), VEHICLE))
