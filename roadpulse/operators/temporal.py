@@ -3,12 +3,12 @@ join (latest weather reading at or before each vehicle reading).
 
 Both need "the previous row of this vehicle", which a window partitioned by vehicle alone
 would compute in one task per vehicle: a vehicle holding a third of all rows would be a
-third of the job in one task. Rows are therefore windowed per (vehicle, time bucket), so
-a busy vehicle spreads over as many tasks as it has buckets. What crosses a bucket edge
-(the last timestamp, the open trip, the latest weather reading) is carried by a per-bucket
-summary: one row per (vehicle, bucket), windowed per vehicle over buckets only, and
-joined back on (vehicle, bucket). The summaries are tiny next to the rows, and the join
-back meets exactly one summary row per key.
+third of the job in one task. Here no window ever runs over raw rows of a vehicle. Rows are
+first aggregated (combined map-side, so hot keys never gather raw in one task) into
+summaries whose count per window partition is bounded by time, not by data volume: per
+(vehicle, bucket) for trips; per distinct instant within a second, per second within an
+hour, and per hour for the as-of join. Windows run over those summaries, and results join
+back with exactly one summary row per key.
 """
 
 from __future__ import annotations
@@ -19,7 +19,6 @@ from pyspark.sql import functions as F
 from roadpulse.functions.stats import mean_from_parts, scaled
 
 
-
 def _bucket(ts: Column, seconds: int) -> Column:
     return F.floor(F.unix_micros(ts) / F.lit(seconds * 1_000_000)).cast("bigint")
 
