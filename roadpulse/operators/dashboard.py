@@ -1,10 +1,11 @@
 """Dashboard datasets: the figures behind each KPI card, chart and table.
 
 Each function takes any refined frame. The dashboard's own scope, the newest 500 rows of
-each table, is `latest(...)`; pass its output to scope a dataset to it, or pass the whole
-table (the default in the query registry). One-row figures (overall means, totals) are
-attached as scalar subqueries: computed once by a small aggregate job and inlined as a
-literal, so no join and no single-partition window is involved.
+each table, is `latest_rows(...)` / `dashboard_scope(...)`; pass its output to scope a
+dataset to it, or pass the whole table (the default in the query registry). One-row
+figures next to row-level data (the mean line, pie shares) are scalar subqueries: computed
+once by a small aggregate job and inlined as a literal. The KPI row is three one-row
+aggregates pivoted together. No join and no single-partition window is involved.
 """
 
 from __future__ import annotations
