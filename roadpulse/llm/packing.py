@@ -21,10 +21,10 @@ columns are not read.
 
 from __future__ import annotations
 
-import re
 import zlib
 from collections import deque
 from collections.abc import Callable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -36,35 +36,66 @@ SCHEMA = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long
           "sequence_length long")
 _SENTENCE_END = np.uint32(1 << 31)  # flag on the last id of a sentence
 _PLAIN = np.uint32((1 << 31) - 1)
-#: texts in which white space or special tokens could act across the words that are looked up singly
-_ODD = re.compile("[\x1c-\x1f]|<\\|")
+_MARKS = ".,;:!?"
+#: what could act across the words that are looked up singly: separators that are no white space to
+#: the tokenizer, and special tokens
+_ODD = ("\x1c", "\x1d", "\x1e", "\x1f", "<|")
 
 
 class WordTokens:
     """Token ids of a text by a public tokenizer that never joins what white space separates, so
-    each distinct word is encoded once and kept (at most `keep` words)."""
+    each distinct word is encoded once and kept (at most about `keep` words a worker)."""
 
-    def __init__(self, path: str, keep: int = 300_000):
+    def __init__(self, path: str, keep: int = 1_000_000, run: int = 2000, mark: str = "<|endoftext|>"):
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.known, self.keep = Tokenizer.from_file(path), {}, keep
+        self.tokenizer, self.known, self.keep, self.run = Tokenizer.from_file(path), {}, keep, run
+        self.mark, self.mark_id = mark, self.tokenizer.token_to_id(mark)
 
-    def learn(self, texts: list[str]) -> None:
+    def learn(self, split: list[list[str]]) -> None:
+        """Makes the words of `split` known. ASCII letters with marks behind them are two tokens'
+        runs, so letters are encoded once, whatever their case and marks."""
         if len(self.known) > self.keep:
             self.known.clear()
-        new = list({w for t in texts for w in t.split()} - self.known.keys())
-        for at in range(0, len(new), 20_000):
-            part = new[at:at + 20_000]
-            for word, got in zip(part, self.tokenizer.encode_batch(part, add_special_tokens=False), strict=True):
-                ids = np.array(got.ids, "<u4")
-                if len(ids) and word[-1] in ".!?":
-                    ids[-1] |= _SENTENCE_END
-                self.known[word] = ids.tobytes()
-
-    def flagged(self, text: str) -> np.ndarray:
-        if _ODD.search(text):
-            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
-        return np.frombuffer(b"".join(map(self.known.__getitem__, text.split())), "<u4")
+        known, wanted, joint = self.known, set(), []
+        for word in set().union(*split):
+            if word not in known:
+                core = word.rstrip(_MARKS)
+                if core.isascii() and core.isalpha():
+                    tail, core = word[len(core):], core.lower()
+                    joint.append((word, core, tail))
+                    if core not in known:
+                        wanted.add(core)
+                    if tail and tail not in known:
+                        wanted.add(tail)
+                else:
+                    wanted.add(word)
+        self.encode(list(wanted))
+        known.update([(word, known[core] + known[tail] if tail else known[core]) for word, core, tail in joint])
+
+    def encode(self, new: list[str]) -> None:
+        """Ids of words, many in one string with a special token between."""
+        for low in range(0, len(new), self.run):
+            part = new[low:low + self.run]
+            got = self.tokenizer.encode_batch_fast([self.mark.join(part)], add_special_tokens=False)[0]
+            ids = np.array([*got.ids, self.mark_id], "<u4")
+            ends = np.flatnonzero(ids == self.mark_id)
+            ids[ends[[w[-1] in ".!?" for w in part]] - 1] |= _SENTENCE_END
+            raw, ends = ids.tobytes(), (4 * ends).tolist()
+            self.known.update(zip(part, [raw[a:b] for a, b in zip([0, *(e + 4 for e in ends)], ends, strict=False)], strict=True))
+
+    def flagged(self, texts: list[str]) -> list[np.ndarray]:
+        """Ids of each text; the last one of a sentence carries a flag."""
+        split = [None if any(x in t for x in _ODD) else t.split() for t in texts]
+        self.learn([s for s in split if s is not None])
+        return [np.array(self.tokenizer.encode(t, add_special_tokens=False).ids, "<u4") if s is None
+                else np.frombuffer(b"".join(map(self.known.__getitem__, s)), "<u4") for t, s in zip(texts, split, strict=True)]
+
+
+@lru_cache(maxsize=2)
+def word_tokens(path: str) -> WordTokens:
+    """One for all tasks of a Python worker."""
+    return WordTokens(path)
 
 
 def cut_positions(flagged: np.ndarray, doc_ends: np.ndarray, *, last: bool, seq_len: int, sentence_cost: float,
@@ -125,10 +156,10 @@ def cut_positions(flagged: np.ndarray, doc_ends: np.ndarray, *, last: bool, seq_
 
 
 def pack(docs: DataFrame, tokens: Callable[[], object], *, end_id: int, seq_len: int = 4096, block_tokens: int = 1 << 19,
-         sentence_cost: float = 2.0, inner_cost: float = 16.0, open_cost: float = 8.0, gap: int = 32,
+         sentence_cost: float = 2.0, inner_cost: float = 16.0, open_cost: float = 8.0, gap: int = 64,
          least_power: int = 512, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per piece of a document (SCHEMA). `tokens()` makes, once a task, an object with
-    learn(texts) and flagged(text) such as WordTokens."""
+    """One row per piece of a document (SCHEMA). `tokens()` gives an object such as
+    WordTokens, whose flagged(texts) are arrays of ids."""
     rule = dict(seq_len=seq_len, sentence_cost=sentence_cost, inner_cost=inner_cost, open_cost=open_cost, gap=gap, least_power=least_power)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -170,9 +201,8 @@ def pack(docs: DataFrame, tokens: Callable[[], object], *, end_id: int, seq_len:
         for batch in batches:
             names, texts = batch.column(0).to_pylist(), [t or "" for t in batch.column(1).to_pylist()]
             for low in range(0, len(texts), 256):
-                made.learn(texts[low:low + 256])
-                for doc_id, text in zip(names[low:low + 256], texts[low:low + 256], strict=True):
-                    own = np.append(made.flagged(text), np.uint32(end_id))
+                for doc_id, own in zip(names[low:low + 256], made.flagged(texts[low:low + 256]), strict=True):
+                    own = np.append(own, np.uint32(end_id))
                     held.append((doc_id, len(own), 0, own))
                     size += len(own)
                     if size >= block_tokens and (got := solve(False)) is not None:

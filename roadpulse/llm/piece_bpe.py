@@ -165,7 +165,7 @@ class PieceBpe:
         if len(self.known) > self.keep:
             self.known.clear()
         split = [self.words.findall(MARK + t.replace(" ", MARK)) if t else [] for t in texts]
-        new = list({w for own in split for w in own} - self.known.keys())
+        new = [w for w in {w for own in split for w in own} if w not in self.known]
         for word, ids in zip(new, self.encode_words(new), strict=True):
             self.known[word] = ids.astype("<u4").tobytes()
         head, tail = np.array([self.begin], "<u4").tobytes(), np.array([self.end], "<u4").tobytes()

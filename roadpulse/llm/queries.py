@@ -17,10 +17,10 @@ def _vocabulary(name: str) -> str:
 
 
 def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from roadpulse.llm.packing import WordTokens, pack
+    from roadpulse.llm.packing import pack, word_tokens
 
     path = _vocabulary("word_bpe_49k.json")
-    return pack(read(spark, sf_dir, "documents"), lambda: WordTokens(path), end_id=2)
+    return pack(read(spark, sf_dir, "documents"), lambda: word_tokens(path), end_id=2)
 
 
 def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -29,6 +29,31 @@ def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return code(read(spark, sf_dir, "documents"), _vocabulary("piece_bpe_32k.model"))
 
 
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from roadpulse.llm.linededup import table
+
+    return table(read(spark, sf_dir, "documents"), min_lines=2)
+
+
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from roadpulse.llm.quality import table
+
+    return table(read(spark, sf_dir, "documents"))
+
+
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from roadpulse.llm.toxicity import score
+
+    return score(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from roadpulse.llm.simhash import near_duplicates
+
+    found = near_duplicates(read(spark, sf_dir, "documents"), shingle=3, radius=2)
+    return found.select("doc_id", F.lower(F.lpad(F.hex("f"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 def op9_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     from roadpulse.llm.topk import quantised, top_k
 
@@ -43,4 +68,5 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_packing, op3_sentencepiece, op9_topk_search, op10_sharding)}
+    return {f.__name__: f for f in (
+        op1_packing, op2_line_dedup, op3_sentencepiece, op4_quality, op5_toxicity, op7_simhash, op9_topk_search, op10_sharding)}
