@@ -54,6 +54,12 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("f"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op8_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from roadpulse.llm.substring import table
+
+    return table(read(spark, sf_dir, "documents"), 50)
+
+
 def op9_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     from roadpulse.llm.topk import quantised, top_k
 
@@ -69,4 +75,4 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
-        op1_packing, op2_line_dedup, op3_sentencepiece, op4_quality, op5_toxicity, op7_simhash, op9_topk_search, op10_sharding)}
+        op1_packing, op2_line_dedup, op3_sentencepiece, op4_quality, op5_toxicity, op7_simhash, op8_substring, op9_topk_search, op10_sharding)}
