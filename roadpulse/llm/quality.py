@@ -2,8 +2,8 @@
 
 Each rule looks at one figure of a text and votes good (+1) or bad (-1) or abstains (0).
 Expectation-maximisation over the counts of vote patterns (at most 3^rules rows, whatever the
-table) estimates how often each rule is right on good and on bad texts; the posterior probability
-of being good then decides. Two base limits stand before it: fewer than `min_words` words, or
+table) estimates how often each rule is right on good and on bad texts; the posterior probability of
+being good then decides. Two base limits stand before it: fewer than `min_words` words, or
 more than 30 % of the words in 8-word windows that occur twice in the text.
 
 Nothing is shuffled but vote patterns: all figures come from arrays within a row. A null text is
@@ -20,9 +20,9 @@ from pyspark.sql import functions as F
 
 from roadpulse.llm.common import SPACE, words, written
 
-#: share limits of the rules: (figure, at or below: this vote, at or above: that vote)
-#: as (name, numerator, denominator, low, vote low, high, vote high)
+#: share limits of the rules, as (name, numerator, denominator, at or below, vote, at or above, vote)
 RULES = (
+    ("prose", "n_prose", "n_words", 0.60, -1, 0.80, 1),
     ("symbols", "n_symbols", "n_words", 0.02, 1, 0.10, -1),
     ("capitals", "n_capitals", "word_chars", 0.15, 1, 0.40, -1),
     ("shouts", "n_shouts", "n_words", 0.01, 1, 0.10, -1),
@@ -30,12 +30,13 @@ RULES = (
     ("repeated windows", "n_repeat_words", "n_words", 0.10, 1, 0.30, -1),
     ("variety", "n_distinct", "n_words", 0.15, -1, 0.30, 1),
     ("echoes", "n_echoes", "n_words", 0.03, 1, 0.15, -1),
-    ("word length", "word_chars", "n_words", 2.0, -1, 3.0, 1),
     ("long words", "word_chars", "n_words", 10.0, 1, 14.0, -1),
 )
-START = {"good": 0.8, "right_good": 0.85, "right_bad": 0.6}
+#: rules rarely condemn a good text and overlook most faults of a bad one
+START = {"good": 0.8, "right_good": 0.995, "right_bad": 0.2}
+LEAST = 1e-4
 FIGURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
-EXTRA = ("n_capitals", "n_shouts", "n_lines", "n_distinct", "n_echoes")
+EXTRA = ("n_prose", "n_capitals", "n_shouts", "n_lines", "n_distinct", "n_echoes")
 
 
 def _size(array: Column) -> Column:
@@ -68,6 +69,7 @@ def figures(docs: DataFrame, text_col: str = "text", window: int = 8) -> DataFra
         count(r"[^#*$%&|<>]+").alias("n_symbols"),
         (_size(F.col("__lines")) - _size(F.array_distinct("__lines"))).alias("n_dup_lines"),
         F.coalesce(covered, F.lit(0)).cast("long").alias("n_repeat_words"),
+        _size(F.filter("__words", lambda w: w.rlike(r"^[\p{L}\p{M}'’-]+[.,;:!?]?$"))).alias("n_prose"),
         count(r"\P{Lu}+").alias("n_capitals"),
         (F.length("__text") - count("!{2,}")).cast("long").alias("n_shouts"),
         _size(F.col("__lines")).alias("n_lines"),
@@ -99,7 +101,7 @@ def posterior(code: Column, model: dict) -> Column:
 
 
 def fit(patterns: DataFrame, rounds: int = 12, trust: float = 20.0) -> dict:
-    """Prior and accuracies by expectation-maximisation over `patterns` (code, n). Each round is
+    """Share of good texts and accuracies by expectation-maximisation over `patterns` (code, n). Each round is
     one aggregate with one row; `trust` pseudo-votes hold each accuracy to its start."""
     model = {"good": START["good"], "rules": [(START["right_good"], START["right_bad"])] * len(RULES)}
     code, n = F.col("code"), F.col("n")
@@ -111,9 +113,9 @@ def fit(patterns: DataFrame, rounds: int = 12, trust: float = 20.0) -> dict:
             sums += [F.sum(F.when(vote == 1, n * p)).alias(f"gg{i}"), F.sum(F.when(vote != 0, n * p)).alias(f"g{i}"),
                      F.sum(F.when(vote == -1, n * (1 - p))).alias(f"bb{i}"), F.sum(F.when(vote != 0, n * (1 - p))).alias(f"b{i}")]
         got = {k: v or 0.0 for k, v in patterns.agg(*sums).first().asDict().items()}
-        kept = lambda hits, of, start: min(0.99, max(0.01, (hits + trust * start) / (of + trust)))
-        model = {"good": min(0.99, max(0.01, (got["good"] + trust * START["good"]) / (got["all"] + trust))), "rules": [
-            (kept(got[f"gg{i}"], got[f"g{i}"], START["right_good"]), kept(got[f"bb{i}"], got[f"b{i}"], START["right_bad"]))
+        mean = lambda hits, of, start: min(1 - LEAST, max(LEAST, (hits + trust * start) / (of + trust)))
+        model = {"good": mean(got["good"], got["all"], START["good"]), "rules": [
+            (mean(got[f"gg{i}"], got[f"g{i}"], START["right_good"]), mean(got[f"bb{i}"], got[f"b{i}"], START["right_bad"]))
             for i in range(len(RULES))]}
     return model
 
