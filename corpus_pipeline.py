@@ -1,8 +1,74 @@
-"""The corpus pipeline."""
+"""The corpus pipeline: quality rules, line dedup, SimHash near-dedup, substring dedup, packing.
 
-STAGES = []
+Each stage takes what its predecessor kept and returns the columns of `documents`, the last one the
+packed pieces. A stage that changes a text also states its new length in n_chars, where that column
+is there. Rows without a doc_id are judged and cut like others and are never taken for a copy; of
+rows that repeat a doc_id, one leaves the near-dedup stage. An empty table passes through.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from roadpulse.llm import linededup, packing, quality, simhash, substring
+from roadpulse.llm.common import read, written
+
+SEQUENCE_TOKENS = 4096
+END_ID = 2
+
+
+def _with_text(docs: DataFrame, changed: DataFrame, text: str) -> DataFrame:
+    out = changed.withColumn("text", F.col(text))
+    if "n_chars" in docs.columns:
+        out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    return out.select(*docs.columns)
+
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 4: documents that the base limits or the posterior reject go."""
+    return quality.kept(docs)
+
+
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 2: later copies of repeated line runs go; every document stays."""
+    return _with_text(docs, linededup.cut(docs, min_lines=2), "__kept")
+
+
+def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 7: of each group the document with the smallest doc_id stays."""
+    groups = simhash.near_duplicates(docs, shingle=3, radius=2)
+    first = groups.filter("component_id IS NOT NULL").select(F.col("component_id").alias("doc_id")).distinct()
+    return docs.join(first, "doc_id", "left_semi").dropDuplicates(["doc_id"]).unionByName(docs.filter("doc_id IS NULL")).select(*docs.columns)
+
+
+def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 8: passages of 50 words that a document with a smaller id holds go."""
+    return _with_text(docs, substring.cut(docs, 50), "__kept")
+
+
+def sequence_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 1: the pieces of packed sequences."""
+    import public_tokenizers
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    return packing.pack(docs, lambda: packing.word_tokens(path), end_id=END_ID, seq_len=SEQUENCE_TOKENS)
+
+
+STAGES = [
+    ("quality_rules", quality_rules),
+    ("line_dedup", line_dedup),
+    ("simhash_near_dedup", simhash_near_dedup),
+    ("substring_dedup", substring_dedup),
+    ("packing", sequence_packing),
+]
+
+#: expectation-maximisation, fingerprints and tokenizers are beyond SQL; tests/llm holds a brute-force version
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        docs = written(stage(spark, docs, sf_dir), f"pipeline-{name}")
+    return STAGES[-1][1](spark, docs, sf_dir)

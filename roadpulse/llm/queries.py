@@ -47,6 +47,12 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from roadpulse.llm.licenses import scan
+
+    return scan(read(spark, sf_dir, "documents"))
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     from roadpulse.llm.simhash import near_duplicates
 
@@ -75,4 +81,5 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
-        op1_packing, op2_line_dedup, op3_sentencepiece, op4_quality, op5_toxicity, op7_simhash, op8_substring, op9_topk_search, op10_sharding)}
+        op1_packing, op2_line_dedup, op3_sentencepiece, op4_quality, op5_toxicity, op6_license_scan, op7_simhash,
+        op8_substring, op9_topk_search, op10_sharding)}
