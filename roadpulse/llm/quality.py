@@ -63,7 +63,9 @@ def figures(docs: DataFrame, text_col: str = "text", window: int = 8) -> DataFra
     df = df.withColumn("__lines", F.filter(F.split("__text", "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]")))
     count = lambda pattern: F.length(F.regexp_replace("__text", pattern, "")).cast("long")
     echo = F.size(F.filter("__hashed", lambda h, i: F.coalesce(F.get("__hashed", i - 1) == h, F.lit(False))))
-    df = df.withColumn("__figures", F.struct(
+    # a filter on these figures must stay above them: moved below, it would compute the arrays anew for
+    # each of their uses; no filter passes what is not deterministic
+    df = df.withColumn("__figures", F.when(F.monotonically_increasing_id() >= 0, F.struct(
         _size(F.col("__words")).alias("n_words"),
         count(SPACE).alias("word_chars"),
         count(r"[^#*$%&|<>]+").alias("n_symbols"),
@@ -74,7 +76,7 @@ def figures(docs: DataFrame, text_col: str = "text", window: int = 8) -> DataFra
         (F.length("__text") - count("!{2,}")).cast("long").alias("n_shouts"),
         _size(F.col("__lines")).alias("n_lines"),
         _size(F.array_distinct("__hashed")).alias("n_distinct"),
-        echo.cast("long").alias("n_echoes")))
+        echo.cast("long").alias("n_echoes"))))
     return df.drop("__text", "__words", "__hashed", "__windows", "__sorted", "__places", "__lines")
 
 
@@ -139,8 +141,5 @@ def table(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
 
 
 def kept(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """The rows of `docs` that pass, with their own columns only. The verdict goes through a
-    generator, as a filter would be moved below the arrays and compute them anew for each use."""
-    out = judge(docs, text_col=text_col)
-    gate = F.explode(F.when(F.col("__kept"), F.array(F.lit(1))).otherwise(F.array().cast("array<int>")))
-    return out.select(*[F.col(f"`{c}`") for c in docs.columns], gate.alias("__gate")).drop("__gate")
+    """The rows of `docs` that pass, with their own columns only."""
+    return judge(docs, text_col=text_col).filter("__kept").select(*[F.col(f"`{c}`") for c in docs.columns])
