@@ -37,6 +37,8 @@ SCHEMA = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long
 _SENTENCE_END = np.uint32(1 << 31)  # flag on the last id of a sentence
 _PLAIN = np.uint32((1 << 31) - 1)
 _MARKS = ".,;:!?"
+#: letters below are composed as they are and have one small letter each (but for a dotted capital I)
+_LATIN_END = "\u0250"
 #: what could act across the words that are looked up singly: separators that are no white space to
 #: the tokenizer, and special tokens
 _ODD = ("\x1c", "\x1d", "\x1e", "\x1f", "<|")
@@ -47,32 +49,50 @@ class WordTokens:
     each distinct word is encoded once and kept (at most about `keep` words a worker)."""
 
     def __init__(self, path: str, keep: int = 1_000_000, run: int = 2000, mark: str = "<|endoftext|>"):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
         self.tokenizer, self.known, self.keep, self.run = Tokenizer.from_file(path), {}, keep, run
         self.mark, self.mark_id = mark, self.tokenizer.token_to_id(mark)
+        # for runs of small Latin letters, which neither the normaliser nor the splitting pattern touches
+        self.letters = Tokenizer.from_file(path)
+        self.letters.normalizer, self.letters.pre_tokenizer = normalizers.Sequence([]), pre_tokenizers.Sequence(
+            [pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+        vocabulary = self.letters.get_vocab()
+        self.closes = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.closes[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
 
     def learn(self, split: list[list[str]]) -> None:
-        """Makes the words of `split` known. ASCII letters with marks behind them are two tokens'
-        runs, so letters are encoded once, whatever their case and marks."""
+        """Makes the words of `split` known. Latin letters with marks behind them are two
+        runs to the splitting pattern, so letters are encoded once, whatever their case and marks."""
         if len(self.known) > self.keep:
             self.known.clear()
-        known, wanted, joint = self.known, set(), []
+        known, letters, others, joint = self.known, set(), set(), []
         for word in set().union(*split):
             if word not in known:
                 core = word.rstrip(_MARKS)
-                if core.isascii() and core.isalpha():
-                    tail, core = word[len(core):], core.lower()
-                    joint.append((word, core, tail))
+                if core.isalpha() and max(core) < _LATIN_END and "İ" not in core:
+                    tail = word[len(core):]
+                    core = core.lower()
                     if core not in known:
-                        wanted.add(core)
-                    if tail and tail not in known:
-                        wanted.add(tail)
+                        letters.add(core)
+                    if tail:
+                        others.add(tail)
+                    if core != word:
+                        joint.append((word, core, tail))
                 else:
-                    wanted.add(word)
-        self.encode(list(wanted))
+                    others.add(word)
+        self.encode_letters(list(letters))
+        self.encode([w for w in others if w not in known])
         known.update([(word, known[core] + known[tail] if tail else known[core]) for word, core, tail in joint])
 
+    def encode_letters(self, new: list[str]) -> None:
+        """Ids of runs of small Latin letters; a token that closes a run ends the word."""
+        for low in range(0, len(new), self.run):
+            part = new[low:low + self.run]
+            ids = np.array(self.letters.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids, "<u4")
+            raw, ends = ids.tobytes(), (4 * np.flatnonzero(self.closes[ids]) + 4).tolist()
+            self.known.update(zip(part, [raw[a:b] for a, b in zip([0, *ends], ends, strict=False)], strict=True))
+
     def encode(self, new: list[str]) -> None:
         """Ids of words, many in one string with a special token between."""
         for low in range(0, len(new), self.run):
@@ -102,15 +122,15 @@ def cut_positions(flagged: np.ndarray, doc_ends: np.ndarray, *, last: bool, seq_
                   inner_cost: float, open_cost: float, gap: int, least_power: int) -> list[int]:
     """Ends of the windows of one block. `doc_ends`: ascending positions, the last is the block's end."""
     n = len(flagged)
-    ends = np.flatnonzero(flagged & _SENTENCE_END) + 1
-    places = np.union1d(ends, doc_ends)
-    edges = np.concatenate([[0], places])
-    inner = [np.arange(a + gap, b, gap) for a, b in zip(edges[:-1], edges[1:], strict=True) if b - a > gap] \
-        if (np.diff(edges) > gap).any() else []
-    at = np.union1d(places, np.concatenate(inner)) if inner else places
-    penalty = np.full(len(at), float(inner_cost))
-    penalty[np.isin(at, ends)] = sentence_cost
-    penalty[np.isin(at, doc_ends)] = 0.0
+    kind = np.zeros(n + 1, np.int8)  # 1: inside a sentence, 2: a sentence's end, 3: a document's end
+    kind[np.flatnonzero(flagged & _SENTENCE_END) + 1] = 2
+    kind[doc_ends] = 3
+    edges = np.concatenate([[0], np.flatnonzero(kind)])
+    wide = np.flatnonzero(np.diff(edges) > gap)
+    if len(wide):
+        kind[np.concatenate([np.arange(a + gap, b, gap) for a, b in zip(edges[wide], edges[wide + 1], strict=True)])] = 1
+    at = np.flatnonzero(kind)
+    penalty = np.array([0.0, inner_cost, sentence_cost, 0.0])[kind[at]]
     at = np.concatenate([[0], at])
     penalty = (np.concatenate([[0.0], penalty]) + open_cost).tolist()
     exact: dict[int, list[int]] = {}
