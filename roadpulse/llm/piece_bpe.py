@@ -99,6 +99,8 @@ class PieceBpe:
 
     def encode_words(self, words: list[str]) -> list[np.ndarray]:
         """Ids of each word, all words together by merge rounds."""
+        if not words:
+            return []
         points = np.frombuffer("".join(words).encode("utf-32-le"), "<u4").astype(np.int64)
         sizes = np.array([len(w) for w in words])
         word = np.repeat(np.arange(len(words)), sizes)
