@@ -39,12 +39,14 @@ def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def line_table(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """__id, __text, pos, a, b (96 hash bits of the line; null: no word in it)."""
-    lines = F.posexplode(F.split(F.coalesce(F.col(text_col), F.lit("")), BREAK)).alias("pos", "line")
+    """__id, __text, pos, left (lines from here to the end), a, b (96 hash bits of the line; null:
+    no word in it)."""
     line = F.substring_index("line", "\n", 1)
     some = F.col("line").rlike(r"[^\x20\x09-\x0D]")
-    return (_keyed(docs.select(id_col, text_col), id_col, text_col).select(*_KEY, lines)
-            .select(*_KEY, "pos", F.when(some, F.xxhash64(line)).alias("a"), F.when(some, F.crc32(line.cast("binary"))).alias("b"))
+    return (_keyed(docs.select(id_col, text_col), id_col, text_col)
+            .select(*_KEY, F.split(F.coalesce(F.col(text_col), F.lit("")), BREAK).alias("__lines"))
+            .select(*_KEY, F.size("__lines").alias("n"), F.posexplode("__lines").alias("pos", "line"))
+            .select(*_KEY, "pos", (F.col("n") - F.col("pos")).alias("left"), F.when(some, F.xxhash64(line)).alias("a"), F.when(some, F.crc32(line.cast("binary"))).alias("b"))
             .distinct())
 
 
@@ -61,8 +63,8 @@ def _starts(groups: DataFrame, of: list[str], bucket, order: list[str]) -> DataF
 
 
 def repeated_runs(lines: DataFrame, min_lines: int = 2) -> DataFrame:
-    """__id, __text, pos, depth: suffixes that repeat `depth` lines (a power of two, at least
-    `min_lines`) of an earlier suffix."""
+    """__id, __text, pos, depth: suffixes that repeat `depth` lines (a power of two or the rest of
+    their document, at least `min_lines`) of an earlier suffix."""
     if min_lines < 1 or min_lines & (min_lines - 1):
         raise ValueError("min_lines must be a power of two")
     first = F.min(F.struct("__id", "__text", "pos")).alias("first")
@@ -70,7 +72,7 @@ def repeated_runs(lines: DataFrame, min_lines: int = 2) -> DataFrame:
     # 2^16 buckets by the leading hash bits: the sums over buckets have that many rows at most
     ranked = _starts(symbols.withColumn("all", F.lit(0)), ["all"], F.shiftright("a", 48).cast("int"), ["a", "b"])
     table = (lines.join(ranked.select("a", "b", "n", "first", F.col("before").alias("r")), ["a", "b"])
-             .select(*_KEY, "pos", "r", (F.col("n") > 1).alias("live"), (F.struct(*_KEY, "pos") > F.col("first")).alias("later")))
+             .select(*_KEY, "pos", "left", "r", (F.col("n") > 1).alias("live"), (F.struct(*_KEY, "pos") > F.col("first")).alias("later")))
     table = written(table, "ranks")
     width = max(1024, math.isqrt(table.count()) * 4)
     found = [table.filter("later").select(*_KEY, "pos", F.lit(1).alias("depth"))] if min_lines == 1 else []
@@ -86,13 +88,14 @@ def repeated_runs(lines: DataFrame, min_lines: int = 2) -> DataFrame:
         ended = moved.filter("live AND r2 IS NULL").groupBy("r").agg(F.count("*").alias("ended"))
         new = (_starts(pairs, ["r"], F.floor(F.col("r2") / width), ["r2"]).join(ended, "r", "left")
                .select("r", "r2", "n", "first", (F.col("r") + F.coalesce("ended", F.lit(0)) + F.col("before")).alias("rank")))
-        rest = moved.filter("NOT (live AND r2 IS NOT NULL)").select(*_KEY, "pos", "r", F.lit(False).alias("live"), F.lit(False).alias("later"))
+        rest = moved.filter("NOT (live AND r2 IS NOT NULL)").select(*_KEY, "pos", "left", "r", F.lit(False).alias("live"), F.lit(False).alias("later"))
         table = written(live.join(new, ["r", "r2"]).select(
-            *_KEY, "pos", F.col("rank").alias("r"), (F.col("n") > 1).alias("live"),
+            *_KEY, "pos", "left", F.col("rank").alias("r"), (F.col("n") > 1).alias("live"),
             (F.struct(*_KEY, "pos") > F.col("first")).alias("later")).unionByName(rest), "ranks")
         k *= 2
-        if k >= min_lines:
-            found.append(table.filter("later").select(*_KEY, "pos", F.lit(k).alias("depth")))
+        if k >= min_lines:  # suffixes that end within these k lines share a rank if they are equal to their ends
+            depth = F.least(F.lit(k), F.col("left"))
+            found.append(table.filter(F.col("later") & (depth >= min_lines)).select(*_KEY, "pos", depth.alias("depth")))
     if not found:
         return lines.filter("false").select(*_KEY, "pos", F.lit(1).alias("depth"))
     runs = found[0]

@@ -104,38 +104,48 @@ def posterior(code: Column, model: dict) -> Column:
 
 def fit(patterns: DataFrame, rounds: int = 12, trust: float = 20.0) -> dict:
     """Share of good texts and accuracies by expectation-maximisation over `patterns` (code, n). Each round is
-    one aggregate with one row; `trust` pseudo-votes hold each accuracy to its start."""
+    one aggregate over rules and votes; `trust` pseudo-votes hold each accuracy to its start."""
     model = {"good": START["good"], "rules": [(START["right_good"], START["right_bad"])] * len(RULES)}
-    code, n = F.col("code"), F.col("n")
+    votes = F.explode(F.array(*[F.struct(F.lit(i).alias("rule"), _vote(F.col("code"), i).alias("vote")) for i in range(len(RULES))])).alias("v")
     for _ in range(rounds):
-        p = posterior(code, model)
-        sums = [F.sum(n).alias("all"), F.sum(n * p).alias("good")]
-        for i in range(len(RULES)):
-            vote = _vote(code, i)
-            sums += [F.sum(F.when(vote == 1, n * p)).alias(f"gg{i}"), F.sum(F.when(vote != 0, n * p)).alias(f"g{i}"),
-                     F.sum(F.when(vote == -1, n * (1 - p))).alias(f"bb{i}"), F.sum(F.when(vote != 0, n * (1 - p))).alias(f"b{i}")]
-        got = {k: v or 0.0 for k, v in patterns.agg(*sums).first().asDict().items()}
+        seen = (patterns.select("n", (F.col("n") * posterior(F.col("code"), model)).alias("m"), "code")
+                .select("n", "m", votes).groupBy("v.rule", "v.vote").agg(F.sum("n").alias("n"), F.sum("m").alias("m")).collect())
+        # at most three rows a rule: how many votes, and how many of them from good texts
+        n, m = ({(r.rule, r.vote): r[c] for r in seen} for c in ("n", "m"))
+        of = lambda sums, rule, *kinds: sum(sums.get((rule, k), 0.0) for k in kinds)
         mean = lambda hits, of, start: min(1 - LEAST, max(LEAST, (hits + trust * start) / (of + trust)))
-        model = {"good": mean(got["good"], got["all"], START["good"]), "rules": [
-            (mean(got[f"gg{i}"], got[f"g{i}"], START["right_good"]), mean(got[f"bb{i}"], got[f"b{i}"], START["right_bad"]))
-            for i in range(len(RULES))]}
+        model = {"good": mean(of(m, 0, -1, 0, 1), of(n, 0, -1, 0, 1), START["good"]), "rules": [
+            (mean(of(m, i, 1), of(m, i, -1, 1), START["right_good"]),
+             mean(of(n, i, -1) - of(m, i, -1), of(n, i, -1, 1) - of(m, i, -1, 1), START["right_bad"])) for i in range(len(RULES))]}
     return model
 
 
-def judge(docs: DataFrame, *, text_col: str = "text", min_words: int = 20, repeat_percent: int = 30, threshold: float = 0.5) -> DataFrame:
-    """`docs` with `__figures`, `__good` (posterior), `__base_failed`, `__kept`."""
-    seen = figures(docs, text_col)
-    votes = figures(docs.select(F.col(text_col)), text_col).select(pattern(F.col("__figures")).alias("code"))
-    model = fit(written(votes.groupBy("code").agg(F.count("*").alias("n")), "vote-patterns"))
+def _model(votes: DataFrame) -> dict:
+    """Fitted on a table with `code`."""
+    return fit(written(votes.groupBy("code").agg(F.count("*").alias("n")), "vote-patterns"))
+
+
+def _verdict(seen: DataFrame, model: dict, min_words: int, repeat_percent: int, threshold: float) -> DataFrame:
     f = F.col("__figures")
     return (seen.withColumn("__good", posterior(pattern(f), model))
             .withColumn("__base_failed", (f["n_words"] < min_words) | (100 * f["n_repeat_words"] > repeat_percent * f["n_words"]))
             .withColumn("__kept", ~F.col("__base_failed") & (F.col("__good") >= threshold)))
 
 
-def table(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, FIGURES, base_failed, kept, good (the posterior) of every row."""
-    out = judge(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")))
+def judge(docs: DataFrame, *, text_col: str = "text", min_words: int = 20, repeat_percent: int = 30, threshold: float = 0.5) -> DataFrame:
+    """`docs` with `__figures`, `__good` (posterior), `__base_failed`, `__kept`. The figures are
+    taken twice, once for the model and once beside the rows, so no text is shuffled or stored."""
+    model = _model(figures(docs.select(F.col(text_col)), text_col).select(pattern(F.col("__figures")).alias("code")))
+    return _verdict(figures(docs, text_col), model, min_words, repeat_percent, threshold)
+
+
+def table(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, min_words: int = 20, repeat_percent: int = 30,
+          threshold: float = 0.5) -> DataFrame:
+    """doc_id, FIGURES, base_failed, kept, good (the posterior) of every row. The figures, a few
+    numbers a row, are written once."""
+    own = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    seen = written(figures(own).select("doc_id", "__figures"), "figures")
+    out = _verdict(seen, _model(seen.select(pattern(F.col("__figures")).alias("code"))), min_words, repeat_percent, threshold)
     return out.select("doc_id", *[F.col("__figures")[c].alias(c) for c in FIGURES],
                       F.col("__base_failed").alias("base_failed"), F.col("__kept").alias("kept"), F.col("__good").alias("good"))
 

@@ -93,7 +93,8 @@ def links(nodes: DataFrame, radius: int = 2, *, blocks: int = 4, tile_rows: int
     """a, b: links that connect all fingerprints f of `nodes` (distinct) within `radius` bits."""
     width = 64 // blocks
     base = width + 1
-    counts = [F.bit_count(F.shiftrightunsigned("f", i * width).bitwiseAND(F.lit((1 << width) - 1))) for i in range(blocks)]
+    mask = (1 << width) - 1 if width < 64 else -1
+    counts = [F.bit_count(F.shiftrightunsigned("f", i * width).bitwiseAND(F.lit(mask))) for i in range(blocks)]
     place = sum((c * base**i for i, c in enumerate(counts)), F.lit(0)).cast("int")
     laid = written(nodes.select("f", place.alias("cell")), "fingerprints")
     # at most (width + 1)^blocks cells, whatever the table's size

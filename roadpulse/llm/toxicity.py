@@ -23,6 +23,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from roadpulse.llm.common import written
+
 SCHEMA = "doc_id long, held_out boolean, score double, predicted int, exact int, misspelled int, quoted int, spans array<struct<first:int,edits:int,quoted:boolean>>"
 _EDGE = re.compile(r"^\W+|[\W]+$")
 _QUOTES = "\"“”«»„"
@@ -166,7 +168,9 @@ def training_rows(docs: DataFrame, labels: DataFrame, fit_rows: int, id_col: str
            .filter(F.col("y").isNotNull() & F.col("id").isNotNull() & ~held_out(F.col("id"))).groupBy("id").agg(F.max("y").alias("y")))
     share = min(1.0, fit_rows / max(1, own.count()))
     own = own.filter(F.pmod(F.xxhash64("id"), F.lit(1_000_003)) < int(share * 1_000_003))
-    return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).filter("text IS NOT NULL").join(own, "id").select("y", "text")
+    # the ids number `fit_rows` or so: small enough to go to all tasks, and the texts are written once
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).filter("text IS NOT NULL").join(F.broadcast(own), "id")
+    return written(rows.select("y", "text"), "toxicity-sample")
 
 
 def learn_terms(rows: DataFrame, *, least: int = 8, purity: float = 0.9, most: int = 3000) -> dict[str, int]:

@@ -1,0 +1,123 @@
+import zlib
+from collections import defaultdict
+
+import numpy as np
+import public_tokenizers
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from tokenizers import Tokenizer
+
+from roadpulse.llm.packing import cut_positions, pack, word_tokens
+
+PATH = public_tokenizers.path("word_bpe_49k.json")
+RULE = dict(seq_len=32, sentence_cost=2.0, inner_cost=6.0, open_cost=3.0, gap=8, least_power=8)
+
+
+def _packed(docs):
+    path = PATH
+    return pack(docs, lambda: word_tokens(path), end_id=2).collect()
+
+
+def _check(rows, docs):
+    tokenizer = Tokenizer.from_file(PATH)
+    expected = sorted(([*tokenizer.encode(t or "", add_special_tokens=False).ids, 2] for _, t in docs), key=lambda x: (len(x), x))
+    sequences, pieces = defaultdict(list), defaultdict(list)
+    for r in rows:
+        sequences[r.sequence_id].append((r.offset, r.length, r.sequence_length))
+        pieces[r.doc_id].append(r)
+    for own in sequences.values():
+        end = 0
+        for offset, length, _ in sorted(own):
+            assert offset == end and length > 0
+            end += length
+        assert {x[2] for x in own} == {end} and end <= 4096
+    by_id = defaultdict(list)
+    for doc_id, text in docs:
+        by_id[doc_id].append([*tokenizer.encode(text or "", add_special_tokens=False).ids, 2])
+    for doc_id, texts in by_id.items():
+        want = sum(len(t) for t in texts)
+        assert sum(r.length for r in pieces[doc_id]) == want
+        if len(texts) == 1:
+            ids, at = np.array(texts[0], "<u4"), 0
+            for r in sorted(pieces[doc_id], key=lambda r: r.start):
+                assert r.start == at and r.doc_tokens == len(ids)
+                assert r.ids_crc32 == zlib.crc32(ids[at:at + r.length].tobytes())
+                at += r.length
+            assert at == len(ids)
+    return expected
+
+
+def test_pieces_hold_every_id_once(documents):
+    docs = [(r.doc_id, r.text) for r in documents.collect()]
+    rows = _packed(documents)
+    _check(rows, docs)
+    lengths = {r.sequence_id: r.sequence_length for r in rows}.values()
+    padding = sum(0 if n & (n - 1) == 0 else 4096 - n for n in lengths)
+    assert padding < 0.01 * sum(lengths)
+    # order-preserving: sequences in ascending order hold documents in ascending order
+    order = [r.doc_id for r in sorted(rows, key=lambda r: (r.sequence_id, r.offset))]
+    assert order == sorted(order)
+
+
+def test_odd_rows(odd, empty):
+    docs = [(r.doc_id, r.text) for r in odd.collect()]
+    _check(_packed(odd), docs)
+    assert _packed(empty) == []
+
+
+def test_words_alone_give_the_ids_of_whole_texts():
+    made, tokenizer = word_tokens(PATH), Tokenizer.from_file(PATH)
+    texts = ["", "Don't stop, it's we'll.", "tab\tand nbsp em", "x\x1cy \x1f z", "a <|endoftext|> b", "ÀÉ é é ﬁ İstanbul ΣΑΣ ß", "1234 5.6",
+             "日本語 text。mixed!?", "hi!!! ... :-)", "A.B.C. e.g.,", "THE, The the. the"]
+    for text, got in zip(texts, made.flagged(texts), strict=True):
+        assert (got & 0x7FFFFFFF).tolist() == tokenizer.encode(text, add_special_tokens=False).ids, text
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.text(max_size=40), min_size=1, max_size=5))
+def test_any_text(texts):
+    tokenizer = Tokenizer.from_file(PATH)
+    for text, got in zip(texts, word_tokens(PATH).flagged(texts), strict=True):
+        assert (got & 0x7FFFFFFF).tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+
+
+def _cost(cuts, kind, rule):
+    total, begin = 0.0, 0
+    for c in cuts:
+        n = c - begin
+        assert 0 < n <= rule["seq_len"]
+        free = n & (n - 1) == 0 and (n >= rule["least_power"] or n == rule["seq_len"])
+        total += rule["open_cost"] + kind[c] + (0 if free else rule["seq_len"] - n)
+        begin = c
+    return total
+
+
+@pytest.mark.parametrize("seed", range(30))
+def test_cuts_are_the_cheapest(seed):
+    rng = np.random.default_rng(seed)
+    n = int(rng.integers(40, 160))
+    flagged = rng.integers(3, 99, n).astype(np.uint32)
+    ends = np.unique(np.append(rng.choice(n, 6) + 1, n))
+    stops = np.unique(rng.choice(n, n // 7))
+    flagged[stops] |= np.uint32(1 << 31)
+    kind = {}
+    edges = sorted({0, *ends.tolist(), *(stops + 1).tolist()})
+    for a, b in zip(edges, edges[1:], strict=False):
+        for c in range(a + RULE["gap"], b, RULE["gap"]):
+            kind[c] = RULE["inner_cost"]
+    kind |= {int(s) + 1: RULE["sentence_cost"] for s in stops} | {int(e): 0.0 for e in ends}
+    places = [0, *sorted(kind)]
+    best = {0: 0.0}
+    for p in places[1:]:
+        best[p] = min(best[q] + RULE["open_cost"] + kind[p] + (0 if (w := p - q) & (w - 1) == 0 and w >= RULE["least_power"] else RULE["seq_len"] - w)
+                      for q in places if q < p and p - q <= RULE["seq_len"])
+    cuts = cut_positions(flagged, ends, last=False, **RULE)
+    assert cuts[-1] == n
+    assert _cost(cuts, kind, RULE) == pytest.approx(best[n])
+
+
+def test_blocks_do_not_change_the_stream(spark, documents):
+    path = PATH
+    small = pack(documents, lambda: word_tokens(path), end_id=2, block_tokens=20_000).collect()
+    _check(small, [(r.doc_id, r.text) for r in documents.collect()])

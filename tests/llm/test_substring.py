@@ -1,0 +1,75 @@
+import random
+
+import pytest
+
+from roadpulse.llm import substring
+from tests.llm.brute import cut_passages, layout_without, sha
+
+
+def _check(spark, docs, length):
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    rows = substring.table(df, length).collect()
+    want = cut_passages(docs, length)
+    assert len(rows) == len(docs)
+    for r in rows:
+        w, keep = want[r.doc_id]
+        kept = [x for x, k in zip(w, keep, strict=True) if k]
+        assert (r.n_words, r.n_removed, r.kept_sha256) == (len(w), len(w) - len(kept), sha(" ".join(kept))), r.doc_id
+    texts = {r.doc_id: r["__kept"] for r in substring.cut(df, length).collect()}
+    for i, text in docs:
+        assert texts[i] == (text if all(want[i][1]) else layout_without(text, want[i][1]))
+    return rows
+
+
+def test_documents(spark, documents):
+    rows = _check(spark, [(r.doc_id, r.text) for r in documents.collect()], 50)
+    assert sum(r.n_removed for r in rows) > 0
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_shared_passages(spark, seed):
+    rng = random.Random(seed)
+    source = [f"s{rng.randrange(50)}" for _ in range(400)]
+    docs = []
+    for i in range(40):
+        parts = []
+        for _ in range(rng.randint(0, 4)):
+            parts += [f"w{rng.randrange(30)}" for _ in range(rng.randint(0, 30))]
+            at = rng.randrange(380)
+            parts += source[at:at + rng.randint(5, 60)]
+        docs.append((i, rng.choice([" ", "\n", "  \t"]).join(parts)))
+    _check(spark, docs, 10)
+
+
+def test_batches_do_not_matter(spark):
+    passage = " ".join(f"p{k}" for k in range(80))
+    docs = [(i, f"start{i} {passage} end{i} " + " ".join(f"q{i}x{k}" for k in range(60))) for i in range(200)]
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        rows = _check(spark, docs, 50)
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    assert sum(r.n_removed for r in rows) == 199 * 80
+
+
+def test_windows_by_doubling():
+    import numpy as np
+
+    hashed = np.arange(200, dtype=np.uint64)
+    repeated = np.concatenate([hashed, hashed])
+    for length in (1, 2, 5, 25, 50, 64):
+        own = substring.windows(repeated, length)
+        assert len(own) == 401 - length and len(set(own[:200].tolist())) == 200
+        assert (own[:201 - length] == own[200:]).all()
+    assert len(substring.windows(hashed[:3], 4)) == 0
+
+
+def test_odd_rows(odd, empty):
+    rows = substring.table(odd).collect()
+    assert len(rows) == odd.count()
+    assert all(r.n_removed == 0 for r in rows if r.doc_id in (None, 1, 2, 3, 4, 5, 6, 7, 8, 10, 11))
+    assert {r.n_removed for r in rows if r.doc_id == 12} == {120} and {r.n_removed for r in rows if r.doc_id == 9} == {0, 120}
+    out = substring.cut(odd)
+    assert out.count() == odd.count() and set(odd.columns) <= set(out.columns)
+    assert substring.table(empty).count() == 0 and substring.cut(empty).count() == 0
