@@ -1,10 +1,14 @@
 """Command line: python -m roadpulse <ingest|refine|catalog|report> ...
 
-  land     derive the five feeds from an observation table and publish their wire records
   ingest   five concurrent streams: topic -> decode -> watermark -> raw Parquet
   refine   raw -> refined for every feed (dedup, rules, date partitions); status table
   catalog  database + five external partitioned tables + partition repair
-  report   a named analytic over the catalog tables, written as Parquet (or shown)
+  report   a named analytic over the catalog tables or the refined folders, written as Parquet
+           (or shown)
+
+It runs where it is submitted: master and settings are those of the submission. `catalog` and
+`report --db` meet in the session's catalog, so across processes that must be a persistent one
+(a metastore); `report --refined` needs none.
 """
 
 from __future__ import annotations
@@ -18,9 +22,6 @@ from roadpulse.schemas import FEEDS
 def main(argv: list[str] | None = None) -> None:
     ap = argparse.ArgumentParser(prog="roadpulse")
     sub = ap.add_subparsers(dest="cmd", required=True)
-    ld = sub.add_parser("land")
-    ld.add_argument("--events", required=True, help="Parquet path of the observation table")
-    ld.add_argument("--landing", required=True)
     a = sub.add_parser("ingest")
     a.add_argument("--base", required=True, help="raw layer root (raw/<feed>, _checkpoints/...)")
     a.add_argument("--landing", help="landing folder root for file topics")
@@ -35,7 +36,7 @@ def main(argv: list[str] | None = None) -> None:
     r.add_argument("--strict", action="store_true")
     r.add_argument("--filter-first", action="store_true")
     r.add_argument("--layout", default="rebalance", choices=["rebalance", "range", "local"])
-    r.add_argument("--dynamic", action="store_true", help="replace only the dates present in the raw input")
+    r.add_argument("--dynamic", action="store_true", help="replace only the dates present in the raw input, which must hold them whole")
     c = sub.add_parser("catalog")
     c.add_argument("--db", required=True)
     c.add_argument("--refined", required=True)
@@ -43,26 +44,21 @@ def main(argv: list[str] | None = None) -> None:
     q = sub.add_parser("report")
     from roadpulse.reports import REPORTS
     q.add_argument("name", choices=sorted(REPORTS), metavar="name", help="one of: " + ", ".join(sorted(REPORTS)))
-    q.add_argument("--db", required=True)
+    q.add_argument("--db", help="database of the session's catalog")
+    q.add_argument("--refined", help="refined layer root, instead of --db")
     q.add_argument("--dates", help="comma-separated partition dates to read (pruned scan)")
     q.add_argument("--out", help="write the result as Parquet here; otherwise show it")
     q.add_argument("--latest", type=int, help="compute over the newest N rows of each input (dashboard scope)")
+    q.add_argument("--as-of", help="date of the active_incidents report (default: today)")
+    q.add_argument("--n", type=int, help="rows of a top-n report")
+    q.add_argument("--show", type=int, default=50, help="rows to show without --out (default 50)")
     args = ap.parse_args(argv)
+    if args.cmd == "report" and bool(args.db) == bool(args.refined):
+        ap.error("report needs either --db or --refined")
 
     spark = _session()
 
-    if args.cmd == "land":
-        from roadpulse.session import run_concurrently
-        from roadpulse.sources.feeds import derive_feed
-        from roadpulse.sources.wire import encode
-        from roadpulse.streaming.ingest import publish
-        ev = spark.read.parquet(args.events)
-        done = run_concurrently({f: (lambda f=f: publish(encode(derive_feed(ev, f), f), args.landing, f))
-                                 for f in FEEDS})
-        failed = {f: str(r) for f, r in done.items() if isinstance(r, Exception)}
-        if failed:
-            raise SystemExit(json.dumps(failed))
-    elif args.cmd == "ingest":
+    if args.cmd == "ingest":
         from roadpulse.streaming.ingest import run_ingest
         options = dict(kv.split("=", 1) for kv in args.option)
         trigger = {"availableNow": True} if args.available_now else None
@@ -76,24 +72,38 @@ def main(argv: list[str] | None = None) -> None:
     elif args.cmd == "catalog":
         from roadpulse.sources import catalog as C
         C.ensure_database(spark, args.db, args.location)
-        status = C.register_tables(spark, args.db, args.refined)
-        for feed in FEEDS:
-            C.repair_partitions(spark, args.db, feed)
-        print(json.dumps([r.asDict() for r in status.collect()]))
+        status = [r.asDict() for r in C.register_and_repair(spark, args.db, args.refined).collect()]
+        print(json.dumps(status))
+        if any(s["status"] != "created" for s in status):
+            raise SystemExit(1)
     elif args.cmd == "report":
         from roadpulse.reports import REPORTS, run_report
         from roadpulse.sources.catalog import scan
+        from roadpulse.sources.storage import read_refined
         dates = args.dates.split(",") if args.dates else None
-        feeds = REPORTS[args.name][0]
-        df = run_report(args.name, {f: scan(spark, args.db, f, dates) for f in feeds}, latest=args.latest)
+        if args.db and not spark.catalog.databaseExists(args.db):
+            raise SystemExit(f"no database {args.db!r} in this session's catalog ({spark.conf.get('spark.sql.catalogImplementation')}): "
+                             "configure a persistent catalog for both commands, or give --refined")
+
+        def table(feed):
+            if args.db:
+                return scan(spark, args.db, feed, dates)
+            df = read_refined(spark, feed, args.refined)
+            return df.filter(df["date"].isin(dates)) if dates else df
+
+        asked = {k: v for k, v in (("as_of", args.as_of), ("n", args.n)) if v is not None}
+        df = run_report(args.name, {f: table(f) for f in REPORTS[args.name][0]}, latest=args.latest, **asked)
         if args.out:
             df.write.mode("overwrite").parquet(args.out)
         else:
-            df.show(50, truncate=False)
+            df.show(args.show, truncate=False)
+            rows = df.count()
+            if rows > args.show:
+                print(f"{rows - args.show} more rows of {rows}; --out writes all, --show N shows more")
 
 
 def _session():
-    """Use the session spark-submit configured; locally fall back to build_session()."""
+    """The active session, or one with the submitted master and settings."""
     from pyspark.sql import SparkSession
     active = SparkSession.getActiveSession()
     if active is not None:

@@ -1,10 +1,10 @@
 """Aggregate helpers with engine-independent results.
 
-Means are computed from exact integer sums: a value with a known number of decimals `s`
-is scaled by 10^s to a BIGINT, summed exactly, and divided once as a double. Summation
-order then cannot change the result, so a rounded mean is the same on every cluster
-layout (and in any other engine doing the same arithmetic). The values the rules produce
-have known scales: speed 2, speed_kmh / temperature / heat_index 1, humidity 0.
+Means are computed from exact sums, divided once as a double, so summation order cannot
+change the result and a rounded mean is the same on every cluster layout.
+A column the rules round (speed_kmh and heat_index to 1 decimal) or an integer (humidity) is
+scaled by 10^s to a BIGINT. A raw measurement (speed, temperature) has no fixed number of
+decimals: it is summed as DECIMAL(38,12), which holds 12 decimals of every value.
 """
 
 from __future__ import annotations
@@ -22,23 +22,41 @@ def scaled(c: str | Column, scale: int) -> Column:
     return F.rint(_c(c) * (10 ** scale)).cast("bigint")
 
 
-def scaled_sum(c: str | Column, scale: int) -> Column:
-    return F.sum(scaled(c, scale))
-
-
 def exact_mean(c: str | Column, scale: int) -> Column:
     """AVG(c) from an exact scaled sum; null on an empty group."""
     s = scaled(c, scale)
     return F.sum(s).cast("double") / (F.count(s) * (10 ** scale)).cast("double")
 
 
-def mean_from_parts(scaled_total: Column, count: Column, scale: int) -> Column:
-    """Mean from an already aggregated scaled sum and its count (null when count is 0)."""
-    return F.when(count > 0, scaled_total.cast("double") / (count * (10 ** scale)).cast("double"))
+WIDE = 12  # decimals kept of a raw measurement
+
+
+def wide(c: str | Column) -> Column:
+    """Row value as a decimal with WIDE decimals (null if it is no finite number)."""
+    return _c(c).try_cast(f"decimal(38,{WIDE})")
+
 
+def wide_mean(c: str | Column) -> Column:
+    """AVG(c) of a raw measurement from an exact decimal sum; null on an empty group."""
+    x = wide(c)
+    return F.sum(x).cast("double") / F.count(x).cast("double")
 
-def round_mean(c: str | Column, scale: int, digits: int) -> Column:
-    return F.round(exact_mean(c, scale), digits)
+
+def wide_units(c: str | Column) -> Column:
+    """Row value as an exact whole number of 10^-WIDE units, DECIMAL(38,0), for sums that are
+    multiplied further (|value| below 10^12; null if it is no finite number)."""
+    unit = F.lit(10 ** WIDE).cast(f"decimal({WIDE + 1},0)")
+    return (_c(c).try_cast(f"decimal({WIDE * 2},{WIDE})") * unit).cast("decimal(38,0)")
+
+
+def big(c: str | Column) -> Column:
+    """A count or sum as DECIMAL(38,0): products of them do not fit a BIGINT."""
+    return _c(c).cast("decimal(38,0)")
+
+
+def mean_from_parts(scaled_total: Column, count: Column, scale: int) -> Column:
+    """Mean from an already aggregated scaled sum and its count (null when count is 0)."""
+    return F.when(count > 0, scaled_total.cast("double") / (count.cast("double") * F.lit(float(10 ** scale))))
 
 
 def sum_flag(c: str | Column) -> Column:

@@ -1,8 +1,7 @@
 """Dashboard datasets: the figures behind each KPI card, chart and table.
 
 Each function takes any refined frame. The dashboard's own scope, the newest 500 rows of
-each table, is `latest_rows(...)` / `dashboard_scope(...)`; pass its output to scope a
-dataset to it, or pass the whole table (the default in the query registry). One-row
+each table, is `latest_rows(...)`; pass its output to scope a dataset to it, or pass the whole table (the default in the query registry). One-row
 figures next to row-level data (the mean line, pie shares) are scalar subqueries: computed
 once by a small aggregate job and inlined as a literal. The KPI row is three one-row
 aggregates pivoted together. No join and no single-partition window is involved.
@@ -14,14 +13,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from roadpulse.functions import rules
-from roadpulse.functions.stats import exact_mean
+from roadpulse.functions.stats import wide_mean
 
+# The columns the dashboard reads, in their natural order.
 VEHICLE_COLUMNS = ["timestamp", "speed", "speed_kmh", "make", "model", "fuelType", "is_ev", "hour", "date"]
 WEATHER_COLUMNS = ["timestamp", "temperature", "weatherCondition", "precipitation", "windSpeed",
                    "humidity", "airQualityIndex", "heat_index", "aqi_category", "date"]
 EMERGENCY_COLUMNS = ["timestamp", "type", "status", "location", "description", "is_active",
                      "is_real_incident", "date"]
-SPEED_SCALE, TEMP_SCALE = 2, 1
 
 
 def latest(df: DataFrame, cols: list[str], n: int = 500, ts: str = "timestamp", key: str = "id") -> DataFrame:
@@ -41,10 +40,10 @@ def kpi_row(v: DataFrame, w: DataFrame, e: DataFrame) -> DataFrame:
     def long(one_row: DataFrame, names: list[str]) -> DataFrame:
         return one_row.unpivot([], names, "metric", "value")
 
-    vk = v.agg(F.round(exact_mean("speed", SPEED_SCALE), 1).alias("avg_speed"),
+    vk = v.agg(F.round(wide_mean("speed"), 1).alias("avg_speed"),
                F.round(F.avg(F.col("is_ev").cast("double")) * 100, 1).alias("ev_pct"),
                F.count(F.lit(1)).cast("double").alias("total_records"))
-    wk = w.agg(F.round(exact_mean("temperature", TEMP_SCALE), 1).alias("avg_temp"))
+    wk = w.agg(F.round(wide_mean("temperature"), 1).alias("avg_temp"))
     ek = e.agg(F.count_if(F.col("status") == rules.ACTIVE).cast("double").alias("active_incidents"),
                F.count_if(F.col("is_real_incident") == F.lit(True)).cast("double").alias("real_incidents"))
     metrics = (long(vk, ["avg_speed", "ev_pct", "total_records"])
@@ -60,14 +59,14 @@ def speed_timeline(v: DataFrame) -> DataFrame:
     """(timestamp, speed) with the overall mean speed beside every point, in time order.
     `id` breaks timestamp ties so the range partitioning of the sort can split a timestamp
     shared by many rows."""
-    mean_speed = v.agg(exact_mean("speed", SPEED_SCALE)).scalar()
+    mean_speed = v.agg(wide_mean("speed")).scalar()
     return v.orderBy("timestamp", "id").select("timestamp", "speed", mean_speed.alias("mean_speed"))
 
 
 def mean_speed_by_hour(v: DataFrame) -> DataFrame:
     """Mean raw speed per hour (null hours dropped, as a pandas group-by does)."""
     return (v.filter(F.col("hour").isNotNull()).groupBy("hour")
-             .agg(exact_mean("speed", SPEED_SCALE).alias("speed")).orderBy("hour"))
+             .agg(wide_mean("speed").alias("speed")).orderBy("hour"))
 
 
 def value_counts(df: DataFrame, column: str, *, share: bool = False, label: str | None = None) -> DataFrame:
@@ -85,7 +84,7 @@ def value_counts(df: DataFrame, column: str, *, share: bool = False, label: str
 def speed_mean_max_by_make(v: DataFrame) -> DataFrame:
     """Mean and max raw speed per make."""
     return (v.filter(F.col("make").isNotNull()).groupBy("make")
-             .agg(exact_mean("speed", SPEED_SCALE).alias("avg_speed"), F.max("speed").alias("max_speed"))
+             .agg(wide_mean("speed").alias("avg_speed"), F.max("speed").alias("max_speed"))
              .orderBy("make"))
 
 
@@ -120,8 +119,3 @@ def latest_rows(df: DataFrame, n: int = 500, ts: str = "timestamp", key: str = "
     """The newest n rows with all their columns (top-k per task, merged once)."""
     return df.orderBy(F.desc_nulls_last(ts), F.asc(key)).limit(n)
 
-
-def dashboard_scope(v: DataFrame, w: DataFrame, e: DataFrame, n: int = 500) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """The dashboard's own scope: the newest n rows of each table (D1-D3), every column kept
-    so any dataset can be computed over it."""
-    return latest_rows(v, n), latest_rows(w, n), latest_rows(e, n)

@@ -17,7 +17,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from roadpulse.functions.stats import scaled
+from roadpulse.functions.stats import exact_mean, scaled
 
 
 def histogram_summary(df: DataFrame, groups: Sequence[str], value: str, percentiles: Sequence[float],
@@ -41,7 +41,8 @@ def histogram_summary(df: DataFrame, groups: Sequence[str], value: str, percenti
 
 
 def sketch_percentiles(df: DataFrame, groups: Sequence[str], value: str, percentiles: Sequence[float],
-                       names: Sequence[str], accuracy: int = 10_000) -> DataFrame:
+                       names: Sequence[str], *, scale: int, accuracy: int = 10_000) -> DataFrame:
+    """Columns as histogram_summary, from one aggregate; null groups are kept."""
     q = F.percentile_approx(value, list(percentiles), accuracy)
-    out = df.groupBy(*groups).agg(F.count(F.lit(1)).alias("rows"), q.alias("_q"))
-    return out.select(*groups, "rows", *[F.col("_q")[i].alias(n) for i, n in enumerate(names)])
+    out = df.groupBy(*groups).agg(F.count(F.lit(1)).alias("rows"), exact_mean(value, scale).alias("mean"), q.alias("_q"))
+    return out.select(*groups, "rows", "mean", *[F.col("_q")[i].alias(n) for i, n in enumerate(names)])

@@ -81,11 +81,12 @@ def asof_weather(v: DataFrame, w: DataFrame, key: str = "vehicle_id", ts: str =
       5. the answer per (vehicle, instant) joins back to the readings with one row per key
          on that side; a hot instant on the readings side is split by AQE's skew join.
     The narrow union of both inputs is written once to the shared checkpoint folder and
-    feeds every step (`materialize=False` re-reads the inputs instead)."""
+    feeds every step (`materialize=False` re-reads the inputs instead); the instants are written
+    too, and seconds are summed up from instants, hours from seconds. Readings without a
+    vehicle or a time keep their row, with nulls."""
     wx = F.struct(F.col(ts).alias("t"), F.col("id").alias("wid"), F.col("temperature").alias("temp"),
                   F.col("weatherCondition").alias("cond"))
-    vk = (v.filter(F.col(key).isNotNull() & F.col(ts).isNotNull())
-           .select(key, ts, F.lit(1).alias("_side"), "id", "speed_kmh", F.lit(None).cast(WX_TYPE).alias("_wx")))
+    vk = (v.select(key, ts, F.lit(1).alias("_side"), "id", "speed_kmh", F.lit(None).cast(WX_TYPE).alias("_wx")))
     wk = (w.filter(F.col(key).isNotNull() & F.col(ts).isNotNull())
            .select(key, ts, F.lit(0).alias("_side"), "id", F.lit(None).cast("double").alias("speed_kmh"),
                    wx.alias("_wx")))
@@ -93,6 +94,7 @@ def asof_weather(v: DataFrame, w: DataFrame, key: str = "vehicle_id", ts: str =
     if materialize:
         from roadpulse.sources.storage import materialize as write_once
         both = write_once(both, "asof")
+    keyed = both.filter(F.col(key).isNotNull() & F.col(ts).isNotNull())
     is_w = F.col("_side") == 0
 
     micros = F.unix_micros(F.col(ts))
@@ -101,18 +103,20 @@ def asof_weather(v: DataFrame, w: DataFrame, key: str = "vehicle_id", ts: str =
     latest_w = F.max_by(F.when(is_w, F.col("_wx")), F.when(is_w, F.struct(F.col(ts), F.col("id"))))
 
     # 1) one row per distinct (vehicle, instant); 2) running last weather within the second
-    instants = (both.groupBy(key, ts)
-                    .agg(latest_w.alias("_at"), F.max("_side").alias("_has_v"))
-                    .withColumn("_s", second).withColumn("_h", hour))
+    instants = keyed.groupBy(key, ts).agg(latest_w.alias("_at"), F.max("_side").alias("_has_v"))
+    if materialize:
+        instants = write_once(instants, "asof-instants")
+    instants = instants.withColumn("_s", second).withColumn("_h", hour)
+    newest = lambda c: F.max_by(c, F.col(c)["t"])  # noqa: E731  the latest weather of several summaries
     upto = Window.partitionBy(key, "_s").orderBy(ts).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     local = (instants.withColumn("_near", F.last("_at", ignorenulls=True).over(upto))
                      .filter(F.col("_has_v") == 1).select(key, ts, "_s", "_h", "_near"))
     # 3) carry from earlier seconds of the same hour (every second holding any reading)
-    per_second = both.groupBy(key, second.alias("_s"), hour.alias("_h")).agg(latest_w.alias("_ws"))
+    per_second = instants.groupBy(key, "_s", "_h").agg(newest("_at").alias("_ws"))
     earlier_s = Window.partitionBy(key, "_h").orderBy("_s").rowsBetween(Window.unboundedPreceding, -1)
     carry_s = per_second.select(key, "_s", F.last("_ws", ignorenulls=True).over(earlier_s).alias("_cs"))
     # 4) carry from earlier hours of the vehicle
-    per_hour = both.groupBy(key, hour.alias("_h")).agg(latest_w.alias("_wh"))
+    per_hour = per_second.groupBy(key, "_h").agg(newest("_ws").alias("_wh"))
     earlier_h = Window.partitionBy(key).orderBy("_h").rowsBetween(Window.unboundedPreceding, -1)
     carry_h = per_hour.select(key, "_h", F.last("_wh", ignorenulls=True).over(earlier_h).alias("_ch"))
 

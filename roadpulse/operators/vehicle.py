@@ -5,28 +5,36 @@ meets every weather (and emergency) row of the same vehicle-day, and the figures
 taken over those pairs. Instead of materialising the pairs (cubic in the rows of a busy
 vehicle-day), each side is pre-aggregated per key and the pair-level sums are rebuilt
 exactly: a sum over pairs of a vehicle value is (sum over the vehicle rows) x (number of
-partner rows), and so on. The joins then meet one row per key per side, all three sides
+partner rows), and so on. Those products are DECIMAL(38,0): a busy vehicle-day makes more pairs
+than a BIGINT holds. The joins then meet one row per key per side, all three sides
 are hash-partitioned on the same key by their aggregates, and a hot vehicle is combined
 map-side before any shuffle.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import mul
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from roadpulse.operators.quantiles import histogram_summary, sketch_percentiles
 from roadpulse.functions.stats import (
+    WIDE,
+    big,
     exact_mean,
     exact_stddev,
     mean_from_parts,
     pct,
     scaled,
     sum_flag,
+    wide_mean,
+    wide_units,
 )
 
 KEYS = ["vehicle_id", "date"]
-SPEED_KMH_SCALE, SPEED_SCALE, TEMP_SCALE, HEAT_SCALE, HUMIDITY_SCALE = 1, 2, 1, 1, 0
+SPEED_KMH_SCALE, HEAT_SCALE, HUMIDITY_SCALE = 1, 1, 0  # decimals the rules leave
 
 
 def speed_by_make_fuel(v: DataFrame) -> DataFrame:
@@ -46,13 +54,11 @@ def speed_by_hour(v: DataFrame, method: str = "histogram", accuracy: int = 10_00
     histogram is bounded whatever the data size. `sketch` uses percentile_approx."""
     if method == "histogram":
         s = histogram_summary(v, ["hour"], "speed_kmh", [0.5, 0.95], ["p50", "p95"], scale=SPEED_KMH_SCALE)
-        s = s.withColumn("avg", F.col("mean"))
     elif method == "sketch":
-        s = sketch_percentiles(v, ["hour"], "speed_kmh", [0.5, 0.95], ["p50", "p95"], accuracy)
-        s = s.join(v.groupBy("hour").agg(exact_mean("speed_kmh", SPEED_KMH_SCALE).alias("avg")), "hour")
+        s = sketch_percentiles(v, ["hour"], "speed_kmh", [0.5, 0.95], ["p50", "p95"], scale=SPEED_KMH_SCALE, accuracy=accuracy)
     else:
         raise ValueError(f"unknown method {method!r}")
-    return (s.select("hour", F.col("rows").alias("observations"), F.round("avg", 1).alias("avg_speed"),
+    return (s.select("hour", F.col("rows").alias("observations"), F.round("mean", 1).alias("avg_speed"),
                      F.round("p50", 1).alias("p50_speed"), F.round("p95", 1).alias("p95_speed"))
              .orderBy("hour"))
 
@@ -77,7 +83,7 @@ def top_models(v: DataFrame, n: int = 15) -> DataFrame:
 def speed_by_make(v: DataFrame) -> DataFrame:
     """Mean raw speed and trip count per make."""
     return (v.groupBy("make")
-             .agg(F.round(exact_mean("speed", SPEED_SCALE), 1).alias("avg_speed"),
+             .agg(F.round(wide_mean("speed"), 1).alias("avg_speed"),
                   F.count(F.lit(1)).alias("trips"))
              .orderBy(F.desc("avg_speed"), "make"))
 
@@ -95,23 +101,24 @@ def speed_by_weather(v: DataFrame, w: DataFrame) -> DataFrame:
                F.count(scaled("speed_kmh", SPEED_KMH_SCALE)).alias("sp_cnt")))
     wa = (_keyed(w).groupBy(*KEYS, "weatherCondition", "aqi_category")
           .agg(F.count(F.lit(1)).alias("n_w"),
-               F.sum(scaled("temperature", TEMP_SCALE)).alias("t_sum"),
-               F.count(scaled("temperature", TEMP_SCALE)).alias("t_cnt"),
+               F.sum(wide_units("temperature")).alias("t_sum"),
+               F.count(wide_units("temperature")).alias("t_cnt"),
                F.sum(scaled("heat_index", HEAT_SCALE)).alias("hi_sum"),
                F.count(scaled("heat_index", HEAT_SCALE)).alias("hi_cnt"),
                F.sum(scaled("humidity", HUMIDITY_SCALE)).alias("h_sum"),
                F.count(scaled("humidity", HUMIDITY_SCALE)).alias("h_cnt")))
     j = va.join(wa, KEYS, "inner")
-    nv, nw = F.col("n_v"), F.col("n_w")
+    nv, nw = big("n_v"), big("n_w")
+    over = lambda c, n: F.sum(big(c) * n)
     return (j.groupBy("weatherCondition", "aqi_category")
-             .agg(F.sum(F.col("n_vid") * nw).alias("vehicle_obs"),
-                  F.round(mean_from_parts(F.sum(F.col("sp_sum") * nw), F.sum(F.col("sp_cnt") * nw),
+             .agg(over("n_vid", nw).cast("bigint").alias("vehicle_obs"),
+                  F.round(mean_from_parts(over("sp_sum", nw), over("sp_cnt", nw),
                                           SPEED_KMH_SCALE), 1).alias("avg_speed_kmh"),
-                  F.round(mean_from_parts(F.sum(F.col("t_sum") * nv), F.sum(F.col("t_cnt") * nv),
-                                          TEMP_SCALE), 1).alias("avg_temp_c"),
-                  F.round(mean_from_parts(F.sum(F.col("hi_sum") * nv), F.sum(F.col("hi_cnt") * nv),
+                  F.round(mean_from_parts(over("t_sum", nv), over("t_cnt", nv),
+                                          WIDE), 1).alias("avg_temp_c"),
+                  F.round(mean_from_parts(over("hi_sum", nv), over("hi_cnt", nv),
                                           HEAT_SCALE), 1).alias("avg_heat_index"),
-                  F.round(mean_from_parts(F.sum(F.col("h_sum") * nv), F.sum(F.col("h_cnt") * nv),
+                  F.round(mean_from_parts(over("h_sum", nv), over("h_cnt", nv),
                                           HUMIDITY_SCALE), 0).alias("avg_humidity_pct"))
              .orderBy(F.desc("avg_speed_kmh"), "weatherCondition", "aqi_category"))
 
@@ -127,27 +134,26 @@ def daily_kpi(v: DataFrame, w: DataFrame, e: DataFrame) -> DataFrame:
                F.sum(F.col("is_ev").cast("int")).cast("bigint").alias("ev_sum")))
     wa = (_keyed(w).groupBy(*KEYS)
           .agg(F.count(F.lit(1)).alias("n_w"),
-               F.sum(scaled("temperature", TEMP_SCALE)).alias("t_sum"),
-               F.count(scaled("temperature", TEMP_SCALE)).alias("t_cnt")))
+               F.sum(wide_units("temperature")).alias("t_sum"),
+               F.count(wide_units("temperature")).alias("t_cnt")))
     ea = (_keyed(e).groupBy(*KEYS)
           .agg(F.count(F.lit(1)).alias("n_e"), F.count("id").alias("n_eid"),
                F.sum(F.col("is_real_incident").cast("int")).cast("bigint").alias("real_sum")))
     j = va.join(wa, KEYS, "left").join(ea, KEYS, "left")
-    nv = F.col("n_v")
-    mw = F.coalesce(F.col("n_w"), F.lit(1))
-    me = F.coalesce(F.col("n_e"), F.lit(1))
+    nv = big("n_v")
+    mw = big(F.coalesce(F.col("n_w"), F.lit(1)))
+    me = big(F.coalesce(F.col("n_e"), F.lit(1)))
+    over = lambda c, *n: F.sum(reduce(mul, n, big(c)))
     return (j.groupBy("date")
              .agg(F.count("vehicle_id").alias("unique_vehicles"),
-                  F.sum(F.col("n_vid") * mw * me).alias("total_records"),
-                  F.round(mean_from_parts(F.sum(F.col("sp_sum") * mw * me),
-                                          F.sum(F.col("sp_cnt") * mw * me), SPEED_KMH_SCALE), 1)
+                  over("n_vid", mw, me).cast("bigint").alias("total_records"),
+                  F.round(mean_from_parts(over("sp_sum", mw, me), over("sp_cnt", mw, me), SPEED_KMH_SCALE), 1)
                    .alias("avg_speed_kmh"),
-                  F.sum(F.col("ev_sum") * mw * me).alias("ev_trips"),
-                  F.round(mean_from_parts(F.sum(F.col("t_sum") * nv * me),
-                                          F.sum(F.coalesce(F.col("t_cnt"), F.lit(0)) * nv * me),
-                                          TEMP_SCALE), 1).alias("avg_temp_c"),
-                  F.sum(F.coalesce(F.col("n_eid"), F.lit(0)) * nv * mw).alias("total_incidents"),
-                  F.sum(F.col("real_sum") * nv * mw).alias("real_incidents"))
+                  over("ev_sum", mw, me).cast("bigint").alias("ev_trips"),
+                  F.round(mean_from_parts(over("t_sum", nv, me), over(F.coalesce(F.col("t_cnt"), F.lit(0)), nv, me),
+                                          WIDE), 1).alias("avg_temp_c"),
+                  over(F.coalesce(F.col("n_eid"), F.lit(0)), nv, mw).cast("bigint").alias("total_incidents"),
+                  over("real_sum", nv, mw).cast("bigint").alias("real_incidents"))
              .orderBy(F.desc_nulls_last("date")))
 
 
@@ -158,7 +164,7 @@ def daily_kpi_exact(v: DataFrame, w: DataFrame, e: DataFrame) -> DataFrame:
                F.count("id").alias("total_records"),
                F.round(exact_mean("speed_kmh", SPEED_KMH_SCALE), 1).alias("avg_speed_kmh"),
                sum_flag("is_ev").alias("ev_trips")))
-    wd = w.groupBy("date").agg(F.round(exact_mean("temperature", TEMP_SCALE), 1).alias("avg_temp_c"))
+    wd = w.groupBy("date").agg(F.round(wide_mean("temperature"), 1).alias("avg_temp_c"))
     ed = (e.groupBy("date")
           .agg(F.count("id").alias("total_incidents"),
                sum_flag("is_real_incident").alias("real_incidents")))

@@ -4,7 +4,8 @@ The feeds are re-derived in SQL with the same integer/string rules as
 roadpulse.sources.feeds, deduplicated with DISTINCT (re-deliveries are identical copies),
 and every figure is written the plain way, joins included. Two parity rules keep the
 engines bit-identical: a rounded value is rounded HALF_UP from its shortest decimal text
-(as Spark's round does), and a mean is an exact scaled-integer sum divided once.
+(as Spark's round does), and a mean is an exact sum divided once: of whole numbers for columns
+the rules round, of the values' own decimal texts for raw measurements.
 """
 
 from __future__ import annotations
@@ -28,6 +29,12 @@ def M(x: str, scale: int) -> str:
             f"CAST(COUNT({x}) * {f} AS DOUBLE))")
 
 
+def WM(x: str) -> str:
+    """Exact mean of a raw measurement: its decimal texts summed."""
+    return (f"(CAST(CAST(SUM(CAST(CAST({x} AS VARCHAR) AS DECIMAL(38,12))) AS VARCHAR) AS DOUBLE) / "
+            f"CAST(COUNT({x}) AS DOUBLE))")
+
+
 def RM(x: str, scale: int, k: int) -> str:
     return R(M(x, scale), k)
 
@@ -41,10 +48,6 @@ def SD(x: str, scale: int) -> str:
             f" / CAST({n} * ({n} - 1) AS DOUBLE)) / {float(f)} END")
 
 
-def TS(x: str) -> str:
-    return x
-
-
 _LOC = ("'[10.' || CAST(4113 + n % 3657 AS VARCHAR) || '1,106.' || "
         "CAST(7009 + n % 2991 AS VARCHAR) || '1]'")
 _COMMON = ("'{p}' || CAST(n AS VARCHAR) AS id, 'Vehicle-' || CAST(user_id AS VARCHAR) AS vehicle_id")
@@ -53,8 +56,10 @@ CTES: dict[str, tuple[list[str], str]] = {
     "obs": ([], """SELECT n, ts, user_id, event_type, value FROM (
         SELECT event_id AS n, ts, user_id, event_type, value,
                unnest(CASE WHEN event_id % 10 = 0 THEN [0, 1] ELSE [0] END) AS copy FROM events)"""),
-    "raw_vehicle": (["obs"], f"""SELECT {_COMMON.format(p='veh-')}, ts AS timestamp, {_LOC} AS location,
-        value AS speed, 'South-East' AS direction, ({_MAKES})[n % 5 + 1] AS make,
+    "raw_vehicle": (["obs"], f"""SELECT 'veh-' || CAST(n AS VARCHAR) AS id,
+        CASE WHEN n % 101 <> 0 THEN 'Vehicle-' || CAST(user_id AS VARCHAR) END AS vehicle_id,
+        ts AS timestamp, {_LOC} AS location,
+        value + CAST(n % 8 AS DOUBLE) / CAST(1000 AS DOUBLE) AS speed, 'South-East' AS direction, ({_MAKES})[n % 5 + 1] AS make,
         ({_MODELS})[(n // 5) % 5 + 1] AS model, CAST(2018 + n % 7 AS INTEGER) AS year,
         CASE WHEN n % 97 <> 0 THEN ({_FUELS})[n % 3 + 1] END AS fuelType FROM obs"""),
     "raw_gps": (["obs"], f"""SELECT {_COMMON.format(p='gps-')}, ts AS timestamp, value AS speed,
@@ -63,7 +68,7 @@ CTES: dict[str, tuple[list[str], str]] = {
         'Camera-HighwayAI-0' || CAST(n % 5 AS VARCHAR) AS camera_id, {_LOC} AS location,
         ts AS timestamp, 'Base64EncodedString' AS snapshot FROM obs"""),
     "raw_weather": (["obs"], f"""SELECT {_COMMON.format(p='wx-')}, {_LOC} AS location, ts AS timestamp,
-        CAST((n * 7) % 800 AS DOUBLE) / CAST(10 AS DOUBLE) - CAST(15 AS DOUBLE) AS temperature,
+        CAST((n * 7919) % 80000 AS DOUBLE) / CAST(1000 AS DOUBLE) - CAST(15 AS DOUBLE) AS temperature,
         ({_CONDITIONS})[n % 4 + 1] AS weatherCondition,
         CAST((n * 3) % 500 AS DOUBLE) / CAST(10 AS DOUBLE) AS precipitation,
         CAST((n * 11) % 600 AS DOUBLE) / CAST(10 AS DOUBLE) AS windSpeed,
@@ -149,12 +154,12 @@ SELECT make, model, year, COUNT(*) AS trip_count, {RM('speed_kmh', 1, 1)} AS avg
 FROM vehicle GROUP BY make, model, year ORDER BY trip_count DESC, make, model, year LIMIT 15""")
 
 ORACLE["speed_by_make"] = sql(["vehicle"], f"""
-SELECT make, {RM('speed', 2, 1)} AS avg_speed, COUNT(*) AS trips
+SELECT make, {R(WM('speed'), 1)} AS avg_speed, COUNT(*) AS trips
 FROM vehicle GROUP BY make ORDER BY avg_speed DESC""")
 
 ORACLE["speed_by_weather"] = sql(["vehicle", "weather"], f"""
 SELECT w.weatherCondition, w.aqi_category, COUNT(v.id) AS vehicle_obs,
-       {RM('v.speed_kmh', 1, 1)} AS avg_speed_kmh, {RM('w.temperature', 1, 1)} AS avg_temp_c,
+       {RM('v.speed_kmh', 1, 1)} AS avg_speed_kmh, {R(WM('w.temperature'), 1)} AS avg_temp_c,
        {RM('w.heat_index', 1, 1)} AS avg_heat_index, {RM('w.humidity', 0, 0)} AS avg_humidity_pct
 FROM vehicle v JOIN weather w ON v.vehicle_id = w.vehicle_id AND v.date = w.date
 GROUP BY w.weatherCondition, w.aqi_category ORDER BY avg_speed_kmh DESC""")
@@ -162,7 +167,7 @@ GROUP BY w.weatherCondition, w.aqi_category ORDER BY avg_speed_kmh DESC""")
 ORACLE["daily_kpi"] = sql(["vehicle", "weather", "emergency"], f"""
 SELECT v.date, COUNT(DISTINCT v.vehicle_id) AS unique_vehicles, COUNT(v.id) AS total_records,
        {RM('v.speed_kmh', 1, 1)} AS avg_speed_kmh,
-       CAST(SUM(CAST(v.is_ev AS INTEGER)) AS BIGINT) AS ev_trips, {RM('w.temperature', 1, 1)} AS avg_temp_c,
+       CAST(SUM(CAST(v.is_ev AS INTEGER)) AS BIGINT) AS ev_trips, {R(WM('w.temperature'), 1)} AS avg_temp_c,
        COUNT(e.id) AS total_incidents, CAST(SUM(CAST(e.is_real_incident AS INTEGER)) AS BIGINT) AS real_incidents
 FROM vehicle v
 LEFT JOIN weather w ON v.vehicle_id = w.vehicle_id AND v.date = w.date
@@ -175,7 +180,7 @@ SELECT vd.date, vd.unique_vehicles, vd.total_records, vd.avg_speed_kmh, vd.ev_tr
 FROM (SELECT date, COUNT(DISTINCT vehicle_id) AS unique_vehicles, COUNT(id) AS total_records,
              {RM('speed_kmh', 1, 1)} AS avg_speed_kmh, CAST(SUM(CAST(is_ev AS INTEGER)) AS BIGINT) AS ev_trips
       FROM vehicle GROUP BY date) vd
-LEFT JOIN (SELECT date, {RM('temperature', 1, 1)} AS avg_temp_c FROM weather GROUP BY date) wd ON vd.date = wd.date
+LEFT JOIN (SELECT date, {R(WM('temperature'), 1)} AS avg_temp_c FROM weather GROUP BY date) wd ON vd.date = wd.date
 LEFT JOIN (SELECT date, COUNT(id) AS total_incidents,
                   CAST(SUM(CAST(is_real_incident AS INTEGER)) AS BIGINT) AS real_incidents
            FROM emergency GROUP BY date) ed ON vd.date = ed.date
@@ -226,18 +231,18 @@ ORACLE["latest_emergency"] = sql(["emergency"],
                                  f"SELECT {_ECOLS} FROM emergency ORDER BY timestamp DESC, id LIMIT 500")
 
 ORACLE["kpi_row"] = sql(["vehicle", "weather", "emergency"], f"""
-SELECT COALESCE({RM('speed', 2, 1)}, 0.0) AS avg_speed,
+SELECT COALESCE({R(WM('speed'), 1)}, 0.0) AS avg_speed,
        COALESCE({R('AVG(CAST(is_ev AS DOUBLE)) * 100', 1)}, 0.0) AS ev_pct,
        COUNT(*) AS total_records,
        (SELECT COUNT(*) FILTER (WHERE status = 'Active') FROM emergency) AS active_incidents,
        (SELECT COUNT(*) FILTER (WHERE is_real_incident) FROM emergency) AS real_incidents,
-       COALESCE((SELECT {RM('temperature', 1, 1)} FROM weather), 0.0) AS avg_temp
+       COALESCE((SELECT {R(WM('temperature'), 1)} FROM weather), 0.0) AS avg_temp
 FROM vehicle""")
 
 ORACLE["speed_timeline"] = sql(["vehicle"], f"""
-SELECT timestamp, speed, (SELECT {M('speed', 2)} FROM vehicle) AS mean_speed FROM vehicle ORDER BY timestamp""")
+SELECT timestamp, speed, (SELECT {WM('speed')} FROM vehicle) AS mean_speed FROM vehicle ORDER BY timestamp""")
 ORACLE["mean_speed_by_hour"] = sql(["vehicle"], f"""
-SELECT hour, {M('speed', 2)} AS speed FROM vehicle WHERE hour IS NOT NULL GROUP BY hour ORDER BY hour""")
+SELECT hour, {WM('speed')} AS speed FROM vehicle WHERE hour IS NOT NULL GROUP BY hour ORDER BY hour""")
 
 
 def _counts(table: str, column: str, label: str, share: bool, where: str = "TRUE") -> str:
@@ -253,7 +258,7 @@ ORACLE["condition_share"] = _counts("weather", "weatherCondition", "condition",
 ORACLE["aqi_counts"] = _counts("weather", "aqi_category", "category", False)
 ORACLE["incident_type_counts"] = _counts("emergency", "type", "type", False, "type IS DISTINCT FROM 'None'")
 ORACLE["speed_mean_max_by_make"] = sql(["vehicle"], f"""
-SELECT make, {M('speed', 2)} AS avg_speed, MAX(speed) AS max_speed FROM vehicle
+SELECT make, {WM('speed')} AS avg_speed, MAX(speed) AS max_speed FROM vehicle
 WHERE make IS NOT NULL GROUP BY make ORDER BY make""")
 ORACLE["weather_series"] = sql(["weather"], "SELECT timestamp, temperature, humidity FROM weather ORDER BY timestamp")
 ORACLE["active_table"] = sql(["emergency"], """
@@ -305,11 +310,12 @@ GROUP BY vehicle_id, trip_no ORDER BY vehicle_id, trip_start""")
 ORACLE["asof_weather"] = sql(["vehicle", "weather"], """
 SELECT v.id, v.vehicle_id, v.timestamp, v.speed_kmh, w.id AS weather_id, w.timestamp AS weather_time,
        w.temperature, w.weatherCondition
-FROM (SELECT * FROM vehicle WHERE vehicle_id IS NOT NULL AND timestamp IS NOT NULL) v
+FROM vehicle v
 ASOF LEFT JOIN (SELECT * FROM weather WHERE vehicle_id IS NOT NULL AND timestamp IS NOT NULL) w
   ON v.vehicle_id = w.vehicle_id AND v.timestamp >= w.timestamp""")
-ORACLE["dead_letter"] = sql(["obs"], """SELECT 'veh-' || CAST(n AS VARCHAR) AS key, 'vehicle_data' AS feed
-FROM obs WHERE event_type = 'error'""")
+ORACLE["dead_letter"] = sql(["raw_vehicle", "obs"], """SELECT r.id AS key, 'vehicle_data' AS feed, '~' AS noise, r.id AS id, r.vehicle_id AS vehicle_id,
+       r.speed AS speed, r.make AS make
+FROM raw_vehicle r WHERE r.id IN (SELECT 'veh-' || CAST(n AS VARCHAR) FROM obs WHERE event_type = 'error')""")
 ORACLE["dedup_latest"] = sql(["raw_vehicle"], "SELECT DISTINCT * FROM raw_vehicle")
 
 
@@ -329,7 +335,19 @@ ORACLE["reject_counts"] = sql(["raw_vehicle", "raw_gps", "raw_weather"], " UNION
     _rejects("weather_data", "raw_weather", {"temperature_range": "temperature BETWEEN -10 AND 60",
                                              "humidity_range": "humidity BETWEEN 0 AND 100"}),
 ]))
-ORACLE["incremental_refine"] = sql(["vehicle"], "SELECT date, COUNT(*) AS rows FROM vehicle GROUP BY date")
+ORACLE["incremental_refine"] = sql(["vehicle"], """SELECT date, COUNT(*) AS rows,
+       CAST(SUM(CAST(round(speed * 1000) AS BIGINT)) AS BIGINT) AS speed_units FROM vehicle GROUP BY date""")
+ORACLE["speed_by_hour_sketch"] = ORACLE["speed_by_hour"]
+
+
+# dashboard datasets over the newest 500 rows of their tables
+for _name, _tables in (("kpi_row", ("vehicle", "weather", "emergency")), ("fuel_share", ("vehicle",)), ("condition_share", ("weather",)),
+                       ("active_table", ("emergency",)), ("incident_timeline", ("emergency",))):
+    _body = ORACLE[_name][len(with_ctes(*_tables)):]
+    for _t in _tables:
+        _body = _body.replace(f"FROM {_t}", f"FROM newest_{_t}")
+    ORACLE[f"{_name}_newest"] = with_ctes(*_tables).rstrip() + ",\n" + ",\n".join(
+        f"newest_{t} AS (SELECT * FROM {t} ORDER BY timestamp DESC NULLS LAST, id LIMIT 500)" for t in _tables) + "\n" + _body
 
 ORACLE["catalog_tables"] = sql(["vehicle", "gps", "traffic", "weather", "emergency"], " UNION ALL ".join(
     f"SELECT '{t}_data' AS \"table\", COUNT(*) AS rows, COUNT(DISTINCT date) AS dates FROM {t}" for t in _SHORT))

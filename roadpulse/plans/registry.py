@@ -92,6 +92,7 @@ def _valid_weather(s, d):
 # ---- vehicle analytics ----------------------------------------------------------------
 plan("speed_by_make_fuel")(lambda s, d: V.speed_by_make_fuel(_v(s, d)))
 plan("speed_by_hour")(lambda s, d: V.speed_by_hour(_v(s, d)))
+plan("speed_by_hour_sketch")(lambda s, d: V.speed_by_hour(_v(s, d), method="sketch"))
 plan("ev_share_by_date")(lambda s, d: V.ev_share_by_date(_v(s, d)))
 plan("top_models")(lambda s, d: V.top_models(_v(s, d)))
 plan("speed_by_weather")(lambda s, d: V.speed_by_weather(_v(s, d), _w(s, d)))
@@ -134,6 +135,15 @@ plan("active_table")(lambda s, d: D.active_table(_e(s, d)))
 plan("incident_timeline")(lambda s, d: D.incident_timeline(_e(s, d)))
 
 
+# the dashboard's own scope: the newest 500 rows of each table
+plan("kpi_row_newest")(lambda s, d: D.kpi_row(*(D.latest_rows(t(s, d)) for t in (_v, _w, _e))))
+plan("fuel_share_newest")(lambda s, d: D.value_counts(_once(D.latest_rows(_v(s, d)), "vehicle"), "fuelType", share=True))
+plan("condition_share_newest")(lambda s, d: D.value_counts(_once(D.latest_rows(_w(s, d)), "weather"), "weatherCondition", share=True,
+                                                           label="condition"))
+plan("active_table_newest")(lambda s, d: D.active_table(D.latest_rows(_e(s, d))))
+plan("incident_timeline_newest")(lambda s, d: D.incident_timeline(D.latest_rows(_e(s, d))))
+
+
 def queries() -> dict[str, Plan]:
     return dict(PLANS)
 
@@ -165,10 +175,9 @@ def _catalog_pruned_scan(s, d):
     C.ensure_database(s, db, f"{base}/_db")
     C.register_tables(s, db, base, (EMERGENCY,), strict=True)
     C.repair_partitions(s, db, EMERGENCY)
-    table = C.scan(s, db, EMERGENCY)
-    # E2's date predicate is on the partition column: Catalyst turns it into a runtime
-    # PartitionFilter, so only the newest date's directory is read
-    return E.active_incidents(table, as_of=E.latest_date(table))
+    # the newest date comes from the catalog's partition list and is a literal, so only its
+    # directory is listed and read
+    return E.active_incidents(C.scan(s, db, EMERGENCY), as_of=C.newest_partition(s, db, EMERGENCY))
 
 
 @plan("refine_all_status")
@@ -262,7 +271,10 @@ def _dead_letter(s, d):
     wire = wire.select("key", F.when(F.col("_damaged"), F.concat(F.lit("~"), F.col("value")))
                        .otherwise(F.col("value")).alias("value"))
     _, bad = split_dead_letters(wire, VEHICLE)
-    return bad.select("key", F.lit(VEHICLE).alias("feed"))
+    payload = F.substring("value", 2, 1 << 30)
+    return bad.select("key", F.lit(VEHICLE).alias("feed"), F.substring("value", 1, 1).alias("noise"),
+                      *[F.get_json_object(payload, f"$.{c}").cast(t).alias(c)
+                        for c, t in (("id", "string"), ("vehicle_id", "string"), ("speed", "double"), ("make", "string"))])
 
 
 plan("dedup_latest")(lambda s, d: P.dedup_latest(raw(s, d, VEHICLE)))
@@ -280,14 +292,21 @@ def _reject_counts(s, d):
 
 @plan("incremental_refine")
 def _incremental_refine(s, d):
-    """Full refined write, then the newest three dates re-delivered and rewritten
-    with dynamic partition overwrite; every other date must survive. Rows per date."""
+    """A raw layer that lacks every fifth record of the newest three dates and holds a stale
+    copy (other speed) of another fifth; the delta brings the missing records, late, and
+    the corrected copies. Afterwards every date, touched or not, must be whole."""
     base = scratch_dir(s, "incremental")
-    S.write_refined(_v(s, d), VEHICLE, base)
     r = raw(s, d, VEHICLE)
     newest = r.agg(F.max(F.to_date("timestamp"))).scalar()
-    S.incremental_refine(r.filter(F.to_date("timestamp") >= F.date_sub(newest, 2)), VEHICLE, base)
-    return S.read_refined(s, VEHICLE, base).groupBy("date").agg(F.count(F.lit(1)).alias("rows"))
+    step = F.substring("id", 5, 20).cast("long") % 5
+    recent = F.to_date("timestamp") >= F.date_sub(newest, 2)
+    before = (r.filter(~(recent & (step == 0)))
+              .withColumn("speed", F.when(recent & (step == 1), F.lit(1.0)).otherwise(F.col("speed"))))
+    S.write_raw_batch(before, VEHICLE, base)
+    S.write_refined(P.REFINERS[VEHICLE](S.read_raw(s, VEHICLE, base)), VEHICLE, base)
+    S.incremental_refine(r.filter(recent & step.isin(0, 1)), VEHICLE, base, raw_base=base)
+    return (S.read_refined(s, VEHICLE, base).groupBy("date")
+            .agg(F.count(F.lit(1)).alias("rows"), F.sum(F.round(F.col("speed") * 1000).cast("bigint")).alias("speed_units")))
 
 
 @plan("catalog_tables")

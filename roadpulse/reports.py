@@ -8,6 +8,7 @@ recomputed from raw data.
 from __future__ import annotations
 
 from collections.abc import Callable
+from inspect import signature
 
 from pyspark.sql import DataFrame
 
@@ -46,9 +47,9 @@ REPORTS: dict[str, tuple[tuple[str, ...], Callable[..., DataFrame]]] = {
     "incident_type_counts": ((EMERGENCY,), D.incident_type_counts),
     "active_table": ((EMERGENCY,), D.active_table),
     "incident_timeline": ((EMERGENCY,), D.incident_timeline),
-    "latest_vehicle": ((VEHICLE,), lambda v: D.latest(v, D.VEHICLE_COLUMNS)),
-    "latest_weather": ((WEATHER,), lambda w: D.latest(w, D.WEATHER_COLUMNS)),
-    "latest_emergency": ((EMERGENCY,), lambda e: D.latest(e, D.EMERGENCY_COLUMNS)),
+    "latest_vehicle": ((VEHICLE,), lambda v, n=500: D.latest(v, D.VEHICLE_COLUMNS, n)),
+    "latest_weather": ((WEATHER,), lambda w, n=500: D.latest(w, D.WEATHER_COLUMNS, n)),
+    "latest_emergency": ((EMERGENCY,), lambda e, n=500: D.latest(e, D.EMERGENCY_COLUMNS, n)),
     "trips": ((VEHICLE,), X.trips),
     "asof_weather": ((VEHICLE, WEATHER), X.asof_weather),
 }
@@ -58,6 +59,9 @@ def run_report(name: str, tables: Tables, *, latest: int | None = None, **kw) ->
     """Run a named report. With `latest`, each input is first cut to its newest `latest`
     rows -- the dashboard's own scope (it shows its cards over the newest 500 rows)."""
     feeds, fn = REPORTS[name]
+    unknown = set(kw) - set(signature(fn).parameters)
+    if unknown:
+        raise ValueError(f"report {name} takes no {', '.join(sorted(unknown))}")
     inputs = [tables[f] for f in feeds]
     if latest:
         inputs = [D.latest_rows(df, latest) for df in inputs]

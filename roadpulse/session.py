@@ -35,31 +35,40 @@ CLUSTER_CONF = {
 
 def build_session(master: str | None = None, *, shuffle_partitions: int | None = None,
                   app_name: str = "roadpulse", extra: dict[str, str] | None = None) -> SparkSession:
-    """A session with the settings the engine relies on (UTC, AQE with skew handling, no
-    UI). A `local[N]` master gets N shuffle partitions and Spark's in-memory state store
-    (small state commits faster in one JVM); any other master gets CLUSTER_CONF."""
-    master = master or f"local[{os.environ.get('BENCH_CPUS', '8')}]"
-    local = master.startswith("local")
-    cores = int(master[6:-1]) if master.startswith("local[") and master[6:-1].isdigit() else 8
-    builder = (
-        SparkSession.builder.master(master)
-        .appName(app_name)
-        .config("spark.ui.enabled", "false")
-        .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.sql.adaptive.enabled", "true")
-        .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
-        .config("spark.sql.adaptive.skewJoin.enabled", "true")
-        .config("spark.sql.sources.partitionOverwriteMode", "static")
-        .config("spark.sql.streaming.noDataMicroBatches.enabled", "true")
-    )
-    if local:
-        builder = (builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions or cores))
-                   .config("spark.driver.memory", "8g"))
-    else:
-        for key, value in CLUSTER_CONF.items():
+    """A session with the settings the engine relies on (UTC, AQE with skew handling, no UI).
+
+    Nothing that was submitted is overridden: without `master` the submitted one holds, and a
+    default below is set only where the submission says nothing of that key. Arguments win over
+    both. A `local[N]` master gets N shuffle partitions and Spark's in-memory state store (small
+    state commits faster in one JVM); any other master gets CLUSTER_CONF."""
+    from pyspark import SparkConf, SparkContext
+
+    if master is None:
+        SparkContext._ensure_initialized()  # the JVM holds what was submitted; a conf made before it starts is empty
+    submitted = SparkConf()  # what spark-submit, its defaults file or PYSPARK_SUBMIT_ARGS set
+    given = master or submitted.get("spark.master", None)
+    local = (given or "local").startswith("local")
+    cores = int(given[6:-1]) if (given or "").startswith("local[") and given[6:-1].isdigit() else os.cpu_count() or 8
+    defaults = {
+        "spark.ui.enabled": "false",
+        "spark.sql.session.timeZone": "UTC",
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.sources.partitionOverwriteMode": "static",
+        "spark.sql.streaming.noDataMicroBatches.enabled": "true",
+    }
+    defaults |= {"spark.sql.shuffle.partitions": str(cores), "spark.driver.memory": "8g"} if local else CLUSTER_CONF
+    builder = SparkSession.builder
+    if master:
+        builder = builder.master(master)
+    if master or not submitted.contains("spark.app.name"):
+        builder = builder.appName(app_name)
+    for key, value in defaults.items():
+        if not submitted.contains(key):
             builder = builder.config(key, value)
-        if shuffle_partitions:
-            builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    if shuffle_partitions:
+        builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     for key, value in (extra or {}).items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()

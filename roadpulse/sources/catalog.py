@@ -35,6 +35,29 @@ def register_tables(spark: SparkSession, db: str, base: str, feeds: tuple[str, .
     return spark.createDataFrame(status, "table string, status string")
 
 
+def register_and_repair(spark: SparkSession, db: str, base: str, feeds: tuple[str, ...] = FEEDS) -> DataFrame:
+    """S8 + S9, each table on its own: a table that was created is repaired, and neither step
+    failing stops the other tables. Returns (table, status)."""
+    status = []
+    for row in register_tables(spark, db, base, feeds).collect():
+        state = row.status
+        if state == "created":
+            try:
+                repair_partitions(spark, db, row.table)
+            except Exception as exc:
+                state = f"FAIL: {exc}"
+        status.append((row.table, state))
+    return spark.createDataFrame(status, "table string, status string")
+
+
+def newest_partition(spark: SparkSession, db: str, feed: str) -> str | None:
+    """The newest date of a table from the catalog's partition list alone: no file is opened. The
+    list has one entry per date."""
+    names = [r[0] for r in spark.sql(f"SHOW PARTITIONS `{db}`.`{feed}`").collect()]
+    dates = [n.split("=", 1)[1] for n in names if n.startswith(f"{PARTITION_COLUMN}=")]
+    return max((d for d in dates if d != "__HIVE_DEFAULT_PARTITION__"), default=None)
+
+
 def repair_partitions(spark: SparkSession, db: str, feed: str) -> None:
     """Discover partition directories written since the table was created."""
     spark.sql(f"MSCK REPAIR TABLE `{db}`.`{feed}`")

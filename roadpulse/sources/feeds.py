@@ -29,6 +29,7 @@ SNAPSHOT = "Base64EncodedString"
 DESCRIPTION = "Incident on the expressway"
 ID_PREFIX = {VEHICLE: "veh-", GPS: "gps-", TRAFFIC: "cam-", WEATHER: "wx-", EMERGENCY: "emg-"}
 REDELIVERY_EVERY = 10   # every 10th step is delivered twice
+NULL_VEHICLE_EVERY = 101
 NULL_FUEL_EVERY = 97    # fuel type missing on every 97th step
 NULL_AQI_EVERY = 89     # AQI missing on every 89th step
 
@@ -72,7 +73,8 @@ def _feed_sql(feed: str, n: str) -> dict[str, str]:
     }
     if feed == VEHICLE:
         specific = {
-            "speed": "value", "direction": _q(DIRECTION),
+            "vehicle_id": f"CASE WHEN {n} % {NULL_VEHICLE_EVERY} <> 0 THEN concat('Vehicle-', CAST(user_id AS STRING)) END",
+            "speed": f"value + CAST({n} % 8 AS DOUBLE) / 1000.0D", "direction": _q(DIRECTION),
             "make": _pick(MAKES, f"{n} % 5"), "model": _pick(MODELS, f"({n} div 5) % 5"),
             "year": f"2018 + {n} % 7",
             "fuelType": f"CASE WHEN {n} % {NULL_FUEL_EVERY} <> 0 THEN {_pick(FUEL_TYPES, f'{n} % 3')} END",
@@ -83,7 +85,7 @@ def _feed_sql(feed: str, n: str) -> dict[str, str]:
         specific = {"camera_id": f"concat({_q(CAMERA_PREFIX)}, CAST({n} % 5 AS STRING))", "snapshot": _q(SNAPSHOT)}
     elif feed == WEATHER:
         specific = {
-            "temperature": f"{_tenths(f'({n} * 7) % 800')} - 15.0D",
+            "temperature": f"CAST(({n} * 7919) % 80000 AS DOUBLE) / 1000.0D - 15.0D",
             "weatherCondition": _pick(WEATHER_CONDITIONS, f"{n} % 4"),
             "precipitation": _tenths(f"({n} * 3) % 500"),
             "windSpeed": _tenths(f"({n} * 11) % 600"),

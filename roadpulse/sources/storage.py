@@ -45,7 +45,8 @@ def materialize(df: DataFrame, purpose: str) -> DataFrame:
 
 def read_raw(spark: SparkSession, feed: str, base: str) -> DataFrame:
     """Raw feed with the registry schema imposed (no inference, no schema merge)."""
-    return spark.read.schema(FEED_SCHEMAS[feed]).parquet(raw_path(base, feed))
+    rows = spark.read.schema(FEED_SCHEMAS[feed]).parquet(raw_path(base, feed))
+    return rows.select(*[f.name for f in FEED_SCHEMAS[feed].fields])  # not the batch folders of split ingest
 
 
 def write_raw_batch(df: DataFrame, feed: str, base: str, mode: str = "append") -> None:
@@ -84,8 +85,10 @@ def _laid_out(df: DataFrame, layout: str) -> DataFrame:
 def write_refined(df: DataFrame, feed: str, base: str, *, mode: str = "overwrite",
                   dynamic: bool = False, layout: str = "rebalance") -> int:
     """Write a refined feed partitioned by `date`; returns the row count, observed
-    during the write (no second pass). `dynamic=True` replaces only the dates present in
-    `df` and keeps every other partition (X13)."""
+    during the write (no second pass). `dynamic=True` replaces the dates present in `df`, each
+    as a whole, and keeps every other partition: `df` must hold all rows of its dates
+    (`incremental_refine` sees to that for a delta). `layout="rebalance"` needs AQE; without
+    it rows go through `range`, the same rows in other files."""
     obs = Observation(f"rows_{feed}_{uuid.uuid4().hex[:12]}")  # unique: writes may run concurrently
     cols = [f.name for f in refined_read_schema(feed).fields]
     out = _laid_out(df.select(*cols), layout).observe(obs, F.count(F.lit(1)).alias("rows"))
@@ -96,10 +99,44 @@ def write_refined(df: DataFrame, feed: str, base: str, *, mode: str = "overwrite
     return int(obs.get["rows"])
 
 
-def incremental_refine(raw_delta: DataFrame, feed: str, base: str, *, layout: str = "rebalance") -> int:
-    """Refine a delta of raw rows and replace only the dates it touches."""
+def _drop_date(spark: SparkSession, feed: str, base: str, date: str) -> None:
+    """Remove the folder of a date that holds no row any more."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{refined_path(base, feed)}/{PARTITION_COLUMN}={date}")
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def incremental_refine(raw_delta: DataFrame, feed: str, base: str, *, raw_base: str, layout: str = "rebalance") -> int:
+    """Bring a delta of raw rows (new ids, corrected copies, late rows) into the refined feed
+    and rewrite only the dates it touches: the dates of its rows and those on which its ids
+    lie now. Each touched date is rebuilt whole, from the raw layer at `raw_base` plus the
+    delta, where a copy in the delta replaces older copies of its id; all other dates
+    stay as they are. Whether the raw layer already holds the delta does not matter.
+    Returns the number of rows on the touched dates."""
     from roadpulse.operators.refine import REFINERS
-    return write_refined(REFINERS[feed](raw_delta), feed, base, mode="overwrite", dynamic=True, layout=layout)
+
+    spark = raw_delta.sparkSession
+    names = [f.name for f in FEED_SCHEMAS[feed].fields]
+    delta = materialize(raw_delta.select(*names), f"delta-{feed}")
+    ids = delta.select("id").filter(F.col("id").isNotNull()).distinct()
+    day = F.date_format("timestamp", "yyyy-MM-dd")
+    moved = read_refined(spark, feed, base).join(ids, "id", "left_semi").select(F.col(PARTITION_COLUMN).alias("d"))
+    # one row per calendar date
+    dates = [r.d for r in delta.select(day.alias("d")).unionByName(moved).distinct().collect()]
+    known = sorted(d for d in dates if d is not None)
+    touched = day.isin(known)
+    if known:  # a plain range on the column reaches the Parquet scan
+        touched &= (F.col("timestamp") >= F.lit(known[0]).cast("timestamp")) & \
+                   (F.col("timestamp") < F.date_add(F.lit(known[-1]).cast("date"), 1).cast("timestamp"))
+    if None in dates:
+        touched |= F.col("timestamp").isNull()
+    kept = read_raw(spark, feed, raw_base).select(*names).filter(touched).join(ids, "id", "left_anti")
+    rebuilt = materialize(REFINERS[feed](kept.unionByName(delta)), f"rebuilt-{feed}")
+    rows = write_refined(rebuilt, feed, base, mode="overwrite", dynamic=True, layout=layout)
+    filled = {r.d for r in rebuilt.select(F.col(PARTITION_COLUMN).alias("d")).distinct().collect()}
+    for date in known:
+        if date not in filled:
+            _drop_date(spark, feed, base, date)
+    return rows
 
 
 def refine_all(spark: SparkSession, raw_base: str, refined_base: str, feeds: tuple[str, ...] | None = None,
@@ -107,7 +144,8 @@ def refine_all(spark: SparkSession, raw_base: str, refined_base: str, feeds: tup
                dynamic: bool = False, **refine_kw) -> DataFrame:
     """Raw -> refined for every feed; one feed failing does not stop the others.
     Feeds are independent jobs and run concurrently unless `concurrent=False`. With
-    `dynamic=True` only the dates present in the raw input are replaced (X13).
+    `dynamic=True` only the dates present in the raw input are replaced, each as a whole: the
+    input must hold all rows of those dates (for a delta use incremental_refine).
     Returns (feed, status, rows); `strict=True` raises the first failure instead."""
     from roadpulse.operators.refine import REFINERS
     from roadpulse.schemas import FEEDS
@@ -134,7 +172,7 @@ def refine_all(spark: SparkSession, raw_base: str, refined_base: str, feeds: tup
         if isinstance(got, Exception):
             if strict:
                 raise got
-            results.append((feed, f"FAIL: {type(got).__name__}: {str(got)[:200]}", None))
+            results.append((feed, f"FAIL: {type(got).__name__}: {got}", None))
         else:
             results.append((feed, "OK", int(got)))
     return spark.createDataFrame(results, "feed string, status string, rows bigint")

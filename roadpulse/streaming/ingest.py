@@ -86,7 +86,7 @@ def write_raw(df: DataFrame, feed: str, base: str, *, trigger: dict | None = Non
 def await_all(spark: SparkSession, queries: list[StreamingQuery], poll_s: int = 1) -> None:
     """Block until every query has stopped; the first failure of any query is raised at
     once (a later query's failure is not hidden behind an earlier one that keeps running).
-    Every wake-up re-checks all queries, so a termination is never missed."""
+    Only these queries are looked at; other queries of the session are left alone."""
     pending = list(queries)
     while pending:
         failed = [q for q in pending if not q.isActive and q.exception() is not None]
@@ -98,34 +98,52 @@ def await_all(spark: SparkSession, queries: list[StreamingQuery], poll_s: int =
             raise RuntimeError(f"stream {q.name or q.id} failed: {q.exception()}")
         pending = [q for q in pending if q.isActive]
         if pending:
-            spark.streams.awaitAnyTermination(poll_s)
-            spark.streams.resetTerminated()
+            pending[0].awaitTermination(poll_s)
 
 
 def dead_letter_path(base: str, feed: str) -> str:
     return f"{base.rstrip('/')}/dead_letters/{feed}"
 
 
+def write_split(topic: DataFrame, feed: str, base: str, *, trigger: dict | None = None) -> StreamingQuery:
+    """One query, so one reader of the topic, writes every micro-batch to two folders: decoded
+    rows to the raw layer and undecodable records to the dead letters. A record is in exactly
+    one of them. Each batch has a folder of its own, overwritten if the batch is run again; so a
+    base folder is ingested either with dead letters or without, from its first batch on."""
+    def both(batch: DataFrame, batch_id: int) -> None:
+        batch.persist()
+        try:
+            good, bad = split_dead_letters(batch, feed)
+            for df, path in ((good, raw_path(base, feed)), (bad, dead_letter_path(base, feed))):
+                df.write.mode("overwrite").option("compression", "snappy").parquet(f"{path}/batch={batch_id}")
+        finally:
+            batch.unpersist()
+
+    writer = topic.writeStream.option("checkpointLocation", checkpoint_path(base, feed)).foreachBatch(both)
+    return _trigger(writer, trigger).start()
+
+
 def run_ingest(spark: SparkSession, landing: str, base: str, feeds: tuple[str, ...] = FEEDS, *,
                fmt: str = "parquet", trigger: dict | None = None, watermark: str | None = DEFAULT_WATERMARK,
                wait: bool = True, dead_letters: bool = False,
                options: dict[str, str] | None = None) -> list[StreamingQuery]:
     """One concurrent streaming query per feed (topic -> decode -> raw Parquet).
     With `dead_letters` (X9), records whose id does not decode go, whole and undecoded, to
-    base/dead_letters/<feed> instead of becoming all-null raw rows (a second checkpointed
-    query per feed over the same topic). With `wait` (and a finite trigger such as
-    availableNow) block until all finish."""
+    base/dead_letters/<feed> instead of becoming all-null raw rows. With `wait` (and a finite
+    trigger such as availableNow) block until all finish. If a query cannot start, those
+    already started are stopped."""
     started = []
-    for feed in feeds:
-        topic = read_topic(spark, feed, fmt=fmt, landing=landing, options=options)
-        if dead_letters:
-            good, bad = split_dead_letters(topic, feed)
-            stream = good.withWatermark("timestamp", watermark) if watermark else good
-            started.append(write_stream(bad, dead_letter_path(base, feed),
-                                        checkpoint_path(base, feed, "dead_letters"), trigger=trigger))
-        else:
-            stream = decode_stream(topic, feed, watermark)
-        started.append(write_raw(stream, feed, base, trigger=trigger))
+    try:
+        for feed in feeds:
+            topic = read_topic(spark, feed, fmt=fmt, landing=landing, options=options)
+            if dead_letters:
+                started.append(write_split(topic, feed, base, trigger=trigger))
+            else:
+                started.append(write_raw(decode_stream(topic, feed, watermark), feed, base, trigger=trigger))
+    except Exception:
+        for query in started:
+            query.stop()
+        raise
     if wait:
         await_all(spark, started)
     return started

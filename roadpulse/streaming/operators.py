@@ -16,12 +16,13 @@ from roadpulse.operators.refine import REFINERS
 KEY = "id"
 
 
-def stream_dedup(df: DataFrame, key: str = KEY, salts: int | None = 16) -> DataFrame:
+def stream_dedup(df: DataFrame, key: str = KEY, salts: int | None = None) -> DataFrame:
     """Drop re-deliveries of an id; state for an id is kept only until the watermark
     passes its event time plus the watermark delay (bounded state).
 
-    Copies of one id all hash to one task, so a burst of copies of a single id (a third
-    of a batch, say) would be one task's work. With `salts`, a first dedup runs on
+    Copies of one id all hash to one task. Where bursts of copies of a single id are to be
+    expected (a third of a batch, say), `salts` splits them at the price of a second state
+    store: a first dedup runs on
     (id, input partition mod salts): copies arriving through different input partitions
     meet in different tasks, and at most `salts` survivors per id reach the final dedup on
     id. The salt is the input partition, so a replayed batch salts the same way."""

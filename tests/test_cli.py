@@ -6,12 +6,13 @@ from roadpulse.__main__ import main
 from roadpulse.schemas import EMERGENCY, FEEDS
 from roadpulse.session import scratch_dir
 from tests.conftest import SF_SMALL
+from tools.land import land
 
 
 def test_ingest_refine_catalog_report(spark, capsys):
     ev = spark.read.parquet(f"{SF_SMALL}/events.parquet")
     landing, base = scratch_dir(spark, "landing"), scratch_dir(spark, "base")
-    main(["land", "--events", f"{SF_SMALL}/events.parquet", "--landing", landing])
+    land(spark, f"{SF_SMALL}/events.parquet", landing)
     assert spark.read.parquet(f"{landing}/{FEEDS[0]}").count() == ev.count() + ev.filter("event_id % 10 = 0").count()
     main(["ingest", "--base", base, "--landing", landing, "--available-now"])
     main(["refine", "--raw", base, "--refined", f"{base}/refined-root"])

@@ -5,8 +5,8 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from roadpulse.operators import dashboard as D
-from roadpulse.operators.refine import refine_traffic, refine_vehicle
-from roadpulse.schemas import EMERGENCY, FEEDS, TRAFFIC, VEHICLE
+from roadpulse.operators.refine import refine_gps, refine_traffic, refine_vehicle
+from roadpulse.schemas import EMERGENCY, FEEDS, GPS, TRAFFIC, VEHICLE
 from roadpulse.sources import catalog as C
 from roadpulse.sources import storage as S
 from roadpulse.sources.feeds import derive_feed
@@ -69,7 +69,7 @@ def test_plan_shapes(spark):
     v = refine_vehicle(derive_feed(_events(spark), VEHICLE))
     top = D.latest(v, D.VEHICLE_COLUMNS)._jdf.queryExecution().executedPlan().toString()
     assert "TakeOrderedAndProject" in top
-    q = refine_vehicle(derive_feed(_events(spark), VEHICLE), filter_first=True)
+    q = refine_gps(derive_feed(_events(spark), GPS), filter_first=True)
     scan = q._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [IsNotNull(value), GreaterThanOrEqual(value,0.0)" in scan
     for df in (D.speed_timeline(v), D.value_counts(v, "fuelType", share=True)):

@@ -1,0 +1,78 @@
+"""Streams over many micro-batches: equal to batch, with state that the watermark keeps small."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from roadpulse.operators.refine import refine_emergency
+from roadpulse.operators import dashboard as D
+from roadpulse.plans import streams as ST
+from roadpulse.schemas import EMERGENCY, VEHICLE
+from roadpulse.session import scratch_dir
+from roadpulse.sources.feeds import derive_feed
+from roadpulse.sources.wire import encode
+from roadpulse.streaming import ingest as I
+from roadpulse.streaming import operators as SO
+from tests.conftest import SF_SMALL
+
+BATCHES = 5
+ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def _landed(spark, feed):
+    """The feed published in ranges of event time, one file after the other."""
+    events = spark.read.parquet(f"{SF_SMALL}/events.parquet")
+    rows = derive_feed(events, feed)
+    landing = scratch_dir(spark, "ranges")
+    edges = [r[0] for r in events.select("ts").orderBy("ts").collect()]
+    cuts = [edges[len(edges) * k // BATCHES] for k in range(BATCHES)] + [None]
+    for low, high in zip(cuts, cuts[1:], strict=False):
+        ts = F.col("timestamp").cast("timestamp_ntz")
+        part = rows.filter((ts >= F.lit(low)) & ((ts < F.lit(high)) if high else F.lit(True)))
+        I.publish(encode(part, feed).coalesce(1), landing, feed)
+    return landing, rows
+
+
+def _stream(spark, landing, feed):
+    return I.decode_stream(I.read_topic(spark, feed, landing=landing, max_files_per_trigger=1), feed)
+
+
+def _run(spark, df, name):
+    out = scratch_dir(spark, name)
+    query = I.write_stream(df, f"{out}/data", f"{out}/checkpoint", trigger=ST.AVAILABLE_NOW)
+    query.awaitTermination()
+    progress = [p for p in query.recentProgress if p["numInputRows"]]
+    held = [max((o["numRowsTotal"] for o in p["stateOperators"]), default=0) for p in progress]
+    return spark.read.parquet(f"{out}/data"), len(progress), held
+
+
+@pytest.mark.parametrize("provider", [None, ROCKS])
+def test_dedup_state_is_bounded_by_the_watermark(spark, provider):
+    landing, rows = _landed(spark, VEHICLE)
+    if provider:
+        spark.conf.set("spark.sql.streaming.stateStore.providerClass", provider)
+    try:
+        got, batches, held = _run(spark, SO.stream_dedup(_stream(spark, landing, VEHICLE)), "dedup-ranges")
+    finally:
+        spark.conf.unset("spark.sql.streaming.stateStore.providerClass")
+    ids = rows.select("id").distinct().count()
+    assert batches == BATCHES
+    assert got.count() == got.select("id").distinct().count() == ids
+    assert max(held) < ids / 2  # never all ids at once
+
+
+def test_hourly_counts_equal_batch(spark):
+    landing, rows = _landed(spark, EMERGENCY)
+    stream = SO.hourly_incidents(SO.stream_refine(_stream(spark, landing, EMERGENCY), EMERGENCY))
+    got, batches, held = _run(spark, stream, "hours-ranges")
+    assert batches == BATCHES and max(held) < 1000
+    want = {(r.timestamp, r.type, r["count"]) for r in D.incident_timeline(refine_emergency(rows)).collect()}
+    found = {(r.timestamp, r.type, r["count"]) for r in got.collect()}
+    last = max(t for t, _, _ in want)  # windows the watermark has not passed are still open
+    assert found <= want and {w for w in want if w[0] < last} <= found
+
+
+def test_started_queries_are_stopped_if_one_cannot_start(spark, tmp_base):
+    landing, _ = _landed(spark, VEHICLE)
+    with pytest.raises(Exception):
+        I.run_ingest(spark, landing, tmp_base, (VEHICLE, "no_such_feed"))
+    assert not spark.streams.active
