@@ -127,7 +127,7 @@ def _model(votes: DataFrame) -> dict:
 
 def _verdict(seen: DataFrame, model: dict, min_words: int, repeat_percent: int, threshold: float) -> DataFrame:
     f = F.col("__figures")
-    return (seen.withColumn("__good", posterior(pattern(f), model))
+    return (seen.withColumn("__code", pattern(f)).withColumn("__good", posterior(F.col("__code"), model)).drop("__code")
             .withColumn("__base_failed", (f["n_words"] < min_words) | (100 * f["n_repeat_words"] > repeat_percent * f["n_words"]))
             .withColumn("__kept", ~F.col("__base_failed") & (F.col("__good") >= threshold)))
 
