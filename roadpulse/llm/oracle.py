@@ -17,5 +17,96 @@ WHERE r <= 10
 """
 
 
+# white space as the operators see it
+_SPACE = r"[\x20\x09-\x0D]+"
+_WORD = r"[^\x20\x09-\x0D]"
+
+OP2 = rf"""
+WITH lines AS (
+  SELECT doc_id, unnest(string_split(COALESCE(text, ''), chr(10))) AS line,
+         generate_subscripts(string_split(COALESCE(text, ''), chr(10)), 1) AS i FROM documents),
+placed AS (  -- a blank line belongs to the line before it
+  SELECT *, regexp_matches(line, '{_WORD}') AS has,
+         SUM(CAST(regexp_matches(line, '{_WORD}') AS INTEGER)) OVER (PARTITION BY doc_id ORDER BY i) AS pos FROM lines),
+pairs AS (
+  SELECT doc_id, pos, line, lead(line) OVER (PARTITION BY doc_id ORDER BY pos) AS follows FROM placed WHERE has),
+later AS (
+  SELECT doc_id, pos, row_number() OVER (PARTITION BY line, follows ORDER BY doc_id, pos) AS copy FROM pairs WHERE follows IS NOT NULL),
+gone AS (
+  SELECT doc_id, pos FROM later WHERE copy > 1 UNION SELECT doc_id, pos + 1 FROM later WHERE copy > 1)
+SELECT p.doc_id, CAST(SUM(CAST(p.has AS INTEGER)) AS BIGINT) AS n_lines,
+       CAST(SUM(CASE WHEN p.has AND g.pos IS NOT NULL THEN 1 ELSE 0 END) AS BIGINT) AS n_removed,
+       sha256(COALESCE(string_agg(p.line, chr(10) ORDER BY p.i) FILTER (WHERE g.pos IS NULL), '')) AS kept_sha256
+FROM placed p LEFT JOIN gone g ON p.doc_id = g.doc_id AND p.pos = g.pos
+GROUP BY p.doc_id
+"""
+
+OP8 = rf"""
+WITH d AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(COALESCE(text, ''), '{_SPACE}'), lambda x: x <> '') AS w FROM documents),
+starts AS (SELECT doc_id, w, unnest(range(1, len(w) - 48)) AS i FROM d WHERE len(w) >= 50),
+windows AS (SELECT doc_id, i, array_to_string(w[i:i + 49], ' ') AS h FROM starts),
+firsts AS (SELECT doc_id, i, min(doc_id) OVER (PARTITION BY h) AS first FROM windows),
+gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 50)) AS k FROM firsts WHERE doc_id > first),
+split AS (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS k FROM d),
+kept AS (
+  SELECT s.doc_id, CAST(COUNT(g.k) AS BIGINT) AS n_removed, string_agg(s.word, ' ' ORDER BY s.k) FILTER (WHERE g.k IS NULL) AS text
+  FROM split s LEFT JOIN gone g ON s.doc_id = g.doc_id AND s.k = g.k GROUP BY s.doc_id)
+SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, COALESCE(k.n_removed, 0) AS n_removed, sha256(COALESCE(k.text, '')) AS kept_sha256
+FROM d LEFT JOIN kept k ON d.doc_id = k.doc_id
+"""
+
+
+def _quality_sql(rounds: int = 12, trust: float = 20.0) -> str:
+    """Figures, votes and the rounds of expectation-maximisation, each one a row of parameters."""
+    from roadpulse.llm.quality import LEAST, RULES, START
+
+    votes = []
+    for i, (_, above, below, low, at_low, high, at_high) in enumerate(RULES):
+        share = f"(CAST({above} AS DOUBLE) / greatest({below}, 1))"
+        votes.append(f"CASE WHEN {share} <= {low} THEN {at_low} WHEN {share} >= {high} THEN {at_high} ELSE 0 END AS v{i}")
+    names = [f"v{i}" for i in range(len(RULES))]
+    odds = " + ".join(["ln(good / (1 - good))"] + [
+        f"CASE v{i} WHEN 1 THEN ln(g{i} / (1 - b{i})) WHEN -1 THEN ln((1 - g{i}) / b{i}) ELSE 0 END" for i in range(len(RULES))])
+    post = f"1 / (1 + exp(-({odds})))"
+    clip = lambda hits, of, start: f"least({1 - LEAST}, greatest({LEAST}, (COALESCE({hits}, 0) + {trust * start}) / (COALESCE({of}, 0) + {trust})))"
+    text = f"""
+WITH t AS (SELECT doc_id, COALESCE(text, '') AS text FROM documents),
+d AS (
+  SELECT doc_id, text, list_filter(regexp_split_to_array(text, '{_SPACE}'), lambda x: x <> '') AS w,
+         list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '{_WORD}')) AS lines FROM t),
+starts AS (SELECT doc_id, w, unnest(range(1, len(w) - 6)) AS i FROM d WHERE len(w) >= 8),
+windows AS (SELECT doc_id, i, array_to_string(w[i:i + 7], ' ') AS h FROM starts),
+twice AS (SELECT doc_id, i FROM (SELECT *, COUNT(*) OVER (PARTITION BY doc_id, h) AS n FROM windows) WHERE n > 1),
+covered AS (
+  SELECT doc_id, CAST(SUM(least(8, COALESCE(follows - i, 8))) AS BIGINT) AS n_repeat_words
+  FROM (SELECT doc_id, i, lead(i) OVER (PARTITION BY doc_id ORDER BY i) AS follows FROM twice) GROUP BY doc_id),
+figures AS (
+  SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(length(regexp_replace(text, '{_SPACE}', '', 'g')) AS BIGINT) AS word_chars,
+         CAST(length(regexp_replace(text, '[^#*$%&|<>]+', '', 'g')) AS BIGINT) AS n_symbols,
+         CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines, COALESCE(c.n_repeat_words, 0) AS n_repeat_words,
+         len(list_filter(w, lambda x: regexp_matches(x, '^[\\p{{L}}\\p{{M}}''’-]+[.,;:!?]?$'))) AS n_prose,
+         length(regexp_replace(text, '\\P{{Lu}}+', '', 'g')) AS n_capitals,
+         length(text) - length(regexp_replace(text, '!{{2,}}', '', 'g')) AS n_shouts, len(lines) AS n_lines,
+         len(list_distinct(w)) AS n_distinct, len(list_filter(range(2, len(w) + 1), lambda j: w[j] = w[j - 1])) AS n_echoes
+  FROM d LEFT JOIN covered c ON d.doc_id = c.doc_id),
+voted AS (SELECT *, {', '.join(votes)} FROM figures),
+patterns AS MATERIALIZED (SELECT {', '.join(names)}, COUNT(*) AS n FROM voted GROUP BY ALL),
+m0 AS (SELECT {START['good']} AS good, {', '.join(f"{START['right_good']} AS g{i}, {START['right_bad']} AS b{i}" for i in range(len(RULES)))})"""
+    for k in range(1, rounds + 1):
+        parts = [f"{clip('SUM(n * p)', 'SUM(n)', START['good'])} AS good"]
+        for i in range(len(RULES)):
+            parts.append(clip(f"SUM(CASE WHEN v{i} = 1 THEN n * p END)", f"SUM(CASE WHEN v{i} <> 0 THEN n * p END)", START["right_good"]) + f" AS g{i}")
+            parts.append(clip(f"SUM(CASE WHEN v{i} = -1 THEN n * (1 - p) END)", f"SUM(CASE WHEN v{i} <> 0 THEN n * (1 - p) END)", START["right_bad"]) + f" AS b{i}")
+        text += f""",
+m{k} AS MATERIALIZED (SELECT {', '.join(parts)} FROM (SELECT *, {post} AS p FROM patterns CROSS JOIN m{k - 1}))"""
+    return text + f"""
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+       n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed,
+       NOT (n_words < 20 OR 100 * n_repeat_words > 30 * n_words) AND {post} >= 0.5 AS kept
+FROM voted CROSS JOIN m{rounds}
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op9_topk_search": OP9}
+    return {"op2_line_dedup": OP2, "op4_quality": _quality_sql(), "op8_substring": OP8, "op9_topk_search": OP9}

@@ -38,7 +38,7 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     from roadpulse.llm.quality import table
 
-    return table(read(spark, sf_dir, "documents"))
+    return table(read(spark, sf_dir, "documents")).drop("good")
 
 
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

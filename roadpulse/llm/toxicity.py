@@ -1,7 +1,7 @@
 """Toxicity by a misspelling-tolerant lexicon and the context of its hits.
 
 The lexicon is learned from labelled rows: words, and stems with many endings, that occur in
-toxic texts and hardly in others. It is kept as a trie; a Levenshtein automaton runs over the trie
+toxic texts and hardly in others (hits), or at least more often than not (hints). It is kept as a trie; a Levenshtein automaton runs over the trie
 (states: trie node and edits so far) and is made deterministic as words demand, so a word leaves
 at its first impossible letter. Every hit is looked at in a window of words: between quotation
 marks it counts as a quotation, otherwise as abuse, the more so with further hits near by. A
@@ -29,7 +29,9 @@ SCHEMA = "doc_id long, held_out boolean, score double, predicted int, exact int,
 _EDGE = re.compile(r"^\W+|[\W]+$")
 _QUOTES = "\"“”«»„"
 #: figures of a text that the logistic model weighs
-FIGURES = ("any hit", "hits", "misspelled", "misspelled only", "quoted", "quoted only", "density")
+FIGURES = ("any hit", "hits", "misspelled", "misspelled only", "quoted", "quoted only", "density", "hints", "hints per 100 words")
+#: edits allowed of a term that only hints
+HINT = -1
 
 
 def held_out(doc_id: Column) -> Column:
@@ -40,7 +42,7 @@ class Automaton:
     """Deterministic on demand: a set of (trie node, edits) with one more letter read."""
 
     def __init__(self, terms: dict[str, int]):
-        """terms: word or stem* -> edits allowed."""
+        """terms: word or stem* -> edits allowed (0 and more)."""
         self.child: list[dict[str, int]] = [{}]
         self.limit: list[int] = [-1]  # edits allowed below this node
         self.end: list[int] = [-1]  # edits allowed for a word that ends here
@@ -120,36 +122,51 @@ class Scanner:
     """Hits of a text, with a verdict kept per distinct word."""
 
     def __init__(self, terms: dict[str, int], window: int = 12, keep: int = 500_000):
-        self.automaton, self.window, self.keep, self.known = Automaton(terms), window, keep, {}
+        self.automaton = Automaton({t: k for t, k in terms.items() if k != HINT})
+        self.hints = Automaton({t: 0 for t, k in terms.items() if k == HINT})
+        self.window, self.keep, self.known = window, keep, {}
+
+    def _verdict(self, raw: str) -> int:
+        """Edits of a hit, -1 for neither, -2 for a hint."""
+        word = _EDGE.sub("", raw)
+        edits = self.automaton.edits(word)
+        return -2 if edits < 0 and self.hints.edits(word) == 0 else edits
 
     def hits(self, text: str) -> list[tuple[int, int, bool, int]]:
         """(word number, edits, quoted, other hits in the window) of every hit."""
-        found, known = [], self.known
+        return self.scan(text)[0]
+
+    def scan(self, text: str) -> tuple[list[tuple[int, int, bool, int]], int, int]:
+        """hits(text), the number of hints, the number of words."""
+        found, known, hints = [], self.known, 0
         split = text.lower().split()
         if len(known) > self.keep:
             known.clear()
         for at, raw in enumerate(split):
             edits = known.get(raw)
             if edits is None:
-                edits = known[raw] = self.automaton.edits(_EDGE.sub("", raw))
+                edits = known[raw] = self._verdict(raw)
             if edits >= 0:
                 found.append((at, edits))
+            elif edits == -2:
+                hints += 1
         if not found:
-            return []
+            return [], hints, len(split)
         marks = [i for i, raw in enumerate(split) if any(q in raw for q in _QUOTES)] if any(q in text for q in _QUOTES) else []
         out = []
         for at, edits in found:
             near = [m for m in marks if abs(m - at) <= self.window]
             quoted = any(m <= at for m in near) and any(m >= at for m in near)
             out.append((at, edits, quoted, sum(abs(o - at) <= self.window for o, _ in _around(found, at, self.window)) - 1))
-        return out
+        return out, hints, len(split)
 
-    def figures(self, hits: list) -> list[float]:
+    def figures(self, hits: list, hints: int, n_words: int) -> list[float]:
+        hinted = [float(np.log1p(hints)), float(np.log1p(100 * hints / max(n_words, 20)))]
         if not hits:
-            return [0.0] * len(FIGURES)
+            return [0.0] * (len(FIGURES) - 2) + hinted
         odd, quoted = sum(h[1] > 0 for h in hits), sum(h[2] for h in hits)
         return [1.0, float(np.log1p(len(hits))), float(np.log1p(odd)), float(odd == len(hits)), float(np.log1p(quoted)),
-                float(quoted == len(hits)), float(np.log1p(max(h[3] for h in hits)))]
+                float(quoted == len(hits)), float(np.log1p(max(h[3] for h in hits))), *hinted]
 
 
 def _around(found: list, at: int, window: int) -> list:
@@ -170,32 +187,37 @@ def training_rows(docs: DataFrame, labels: DataFrame, fit_rows: int, id_col: str
     own = own.filter(F.pmod(F.xxhash64("id"), F.lit(1_000_003)) < int(share * 1_000_003))
     # the ids number `fit_rows` or so: small enough to go to all tasks, and the texts are written once
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).filter("text IS NOT NULL").join(F.broadcast(own), "id")
-    return written(rows.select("y", "text"), "toxicity-sample")
+    return written(rows.select("y", "text").distinct(), "toxicity-sample")  # copies would count one text's words often
 
 
-def learn_terms(rows: DataFrame, *, least: int = 8, purity: float = 0.9, most: int = 3000) -> dict[str, int]:
-    """Words and stems of toxic texts. Returns term -> edits allowed (at most `most` terms)."""
+def learn_terms(rows: DataFrame, *, least: int = 8, share: float = 0.01, purity: float = 0.9, hint: float = 0.5, most: int = 3000) -> dict[str, int]:
+    """Words and stems of toxic texts: in `least` of them and `share` of them at least, of all texts
+    that hold them a `purity` toxic (hits) or a `hint` (hints). Returns term -> edits
+    allowed, HINT for hints (at most `most` terms)."""
+    least = max(least, share * (rows.agg(F.sum("y")).first()[0] or 0))
     each = F.explode(F.array_distinct(F.split(F.lower("text"), r"[^\p{L}\p{N}]+")))
     counted = (rows.select("y", each.alias("w")).filter("length(w) >= 3").groupBy("w")
                .agg(F.sum("y").alias("hits"), F.sum(1 - F.col("y")).alias("rest")))
     stems = F.explode(F.array_distinct(F.transform(F.sequence(F.lit(4), F.lit(6)), lambda n: F.substring("w", F.lit(1), n))))
     ways = counted.select("w", "hits", "rest", stems.alias("s")).filter("length(s) < length(w)")
-    pure = (F.col("hits") >= least) & (F.col("hits") >= purity * (F.col("hits") + F.col("rest")))
-    single = counted.filter(pure).select(F.col("w").alias("term"), "hits", F.lit(1).alias("n"))
+    pure = (F.col("hits") >= least) & (F.col("hits") >= hint * (F.col("hits") + F.col("rest")))
+    sure = (F.col("hits") >= purity * (F.col("hits") + F.col("rest"))).alias("sure")
+    single = counted.filter(pure).select(F.col("w").alias("term"), "hits", sure)
     joint = (ways.groupBy("s").agg(F.sum("hits").alias("hits"), F.sum("rest").alias("rest"), F.count("*").alias("n"))
-             .filter(pure & (F.col("n") >= 8)).select(F.concat("s", F.lit("*")).alias("term"), "hits", "n"))
-    found = single.unionByName(joint).orderBy(F.desc("hits"), F.length("term"), "term").limit(most).collect()
+             .filter(pure & (F.col("n") >= 8)).select(F.concat("s", F.lit("*")).alias("term"), "hits", sure))
+    found = single.unionByName(joint).orderBy(F.desc("sure"), F.desc("hits"), F.length("term"), "term").limit(most).collect()
     # a stem covers its words and longer stems; single words of their own stay words
     chosen: dict[str, int] = {}
-    bases = sorted((r.term[:-1] for r in found if r.term.endswith("*")), key=len)
-    kept: list[str] = []
-    for stem in bases:
-        if not any(stem.startswith(k) for k in kept):
-            kept.append(stem)
-    for r in found:
-        word = r.term.rstrip("*")
-        if r.term.endswith("*") and word in kept or not r.term.endswith("*") and not any(word.startswith(k) for k in kept):
-            chosen[r.term] = edits_allowed(r.term)
+    for sure_ones in (True, False):
+        own = [r.term for r in found if r.sure == sure_ones]
+        kept: list[str] = []
+        for stem in sorted((t[:-1] for t in own if t.endswith("*")), key=len):
+            if not any(stem.startswith(k) for k in kept):
+                kept.append(stem)
+        for term in own:
+            word = term.rstrip("*")
+            if term.endswith("*") and word in kept or not term.endswith("*") and not any(word.startswith(k) for k in kept):
+                chosen.setdefault(term, edits_allowed(term) if sure_ones else HINT)
     return chosen
 
 
@@ -223,7 +245,7 @@ def score(docs: DataFrame, labels: DataFrame, *, fit_rows: int = 20_000, terms:
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scan = Scanner(terms)
         for batch in batches:
-            got = [scan.figures(scan.hits(t)) for t in batch.column(1).to_pylist()]
+            got = [scan.figures(*scan.scan(t)) for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(got, pa.list_(pa.float64()))], names=["y", "x"])
 
     # equal figures are counted together: the driver gets at most `fit_rows` short rows
@@ -237,8 +259,9 @@ def score(docs: DataFrame, labels: DataFrame, *, fit_rows: int = 20_000, terms:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scan = Scanner(terms)
         for batch in batches:
-            hits = [scan.hits(t or "") for t in batch.column(2).to_pylist()]
-            x = np.array([scan.figures(h) for h in hits]).reshape(len(hits), len(FIGURES))
+            seen = [scan.scan(t or "") for t in batch.column(2).to_pylist()]
+            hits = [s[0] for s in seen]
+            x = np.array([scan.figures(*s) for s in seen]).reshape(len(hits), len(FIGURES))
             p = x[:, 0] * 0.5 if weights is None else 1 / (1 + np.exp(-np.clip(x @ weights[:-1] + weights[-1], -30, 30)))
             count = lambda test: pa.array([sum(map(test, h)) for h in hits], pa.int32())
             yield pa.RecordBatch.from_arrays([
