@@ -28,12 +28,11 @@ def dedup(df: DataFrame, keys: tuple[str, ...] = (KEY,)) -> DataFrame:
 
 def dedup_latest(df: DataFrame, key: str = KEY, order: tuple[str, ...] = ("timestamp",)) -> DataFrame:
     """Deterministic dedup: per key keep the row with the greatest `order` columns, the
-    remaining columns breaking ties. One partial+final aggregate (max_by), skew-safe."""
+    remaining columns breaking ties (nulls lowest). One partial+final aggregate, skew-safe; the
+    row is its own rank, so it is carried once."""
     cols = df.columns
     rank = F.struct(*[F.col(c) for c in order], *[F.col(c) for c in cols if c not in order])
-    return (df.groupBy(key)
-              .agg(F.max_by(F.struct(*[F.col(c) for c in cols]), rank).alias("_row"))
-              .select("_row.*"))
+    return df.groupBy(key).agg(F.max(rank).alias("_row")).select(*[F.col("_row")[c].alias(c) for c in cols])
 
 
 def _apply(df: DataFrame, conditions: list[Column], filter_first: bool, dedup_rows: bool) -> DataFrame:

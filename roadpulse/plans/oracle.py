@@ -316,7 +316,17 @@ ASOF LEFT JOIN (SELECT * FROM weather WHERE vehicle_id IS NOT NULL AND timestamp
 ORACLE["dead_letter"] = sql(["raw_vehicle", "obs"], """SELECT r.id AS key, 'vehicle_data' AS feed, '~' AS noise, r.id AS id, r.vehicle_id AS vehicle_id,
        r.speed AS speed, r.make AS make
 FROM raw_vehicle r WHERE r.id IN (SELECT 'veh-' || CAST(n AS VARCHAR) FROM obs WHERE event_type = 'error')""")
-ORACLE["dedup_latest"] = sql(["raw_vehicle"], "SELECT DISTINCT * FROM raw_vehicle")
+_CORRECTED = """SELECT CASE WHEN step % 500 <> 1 THEN id END AS id, * EXCLUDE (id, step) FROM (
+  SELECT *, CAST(substr(id, 5) AS BIGINT) AS step FROM raw_vehicle
+  UNION ALL
+  SELECT * REPLACE (timestamp + INTERVAL 1 SECOND AS timestamp, speed + 1.0 AS speed), CAST(substr(id, 5) AS BIGINT) AS step
+  FROM raw_vehicle WHERE CAST(substr(id, 5) AS BIGINT) % 10 = 0)"""
+ORACLE["dedup_latest"] = sql(["raw_vehicle"], f"""
+SELECT * EXCLUDE (copy) FROM (
+  SELECT *, row_number() OVER (PARTITION BY id ORDER BY timestamp DESC NULLS LAST, vehicle_id DESC NULLS LAST, location DESC NULLS LAST,
+    speed DESC NULLS LAST, direction DESC NULLS LAST, make DESC NULLS LAST, model DESC NULLS LAST, year DESC NULLS LAST,
+    fuelType DESC NULLS LAST) AS copy FROM ({_CORRECTED})) WHERE copy = 1""")
+ORACLE["dedup_id_copies"] = sql(["raw_vehicle"], f"SELECT DISTINCT id FROM ({_CORRECTED})")
 
 
 def _rejects(feed: str, table: str, checks: dict[str, str]) -> str:

@@ -277,7 +277,18 @@ def _dead_letter(s, d):
                         for c, t in (("id", "string"), ("vehicle_id", "string"), ("speed", "double"), ("make", "string"))])
 
 
-plan("dedup_latest")(lambda s, d: P.dedup_latest(raw(s, d, VEHICLE)))
+def _corrected(s, d):
+    """Vehicle records with copies that differ: every tenth step once more a second later with
+    another speed, and every 500th record without its id."""
+    r = raw(s, d, VEHICLE)
+    step = F.substring("id", 5, 20).cast("long")
+    late = r.filter(step % 10 == 0).withColumns({"timestamp": F.col("timestamp") + F.expr("INTERVAL 1 SECOND"), "speed": F.col("speed") + 1.0})
+    return r.unionByName(late).withColumn("id", F.when(step % 500 != 1, F.col("id")))
+
+
+plan("dedup_latest")(lambda s, d: P.dedup_latest(_corrected(s, d)))
+# which copy survives is open here; which ids do is not
+plan("dedup_id_copies")(lambda s, d: P.dedup(_corrected(s, d)).select("id"))
 
 
 @plan("reject_counts")

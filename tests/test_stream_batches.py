@@ -3,10 +3,10 @@
 import pytest
 from pyspark.sql import functions as F
 
-from roadpulse.operators.refine import refine_emergency
+from roadpulse.operators.refine import refine_emergency, refine_vehicle, refine_weather
 from roadpulse.operators import dashboard as D
 from roadpulse.plans import streams as ST
-from roadpulse.schemas import EMERGENCY, VEHICLE
+from roadpulse.schemas import EMERGENCY, VEHICLE, WEATHER
 from roadpulse.session import scratch_dir
 from roadpulse.sources.feeds import derive_feed
 from roadpulse.sources.wire import encode
@@ -76,3 +76,25 @@ def test_started_queries_are_stopped_if_one_cannot_start(spark, tmp_base):
     with pytest.raises(Exception):
         I.run_ingest(spark, landing, tmp_base, (VEHICLE, "no_such_feed"))
     assert not spark.streams.active
+
+
+def test_sliding_speed_equals_batch(spark):
+    landing, rows = _landed(spark, VEHICLE)
+    stream = SO.sliding_speed(SO.stream_refine(_stream(spark, landing, VEHICLE), VEHICLE))
+    got, batches, held = _run(spark, stream, "sliding-ranges")
+    batch = SO.sliding_speed(refine_vehicle(rows))
+    want, found = ({tuple(r) for r in df.collect()} for df in (batch, got))
+    last = max(w[1] for w in want)
+    assert batches == BATCHES and found <= want and max(held) < 1000
+    assert {w for w in want if (last - w[1]).total_seconds() > 3600} <= found
+
+
+def test_join_equals_batch(spark):
+    vehicles, v_rows = _landed(spark, VEHICLE)
+    weather, w_rows = _landed(spark, WEATHER)
+    v = SO.stream_refine(_stream(spark, vehicles, VEHICLE), VEHICLE)
+    w = SO.stream_refine(_stream(spark, weather, WEATHER), WEATHER)
+    got, batches, held = _run(spark, SO.join_weather(v, w), "join-ranges")
+    want = SO.join_weather(refine_vehicle(v_rows), refine_weather(w_rows))
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+    assert batches >= BATCHES
