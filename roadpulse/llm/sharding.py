@@ -49,7 +49,7 @@ def shard_rows(docs: DataFrame, n_shards: int = 24, *, bundles_per_shard: int =
         F.xxhash64(text).alias("g")), "shard-base")
     bundles = n_shards * bundles_per_shard
     rows, size = base.agg(F.count("*"), F.coalesce(F.sum("size"), F.lit(0))).first()
-    # at most 2 * n_shards / split_above groups can pass either bound
+    # at most 2 * n_shards / split_above groups can pass either bound (96 here)
     hot = (base.groupBy("g").agg(F.sum("size").alias("b"), F.count("*").alias("n"))
            .filter((F.col("b") > size * split_above / n_shards) | (F.col("n") > max(1, rows * split_above / n_shards)))
            .select("g", F.lit(True).alias("hot")))

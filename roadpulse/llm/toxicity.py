@@ -190,9 +190,9 @@ def training_rows(docs: DataFrame, labels: DataFrame, fit_rows: int, id_col: str
     return written(rows.select("y", "text").distinct(), "toxicity-sample")  # copies would count one text's words often
 
 
-def learn_terms(rows: DataFrame, *, least: int = 8, share: float = 0.01, purity: float = 0.9, hint: float = 0.5, most: int = 3000) -> dict[str, int]:
+def learn_terms(rows: DataFrame, *, least: int = 8, share: float = 0.01, purity: float = 0.9, hint: float = 0.5, endings: int = 4, most: int = 3000) -> dict[str, int]:
     """Words and stems of toxic texts: in `least` of them and `share` of them at least, of all texts
-    that hold them a `purity` toxic (hits) or a `hint` (hints). Returns term -> edits
+    that hold them a `purity` toxic (hits) or a `hint` (hints); a stem has `endings` at least. Returns term -> edits
     allowed, HINT for hints (at most `most` terms)."""
     least = max(least, share * (rows.agg(F.sum("y")).first()[0] or 0))
     each = F.explode(F.array_distinct(F.split(F.lower("text"), r"[^\p{L}\p{N}]+")))
@@ -204,7 +204,7 @@ def learn_terms(rows: DataFrame, *, least: int = 8, share: float = 0.01, purity:
     sure = (F.col("hits") >= purity * (F.col("hits") + F.col("rest"))).alias("sure")
     single = counted.filter(pure).select(F.col("w").alias("term"), "hits", sure)
     joint = (ways.groupBy("s").agg(F.sum("hits").alias("hits"), F.sum("rest").alias("rest"), F.count("*").alias("n"))
-             .filter(pure & (F.col("n") >= 8)).select(F.concat("s", F.lit("*")).alias("term"), "hits", sure))
+             .filter(pure & (F.col("n") >= endings)).select(F.concat("s", F.lit("*")).alias("term"), "hits", sure))
     found = single.unionByName(joint).orderBy(F.desc("sure"), F.desc("hits"), F.length("term"), "term").limit(most).collect()
     # a stem covers its words and longer stems; single words of their own stay words
     chosen: dict[str, int] = {}
