@@ -39,8 +39,8 @@ def test_held_out_accuracy(spark):
 
 def test_misspelled_terms_count(spark):
     terms = {"worthless": 2, "clown": 1}
-    rows = [(i, "a calm and friendly text about the weather", 0) for i in range(40)] + \
-           [(100 + i, f"a text that calls him a {w} again", 1) for i, w in enumerate(["worthless", "wortless", "worthles", "clown", "clwn", "clowwn"] * 6)]
+    rows = [(i, f"a calm and friendly text about the weather on day{i}", 0) for i in range(40)] + \
+           [(100 + i, f"a text that calls him a {w} again on day{i}", 1) for i, w in enumerate(["worthless", "wortless", "worthles", "clown", "clwn", "clowwn"] * 6)]
     df = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
     got = {r.doc_id: r for r in toxicity.score(df.select("doc_id", "text"), df.select("doc_id", "toxic"), terms=terms).collect()}
     assert all(got[i].predicted == t for i, _, t in rows)
