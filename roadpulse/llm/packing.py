@@ -21,6 +21,7 @@ columns are not read.
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections import deque
 from collections.abc import Callable, Iterator
@@ -36,9 +37,9 @@ SCHEMA = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long
           "sequence_length long")
 _SENTENCE_END = np.uint32(1 << 31)  # flag on the last id of a sentence
 _PLAIN = np.uint32((1 << 31) - 1)
-_MARKS = ".,;:!?"
-#: letters below are composed as they are and have one small letter each (but for a dotted capital I)
-_LATIN_END = "\u0250"
+#: Latin letters that are composed as they are and have one small letter each (so no dotted capital
+#: I), and marks behind them
+_LATIN = re.compile("([A-Za-zªµºÀ-ÖØ-öø-įı-ɏ]+)([.,;:!?]*)")
 #: what could act across the words that are looked up singly: separators that are no white space to
 #: the tokenizer, and special tokens
 _ODD = ("\x1c", "\x1d", "\x1e", "\x1f", "<|")
@@ -66,24 +67,14 @@ class WordTokens:
         runs to the splitting pattern, so letters are encoded once, whatever their case and marks."""
         if len(self.known) > self.keep:
             self.known.clear()
-        known, letters, others, joint = self.known, set(), set(), []
-        for word in set().union(*split):
-            if word not in known:
-                core = word.rstrip(_MARKS)
-                if core.isalpha() and max(core) < _LATIN_END and "İ" not in core:
-                    tail = word[len(core):]
-                    core = core.lower()
-                    if core not in known:
-                        letters.add(core)
-                    if tail:
-                        others.add(tail)
-                    if core != word:
-                        joint.append((word, core, tail))
-                else:
-                    others.add(word)
-        self.encode_letters(list(letters))
-        self.encode([w for w in others if w not in known])
-        known.update([(word, known[core] + known[tail] if tail else known[core]) for word, core, tail in joint])
+        known = self.known
+        new = [word for word in set().union(*split) if word not in known]
+        found = [_LATIN.fullmatch(word) for word in new]
+        whole = [(word, match[1].lower(), match[2]) for word, match in zip(new, found, strict=True) if match]
+        self.encode_letters([core for core in {core for _, core, _ in whole} if core not in known])
+        others = {tail for _, _, tail in whole} | {word for word, match in zip(new, found, strict=True) if not match}
+        self.encode([word for word in others if word and word not in known])
+        known.update([(word, known[core] + known[tail] if tail else known[core]) for word, core, tail in whole])
 
     def encode_letters(self, new: list[str]) -> None:
         """Ids of runs of small Latin letters; a token that closes a run ends the word."""
