@@ -29,8 +29,8 @@ SCHEMA = "doc_id long, held_out boolean, score double, predicted int, exact int,
 _EDGE = re.compile(r"^\W+|[\W]+$")
 _QUOTES = "\"“”«»„"
 #: figures of a text that the logistic model weighs
-FIGURES = ("any hit", "hits", "misspelled", "misspelled only", "quoted", "quoted only", "density", "hints", "hints per 100 words")
-#: edits allowed of a term that only hints
+FIGURES = ("any hit", "hits", "misspelled", "misspelled only", "quoted", "quoted only", "density", "hints", "hints per 100 words", "misspelled hints")
+#: edits of a term that only hints: HINT for none allowed, HINT - n for n allowed
 HINT = -1
 
 
@@ -122,23 +122,25 @@ class Scanner:
     """Hits of a text, with a verdict kept per distinct word."""
 
     def __init__(self, terms: dict[str, int], window: int = 12, keep: int = 500_000):
-        self.automaton = Automaton({t: k for t, k in terms.items() if k != HINT})
-        self.hints = Automaton({t: 0 for t, k in terms.items() if k == HINT})
+        self.automaton = Automaton({t: k for t, k in terms.items() if k > HINT})
+        self.hints = Automaton({t: HINT - k for t, k in terms.items() if k <= HINT})
         self.window, self.keep, self.known = window, keep, {}
 
     def _verdict(self, raw: str) -> int:
-        """Edits of a hit, -1 for neither, -2 for a hint."""
+        """Edits of a hit, -1 for neither, -2 for a hint, -3 for a misspelled one."""
         word = _EDGE.sub("", raw)
         edits = self.automaton.edits(word)
-        return -2 if edits < 0 and self.hints.edits(word) == 0 else edits
+        if edits < 0 and (hint := self.hints.edits(word)) >= 0:
+            return -3 if hint else -2
+        return edits
 
     def hits(self, text: str) -> list[tuple[int, int, bool, int]]:
         """(word number, edits, quoted, other hits in the window) of every hit."""
         return self.scan(text)[0]
 
-    def scan(self, text: str) -> tuple[list[tuple[int, int, bool, int]], int, int]:
-        """hits(text), the number of hints, the number of words."""
-        found, known, hints = [], self.known, 0
+    def scan(self, text: str) -> tuple[list[tuple[int, int, bool, int]], tuple[int, int], int]:
+        """hits(text), the numbers of exact and of misspelled hints, the number of words."""
+        found, known, hints, odd = [], self.known, 0, 0
         split = text.lower().split()
         if len(known) > self.keep:
             known.clear()
@@ -150,20 +152,23 @@ class Scanner:
                 found.append((at, edits))
             elif edits == -2:
                 hints += 1
+            elif edits == -3:
+                odd += 1
         if not found:
-            return [], hints, len(split)
+            return [], (hints, odd), len(split)
         marks = [i for i, raw in enumerate(split) if any(q in raw for q in _QUOTES)] if any(q in text for q in _QUOTES) else []
         out = []
         for at, edits in found:
             near = [m for m in marks if abs(m - at) <= self.window]
             quoted = any(m <= at for m in near) and any(m >= at for m in near)
             out.append((at, edits, quoted, sum(abs(o - at) <= self.window for o, _ in _around(found, at, self.window)) - 1))
-        return out, hints, len(split)
+        return out, (hints, odd), len(split)
 
-    def figures(self, hits: list, hints: int, n_words: int) -> list[float]:
-        hinted = [float(np.log1p(hints)), float(np.log1p(100 * hints / max(n_words, 20)))]
+    def figures(self, hits: list, hints: tuple[int, int], n_words: int) -> list[float]:
+        exact, misspelled = hints
+        hinted = [float(np.log1p(exact)), float(np.log1p(100 * exact / max(n_words, 20))), float(np.log1p(misspelled))]
         if not hits:
-            return [0.0] * (len(FIGURES) - 2) + hinted
+            return [0.0] * (len(FIGURES) - len(hinted)) + hinted
         odd, quoted = sum(h[1] > 0 for h in hits), sum(h[2] for h in hits)
         return [1.0, float(np.log1p(len(hits))), float(np.log1p(odd)), float(odd == len(hits)), float(np.log1p(quoted)),
                 float(quoted == len(hits)), float(np.log1p(max(h[3] for h in hits))), *hinted]
@@ -176,7 +181,9 @@ def _around(found: list, at: int, window: int) -> list:
 
 
 def edits_allowed(term: str) -> int:
-    return 0 if term.endswith("*") or len(term) < 5 else 1 if len(term) < 9 else 2
+    """By length; a stem counts its letters, its endings are free."""
+    n = len(term.rstrip("*"))
+    return 0 if n < 5 else 1 if n < 9 else 2
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, fit_rows: int, id_col: str, text_col: str, label_col: str) -> DataFrame:
@@ -193,7 +200,7 @@ def training_rows(docs: DataFrame, labels: DataFrame, fit_rows: int, id_col: str
 def learn_terms(rows: DataFrame, *, least: int = 8, share: float = 0.01, purity: float = 0.9, hint: float = 0.5, endings: int = 4, most: int = 3000) -> dict[str, int]:
     """Words and stems of toxic texts: in `least` of them and `share` of them at least, of all texts
     that hold them a `purity` toxic (hits) or a `hint` (hints); a stem has `endings` at least. Returns term -> edits
-    allowed, HINT for hints (at most `most` terms)."""
+    allowed, HINT and less for hints (at most `most` terms)."""
     least = max(least, share * (rows.agg(F.sum("y")).first()[0] or 0))
     each = F.explode(F.array_distinct(F.split(F.lower("text"), r"[^\p{L}\p{N}]+")))
     counted = (rows.select("y", each.alias("w")).filter("length(w) >= 3").groupBy("w")
@@ -206,18 +213,11 @@ def learn_terms(rows: DataFrame, *, least: int = 8, share: float = 0.01, purity:
     joint = (ways.groupBy("s").agg(F.sum("hits").alias("hits"), F.sum("rest").alias("rest"), F.count("*").alias("n"))
              .filter(pure & (F.col("n") >= endings)).select(F.concat("s", F.lit("*")).alias("term"), "hits", sure))
     found = single.unionByName(joint).orderBy(F.desc("sure"), F.desc("hits"), F.length("term"), "term").limit(most).collect()
-    # a stem covers its words and longer stems; single words of their own stay words
+    # words and longer stems that a stem covers stay: they allow more edits than it does
     chosen: dict[str, int] = {}
-    for sure_ones in (True, False):
-        own = [r.term for r in found if r.sure == sure_ones]
-        kept: list[str] = []
-        for stem in sorted((t[:-1] for t in own if t.endswith("*")), key=len):
-            if not any(stem.startswith(k) for k in kept):
-                kept.append(stem)
-        for term in own:
-            word = term.rstrip("*")
-            if term.endswith("*") and word in kept or not term.endswith("*") and not any(word.startswith(k) for k in kept):
-                chosen.setdefault(term, edits_allowed(term) if sure_ones else HINT)
+    for r in found:  # sure ones first
+        edits = edits_allowed(r.term)
+        chosen.setdefault(r.term, edits if r.sure else HINT - edits)
     return chosen
 
 

@@ -55,3 +55,21 @@ def test_odd_rows(spark, odd, empty):
     assert toxicity.score(empty, labels).count() == 0
     assert toxicity.score(odd, labels.filter("false"), terms={"short": 1}).filter("predicted = 1").count() == 3
     assert toxicity.score(odd, labels.filter("false")).filter("predicted = 1").count() == 0
+
+
+@pytest.mark.parametrize("clean_copies", [0, 6])  # sure words and stems; those that hint
+def test_misspellings_of_learned_families(spark, clean_copies):
+    words = ["blarghen", "blargher", "blarghes", "blarghish", "blarghous"]
+    rows = [(int(n < 9), f"some {w} in text {n} of them") for w in words for n in range(9 + clean_copies)]
+    rows += [(0, f"some quiet text in which nobody said any of them {n}") for n in range(200)]
+    terms = toxicity.learn_terms(spark.createDataFrame(rows, "y int, text string"))
+    assert any(t.endswith("*") for t in terms) and set(words) <= set(terms)
+    scan = toxicity.Scanner(terms)
+    for w in ["blarghen", "blrghen", "blagher", "blurghish", "blaarghous", "blxrghate"]:  # the last by the stem alone
+        hits, hints, _ = scan.scan(f"you {w} there")
+        odd = w not in words
+        if clean_copies:
+            assert not hits and hints == (int(not odd), int(odd)), w
+        else:
+            assert [h[1] > 0 for h in hits] == [odd], w
+    assert scan.scan("you quiet there")[:2] == ([], (0, 0))
