@@ -16,6 +16,7 @@ them); repeated rows are scored alike; texts are read whole; further columns are
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,8 +27,9 @@ from pyspark.sql import functions as F
 from roadpulse.llm.common import written
 
 SCHEMA = "doc_id long, held_out boolean, score double, predicted int, exact int, misspelled int, quoted int, spans array<struct<first:int,edits:int,quoted:boolean>>"
-_EDGE = re.compile(r"^\W+|[\W]+$")
-_QUOTES = "\"“”«»„"
+#: the words learn_terms counts
+_TOKEN = re.compile(r"[^\W_]+")
+_QUOTE = re.compile("[\"“”«»„]")
 #: figures of a text that the logistic model weighs
 FIGURES = ("any hit", "hits", "misspelled", "misspelled only", "quoted", "quoted only", "density", "hints", "hints per 100 words", "misspelled hints")
 #: edits of a term that only hints: HINT for none allowed, HINT - n for n allowed
@@ -126,42 +128,48 @@ class Scanner:
         self.hints = Automaton({t: HINT - k for t, k in terms.items() if k <= HINT})
         self.window, self.keep, self.known = window, keep, {}
 
-    def _verdict(self, raw: str) -> int:
+    def _verdict(self, word: str) -> int:
         """Edits of a hit, -1 for neither, -2 for a hint, -3 for a misspelled one."""
-        word = _EDGE.sub("", raw)
         edits = self.automaton.edits(word)
         if edits < 0 and (hint := self.hints.edits(word)) >= 0:
             return -3 if hint else -2
         return edits
 
+    def _verdicts(self, raw: str) -> tuple[tuple[tuple[int, int], ...], int, int]:
+        """(place in it, edits) of every hit, the numbers of exact and of misspelled hints of what
+        stands between two spaces."""
+        own = [(m.start(), self._verdict(m[0])) for m in _TOKEN.finditer(raw)]
+        return tuple(x for x in own if x[1] >= 0), sum(e == -2 for _, e in own), sum(e == -3 for _, e in own)
+
     def hits(self, text: str) -> list[tuple[int, int, bool, int]]:
         """(word number, edits, quoted, other hits in the window) of every hit."""
         return self.scan(text)[0]
 
     def scan(self, text: str) -> tuple[list[tuple[int, int, bool, int]], tuple[int, int], int]:
-        """hits(text), the numbers of exact and of misspelled hints, the number of words."""
+        """hits(text), the numbers of exact and of misspelled hints, the number of words. Words are
+        numbered, and windows measured, by white space."""
         found, known, hints, odd = [], self.known, 0, 0
         split = text.lower().split()
         if len(known) > self.keep:
             known.clear()
         for at, raw in enumerate(split):
-            edits = known.get(raw)
-            if edits is None:
-                edits = known[raw] = self._verdict(raw)
-            if edits >= 0:
-                found.append((at, edits))
-            elif edits == -2:
-                hints += 1
-            elif edits == -3:
-                odd += 1
+            verdicts = known.get(raw)
+            if verdicts is None:
+                verdicts = known[raw] = self._verdicts(raw)
+            own, exact, misspelled = verdicts
+            found += [(at, place, edits) for place, edits in own]
+            hints += exact
+            odd += misspelled
         if not found:
             return [], (hints, odd), len(split)
-        marks = [i for i, raw in enumerate(split) if any(q in raw for q in _QUOTES)] if any(q in text for q in _QUOTES) else []
+        marks = [(i, m.start()) for i, raw in enumerate(split) for m in _QUOTE.finditer(raw)] if _QUOTE.search(text) else []
         out = []
-        for at, edits in found:
-            near = [m for m in marks if abs(m - at) <= self.window]
-            quoted = any(m <= at for m in near) and any(m >= at for m in near)
-            out.append((at, edits, quoted, sum(abs(o - at) <= self.window for o, _ in _around(found, at, self.window)) - 1))
+        for at, place, edits in found:
+            # a mark before and one behind within the window
+            here = bisect_left(marks, (at, place))
+            quoted = 0 < here < len(marks) and at - marks[here - 1][0] <= self.window and marks[here][0] - at <= self.window
+            near = bisect_left(found, (at + self.window + 1,)) - bisect_left(found, (at - self.window,))
+            out.append((at, edits, quoted, near - 1))
         return out, (hints, odd), len(split)
 
     def figures(self, hits: list, hints: tuple[int, int], n_words: int) -> list[float]:
@@ -174,12 +182,6 @@ class Scanner:
                 float(quoted == len(hits)), float(np.log1p(max(h[3] for h in hits))), *hinted]
 
 
-def _around(found: list, at: int, window: int) -> list:
-    from bisect import bisect_left, bisect_right
-
-    return found[bisect_left(found, (at - window, -1)):bisect_right(found, (at + window, 99))]
-
-
 def edits_allowed(term: str) -> int:
     """By length; a stem counts its letters, its endings are free."""
     n = len(term.rstrip("*"))

@@ -73,3 +73,14 @@ def test_misspellings_of_learned_families(spark, clean_copies):
         else:
             assert [h[1] > 0 for h in hits] == [odd], w
     assert scan.scan("you quiet there")[:2] == ([], (0, 0))
+
+
+@pytest.mark.parametrize("text", ["idiot/moron", "you...idiot", "_idiot_", "go,you:idiot!now", "私は(idiot)です"])
+def test_terms_joined_by_punctuation(text):
+    scan = toxicity.Scanner({"idiot": 1, "moron": 1})
+    assert [h[:3] for h in scan.hits(text)] == [(0, 0, False)] * (2 if "moron" in text else 1)
+
+
+def test_quotation_marks_in_text_without_spaces():
+    scan = toxicity.Scanner({"idiot": 0, "moron": 0})
+    assert [h[2] for h in scan.hits("he_said:“idiot”,moron")] == [True, False]
