@@ -4,7 +4,10 @@ Every template is a sequence of lower-case words (letters and digits). The small
 `winnow` neighbouring `gram`-word shingles enters an inverted index, shingle -> (template, place). A
 text probes the index with all its shingles, so any copy that holds one chosen shingle is
 met. Hits of one template on nearby diagonals form a candidate; the template is then aligned with the
-words around it, inside a band about that diagonal, for the fewest edits. Candidates whose
+words around it, inside a band about that diagonal, for the fewest edits. Altered copies may hold no
+chosen shingle. So where `coverage` lets d words of a template miss, d + 1 of its places are seeds as
+well: a copy holds the word of one at least. A seed is aligned on its own if the words around it can
+make the coverage; copies so found are added where no other copy of the template lies. Candidates whose
 matched words make `coverage` of the template are reported with their spans in words and characters.
 
 A null or empty text has no rows; null ids keep their rows; repeated rows are each reported; texts
@@ -14,6 +17,7 @@ columns are not read.
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterator
 
@@ -66,7 +70,7 @@ def template_words(text: str) -> list[str]:
 
 
 class TemplateIndex:
-    def __init__(self, templates: dict[str, str], gram: int = 3, winnow: int = 4):
+    def __init__(self, templates: dict[str, str], gram: int = 3, winnow: int = 4, coverage: float = 0.8):
         self.gram = gram
         self.names = sorted(templates)
         self.texts = [template_words(templates[n]) for n in self.names]
@@ -80,12 +84,25 @@ class TemplateIndex:
             chosen = {min(range(i, i + span), key=lambda j: (hashed[j], -j)) for i in range(len(grams) - span + 1)}
             for i in sorted(chosen):
                 self.index.setdefault(grams[i], []).append((k, i))
+        size = len(self.number)
+        #: words that a copy must match, by template
+        self.need = np.array([math.ceil(coverage * len(ids)) for ids in self.ids])
+        self.words = np.array([np.bincount(ids, minlength=size) for ids in self.ids]).reshape(len(self.ids), size)
+        self.seeds: list[dict[int, list[int]]] = []  # by template: word -> places
+        for ids, words, need in zip(self.ids, self.texts, self.need.tolist(), strict=True):
+            own: dict[int, list[int]] = {}
+            # long words are the rare ones
+            for i in sorted(range(len(ids)), key=lambda i: (-len(words[i]), i))[:len(ids) - need + 1]:
+                own.setdefault(int(ids[i]), []).append(i)
+            self.seeds.append(own)
 
     def band(self, k: int, share: float) -> int:
         return max(2, int(share * len(self.ids[k])))
 
     def candidates(self, ids: np.ndarray, share: float) -> Iterator[tuple[int, int, int]]:
         """(template, lowest, highest diagonal) of hits that lie together. ids: words, -1: in no template."""
+        if len(ids) < self.gram:
+            return
         known = ids >= 0
         run = np.convolve(known, np.ones(self.gram, int), "valid") == self.gram
         hits: dict[int, list[tuple[int, int]]] = {}
@@ -102,6 +119,20 @@ class TemplateIndex:
                 last = diagonal
             yield k, low, last
 
+    def seeded(self, ids: np.ndarray, share: float) -> Iterator[tuple[int, int]]:
+        """(template, diagonal) of seeds among words enough for the coverage."""
+        there = np.bincount(ids[ids >= 0], minlength=len(self.number))
+        for k in np.flatnonzero(np.minimum(there, self.words).sum(axis=1) >= self.need).tolist():
+            own, band = len(self.ids[k]), self.band(k, share)
+            sums = np.concatenate([[0], np.cumsum((ids >= 0) & (self.words[k] > 0)[ids])])
+            for diagonal in np.unique(np.concatenate([np.flatnonzero(ids == w) - p for w, places in self.seeds[k].items() for p in places])).tolist():
+                low, high = max(0, diagonal - band), min(len(ids), diagonal + own + band)
+                if sums[high] - sums[low] < self.need[k]:
+                    continue
+                near = ids[low:high]
+                if np.minimum(np.bincount(near[near >= 0], minlength=len(self.number)), self.words[k]).sum() >= self.need[k]:
+                    yield k, diagonal
+
     def align(self, k: int, ids: np.ndarray, low: int, high: int, band: int) -> tuple[int, int, int, int]:
         """(edits, matched words, first word, end word) of template k in the text around the
         diagonals low to high, free of charge before and after."""
@@ -145,13 +176,13 @@ def scan(docs: DataFrame, templates: dict[str, str] | None = None, *, gram: int
     templates = TEMPLATES if templates is None else templates
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index = TemplateIndex(templates, gram, winnow)
+        index = TemplateIndex(templates, gram, winnow, coverage)
         number = index.number
         for batch in batches:
             out = []
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 split = _WORD.findall(text.lower()) if text else []
-                if len(split) < gram:
+                if not split:
                     continue
                 ids = np.fromiter((number.get(w, -1) for w in split), np.int64, len(split))
                 found = {}
@@ -159,6 +190,19 @@ def scan(docs: DataFrame, templates: dict[str, str] | None = None, *, gram: int
                     edits, matched, first, end = index.align(k, ids, low, high, index.band(k, band))
                     if matched >= coverage * len(index.ids[k]):
                         found[k, first, end] = (edits, matched)
+                taken, more = {}, set()
+                for k, first, end in found:
+                    taken.setdefault(k, []).append((first, end))
+                for k, at in index.seeded(ids, band):
+                    if any(a <= at and at + len(index.ids[k]) <= b for a, b in taken.get(k, ())):
+                        continue  # all its words lie in a copy
+                    edits, matched, first, end = index.align(k, ids, at, at, index.band(k, band))
+                    if matched >= coverage * len(index.ids[k]):
+                        more.add((edits, -matched, first, end, k))
+                for edits, matched, first, end, k in sorted(more):
+                    if all(end <= a or b <= first for a, b in taken.setdefault(k, [])):
+                        taken[k].append((first, end))
+                        found[k, first, end] = (edits, -matched)
                 if found:
                     places = [m.span() for m in _WORD.finditer(text)] if len(text) == len(text.lower()) else None
                     for (k, first, end), (edits, matched) in sorted(found.items()):

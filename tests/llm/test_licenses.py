@@ -68,3 +68,27 @@ def test_odd_rows(spark, odd, empty):
                                  "doc_id long, text string")
     rows = licenses.scan(docs).collect()
     assert sorted((r.doc_id or 0) for r in rows) == [0, 1, 1, 2, 3, 3]
+
+
+def test_one_word_changes_of_short_notices(spark):
+    rows, want = [], set()
+    for name, text in licenses.TEMPLATES.items():
+        w = licenses.template_words(text)
+        if len(w) > 13:
+            continue
+        for at in range(len(w)):
+            for new in ([], ["other"], [w[at], "more"]):
+                rows.append((len(rows), f"a b c {' '.join(w[:at] + new + w[at + 1:])} d e f"))
+                want.add((rows[-1][0], name))
+    got = [(r.doc_id, r.license) for r in licenses.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()]
+    assert want <= set(got) and len(got) == len(set(got))  # each once
+
+
+def test_changes_up_to_the_coverage(spark):
+    rows = []
+    for name, text in licenses.TEMPLATES.items():  # every fifth word: no shingle is sure to be chosen
+        w = licenses.template_words(text)
+        rows.append((name, " ".join("other" if i % 5 == 4 else x for i, x in enumerate(w))))
+    docs = spark.createDataFrame([(i, t) for i, (_, t) in enumerate(rows)] + [(99, "mit license")], "doc_id long, text string")
+    got = {(r.doc_id, r.license) for r in licenses.scan(docs).collect()}
+    assert {(i, name) for i, (name, _) in enumerate(rows)} <= got
