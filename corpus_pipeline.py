@@ -2,8 +2,8 @@
 
 Each stage takes what its predecessor kept and returns the columns of `documents`, the last one the
 packed pieces. A stage that changes a text also states its new length in n_chars, where that column
-is there. Rows without a doc_id are judged and cut like others and are never taken for a copy; of
-rows that repeat a doc_id, one leaves the near-dedup stage. An empty table passes through.
+is there. Rows without a doc_id are judged and cut like others and are never taken for a copy; rows
+that repeat a doc_id with texts that are no near copies all stay. An empty table passes through.
 """
 
 from __future__ import annotations
@@ -36,10 +36,15 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 7: of each group the document with the smallest doc_id stays."""
+    """Operator 7: of each group the document with the smallest doc_id stays, of several texts under
+    that id the one with the smallest hash."""
     groups = simhash.near_duplicates(docs, shingle=3, radius=2)
-    first = groups.filter("component_id IS NOT NULL").select(F.col("component_id").alias("doc_id")).distinct()
-    return docs.join(first, "doc_id", "left_semi").dropDuplicates(["doc_id"]).unionByName(docs.filter("doc_id IS NULL")).select(*docs.columns)
+    # a component's smallest doc_id is its name; two components share it if an id repeats
+    first = (groups.filter("doc_id = component_id").groupBy("root").agg(F.min(F.struct("doc_id", "h")).alias("first"))
+             .select(F.col("first.doc_id").alias("__id"), F.col("first.h").alias("__h")))
+    keyed = docs.withColumn("__id", F.col("doc_id").cast("long")).withColumn("__h", simhash.text_hash(F.col("text")))
+    kept = keyed.join(first, ["__id", "__h"], "left_semi").dropDuplicates(["__id", "__h"])
+    return kept.select(*docs.columns).unionByName(docs.filter("doc_id IS NULL").select(*docs.columns))
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

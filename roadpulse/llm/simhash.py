@@ -21,7 +21,7 @@ from itertools import product
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from roadpulse.llm.common import written
@@ -45,15 +45,19 @@ def fingerprint(text: str, shingle: int = 3) -> int:
     return int(np.packbits(2 * ones > n, bitorder="little").view("<u8")[0])
 
 
+def text_hash(text: Column) -> Column:
+    return F.xxhash64(F.coalesce(text, F.lit("")))
+
+
 def fingerprints(docs: DataFrame, shingle: int = 3, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, f (the fingerprint as a signed long)."""
+    """doc_id, f (the fingerprint as a signed long), h (a hash of the text)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = np.array([fingerprint(t or "", shingle) for t in batch.column(1).to_pylist()], np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found.view(np.int64))], names=["doc_id", "f"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found.view(np.int64)), batch.column(2)], names=["doc_id", "f", "h"])
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, "doc_id long, f long")
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), text_hash(F.col(text_col)).alias("h")).mapInArrow(run, "doc_id long, f long, h long")
 
 
 def star(rows: np.ndarray, others: np.ndarray, radius: int, strip: int = 1 << 21) -> tuple[np.ndarray, np.ndarray]:
@@ -153,11 +157,12 @@ def _all(conditions: list, value):
 
 def near_duplicates(docs: DataFrame, *, shingle: int = 3, radius: int = 2, id_col: str = "doc_id", text_col: str = "text",
                     blocks: int = 4, tile_rows: int = 8192) -> DataFrame:
-    """doc_id, f, component_id (the smallest doc_id that links reach) of every row."""
+    """doc_id, f, h (a hash of the text), root (the component's key), component_id (the smallest doc_id that links reach) of
+    every row."""
     marked = written(fingerprints(docs, shingle, id_col=id_col, text_col=text_col), "simhash")
     nodes = written(marked.groupBy("f").agg(F.min("doc_id").alias("least")), "simhash-nodes")
     grouped = components(links(nodes.select("f"), radius, blocks=blocks, tile_rows=tile_rows))
     joined = nodes.join(grouped.withColumnRenamed("node", "f"), "f", "left").withColumn("root", F.coalesce("root", "f"))
     roots = joined.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = joined.join(roots, "root").select("f", "component_id")
-    return marked.join(named, "f").select("doc_id", "f", "component_id")
+    named = joined.join(roots, "root").select("f", "root", "component_id")
+    return marked.join(named, "f").select("doc_id", "f", "h", "root", "component_id")

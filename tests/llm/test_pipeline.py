@@ -48,3 +48,13 @@ def test_one_of_each_group_stays(spark, odd):
     ids = sorted(r.doc_id for r in kept if r.doc_id is not None)
     assert ids == sorted(set(ids)) and 5 in ids and 6 not in ids and 2 not in ids
     assert sum(r.doc_id is None for r in kept) == 2  # rows without an id are never taken for a copy
+
+
+def test_distinct_texts_under_one_id_stay(spark):
+    far = [" ".join(f"{k}word{i}" for i in range(40)) for k in "abc"]
+    rows = [(1, far[0]), (2, far[0]), (2, far[1]), (2, far[1]), (3, far[2]), (3, far[1]), (4, None), (None, far[0])]
+    kept = corpus_pipeline.simhash_near_dedup(spark, spark.createDataFrame(rows, "doc_id long, text string"), "").collect()
+    assert sorted((r.doc_id or 0, r.text or "") for r in kept) == sorted([(1, far[0]), (2, far[1]), (3, far[2]), (4, ""), (0, far[0])])
+    rows = [(7, far[0]), (7, far[1]), (8, far[1])]  # neither is a copy of the other, both have the smallest id
+    kept = corpus_pipeline.simhash_near_dedup(spark, spark.createDataFrame(rows, "doc_id long, text string"), "").collect()
+    assert sorted((r.doc_id, r.text) for r in kept) == [(7, far[0]), (7, far[1])]
