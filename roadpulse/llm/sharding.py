@@ -46,14 +46,15 @@ def shard_rows(docs: DataFrame, n_shards: int = 24, *, bundles_per_shard: int =
         (F.octet_length(text) + 8).cast("long").alias("size"),
         F.size(words(text)).cast("long").alias("tokens"),
         F.crc32(text.cast("binary")).alias("text_crc32"),
-        F.xxhash64(text).alias("g")), "shard-base")
+        F.xxhash64(text).alias("g"),
+        F.monotonically_increasing_id().alias("row")), "shard-base")
     bundles = n_shards * bundles_per_shard
     rows, size = base.agg(F.count("*"), F.coalesce(F.sum("size"), F.lit(0))).first()
     # at most 2 * n_shards / split_above groups can pass either bound (96 here)
     hot = (base.groupBy("g").agg(F.sum("size").alias("b"), F.count("*").alias("n"))
            .filter((F.col("b") > size * split_above / n_shards) | (F.col("n") > max(1, rows * split_above / n_shards)))
            .select("g", F.lit(True).alias("hot")))
-    spread = F.when(F.col("hot"), F.xxhash64("g", "doc_id")).otherwise(F.col("g"))
+    spread = F.when(F.col("hot"), F.xxhash64("g", "doc_id", "row")).otherwise(F.col("g"))
     # the hashes themselves order the groups, so bundles are drawn from a second, unrelated hash
     dealt = base.join(F.broadcast(hot), "g", "left").withColumn("bundle", F.pmod(F.xxhash64(spread), F.lit(bundles)).cast("int"))
     loads = dealt.groupBy("bundle").agg(F.sum("size").alias("b"), F.sum("tokens").alias("t"),

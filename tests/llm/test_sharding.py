@@ -38,3 +38,9 @@ def test_a_group_of_a_third_of_all_rows_is_spread(spark):
 def test_odd_rows(odd, empty):
     _check(odd, 4, 99)
     assert shard_rows(empty, 4).count() == 0
+
+
+def test_a_group_of_repeated_or_null_ids_is_spread(spark):
+    for own in (None, 7):
+        rows = [(own, "the same text for all of these " * 20)] * 500 + [(1000 + i, f"text {i} " * (20 + i % 97)) for i in range(1000)]
+        _check(spark.createDataFrame(rows, "doc_id long, text string"), 8, 0.03)
