@@ -108,5 +108,44 @@ FROM voted CROSS JOIN m{rounds}
 """
 
 
+# crc32 over the bytes of each distinct run of words, by its table of 256 remainders
+OP13 = r"""
+WITH remainders AS (
+  SELECT list(list_reduce([b, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, x: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY b) AS t
+  FROM (SELECT unnest(range(256)) AS b)),
+texts AS (
+  SELECT 'd' AS side, row_number() OVER () AS r, doc_id, text FROM documents UNION ALL SELECT 't', row_number() OVER (), NULL, text FROM benchmark),
+split AS (
+  SELECT side, r, doc_id, regexp_extract_all(translate(COALESCE(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                             '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM texts),
+runs AS (
+  SELECT side, r, unnest(list_concat(w, list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]))) AS f FROM split),
+own AS (SELECT side, r, f, COUNT(*) AS n FROM runs GROUP BY ALL),
+bytes AS (
+  SELECT f, list_transform(range(0, len(hex(encode(f))) // 2), lambda i: CAST('0x' || substr(hex(encode(f)), 2 * i + 1, 2) AS BIGINT)) AS b
+  FROM (SELECT DISTINCT f FROM own)),
+hashed AS (
+  SELECT f, xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), b), lambda c, x: xor(t[(xor(c, x) & 255) + 1], c >> 8)), 4294967295) % 10000 AS bucket
+  FROM bytes CROSS JOIN remainders),
+placed AS (SELECT side, r, n, bucket FROM own JOIN hashed USING (f)),
+sums AS (
+  SELECT bucket, SUM(CASE WHEN side = 'd' THEN n ELSE 0 END) AS s, SUM(CASE WHEN side = 't' THEN n ELSE 0 END) AS t FROM placed GROUP BY bucket),
+alls AS (SELECT COALESCE(SUM(s), 0) AS s, COALESCE(SUM(t), 0) AS t FROM sums),
+gains AS (
+  SELECT bucket, floor(1000 * ln(CAST(sums.t + 1 AS DOUBLE) * CAST(alls.s + 10000 AS DOUBLE) / (CAST(sums.s + 1 AS DOUBLE) * CAST(alls.t + 10000 AS DOUBLE)))) AS g
+  FROM sums CROSS JOIN alls),
+weights AS (SELECT r, CAST(floor(SUM(n * g) / SUM(n)) AS BIGINT) AS weight FROM placed JOIN gains USING (bucket) WHERE side = 'd' GROUP BY r),
+scores AS (
+  SELECT d.r, d.doc_id, CAST(len(w) AS BIGINT) AS n_words, COALESCE(weight, 0) AS weight,
+         COALESCE(weight, 0) + CAST(floor(-1000 * ln(-ln((CAST('0x' || substr(sha256('7:' || COALESCE(CAST(doc_id AS VARCHAR), '')), 1, 8) AS BIGINT) + 0.5::DOUBLE)
+                                                       / 4294967296::DOUBLE))) AS BIGINT) AS score
+  FROM split d LEFT JOIN weights USING (r) WHERE side = 'd'),
+places AS (
+  SELECT r, row_number() OVER (ORDER BY score DESC, doc_id NULLS LAST) AS place, COUNT(*) OVER () AS n FROM scores WHERE n_words >= 20)
+SELECT doc_id, n_words + greatest(n_words - 1, 0) AS n_features, weight, score, CASE WHEN place <= 25 * n // 100 THEN place END AS rank
+FROM scores LEFT JOIN places USING (r)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op2_line_dedup": OP2, "op4_quality": _quality_sql(), "op8_substring": OP8, "op9_topk_search": OP9}
+    return {"op2_line_dedup": OP2, "op4_quality": _quality_sql(), "op8_substring": OP8, "op9_topk_search": OP9, "op13_resample": OP13}

@@ -79,7 +79,14 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_rows(read(spark, sf_dir, "documents"), 24)
 
 
+def op13_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from roadpulse.llm.resample import resample
+
+    found = resample(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_features", "weight", "score", "rank")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_packing, op2_line_dedup, op3_sentencepiece, op4_quality, op5_toxicity, op6_license_scan, op7_simhash,
-        op8_substring, op9_topk_search, op10_sharding)}
+        op8_substring, op9_topk_search, op10_sharding, op13_resample)}
