@@ -147,5 +147,39 @@ FROM scores LEFT JOIN places USING (r)
 """
 
 
+def _codes_sql(parts: int = 4, rounds: int = 4, entries: int = 256) -> str:
+    """Plain Lloyd rounds: every piece against every entry, each round three steps."""
+    text = f"""
+WITH kept AS (
+  SELECT row_number() OVER () AS r, vec_id, label,
+         list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+pieces AS MATERIALIZED (
+  SELECT r, vec_id, p, v[p * (len(v) // {parts}) + 1:(p + 1) * (len(v) // {parts})] AS q FROM kept CROSS JOIN range({parts}) AS t(p)),
+b0 AS MATERIALIZED (
+  SELECT p, e, q FROM (SELECT p, row_number() OVER (PARTITION BY p ORDER BY vec_id, q) - 1 AS e, q FROM pieces) WHERE e < {entries})"""
+    for k in range(rounds + 1):
+        text += f""",
+a{k} AS MATERIALIZED (
+  SELECT r, p, q, n.e AS e, n.d AS d
+  FROM (SELECT x.r, x.p, any_value(x.q) AS q, min({{'d': CAST(list_dot_product(CAST(x.q AS DOUBLE[]), CAST(x.q AS DOUBLE[]))
+          - 2 * list_dot_product(CAST(x.q AS DOUBLE[]), CAST(b.q AS DOUBLE[])) + list_dot_product(CAST(b.q AS DOUBLE[]), CAST(b.q AS DOUBLE[])) AS BIGINT),
+          'e': b.e}}) AS n
+        FROM pieces x JOIN b{k} b USING (p) GROUP BY x.r, x.p))"""
+        if k < rounds:
+            text += f""",
+s{k} AS (SELECT p, e, i, CAST(floor(CAST(SUM(c) AS DOUBLE) / COUNT(*)) AS BIGINT) AS c
+         FROM (SELECT p, e, unnest(q) AS c, generate_subscripts(q, 1) AS i FROM a{k}) GROUP BY p, e, i),
+b{k + 1} AS MATERIALIZED (
+  SELECT b.p, b.e, COALESCE(m.q, b.q) AS q FROM b{k} b LEFT JOIN (SELECT p, e, list(c ORDER BY i) AS q FROM s{k} GROUP BY p, e) m ON b.p = m.p AND b.e = m.e)"""
+    return text + f""",
+book AS (SELECT sha256(string_agg(array_to_string(q, ','), ',' ORDER BY p, e)) AS h FROM b{rounds}),
+codes AS (SELECT r, string_agg(lower(lpad(to_hex(e), 2, '0')), '' ORDER BY p) AS code, CAST(SUM(d) AS BIGINT) AS error FROM a{rounds} GROUP BY r)
+SELECT vec_id, code, error, CAST(SUM(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, h AS codebooks_sha256
+FROM kept JOIN codes USING (r) CROSS JOIN book
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op2_line_dedup": OP2, "op4_quality": _quality_sql(), "op8_substring": OP8, "op9_topk_search": OP9, "op13_resample": OP13}
+    return {"op2_line_dedup": OP2, "op4_quality": _quality_sql(), "op8_substring": OP8, "op9_topk_search": OP9, "op11_vector_codes": _codes_sql(), "op13_resample": OP13}

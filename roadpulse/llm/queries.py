@@ -79,6 +79,12 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_rows(read(spark, sf_dir, "documents"), 24)
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from roadpulse.llm.vectorcodes import table
+
+    return table(read(spark, sf_dir, "embeddings"), parts=4, entries=256, rounds=4)
+
+
 def op13_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
     from roadpulse.llm.resample import resample
 
@@ -89,4 +95,4 @@ def op13_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_packing, op2_line_dedup, op3_sentencepiece, op4_quality, op5_toxicity, op6_license_scan, op7_simhash,
-        op8_substring, op9_topk_search, op10_sharding, op13_resample)}
+        op8_substring, op9_topk_search, op10_sharding, op11_vector_codes, op13_resample)}
