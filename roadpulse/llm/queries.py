@@ -85,6 +85,12 @@ def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(read(spark, sf_dir, "embeddings"), parts=4, entries=256, rounds=4)
 
 
+def op12_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from roadpulse.llm.personal import scan
+
+    return scan(read(spark, sf_dir, "documents"))
+
+
 def op13_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
     from roadpulse.llm.resample import resample
 
@@ -95,4 +101,5 @@ def op13_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_packing, op2_line_dedup, op3_sentencepiece, op4_quality, op5_toxicity, op6_license_scan, op7_simhash,
-        op8_substring, op9_topk_search, op10_sharding, op11_vector_codes, op13_resample)}
+        op8_substring, op9_topk_search, op10_sharding, op11_vector_codes, op12_personal_data,
+        op13_resample)}
