@@ -28,12 +28,10 @@ WITH lines AS (
 placed AS (  -- a blank line belongs to the line before it
   SELECT *, regexp_matches(line, '{_WORD}') AS has,
          SUM(CAST(regexp_matches(line, '{_WORD}') AS INTEGER)) OVER (PARTITION BY doc_id ORDER BY i) AS pos FROM lines),
-pairs AS (
-  SELECT doc_id, pos, line, lead(line) OVER (PARTITION BY doc_id ORDER BY pos) AS follows FROM placed WHERE has),
-later AS (
-  SELECT doc_id, pos, row_number() OVER (PARTITION BY line, follows ORDER BY doc_id, pos) AS copy FROM pairs WHERE follows IS NOT NULL),
-gone AS (
-  SELECT doc_id, pos FROM later WHERE copy > 1 UNION SELECT doc_id, pos + 1 FROM later WHERE copy > 1)
+gone AS (  -- every line that equals one before it, in order of doc_id and place, whatever stands around it
+  SELECT doc_id, pos FROM (
+    SELECT doc_id, pos, row_number() OVER (PARTITION BY line ORDER BY doc_id, pos) AS copy FROM placed WHERE has)
+  WHERE copy > 1)
 SELECT p.doc_id, CAST(SUM(CAST(p.has AS INTEGER)) AS BIGINT) AS n_lines,
        CAST(SUM(CASE WHEN p.has AND g.pos IS NOT NULL THEN 1 ELSE 0 END) AS BIGINT) AS n_removed,
        sha256(COALESCE(string_agg(p.line, chr(10) ORDER BY p.i) FILTER (WHERE g.pos IS NULL), '')) AS kept_sha256

@@ -4,7 +4,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from roadpulse.llm import linededup
-from tests.llm.brute import cut_lines, sha
+from roadpulse.llm.queries import op2_line_dedup
+from tests.llm.brute import cut_lines, sha, words
 
 
 def _check(spark, docs, min_lines=2):
@@ -18,8 +19,22 @@ def _check(spark, docs, min_lines=2):
     return rows
 
 
-def test_documents(spark, documents):
-    _check(spark, [(r.doc_id, r.text) for r in documents.collect()])
+@pytest.mark.parametrize("min_lines", [1, 2])
+def test_documents(spark, documents, min_lines):
+    _check(spark, [(r.doc_id, r.text) for r in documents.collect()], min_lines)
+
+
+def test_the_query_leaves_no_later_copy_of_a_line(spark):
+    sf_dir = "/root/testdata/sf0.001"
+    documents = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    seen, later = set(), {}
+    for r in documents.orderBy("doc_id").collect():
+        for line in (r.text or "").split("\n"):
+            if words(line):
+                later[r.doc_id] = later.get(r.doc_id, 0) + (line in seen)
+                seen.add(line)
+    assert sum(later.values()) > 50
+    assert {r.doc_id: r.n_removed for r in op2_line_dedup(spark, sf_dir).collect() if r.n_removed} == {i: n for i, n in later.items() if n}
 
 
 @pytest.mark.parametrize(("seed", "min_lines"), [(1, 2), (2, 4), (3, 1), (4, 2)])

@@ -12,7 +12,7 @@ def _brute(docs, codes):
     """{doc_id: final text} of the first four stages."""
     good = vote_model([codes[i][0] for i in docs], len(quality.RULES), quality.START, quality.LEAST)
     docs = {i: t for (i, t), p in zip(docs.items(), good, strict=True) if p >= 0.5 and not codes[i][1]}
-    docs = {i: text for i, (text, _) in cut_lines(list(docs.items())).items()}
+    docs = {i: text for i, (text, _) in cut_lines(list(docs.items()), min_lines=1).items()}
     groups = near_groups({i: fingerprint(t) for i, t in docs.items()})
     docs = {i: t for i, t in docs.items() if groups[i] == i}
     cut = cut_passages(list(docs.items()), 50)
