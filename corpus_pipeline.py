@@ -31,8 +31,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 2: later copies of repeated line runs go; every document stays."""
-    return _with_text(docs, linededup.cut(docs, min_lines=2), "__kept")
+    """Operator 2: later copies of repeated lines and line runs go; every document stays."""
+    return _with_text(docs, linededup.cut(docs, min_lines=1), "__kept")
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
