@@ -1,7 +1,10 @@
+import math
+
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
-from roadpulse.llm.topk import SlicedBlock, quantised, top_k
+from roadpulse.llm.topk import SlicedBlock, _encoded, dealt, quantised, top_k
 
 
 def _brute(ids, vectors, queries, k):
@@ -28,7 +31,7 @@ def test_whole_table(spark):
     table = spark.read.parquet("/root/testdata/sf0.01/embeddings.parquet")
     v = quantised(table)
     rows = v.orderBy("vec_id").collect()
-    got = top_k(v, v.filter("vec_id % 100 = 0"), block_rows=100, query_batch=2).collect()
+    got = top_k(v, v.filter("vec_id % 100 = 0"), block_rows=100).collect()
     ids = [r.vec_id for r in rows]
     vectors = [np.array(r.q) for r in rows]
     want = _brute(ids, vectors, [i for i in ids if i % 100 == 0], 10)
@@ -46,3 +49,46 @@ def test_odd_vectors(spark):
     assert [x for x in got if x[0] == 200] == [(200, 1, 5, 0)]
     assert [x[2] for x in got if x[0] == 100] == [6, 7, 8]
     assert top_k(v.filter("false"), v.filter("false")).count() == 0
+
+
+def _whole(v):
+    return math.floor(v * 1024) if abs(v) < 2.0**900 else int(v) * 1024
+
+
+@pytest.mark.parametrize("large", [2.0**29 - 1, 2.0**29, 2.0**31, 2.0**41, 1e18, 1e30, 3.4e38, 1e300, -1.7e308])
+def test_any_finite_component(spark, large):
+    rng = np.random.default_rng(8)
+    rows = [(i, rng.normal(size=3).tolist()) for i in range(60)]
+    for i, at in ((0, 0), (7, 1), (20, 0), (50, 2)):
+        rows[i][1][at] = large * (1 if i != 20 else -0.5)
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    v = quantised(df)
+    got = {(r.query_id, r["rank"]): (r.vec_id, r.score) for r in top_k(v, v.filter("vec_id % 10 = 0"), 5, block_rows=16).collect()}
+    whole = {i: [_whole(c) for c in x] for i, x in rows}
+    for q in range(0, 60, 10):
+        want = sorted((-sum(a * b for a, b in zip(whole[q], w, strict=True)), i) for i, w in whole.items() if i != q)[:5]
+        for rank, (s, i) in enumerate(want, 1):
+            assert got[q, rank] == (i, max(-2**63, min(2**63 - 1, -s))), (q, rank)
+
+
+def test_scores_beyond_a_long_are_ordered():
+    scores = [0, 5, -5, 2**63 - 1, 2**63, 2**63 + 1, 10**40, 10**40 + 1, 10**400, -2**63 + 1, -2**63 - 7, -10**40, -10**400]
+    assert sorted(scores) == sorted(scores, key=_encoded)
+
+
+def test_a_vector_is_shuffled_once_and_a_query_once_a_block(spark):
+    v = quantised(spark.read.parquet("/root/testdata/sf0.01/embeddings.parquet")).withColumn("row", F.monotonically_increasing_id())
+    asked = v.filter("vec_id % 100 = 0").drop("row")
+    laid = dealt(v, asked, 7)
+    assert laid.count() == v.count() + 7 * asked.count()
+    plan = laid._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1
+    where = laid.withColumn("part", F.spark_partition_id()).select("block", "part").distinct().collect()
+    assert len(where) == 7 and len({r.part for r in where}) == 7  # a partition of its own for every block
+
+
+def test_repeated_rows(spark):
+    rows = [(1, [1.0, 0.0])] * 200 + [(None, [1.0, 0.0])] * 100 + [(100, [1.0, 1.0]), (2, [0.5, 0.0])]
+    v = quantised(spark.createDataFrame(rows, "vec_id long, embedding array<float>"))
+    got = top_k(v, v.filter("vec_id % 100 = 0"), 250, block_rows=50).orderBy("rank").collect()
+    assert [r.vec_id for r in got] == [1] * 200 + [None] * 50
