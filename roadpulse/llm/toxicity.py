@@ -199,10 +199,11 @@ def training_rows(docs: DataFrame, labels: DataFrame, fit_rows: int, id_col: str
     return written(rows.select("y", "text").distinct(), "toxicity-sample")  # copies would count one text's words often
 
 
-def learn_terms(rows: DataFrame, *, least: int = 8, share: float = 0.01, purity: float = 0.9, hint: float = 0.5, endings: int = 4, most: int = 3000) -> dict[str, int]:
+def learn_terms(rows: DataFrame, *, least: int = 8, share: float = 0.01, purity: float = 0.9, hint: float = 0.5, endings: int = 4) -> dict[str, int]:
     """Words and stems of toxic texts: in `least` of them and `share` of them at least, of all texts
     that hold them a `purity` toxic (hits) or a `hint` (hints); a stem has `endings` at least. Returns term -> edits
-    allowed, HINT and less for hints (at most `most` terms)."""
+    allowed, HINT and less for hints. All such terms: as each lies in `share` of the sample's toxic texts, they
+    are at most 1 / `share` times the distinct words and stems of a mean toxic text."""
     least = max(least, share * (rows.agg(F.sum("y")).first()[0] or 0))
     each = F.explode(F.array_distinct(F.split(F.lower("text"), r"[^\p{L}\p{N}]+")))
     counted = (rows.select("y", each.alias("w")).filter("length(w) >= 3").groupBy("w")
@@ -214,7 +215,7 @@ def learn_terms(rows: DataFrame, *, least: int = 8, share: float = 0.01, purity:
     single = counted.filter(pure).select(F.col("w").alias("term"), "hits", sure)
     joint = (ways.groupBy("s").agg(F.sum("hits").alias("hits"), F.sum("rest").alias("rest"), F.count("*").alias("n"))
              .filter(pure & (F.col("n") >= endings)).select(F.concat("s", F.lit("*")).alias("term"), "hits", sure))
-    found = single.unionByName(joint).orderBy(F.desc("sure"), F.desc("hits"), F.length("term"), "term").limit(most).collect()
+    found = single.unionByName(joint).orderBy(F.desc("sure"), F.desc("hits"), F.length("term"), "term").collect()
     # words and longer stems that a stem covers stay: they allow more edits than it does
     chosen: dict[str, int] = {}
     for r in found:  # sure ones first

@@ -1,4 +1,6 @@
+import math
 import random
+import re
 
 import pytest
 
@@ -84,3 +86,65 @@ def test_terms_joined_by_punctuation(text):
 def test_quotation_marks_in_text_without_spaces():
     scan = toxicity.Scanner({"idiot": 0, "moron": 0})
     assert [h[2] for h in scan.hits("he_said:“idiot”,moron")] == [True, False]
+
+
+def test_terms_in_any_number(spark):
+    words = [f"bad{i:04d}" for i in range(3500)]
+    rows = [(1, " ".join(words)) for _ in range(9)] + [(0, f"a calm text of day {i}") for i in range(30)]
+    rows = [(y, f"{t} number {i}") for i, (y, t) in enumerate(rows)]
+    assert set(words) <= set(toxicity.learn_terms(spark.createDataFrame(rows, "y int, text string")))
+
+
+def _plain_figures(text, terms, window=12):
+    """The figures by an edit distance to every term, word by word."""
+    def fewest(word, own):
+        near = [d for t, k in own.items() if not t.endswith("*") and (d := edit_distance(t, word)) <= k]
+        near += [d for t, k in own.items() if t.endswith("*") and (d := min(edit_distance(t[:-1], word[:n]) for n in range(len(word) + 1))) <= k]
+        return min(near, default=-1)
+
+    sure = {t: k for t, k in terms.items() if k >= 0}
+    hints = {t: -1 - k for t, k in terms.items() if k < 0}
+    hits, exact, odd, marks = [], 0, 0, []
+    split = text.lower().split()
+    for at, raw in enumerate(split):
+        marks += [(at, i) for i, c in enumerate(raw) if c in "\"“”«»„"]
+        for m in re.finditer(r"[^\W_]+", raw):
+            edits = fewest(m[0], sure)
+            hint = fewest(m[0], hints) if edits < 0 else -1
+            exact, odd = exact + (hint == 0), odd + (hint > 0)
+            if edits >= 0:
+                hits.append((at, m.start(), edits))
+    n = max(len(split), 20)
+    hinted = [math.log1p(exact), math.log1p(100 * exact / n), math.log1p(odd)]
+    if not hits:
+        return [0.0] * 7 + hinted
+    quoted = near = 0
+    for at, place, _ in hits:
+        left, right = [m for m in marks if m < (at, place)], [m for m in marks if m >= (at, place)]
+        quoted += bool(left and right and at - left[-1][0] <= window and right[0][0] - at <= window)
+        near = max(near, sum(abs(h[0] - at) <= window for h in hits) - 1)
+    wrong = sum(h[2] > 0 for h in hits)
+    return [1.0, math.log1p(len(hits)), math.log1p(wrong), float(wrong == len(hits)), math.log1p(quoted), float(quoted == len(hits)),
+            math.log1p(near), *hinted]
+
+
+def test_scores_equal_a_plain_version(spark):
+    rng = random.Random(4)
+    terms = {"worthless": 2, "clown": 1, "scum*": 1, "silly": -1, "dimwit": -2}
+    pool = ["worthless", "wortless", "clown", "clwn", "scumbag", "scm", "silly", "sily", "dimwt", "calm", "weather", "report", "\"he", "said\"", "(clown)", "a/clown"]
+    rows = []
+    for i in range(300):
+        y = i % 2
+        text = " ".join(rng.choice(pool if y and rng.random() < 0.7 else pool[9:14]) for _ in range(rng.randint(0, 40)))
+        rows.append((i, text, y))
+    df = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    out = toxicity.score(df.select("doc_id", "text"), df.select("doc_id", "toxic"), terms=terms).collect()
+    texts = {i: t for i, t, _ in rows}
+    seen = {i: _plain_figures(t, terms) for i, t, _ in rows}
+    train = {(t, y) for i, t, y in rows if not next(r for r in out if r.doc_id == i).held_out}  # equal rows count once
+    weights = toxicity.fit_weights(toxicity.np.array([_plain_figures(t, terms) for t, _ in sorted(train)]), toxicity.np.array([float(y) for _, y in sorted(train)]))
+    for r in out:
+        scan = toxicity.Scanner(terms)
+        assert scan.figures(*scan.scan(texts[r.doc_id])) == pytest.approx(seen[r.doc_id])
+        z = sum(w * x for w, x in zip(weights, [*seen[r.doc_id], 1.0], strict=True))
+        assert r.score == pytest.approx(1 / (1 + math.exp(-max(-30, min(30, z)))), abs=1e-6)
