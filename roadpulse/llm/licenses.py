@@ -69,6 +69,17 @@ def template_words(text: str) -> list[str]:
     return _WORD.findall(text.lower())
 
 
+def spans(text: str) -> list[tuple[int, int]]:
+    """Where the words of `template_words(text)` stand in `text`: lower-casing can lengthen a
+    character, so places in the lower-cased text are led back to their characters."""
+    lowered = text.lower()
+    found = [m.span() for m in _WORD.finditer(lowered)]
+    if len(lowered) == len(text):
+        return found
+    origin = np.repeat(np.arange(len(text)), [len(c.lower()) for c in text])
+    return [(int(origin[a]), int(origin[b - 1]) + 1) for a, b in found]
+
+
 class TemplateIndex:
     def __init__(self, templates: dict[str, str], gram: int = 3, winnow: int = 4, coverage: float = 0.8):
         self.gram = gram
@@ -204,10 +215,10 @@ def scan(docs: DataFrame, templates: dict[str, str] | None = None, *, gram: int
                         taken[k].append((first, end))
                         found[k, first, end] = (edits, -matched)
                 if found:
-                    places = [m.span() for m in _WORD.finditer(text)] if len(text) == len(text.lower()) else None
+                    places = spans(text)
                     for (k, first, end), (edits, matched) in sorted(found.items()):
                         out.append((doc_id, index.names[k], matched / len(index.ids[k]), matched, edits, first, end - first,
-                                    places[first][0] if places else None, places[end - 1][1] if places else None))
+                                    places[first][0], places[end - 1][1]))
             if out:
                 yield pa.RecordBatch.from_pylist([dict(zip(names, r, strict=True)) for r in out], schema=schema)
 

@@ -68,6 +68,49 @@ def test_odd_rows(spark, odd, empty):
                                  "doc_id long, text string")
     rows = licenses.scan(docs).collect()
     assert sorted((r.doc_id or 0) for r in rows) == [0, 1, 1, 2, 3, 3]
+    assert {(r.doc_id, r.first_char, r.end_char) for r in rows if r.doc_id in (None, 2)} == {(None, 0, 30), (2, 2, 32)}
+
+
+def test_spans_where_lower_case_is_longer():
+    for text in ("İ İstanbul MIT İ. License", "plain WORDS here", "ΣΑΣ Σ İx", ""):
+        found = [text[a:b] for a, b in licenses.spans(text)]
+        assert [licenses.template_words(x) for x in found] == [[w] for w in licenses.template_words(text)]
+
+
+def _covered(template, text, coverage):
+    """Whether some stretch of `text`, aligned with the whole of `template` by fewest edits, matches enough of it."""
+    best = [(0, 0)] * (len(text) + 1)  # (edits, -matched) of the template so far against a stretch that ends here
+    for i, x in enumerate(template, 1):
+        new = [(i, 0)]
+        for j, y in enumerate(text, 1):
+            (e, m), (e2, m2), (e3, m3) = best[j - 1], best[j], new[-1]
+            new.append(min((e, m - 1) if x == y else (e + 1, m), (e2 + 1, m2), (e3 + 1, m3)))
+        best = new
+    return -min(best)[1] >= coverage * len(template)
+
+
+def test_scan_equals_full_alignment_of_every_template(spark):
+    rng = random.Random(11)
+    names = sorted(licenses.TEMPLATES)
+    texts = []
+    for i in range(40):
+        words = licenses.template_words(licenses.TEMPLATES[names[i % len(names)]])[:60]
+        for _ in range(rng.randrange(1 + len(words) // 3)):
+            at = rng.randrange(len(words))
+            words[at:at + 1] = rng.choice([[], ["other"], [words[at], "more"]])
+        around = [f"x{rng.randrange(30)}" for _ in range(rng.randrange(30))]
+        texts.append(" ".join(around + words + around))
+    texts += [r.text[:600] for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").limit(60).collect()]
+    got = {(r.doc_id, r.license) for r in licenses.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    want = {(i, n) for i, t in enumerate(texts) for n in names
+            if _covered(licenses.template_words(licenses.TEMPLATES[n]), licenses.template_words(t), 0.8)}
+    assert want and got >= want and all(_near(n, texts[i]) for i, n in got - want)
+
+
+def _near(name, text):
+    """A copy the operator alone reports: the words of the template are there in number."""
+    own = licenses.template_words(licenses.TEMPLATES[name])
+    return sum(w in set(licenses.template_words(text)) for w in own) >= 0.8 * len(own)
 
 
 def test_one_word_changes_of_short_notices(spark):
