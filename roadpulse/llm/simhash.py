@@ -98,6 +98,10 @@ def links(nodes: DataFrame, radius: int = 2, *, blocks: int = 4, tile_rows: int
     width = 64 // blocks
     base = width + 1
     mask = (1 << width) - 1 if width < 64 else -1
+    if base**blocks > 1 << 30:
+        raise ValueError("more cells than 2^30: take fewer blocks")
+    # as many cells as fit into a small table go to every executor; more are joined as the engine sees fit
+    sent = F.broadcast if base**blocks <= 1 << 17 else lambda cells: cells
     counts = [F.bit_count(F.shiftrightunsigned("f", i * width).bitwiseAND(F.lit(mask))) for i in range(blocks)]
     place = sum((c * base**i for i, c in enumerate(counts)), F.lit(0)).cast("int")
     laid = written(nodes.select("f", place.alias("cell")), "fingerprints")
@@ -108,12 +112,12 @@ def links(nodes: DataFrame, radius: int = 2, *, blocks: int = 4, tile_rows: int
     old = lambda i: F.pmod(F.floor(F.col("cell") / base**i), F.lit(base))
     inside = [(sum(x * base**i for i, x in enumerate(s)), [(old(i) + x).between(0, width) for i, x in enumerate(s) if x]) for s in steps]
     visits = F.filter(F.array(*[_all(ok, F.col("cell") + F.lit(d)) for d, ok in inside]), lambda c: c.isNotNull())
-    own = (laid.join(F.broadcast(cells), "cell")
+    own = (laid.join(sent(cells), "cell")
            .withColumn("tile", F.pmod(F.xxhash64("f"), F.col("tiles")).cast("int")))
     home = own.select("f", "cell", "tile", F.lit(0).alias("guest"))
     beside = (own.filter("tile + 1 < tiles")  # rows of a split cell visit its later tiles
               .select("f", "cell", F.explode(F.sequence(F.col("tile") + 1, F.col("tiles") - 1)).alias("tile"), F.lit(1).alias("guest")))
-    abroad = (laid.select("f", F.explode(visits).alias("cell")).join(F.broadcast(cells), "cell")
+    abroad = (laid.select("f", F.explode(visits).alias("cell")).join(sent(cells), "cell")
               .select("f", "cell", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)).alias("tile"), F.lit(1).alias("guest")))
     dealt = (home.unionByName(beside).unionByName(abroad)
              .repartition("cell", "tile").sortWithinPartitions("cell", "tile", "guest"))

@@ -64,3 +64,29 @@ def test_components_of_paths_and_stars(spark):
         own = [names[i] for i in part]
         assert {got.get(v, v) for v in own} == {min(own)}
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_many_cells_without_a_forced_broadcast(spark):
+    rng = np.random.default_rng(12)
+    base = rng.integers(0, 2**64, 4000, dtype=np.uint64)
+    near = base[:300] ^ (np.uint64(1) << rng.integers(0, 64, 300).astype(np.uint64))
+    values = np.unique(np.concatenate([base, near, near[:50] ^ np.uint64(3 << 20)]))
+    links = simhash.links(spark.createDataFrame([(int(v),) for v in values.view(np.int64)], "f long"), 2, blocks=8)
+    got = {r.node: r.root for r in components(links).collect()}
+    want = {}
+    for i, v in enumerate(values):
+        close = np.flatnonzero(np.bitwise_count(values ^ v) <= 2)
+        if len(close) > 1:
+            want[int(values.view(np.int64)[i])] = len(close)
+    assert want.keys() == got.keys() | set(got.values()) and len(want) >= 600
+    from roadpulse.llm.common import written
+    nodes = written(spark.createDataFrame([(int(v),) for v in values.view(np.int64)], "f long"), "nodes")
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        plans = {b: simhash.links(nodes, 2, blocks=b)._jdf.queryExecution().executedPlan().toString() for b in (4, 8)}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert "BroadcastHashJoin" in plans[4] and "BroadcastHashJoin" not in plans[8]
+    with pytest.raises(ValueError):
+        simhash.links(nodes, 2, blocks=16)
