@@ -23,6 +23,13 @@ def written(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def apart(docs: DataFrame, **columns: str) -> DataFrame:
+    """The rows of `docs`, each as one struct `__row`, beside the named columns an operator needs: no
+    column of the input, whatever its name, can meet one of the operator's. `select("__row.*")`
+    gives the input's columns back."""
+    return docs.select(F.struct("*").alias("__row"), *[F.col(column).alias(name) for name, column in columns.items()])
+
+
 def words(text: Column) -> Column:
     """Array of the words of `text` (null: none)."""
     return F.filter(F.split(F.coalesce(text, F.lit("")), SPACE), lambda w: w != "")

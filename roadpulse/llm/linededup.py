@@ -13,8 +13,8 @@ stays, also where copies lie in one document.
 
 A null text is an empty one without lines. Null ids sort first. Rows equal in id and text are one
 document and get the same cut. Very long texts are ordinary rows (narrow in every shuffle but the
-last). An empty table gives an empty result. Further columns pass through; columns of this
-module begin with two underscores. Lines are told apart by 96 hash bits.
+last). An empty table gives an empty result. Further columns pass through, whatever their names.
+Lines are told apart by 96 hash bits.
 """
 
 from __future__ import annotations
@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from roadpulse.llm.common import written
+from roadpulse.llm.common import apart, written
 
 #: before a line with a word; what lies between two of these is a line with the blank ones after it
 BREAK = r"\n(?=[\x20\x09\x0B-\x0D]*[^\x20\x09-\x0D])"
@@ -105,7 +105,8 @@ def repeated_runs(lines: DataFrame, min_lines: int = 2) -> DataFrame:
 
 
 def cut(docs: DataFrame, *, min_lines: int = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """`docs` with `__kept` (the text without later copies), `__n_lines` and `__n_removed`."""
+    """`__row` (the row of `docs`), `__kept` (the text without later copies), `__n_lines`, `__n_removed`."""
+    docs, id_col, text_col = apart(docs, doc_id=id_col, text=text_col), "doc_id", "text"
     lines = written(line_table(docs, id_col, text_col), "lines")
     runs = repeated_runs(lines, min_lines)
     # a line goes if a run that starts at or before it reaches it: the furthest end so far
@@ -122,12 +123,12 @@ def cut(docs: DataFrame, *, min_lines: int = 2, id_col: str = "doc_id", text_col
     return (out.withColumn("__kept", F.when(F.col("__gone").isNull(), F.col(text_col)).otherwise(kept))
             .withColumn("__n_lines", F.size(words).cast("long"))
             .withColumn("__n_removed", F.coalesce(F.size(F.filter("__gone", lambda g: g)), F.lit(0)).cast("long"))
-            .drop(*_KEY, "__gone"))
+            .select("__row", "__kept", "__n_lines", "__n_removed"))
 
 
 def table(docs: DataFrame, *, min_lines: int = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_lines (with a word), n_removed, kept_sha256 of every row."""
     own = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     return cut(own, min_lines=min_lines).select(
-        "doc_id", F.col("__n_lines").alias("n_lines"), F.col("__n_removed").alias("n_removed"),
+        "__row.doc_id", F.col("__n_lines").alias("n_lines"), F.col("__n_removed").alias("n_removed"),
         F.sha2(F.coalesce("__kept", F.lit("")), 256).alias("kept_sha256"))

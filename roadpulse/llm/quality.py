@@ -8,7 +8,8 @@ more than 30 % of the words in 8-word windows that occur twice in the text.
 
 Nothing is shuffled but vote patterns: all figures come from arrays within a row. A null text is
 an empty one and fails; ids may be null or repeated; very long texts are read whole; on an empty
-table the starting accuracies stand and the result is empty. Further columns pass through.
+table the starting accuracies stand and the result is empty. Further columns pass through, whatever
+their names.
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from roadpulse.llm.common import SPACE, words, written
+from roadpulse.llm.common import SPACE, apart, words, written
 
 #: share limits of the rules, as (name, numerator, denominator, at or below, vote, at or above, vote)
 RULES = (
@@ -133,10 +134,11 @@ def _verdict(seen: DataFrame, model: dict, min_words: int, repeat_percent: int,
 
 
 def judge(docs: DataFrame, *, text_col: str = "text", min_words: int = 20, repeat_percent: int = 30, threshold: float = 0.5) -> DataFrame:
-    """`docs` with `__figures`, `__good` (posterior), `__base_failed`, `__kept`. The figures are
-    taken twice, once for the model and once beside the rows, so no text is shuffled or stored."""
-    model = _model(figures(docs.select(F.col(text_col)), text_col).select(pattern(F.col("__figures")).alias("code")))
-    return _verdict(figures(docs, text_col), model, min_words, repeat_percent, threshold)
+    """`__row` (the row of `docs`), `__figures`, `__good` (posterior), `__base_failed`, `__kept`. Rows and
+    figures are written once; the model is fitted on the figures, which lie in columns of their own."""
+    seen = written(figures(apart(docs, text=text_col)).select("__row", "__figures"), "judged")
+    model = _model(seen.select(pattern(F.col("__figures")).alias("code")))
+    return _verdict(seen, model, min_words, repeat_percent, threshold)
 
 
 def table(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, min_words: int = 20, repeat_percent: int = 30,
@@ -152,4 +154,4 @@ def table(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, mi
 
 def kept(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """The rows of `docs` that pass, with their own columns only."""
-    return judge(docs, text_col=text_col).filter("__kept").select(*[F.col(f"`{c}`") for c in docs.columns])
+    return judge(docs, text_col=text_col).filter("__kept").select("__row.*")

@@ -14,7 +14,7 @@ batch, never one task's load.
 
 A null text has no words. A null id takes no part: such rows stay whole. Rows equal in id and text
 are one document and are cut alike; rows equal in id alone never cut each other. Texts are
-read whole, an empty table gives an empty result, further columns pass through.
+read whole, an empty table gives an empty result, further columns pass through, whatever their names.
 """
 
 from __future__ import annotations
@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from roadpulse.llm.common import words, written
+from roadpulse.llm.common import apart, words, written
 
 _KEY = ["__id", "__text"]
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -194,7 +194,8 @@ def table(docs: DataFrame, length: int = 50, *, id_col: str = "doc_id", text_col
 
 
 def cut(docs: DataFrame, length: int = 50, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """`docs` with `__kept` (the text without repeated passages) and `__n_removed`."""
+    """`__row` (the row of `docs`), `__kept` (the text without repeated passages), `__n_removed`."""
+    docs, id_col, text_col = apart(docs, doc_id=id_col, text=text_col), "doc_id", "text"
     found = cuts(docs, length, id_col=id_col, text_col=text_col).drop("__digest")
-    return (_keyed(docs, id_col, text_col).join(found, _KEY, "left").drop(*_KEY)
-            .withColumn("__kept", F.coalesce("__kept", F.col(text_col))).withColumn("__n_removed", F.coalesce("__n_removed", F.lit(0))))
+    return (_keyed(docs, id_col, text_col).join(found, _KEY, "left")
+            .select("__row", F.coalesce("__kept", F.col(text_col)).alias("__kept"), F.coalesce("__n_removed", F.lit(0)).alias("__n_removed")))

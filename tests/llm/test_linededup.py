@@ -59,7 +59,7 @@ def test_depths_are_those_of_the_suffix_array(spark):
 
 
 def test_odd_rows(odd, empty):
-    out = linededup.cut(odd)
+    out = linededup.cut(odd).select("__row.*", "__kept", "__n_lines", "__n_removed")
     rows = out.collect()
     assert len(rows) == odd.count() and set(odd.columns) <= set(out.columns)
     by_id = {r.doc_id: r for r in rows if r.doc_id not in (None, 6, 9)}
@@ -73,7 +73,7 @@ def test_odd_rows(odd, empty):
 
 def test_blank_lines_belong_to_the_line_before(spark):
     docs = [(0, "one\n\ntwo\nthree"), (1, "zero\none\ntwo\n\nfour")]
-    rows = {r.doc_id: r for r in linededup.cut(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    rows = {r.doc_id: r for r in linededup.cut(spark.createDataFrame(docs, "doc_id long, text string")).select("__row.*", "__kept", "__n_lines").collect()}
     assert rows[0]["__kept"] == docs[0][1]
     assert rows[1]["__kept"] == "zero\nfour" and rows[1]["__n_lines"] == 4
 

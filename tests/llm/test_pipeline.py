@@ -21,7 +21,7 @@ def _brute(docs, codes):
 
 def test_run_equals_brute_force(spark, documents):
     codes = {r.doc_id: (r.code, r.bad) for r in quality.judge(documents).select(
-        "doc_id", quality.pattern(quality.F.col("__figures")).alias("code"), quality.F.col("__base_failed").alias("bad")).collect()}
+        "__row.doc_id", quality.pattern(quality.F.col("__figures")).alias("code"), quality.F.col("__base_failed").alias("bad")).collect()}
     want = _brute({r.doc_id: r.text for r in documents.orderBy("doc_id").collect()}, codes)
     rows = corpus_pipeline.run(spark, "/root/testdata/sf0.001").collect()
     tokenizer = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
@@ -43,6 +43,17 @@ def test_stages_keep_the_columns(spark, documents, odd, empty):
         assert (corpus_pipeline.STAGES[-1][1](spark, docs, "").count() == 0) == (docs.count() == 0)
 
 
+def test_columns_of_any_name_pass_through(spark, documents):
+    names = ["__row", "__id", "__text", "__words", "__kept", "__gone", "__good", "__h", "__n_removed", "__figures", "__lines", "a.b", "kept", "h", "doc id"]
+    docs = documents.limit(60).selectExpr("*", *[f"concat('own ', doc_id) AS `{n}`" for n in names])
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        out = corpus_pipeline.written(stage(spark, docs, "/root/testdata/sf0.001"), "test-names")
+        assert out.columns == docs.columns
+        rows = out.collect()
+        assert rows and all(r[n] == f"own {r.doc_id}" for r in rows for n in names)
+        docs = out
+
+
 def test_one_of_each_group_stays(spark, odd):
     kept = corpus_pipeline.simhash_near_dedup(spark, odd, "").collect()
     ids = sorted(r.doc_id for r in kept if r.doc_id is not None)

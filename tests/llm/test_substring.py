@@ -15,7 +15,7 @@ def _check(spark, docs, length):
         w, keep = want[r.doc_id]
         kept = [x for x, k in zip(w, keep, strict=True) if k]
         assert (r.n_words, r.n_removed, r.kept_sha256) == (len(w), len(w) - len(kept), sha(" ".join(kept))), r.doc_id
-    texts = {r.doc_id: r["__kept"] for r in substring.cut(df, length).collect()}
+    texts = {r.doc_id: r["__kept"] for r in substring.cut(df, length).select("__row.doc_id", "__kept").collect()}
     for i, text in docs:
         assert texts[i] == (text if all(want[i][1]) else layout_without(text, want[i][1]))
     return rows
@@ -70,6 +70,6 @@ def test_odd_rows(odd, empty):
     assert len(rows) == odd.count()
     assert all(r.n_removed == 0 for r in rows if r.doc_id in (None, 1, 2, 3, 4, 5, 6, 7, 8, 10, 11))
     assert {r.n_removed for r in rows if r.doc_id == 12} == {120} and {r.n_removed for r in rows if r.doc_id == 9} == {0, 120}
-    out = substring.cut(odd)
+    out = substring.cut(odd).select("__row.*", "__kept")
     assert out.count() == odd.count() and set(odd.columns) <= set(out.columns)
     assert substring.table(empty).count() == 0 and substring.cut(empty).count() == 0
