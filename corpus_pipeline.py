@@ -12,17 +12,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from roadpulse.llm import linededup, packing, quality, simhash, substring
-from roadpulse.llm.common import read, written
+from roadpulse.llm.common import apart, read, written
 
 SEQUENCE_TOKENS = 4096
 END_ID = 2
 
 
-def _with_text(docs: DataFrame, changed: DataFrame, text: str) -> DataFrame:
-    out = changed.withColumn("text", F.col(text))
-    if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return out.select(*docs.columns)
+def _with_text(docs: DataFrame, changed: DataFrame) -> DataFrame:
+    """The rows of `docs` (`__row` of `changed`) with the text that was kept (`__kept`)."""
+    new = {"text": F.col("__kept"), "n_chars": F.length("__kept")}
+    return changed.select(*[(new[f.name].cast(f.dataType) if f.name in new else F.col("__row").getField(f.name)).alias(f.name)
+                            for f in docs.schema])
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -32,7 +32,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 2: later copies of repeated lines and line runs go; every document stays."""
-    return _with_text(docs, linededup.cut(docs, min_lines=1), "__kept")
+    return _with_text(docs, linededup.cut(docs, min_lines=1))
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -42,14 +42,15 @@ def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     # a component's smallest doc_id is its name; two components share it if an id repeats
     first = (groups.filter("doc_id = component_id").groupBy("root").agg(F.min(F.struct("doc_id", "h")).alias("first"))
              .select(F.col("first.doc_id").alias("__id"), F.col("first.h").alias("__h")))
-    keyed = docs.withColumn("__id", F.col("doc_id").cast("long")).withColumn("__h", simhash.text_hash(F.col("text")))
+    rows = apart(docs, doc_id="doc_id", text="text")
+    keyed = rows.select("__row", F.col("doc_id").cast("long").alias("__id"), simhash.text_hash(F.col("text")).alias("__h"))
     kept = keyed.join(first, ["__id", "__h"], "left_semi").dropDuplicates(["__id", "__h"])
-    return kept.select(*docs.columns).unionByName(docs.filter("doc_id IS NULL").select(*docs.columns))
+    return kept.select("__row.*").unionAll(rows.filter("doc_id IS NULL").select("__row.*"))
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 8: passages of 50 words that a document with a smaller id holds go."""
-    return _with_text(docs, substring.cut(docs, 50), "__kept")
+    return _with_text(docs, substring.cut(docs, 50))
 
 
 def sequence_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
