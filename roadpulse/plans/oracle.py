@@ -345,8 +345,26 @@ ORACLE["reject_counts"] = sql(["raw_vehicle", "raw_gps", "raw_weather"], " UNION
     _rejects("weather_data", "raw_weather", {"temperature_range": "temperature BETWEEN -10 AND 60",
                                              "humidity_range": "humidity BETWEEN 0 AND 100"}),
 ]))
-ORACLE["incremental_refine"] = sql(["vehicle"], """SELECT date, COUNT(*) AS rows,
-       CAST(SUM(CAST(round(speed * 1000) AS BIGINT)) AS BIGINT) AS speed_units FROM vehicle GROUP BY date""")
+ORACLE["incremental_refine"] = sql(["raw_vehicle"], f"""SELECT id, vehicle_id, timestamp, strftime(timestamp, '%Y-%m-%d') AS date, speed,
+       {R("speed", 1)} AS speed_kmh
+FROM (
+  SELECT *, row_number() OVER (PARTITION BY id ORDER BY batch DESC, timestamp DESC NULLS LAST) AS place
+  FROM (
+    SELECT CASE WHEN step % 500 <> 1 THEN id END AS id, vehicle_id, CASE WHEN step % 97 <> 0 THEN timestamp END AS timestamp,
+           CASE WHEN recent AND step % 5 = 1 THEN 1.0 ELSE speed END AS speed, 0 AS batch
+    FROM steps WHERE NOT (recent AND step % 5 = 0)
+    UNION ALL
+    SELECT id, vehicle_id, timestamp + INTERVAL 1 DAY, speed, 0 FROM steps WHERE step % 7 = 3 AND step % 97 <> 0 AND step % 500 <> 1
+    UNION ALL
+    SELECT CASE WHEN step % 500 <> 1 THEN id END, vehicle_id, timestamp, speed + CASE WHEN step % 21 = 3 THEN 2.0 ELSE 0.0 END, 1
+    FROM steps WHERE ((recent AND step % 5 < 2) OR step % 97 = 0 OR step % 21 = 3) AND (step % 500 <> 1 OR step = 1)
+    UNION ALL
+    SELECT 'new-' || CAST(step AS VARCHAR), vehicle_id, timestamp, speed, 2 FROM steps WHERE step % 50 = 7) AS arrivals)
+WHERE place = 1 AND speed BETWEEN 0 AND 200""")
+ORACLE["incremental_refine"] = ORACLE["incremental_refine"].replace("FROM steps", """FROM (
+      SELECT *, CAST(substr(id, 5) AS BIGINT) AS step,
+             CAST(timestamp AS DATE) >= (SELECT MAX(CAST(timestamp AS DATE)) FROM raw_vehicle) - 2 AS recent FROM raw_vehicle)""")
+ORACLE["latest_by_partition"] = ORACLE["latest_vehicle"]
 ORACLE["speed_by_hour_sketch"] = ORACLE["speed_by_hour"]
 
 

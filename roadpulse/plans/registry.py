@@ -301,23 +301,48 @@ def _reject_counts(s, d):
     return out
 
 
+def _arrivals(s, d):
+    """Vehicle records as a first load and two deltas. The first load holds ids twice, a day apart,
+    records without an id or a time, and stale or missing records of the newest three dates;
+    the first delta corrects and completes them, moves ids back a day and gives times; the
+    second brings new ids on all dates."""
+    r = raw(s, d, VEHICLE)
+    recent = F.to_date("timestamp") >= F.date_sub(r.agg(F.max(F.to_date("timestamp"))).scalar(), 2)
+    step = F.substring("id", 5, 20).cast("long")
+    nameless = F.when(step % 500 != 1, F.col("id"))
+    late, timeless, moved = recent & (step % 5 < 2), step % 97 == 0, step % 21 == 3
+    first = (r.filter(~(recent & (step % 5 == 0)))
+             .withColumns({"speed": F.when(recent & (step % 5 == 1), F.lit(1.0)).otherwise(F.col("speed")),
+                           "timestamp": F.when(~timeless, F.col("timestamp")), "id": nameless}))
+    again = r.filter((step % 7 == 3) & ~timeless & (step % 500 != 1)).withColumn("timestamp", F.col("timestamp") + F.expr("INTERVAL 1 DAY"))
+    one = (r.filter((late | timeless | moved) & ((step % 500 != 1) | (step == 1)))
+           .withColumns({"speed": F.col("speed") + F.when(moved, 2.0).otherwise(0.0), "id": nameless}))
+    two = r.filter(step % 50 == 7).withColumn("id", F.concat(F.lit("new-"), step))
+    return first.unionByName(again), one, two
+
+
 @plan("incremental_refine")
 def _incremental_refine(s, d):
-    """A raw layer that lacks every fifth record of the newest three dates and holds a stale
-    copy (other speed) of another fifth; the delta brings the missing records, late, and
-    the corrected copies. Afterwards every date, touched or not, must be whole."""
+    """A refined table after a first load and two deltas holds what a refine of all rows would, later
+    deltas winning: one row per id whatever the date, and none left where an id moved from."""
     base = scratch_dir(s, "incremental")
-    r = raw(s, d, VEHICLE)
-    newest = r.agg(F.max(F.to_date("timestamp"))).scalar()
-    step = F.substring("id", 5, 20).cast("long") % 5
-    recent = F.to_date("timestamp") >= F.date_sub(newest, 2)
-    before = (r.filter(~(recent & (step == 0)))
-              .withColumn("speed", F.when(recent & (step == 1), F.lit(1.0)).otherwise(F.col("speed"))))
-    S.write_raw_batch(before, VEHICLE, base)
-    S.write_refined(P.REFINERS[VEHICLE](S.read_raw(s, VEHICLE, base)), VEHICLE, base)
-    S.incremental_refine(r.filter(recent & step.isin(0, 1)), VEHICLE, base, raw_base=base)
-    return (S.read_refined(s, VEHICLE, base).groupBy("date")
-            .agg(F.count(F.lit(1)).alias("rows"), F.sum(F.round(F.col("speed") * 1000).cast("bigint")).alias("speed_units")))
+    first, *deltas = _arrivals(s, d)
+    S.write_refined(P.REFINERS[VEHICLE](P.dedup_latest(first), dedup_rows=False), VEHICLE, base)
+    for delta in deltas:
+        S.incremental_refine(delta, VEHICLE, base)
+    return S.read_refined(s, VEHICLE, base).select("id", "vehicle_id", "timestamp", "date", "speed", "speed_kmh")
+
+
+@plan("latest_by_partition")
+def _latest_by_partition(s, d):
+    """D1 from partitions: the newest 500 vehicle rows, read from the newest dates that hold as many."""
+    base = scratch_dir(s, "newest")
+    rows = S.write_refined(_v(s, d), VEHICLE, base)
+    db = "roadpulse_" + base.rsplit("-", 1)[-1]
+    C.ensure_database(s, db, f"{base}/_db")
+    C.register_tables(s, db, base, (VEHICLE,), strict=True)
+    C.register_dates(s, db, VEHICLE, base, rows.dates)
+    return C.newest_rows(s, db, VEHICLE, 500).select(*D.VEHICLE_COLUMNS)
 
 
 @plan("catalog_tables")

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from roadpulse.schemas import FEEDS, PARTITION_COLUMN, table_ddl
+from roadpulse.sources import published
 from roadpulse.sources.storage import refined_path
 
 
@@ -44,6 +45,8 @@ def register_and_repair(spark: SparkSession, db: str, base: str, feeds: tuple[st
         if state == "created":
             try:
                 repair_partitions(spark, db, row.table)
+                if now := published.manifest(spark, refined_path(base, row.table)):
+                    register_dates(spark, db, row.table, base, [*now["dates"], *now["gone"]])
             except Exception as exc:
                 state = f"FAIL: {exc}"
         status.append((row.table, state))
@@ -63,6 +66,42 @@ def repair_partitions(spark: SparkSession, db: str, feed: str) -> None:
     spark.sql(f"MSCK REPAIR TABLE `{db}`.`{feed}`")
 
 
+def register_dates(spark: SparkSession, db: str, feed: str, base: str, dates: tuple[str, ...] | list[str]) -> None:
+    """S9 for a write's own dates (`Rows.dates`): new ones go to the catalog as one batch of partitions, at
+    the folders that hold them now, moved ones get their new location, emptied ones leave. No other
+    date is listed; `repair_partitions` is for tables written by someone else."""
+    if not dates:
+        return
+    root, table = refined_path(base, feed), f"`{db}`.`{feed}`"
+    now = published.manifest(spark, root)
+    known = {r[0].split("=", 1)[1] for r in spark.sql(f"SHOW PARTITIONS {table}").collect()}
+    spec = lambda d: f"PARTITION (`{PARTITION_COLUMN}`='{d}')"
+    where = {d: published.folder(root, now, PARTITION_COLUMN, d) for d in sorted(dates)}
+    for d, path in where.items():
+        if path and d in known:
+            spark.sql(f"ALTER TABLE {table} {spec(d)} SET LOCATION '{path}'")
+    if new := [f"{spec(d)} LOCATION '{path}'" for d, path in where.items() if path and d not in known]:
+        spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {' '.join(new)}")
+    if gone := [spec(d) for d, path in where.items() if path is None]:
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {', '.join(gone)}")
+    spark.catalog.refreshTable(table)
+
+
+def newest_rows(spark: SparkSession, db: str, feed: str, n: int, ts: str = "timestamp", key: str = "id") -> DataFrame:
+    """D1-D3 from partitions: the newest n rows (time descending, id breaks ties) of a table. Dates are
+    walked from the newest, twice as many at a time, until they hold n rows (counts come from the
+    files' footers); only those directories are read. Rows without a time come after all
+    others, so their partition is read only if all dates together hold too few."""
+    names = [r[0].split("=", 1)[1] for r in spark.sql(f"SHOW PARTITIONS `{db}`.`{feed}`").collect()]
+    dates = sorted((d for d in names if d != published.NO_DATE), reverse=True)
+    table, held, taken, step = spark.table(f"`{db}`.`{feed}`"), 0, 0, 1
+    while held < n and taken < len(dates):
+        held += table.filter(F.col(PARTITION_COLUMN).isin(dates[taken:taken + step])).count()
+        taken, step = taken + step, step * 2
+    rows = table if held < n else table.filter(F.col(PARTITION_COLUMN).isin(dates[:taken]))
+    return rows.orderBy(F.desc_nulls_last(ts), F.asc(key)).limit(n)
+
+
 def scan(spark: SparkSession, db: str, feed: str, dates: list[str] | Column | None = None) -> DataFrame:
     """Table scan restricted to partition dates (PartitionFilters: only matching
     directories are listed and read). `dates` may be a list or a Column expression."""

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from roadpulse.schemas import FEED_SCHEMAS, PARTITION_COLUMN, refined_schema
+from roadpulse.sources import published
 
 COMPRESSION = "snappy"  # Parquet codec of the raw and refined layers
 
@@ -60,8 +61,8 @@ def refined_read_schema(feed: str) -> StructType:
 
 
 def read_refined(spark: SparkSession, feed: str, base: str) -> DataFrame:
-    """Refined feed by path; `date` stays a STRING (no partition type inference)."""
-    return spark.read.schema(refined_read_schema(feed)).parquet(refined_path(base, feed))
+    """Refined feed by path, as last published; `date` stays a STRING (no partition type inference)."""
+    return published.read(spark, refined_path(base, feed), refined_read_schema(feed), PARTITION_COLUMN)
 
 
 def _laid_out(df: DataFrame, layout: str) -> DataFrame:
@@ -82,63 +83,104 @@ def _laid_out(df: DataFrame, layout: str) -> DataFrame:
     raise ValueError(f"unknown layout {layout!r}")
 
 
-def write_refined(df: DataFrame, feed: str, base: str, *, mode: str = "overwrite",
-                  dynamic: bool = False, layout: str = "rebalance") -> int:
-    """Write a refined feed partitioned by `date`; returns the row count, observed
-    during the write (no second pass). `dynamic=True` replaces the dates present in `df`, each
-    as a whole, and keeps every other partition: `df` must hold all rows of its dates
-    (`incremental_refine` sees to that for a delta). `layout="rebalance"` needs AQE; without
-    it rows go through `range`, the same rows in other files."""
+class Rows(int):
+    """A number of rows written; `dates` names the dates (partition folder names) they lie on."""
+
+    dates: tuple[str, ...] = ()
+
+    @classmethod
+    def observed(cls, obs: Observation) -> "Rows":
+        out = cls(obs.get["rows"])
+        out.dates = tuple(sorted(obs.get["dates"]))
+        return out
+
+
+def _write_dates(df: DataFrame, feed: str, path: str, layout: str, mode: str, dynamic: bool = False) -> Rows:
     obs = Observation(f"rows_{feed}_{uuid.uuid4().hex[:12]}")  # unique: writes may run concurrently
-    cols = [f.name for f in refined_read_schema(feed).fields]
-    out = _laid_out(df.select(*cols), layout).observe(obs, F.count(F.lit(1)).alias("rows"))
+    out = _laid_out(df.select(*[f.name for f in refined_read_schema(feed).fields]), layout).observe(
+        obs, F.count(F.lit(1)).alias("rows"), F.collect_set(F.coalesce(F.col(PARTITION_COLUMN), F.lit(published.NO_DATE))).alias("dates"))
     writer = out.write.mode(mode).option("compression", COMPRESSION).partitionBy(PARTITION_COLUMN)
     if dynamic:
         writer = writer.option("partitionOverwriteMode", "dynamic")
-    writer.parquet(refined_path(base, feed))
-    return int(obs.get["rows"])
+    writer.parquet(path)
+    return Rows.observed(obs)
 
 
-def _drop_date(spark: SparkSession, feed: str, base: str, date: str) -> None:
-    """Remove the folder of a date that holds no row any more."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(f"{refined_path(base, feed)}/{PARTITION_COLUMN}={date}")
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+def write_refined(df: DataFrame, feed: str, base: str, *, mode: str = "overwrite",
+                  dynamic: bool = False, layout: str = "rebalance") -> Rows:
+    """Write a refined feed partitioned by `date`; returns the row count and the dates, observed
+    during the write (no second pass). `dynamic=True` replaces the dates present in `df`, each
+    as a whole, and keeps every other partition: `df` must hold all rows of its dates
+    (`incremental_refine` sees to that for a delta). `layout="rebalance"` needs AQE; without
+    it rows go through `range`, the same rows in other files. A whole overwrite also drops
+    what was published since the last one; a table with published dates takes no appends."""
+    spark, root = df.sparkSession, refined_path(base, feed)
+    now = published.manifest(spark, root) if dynamic or mode != "overwrite" else None
+    if now is None:
+        return _write_dates(df, feed, root, layout, mode, dynamic)
+    if not dynamic:
+        raise ValueError(f"{root} has dates published after its last whole write: use incremental_refine or dynamic=True")
+    label = published.new_label()
+    rows = _write_dates(df, feed, f"{root}/_versions/v={label}", layout, "overwrite")
+    published.publish(spark, root, now, label, dates=list(rows.dates), gone=[], buckets=None, n_buckets=now["n_buckets"])
+    return rows
 
 
-def incremental_refine(raw_delta: DataFrame, feed: str, base: str, *, raw_base: str, layout: str = "rebalance") -> int:
+def incremental_refine(raw_delta: DataFrame, feed: str, base: str, *, layout: str = "rebalance", id_buckets: int = 64) -> Rows:
     """Bring a delta of raw rows (new ids, corrected copies, late rows) into the refined feed
-    and rewrite only the dates it touches: the dates of its rows and those on which its ids
-    lie now. Each touched date is rebuilt whole, from the raw layer at `raw_base` plus the
-    delta, where a copy in the delta replaces older copies of its id; all other dates
-    stay as they are. Whether the raw layer already holds the delta does not matter.
-    Returns the number of rows on the touched dates."""
-    from roadpulse.operators.refine import REFINERS
-
-    spark = raw_delta.sparkSession
+    and rewrite only the dates it touches: those of its rows and those on which its ids lie now.
+    The refined table holds one surviving row per id; a delta's copy of an id replaces that
+    row wherever it lies, also where the new copy fails the feed's range rules, and of several
+    copies in one delta the latest counts (`dedup_latest`). Null ids are one id, rows without a
+    time lie on the date-less partition, and the same delta again changes nothing. So the result
+    equals a refine of all rows from scratch in which later deltas win.
+
+    Which dates hold a delta's ids is read from the id index, only in the buckets its ids fall
+    into; the first delta builds the index from the table. Untouched dates are neither read nor
+    written. New folders are staged and one manifest switches to them (`published`): a run that
+    ends early leaves the table as it was. Returns the rows on the touched dates, and these."""
+    from roadpulse.operators.refine import REFINERS, dedup_latest
+
+    spark, root = raw_delta.sparkSession, refined_path(base, feed)
     names = [f.name for f in FEED_SCHEMAS[feed].fields]
-    delta = materialize(raw_delta.select(*names), f"delta-{feed}")
-    ids = delta.select("id").filter(F.col("id").isNotNull()).distinct()
-    day = F.date_format("timestamp", "yyyy-MM-dd")
-    moved = read_refined(spark, feed, base).join(ids, "id", "left_semi").select(F.col(PARTITION_COLUMN).alias("d"))
+    delta = materialize(dedup_latest(raw_delta.select(*names)), f"delta-{feed}")
+    fresh = materialize(REFINERS[feed](delta, dedup_rows=False), f"fresh-{feed}")
+    now = published.manifest(spark, root)
+    ids = delta.select("id", published.bucket("id", id_buckets).alias("bucket"))
+    wanted = [r.bucket for r in ids.select("bucket").distinct().collect()]  # id_buckets at most
+    if not wanted:
+        return Rows(0)
+    table = read_refined(spark, feed, base)
+    index = published.ids(spark, root, now, "id", PARTITION_COLUMN, id_buckets, wanted)
+    if index is None:  # the first delta, or other buckets than before
+        index = table.select("id", PARTITION_COLUMN, published.bucket("id", id_buckets).alias("bucket"))
+        wanted = list(range(id_buckets))
+    changed = ids.select(F.col("id").alias("_changed"))
+    same = F.col("id").eqNullSafe(F.col("_changed"))
+    day = F.coalesce(F.col(PARTITION_COLUMN), F.lit(published.NO_DATE)).alias("d")
     # one row per calendar date
-    dates = [r.d for r in delta.select(day.alias("d")).unionByName(moved).distinct().collect()]
-    known = sorted(d for d in dates if d is not None)
-    touched = day.isin(known)
-    if known:  # a plain range on the column reaches the Parquet scan
-        touched &= (F.col("timestamp") >= F.lit(known[0]).cast("timestamp")) & \
-                   (F.col("timestamp") < F.date_add(F.lit(known[-1]).cast("date"), 1).cast("timestamp"))
-    if None in dates:
-        touched |= F.col("timestamp").isNull()
-    kept = read_raw(spark, feed, raw_base).select(*names).filter(touched).join(ids, "id", "left_anti")
-    rebuilt = materialize(REFINERS[feed](kept.unionByName(delta)), f"rebuilt-{feed}")
-    rows = write_refined(rebuilt, feed, base, mode="overwrite", dynamic=True, layout=layout)
-    filled = {r.d for r in rebuilt.select(F.col(PARTITION_COLUMN).alias("d")).distinct().collect()}
-    for date in known:
-        if date not in filled:
-            _drop_date(spark, feed, base, date)
+    touched = {r.d for r in index.join(changed, same, "left_semi").select(day).unionByName(fresh.select(day)).distinct().collect()}
+    known = F.col(PARTITION_COLUMN).isin(sorted(touched - {published.NO_DATE}))
+    on_touched = known | F.col(PARTITION_COLUMN).isNull() if published.NO_DATE in touched else known
+    label = published.new_label()
+    rebuilt = table.filter(on_touched).join(changed, same, "left_anti").unionByName(fresh)
+    rows = _write_dates(rebuilt, feed, f"{root}/_versions/v={label}", layout, "overwrite")
+    entries = index.join(changed, same, "left_anti").unionByName(
+        fresh.select("id", PARTITION_COLUMN, published.bucket("id", id_buckets).alias("bucket")))
+    obs = Observation(f"ids_{feed}_{label}")
+    (entries.hint("rebalance", "bucket").sortWithinPartitions("bucket", "id").observe(obs, F.collect_set("bucket").alias("buckets"))
+     .write.partitionBy("bucket").parquet(f"{root}/_ids/v={label}"))
+    published.publish(spark, root, _without(now, wanted), label, dates=list(rows.dates), gone=sorted(touched - set(rows.dates)),
+                      buckets=sorted(obs.get["buckets"]), n_buckets=id_buckets)
+    rows.dates = tuple(sorted(touched))
     return rows
 
 
+def _without(now: dict | None, buckets: list[int]) -> dict | None:
+    """A manifest whose entries for these buckets of ids are written anew."""
+    return now and now | {"ids": {b: label for b, label in now["ids"].items() if int(b) not in buckets}}
+
+
 def refine_all(spark: SparkSession, raw_base: str, refined_base: str, feeds: tuple[str, ...] | None = None,
                *, strict: bool = False, layout: str = "rebalance", concurrent: bool = True,
                dynamic: bool = False, **refine_kw) -> DataFrame:
