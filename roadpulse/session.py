@@ -7,9 +7,11 @@ one machine, a local folder is created and registered as the checkpoint director
 
 from __future__ import annotations
 
+import io
 import os
 import tempfile
 import uuid
+import zipfile
 from collections.abc import Callable  # noqa: F401
 
 from pyspark.sql import SparkSession
@@ -104,6 +106,33 @@ def scratch_dir(spark: SparkSession, purpose: str) -> str:
     return f"{base.rstrip('/')}/roadpulse/{purpose}-{uuid.uuid4().hex[:12]}"
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Python workers import this package by name: its sources go to them once per application, so that a
+    driver that loaded it from a path needs no PYTHONPATH on the executors. The archive lies in
+    the shared scratch folder."""
+    app = spark.sparkContext.applicationId
+    if app in _SHIPPED:
+        return
+    here = os.path.dirname(os.path.abspath(__file__))
+    packed = io.BytesIO()
+    with zipfile.ZipFile(packed, "w", zipfile.ZIP_DEFLATED) as archive:
+        for folder, _, names in sorted(os.walk(here)):
+            for name in sorted(n for n in names if n.endswith(".py")):
+                path = os.path.join(folder, name)
+                archive.write(path, os.path.join(os.path.basename(here), os.path.relpath(path, here)))
+    where = spark._jvm.org.apache.hadoop.fs.Path(f"{scratch_dir(spark, 'package')}/{os.path.basename(here)}.zip")
+    stream = where.getFileSystem(spark._jsc.hadoopConfiguration()).create(where, True)
+    try:
+        stream.write(bytearray(packed.getvalue()))
+    finally:
+        stream.close()
+    spark.sparkContext.addPyFile(where.toString())
+    _SHIPPED.add(app)
+
+
 def run_concurrently(tasks: dict[str, "Callable[[], object]"], max_workers: int | None = None) -> dict[str, object]:
     """Submit independent Spark jobs from driver threads so their stages share the cluster
     (small jobs fill each other's idle slots; one job's straggler does not idle the rest).
