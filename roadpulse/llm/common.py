@@ -5,19 +5,21 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roadpulse.session import scratch_dir
+from roadpulse.session import scratch_dir, ship_package
 
 #: a word is a run of anything but ASCII white space
 SPACE = r"[\x20\x09-\x0D]+"
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    ship_package(spark)
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
 def written(df: DataFrame, purpose: str) -> DataFrame:
     """`df` written once below the shared checkpoint folder and read back: lineage is cut, a
     lost executor re-reads files instead of recomputing, and later jobs share one result."""
+    ship_package(df.sparkSession)
     path = scratch_dir(df.sparkSession, purpose)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
