@@ -364,6 +364,16 @@ WHERE place = 1 AND speed BETWEEN 0 AND 200""")
 ORACLE["incremental_refine"] = ORACLE["incremental_refine"].replace("FROM steps", """FROM (
       SELECT *, CAST(substr(id, 5) AS BIGINT) AS step,
              CAST(timestamp AS DATE) >= (SELECT MAX(CAST(timestamp AS DATE)) FROM raw_vehicle) - 2 AS recent FROM raw_vehicle)""")
+ORACLE["stream_trips"] = ORACLE["trips"]
+ORACLE["stream_rejects"] = ORACLE["reject_counts"]
+ORACLE["stream_recovery"] = sql(["raw_vehicle"], """SELECT sink, raw_vehicle.* FROM raw_vehicle CROSS JOIN (VALUES ('file'), ('split')) AS sinks(sink)""")
+ORACLE["stream_late_rows"] = sql(["raw_vehicle"], """SELECT id, timestamp,
+       COALESCE(m <= MAX(MAX(m)) OVER (ORDER BY batch RANGE BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - 120000000, FALSE) AS late
+FROM (
+  SELECT id, timestamp, m, least(4, (m - low) * 5 // (high - low + 1) + CASE WHEN step % 50 = 7 THEN 2 ELSE 0 END) AS batch, copy
+  FROM (SELECT id, timestamp, epoch_us(timestamp) AS m, CAST(substr(id, 5) AS BIGINT) AS step, row_number() OVER () AS copy,
+               MIN(epoch_us(timestamp)) OVER () AS low, MAX(epoch_us(timestamp)) OVER () AS high FROM raw_vehicle))
+GROUP BY id, timestamp, m, batch, copy""")
 ORACLE["latest_by_partition"] = ORACLE["latest_vehicle"]
 ORACLE["speed_by_hour_sketch"] = ORACLE["speed_by_hour"]
 

@@ -25,6 +25,7 @@ from roadpulse.sources.feeds import feed_exprs, observations
 from roadpulse.sources.wire import split_dead_letters
 from roadpulse.streaming import ingest as I
 from roadpulse.streaming import operators as SO
+from roadpulse.streaming.status import StreamStatus
 
 Plan = Callable[[SparkSession, str], DataFrame]
 PLANS: dict[str, Plan] = {}
@@ -258,6 +259,76 @@ def _stream_join_weather(s, d):
     return ST.run_to_parquet(s, SO.join_weather(v, w), "join")
 
 
+@plan("stream_trips")
+def _stream_trips(s, d):
+    """X6 on a stream: trips as session windows over the refined vehicle stream, in five micro-batches."""
+    r = raw(s, d, VEHICLE)
+    landing = ST.land_batches(s, r, VEHICLE, ST.by_time(r, 5), 5, end_marker=True)
+    stream = SO.stream_trips(SO.stream_refine(ST.one_file_stream(s, landing, VEHICLE), VEHICLE))
+    return ST.before_end(ST.run_to_parquet(s, stream, "trips"), "trip_start")
+
+
+@plan("stream_late_rows")
+def _stream_late_rows(s, d):
+    """T5: vehicle records in five batches by time, every 50th two batches late; which rows the split ingest
+    keeps and which it puts aside as late. Kept and late rows are all rows."""
+    r = raw(s, d, VEHICLE)
+    step = F.substring("id", 5, 20).cast("long")
+    batch = F.least(F.lit(4), ST.by_time(r, 5) + F.when(step % 50 == 7, 2).otherwise(0))
+    landing, base = ST.land_batches(s, r, VEHICLE, batch, 5), scratch_dir(s, "late")
+    topic = I.read_topic(s, VEHICLE, landing=landing, max_files_per_trigger=1)
+    I.await_all(s, [I.write_split(topic, VEHICLE, base, trigger=ST.AVAILABLE_NOW, late_after="2 minutes")])
+    late = s.read.parquet(I.late_path(base, VEHICLE))
+    return (S.read_raw(s, VEHICLE, base).select("id", "timestamp", F.lit(False).alias("late"))
+            .unionByName(late.select("id", "timestamp", F.lit(True).alias("late"))))
+
+
+@plan("stream_recovery")
+def _stream_recovery(s, d):
+    """Five micro-batches through the file sink, stopped between write and commit of the last one, and
+    through the split ingest, stopped after batch 2 wrote its folders; both go on from their
+    checkpoints. Each sink holds every record once."""
+    r = raw(s, d, VEHICLE)
+    landing = ST.land_batches(s, r, VEHICLE, ST.by_time(r, 5), 5)
+    file_base, split_base = scratch_dir(s, "recovered-file"), scratch_dir(s, "recovered-split")
+    topic = I.read_topic(s, VEHICLE, landing=landing, max_files_per_trigger=1)
+    for _ in range(2):
+        I.await_all(s, [I.write_raw(I.decode_stream(topic, VEHICLE), VEHICLE, file_base, trigger=ST.AVAILABLE_NOW)])
+        ST.forget_last_commit(s, I.checkpoint_path(file_base, VEHICLE))
+    split = I.split_batch(VEHICLE, split_base)
+
+    def stopped(batch, batch_id):
+        split(batch, batch_id)
+        if batch_id == 2:
+            raise InterruptedError("stopped between write and commit")
+
+    ended = (topic.writeStream.option("checkpointLocation", I.checkpoint_path(split_base, VEHICLE)).trigger(**ST.AVAILABLE_NOW)
+             .foreachBatch(stopped).start())
+    try:
+        I.await_all(s, [ended])
+    except RuntimeError as e:
+        if "stopped between write and commit" not in str(e):
+            raise
+    I.await_all(s, [I.write_split(topic, VEHICLE, split_base, trigger=ST.AVAILABLE_NOW)])
+    return (S.read_raw(s, VEHICLE, file_base).withColumn("sink", F.lit("file"))
+            .unionByName(S.read_raw(s, VEHICLE, split_base).withColumn("sink", F.lit("split"))))
+
+
+@plan("stream_rejects")
+def _stream_rejects(s, d):
+    """X12 on streams: rows each range rule rejects, as the micro-batches of three feeds report them."""
+    status, queries = StreamStatus(s, scratch_dir(s, "status")), []
+    for feed in (VEHICLE, GPS, WEATHER):
+        r, out = raw(s, d, feed), scratch_dir(s, "observed")
+        landing = ST.land_batches(s, r, feed, ST.by_time(r, 5), 5)
+        stream = SO.observed_refine(ST.one_file_stream(s, landing, feed), feed)
+        queries.append(I.write_stream(stream, f"{out}/data", f"{out}/checkpoint", trigger=ST.AVAILABLE_NOW))
+        status.watch(queries[-1], feed)
+    I.await_all(s, queries)
+    status.close()
+    return status.rejected().groupBy("feed", "rule").agg(F.sum("rejected").alias("rejected"), F.sum("checked").alias("checked"))
+
+
 plan("trips")(lambda s, d: X.trips(_v(s, d)))
 plan("asof_weather")(lambda s, d: X.asof_weather(_v(s, d), _w(s, d)))
 

@@ -5,13 +5,14 @@ from __future__ import annotations
 
 import json
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from roadpulse.plans.inputs import events
 from roadpulse.schemas import EMERGENCY, VEHICLE, WEATHER
 from roadpulse.session import run_concurrently, scratch_dir
 from roadpulse.sources.feeds import derive_feed
+from roadpulse.sources.storage import materialize
 from roadpulse.sources.wire import encode
 from roadpulse.streaming.ingest import decode_stream, publish, read_topic, write_stream
 
@@ -40,17 +41,53 @@ def land(spark: SparkSession, sf_dir: str, feeds: tuple[str, ...], *, end_marker
             raise result
     if end_marker:
         for feed in feeds:
-            record = {"id": "__end_of_input__", "vehicle_id": "__end_of_input__", "timestamp": END_OF_INPUT,
-                      **_MARKER_FIELDS.get(feed, {})}
-            marker = spark.createDataFrame([("__end_of_input__", json.dumps(record))], "key string, value string")
-            publish(marker.coalesce(1), landing, feed)
+            publish_marker(spark, landing, feed)
     return landing
 
 
+def land_batches(spark: SparkSession, rows: DataFrame, feed: str, batch: Column, n: int, *, end_marker: bool = False) -> str:
+    """Publishes `rows` as `n` files, one after the other: those of `batch` 0, 1, ... With one file per
+    trigger each is a micro-batch of its own."""
+    landing = scratch_dir(spark, "landing")
+    numbered = materialize(encode(rows.withColumn("_batch", batch), feed, keep=("_batch",)), "batches")
+    for k in range(n):
+        publish(numbered.filter(F.col("_batch") == k).coalesce(1), landing, feed)
+    if end_marker:
+        publish_marker(spark, landing, feed)
+    return landing
+
+
+def by_time(rows: DataFrame, n: int) -> Column:
+    """Which of `n` equal ranges of event time a row lies in."""
+    micros = F.unix_micros("timestamp")
+    low, high = rows.agg(F.min(micros)).scalar(), rows.agg(F.max(micros)).scalar()
+    return F.floor((micros - low) * n / (high - low + 1)).cast("int")
+
+
+def publish_marker(spark: SparkSession, landing: str, feed: str) -> None:
+    record = {"id": "__end_of_input__", "vehicle_id": "__end_of_input__", "timestamp": END_OF_INPUT, **_MARKER_FIELDS.get(feed, {})}
+    marker = spark.createDataFrame([("__end_of_input__", json.dumps(record))], "key string, value string")
+    publish(marker.coalesce(1), landing, feed)
+
+
+def forget_last_commit(spark: SparkSession, checkpoint: str) -> None:
+    """The checkpoint as a run leaves it that stops after a batch's files are written and before the batch
+    is committed."""
+    commits = spark._jvm.org.apache.hadoop.fs.Path(f"{checkpoint}/commits")
+    fs = commits.getFileSystem(spark._jsc.hadoopConfiguration())
+    last = max((s.getPath() for s in fs.listStatus(commits) if s.getPath().getName().isdigit()), key=lambda p: int(p.getName()))
+    fs.delete(last, False)
+
+
 def decoded_stream(spark: SparkSession, landing: str, feed: str) -> DataFrame:
     return decode_stream(read_topic(spark, feed, fmt="parquet", landing=landing), feed)
 
 
+def one_file_stream(spark: SparkSession, landing: str, feed: str) -> DataFrame:
+    """Decoded records, one landing file a micro-batch."""
+    return decode_stream(read_topic(spark, feed, landing=landing, max_files_per_trigger=1), feed)
+
+
 # Diagnostics: the stateful operators of each stream run's micro-batches, by run name
 # (rows held in state and rows evicted by the watermark), for tools/plan_report.py.
 STATE_REPORT: dict[str, list[dict]] = {}

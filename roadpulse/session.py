@@ -59,6 +59,7 @@ def build_session(master: str | None = None, *, shuffle_partitions: int | None =
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.sources.partitionOverwriteMode": "static",
         "spark.sql.streaming.noDataMicroBatches.enabled": "true",
+        "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
     }
     defaults |= {"spark.sql.shuffle.partitions": str(cores), "spark.driver.memory": "8g"} if local else CLUSTER_CONF
     builder = SparkSession.builder

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from roadpulse.functions import rules
 from roadpulse.functions.stats import exact_mean
-from roadpulse.operators.refine import REFINERS
+from roadpulse.operators.refine import RANGE_RULES, REFINERS
 
 KEY = "id"
 
@@ -59,7 +59,38 @@ def sliding_speed(v: DataFrame, length: str = "10 minutes", slide: str = "5 minu
                      "observations", "avg_speed_kmh", "max_speed_kmh"))
 
 
-def join_weather(v: DataFrame, w: DataFrame, within: str = "5 minutes", within_seconds: int = 300) -> DataFrame:
+def stream_trips(v: DataFrame, gap_seconds: int = 7200, key: str = "vehicle_id") -> DataFrame:
+    """X6 on a stream: `temporal.trips` as merging session windows. Readings of a vehicle form one
+    trip while the pause between them is shorter than the gap; a trip is emitted once the
+    watermark passes its last reading by the gap, and its state (one row of sums per open trip,
+    not its readings) leaves with it. A session window joins readings up to and with its gap, so the
+    gap is a microsecond less. `spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition`
+    (on in `build_session`) merges a busy vehicle's readings before the shuffle."""
+    gap = f"{gap_seconds - 1}.999999 seconds"
+    return (v.filter(F.col(key).isNotNull())
+             .groupBy(key, F.session_window("timestamp", gap))
+             .agg(F.max("timestamp").alias("trip_end"), F.count(F.lit(1)).alias("points"),
+                  F.round(exact_mean("speed_kmh", 1), 1).alias("avg_speed_kmh"))
+             .select(key, F.col("session_window.start").alias("trip_start"), "trip_end", "points", "avg_speed_kmh",
+                     ((F.unix_micros("trip_end") - F.unix_micros("session_window.start")) / 1_000_000).cast("bigint").alias("duration_s")))
+
+
+def observed_refine(df: DataFrame, feed: str, *, dedup_rows: bool = True) -> DataFrame:
+    """X3 with X12: as stream_refine, and every micro-batch reports how many deduplicated rows each range
+    rule rejects, as the observed metrics `rejects_<feed>` of the query's progress: counted while the
+    rows pass, without a second reader. `status.reject_rows` turns them into rows."""
+    if dedup_rows:
+        df = stream_dedup(df)
+    passes = [(name, F.coalesce(rule(), F.lit(False))) for name, rule in RANGE_RULES.get(feed, [])]
+    every = F.lit(True)
+    for _, ok in passes:
+        every = every & ok
+    counts = [F.count_if(~ok).alias(name) for name, ok in [*passes, ("any_rule", every)]]
+    df = df.observe(f"rejects_{feed}", *counts, F.count(F.lit(1)).alias("checked"))
+    return REFINERS[feed](df, dedup_rows=False)
+
+
+def join_weather(v: DataFrame, w: DataFrame, within: str = "5 minutes", within_seconds: int = 300, salts: int = 1) -> DataFrame:
     """X11: stream-stream join of vehicle and weather readings of the same vehicle whose
     event times are at most `within` apart. Both sides carry watermarks, so each side's
     join state is dropped once no future row of the other side can match it.
@@ -67,7 +98,9 @@ def join_weather(v: DataFrame, w: DataFrame, within: str = "5 minutes", within_s
     State is keyed by (vehicle, time bucket of 2 x within) rather than by vehicle alone, so a
     busy vehicle spreads over buckets: a weather reading sits in its own bucket, a vehicle
     reading is emitted to the buckets of its window ends (at most two), so every pair
-    meets in exactly one bucket and the interval condition keeps the exact semantics."""
+    meets in exactly one bucket and the interval condition keeps the exact semantics. `salts`
+    splits a hot bucket further: a vehicle reading goes to one of that many tasks, by its id, and a
+    weather reading to all of them, so a pair still meets once."""
     width = 2 * within_seconds * 1_000_000
     bucket_of = lambda c: F.floor(F.unix_micros(c) / F.lit(width)).cast("bigint")
     vt = F.col("timestamp")
@@ -75,11 +108,12 @@ def join_weather(v: DataFrame, w: DataFrame, within: str = "5 minutes", within_s
     hi = bucket_of(vt + F.expr(f"INTERVAL {within}"))
     vs = v.select(F.col("id").alias("vehicle_record"), F.col("vehicle_id"),
                   F.col("timestamp").alias("vehicle_time"), "speed_kmh",
+                  F.pmod(F.xxhash64("id"), F.lit(salts)).cast("int").alias("_vs"),
                   F.explode(F.array_distinct(F.array(lo, hi))).alias("_vb"))
     ws = w.select(F.col("id").alias("weather_record"), F.col("vehicle_id").alias("w_vehicle_id"),
                   F.col("timestamp").alias("weather_time"), "temperature", "weatherCondition",
-                  bucket_of(F.col("timestamp")).alias("_wb"))
-    cond = ((F.col("vehicle_id") == F.col("w_vehicle_id")) & (F.col("_vb") == F.col("_wb"))
+                  bucket_of(F.col("timestamp")).alias("_wb"), F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("_ws"))
+    cond = ((F.col("vehicle_id") == F.col("w_vehicle_id")) & (F.col("_vb") == F.col("_wb")) & (F.col("_vs") == F.col("_ws"))
             & (F.col("weather_time") >= F.col("vehicle_time") - F.expr(f"INTERVAL {within}"))
             & (F.col("weather_time") <= F.col("vehicle_time") + F.expr(f"INTERVAL {within}")))
-    return vs.join(ws, cond, "inner").drop("w_vehicle_id", "_vb", "_wb")
+    return vs.join(ws, cond, "inner").drop("w_vehicle_id", "_vb", "_wb", "_vs", "_ws")
