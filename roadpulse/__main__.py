@@ -30,6 +30,9 @@ def main(argv: list[str] | None = None) -> None:
     a.add_argument("--available-now", action="store_true", help="process what is there, then stop")
     a.add_argument("--watermark", default="2 minutes")
     a.add_argument("--dead-letters", action="store_true", help="route undecodable records to <base>/dead_letters")
+    a.add_argument("--late-rows", action="store_true", help="route rows behind the watermark to <base>/late")
+    a.add_argument("--keep-going", action="store_true", help="one feed failing leaves the others running")
+    a.add_argument("--status", help="folder of a table with every feed's batches, lag, late rows and failures")
     r = sub.add_parser("refine")
     r.add_argument("--raw", required=True)
     r.add_argument("--refined", required=True)
@@ -37,6 +40,8 @@ def main(argv: list[str] | None = None) -> None:
     r.add_argument("--filter-first", action="store_true")
     r.add_argument("--layout", default="rebalance", choices=["rebalance", "range", "local"])
     r.add_argument("--dynamic", action="store_true", help="replace only the dates present in the raw input, which must hold them whole")
+    r.add_argument("--delta", action="store_true", help="the raw input is a delta: new, late and corrected rows of a refined table")
+    r.add_argument("--db", help="with --delta: database whose tables get the touched dates")
     c = sub.add_parser("catalog")
     c.add_argument("--db", required=True)
     c.add_argument("--refined", required=True)
@@ -60,13 +65,15 @@ def main(argv: list[str] | None = None) -> None:
 
     if args.cmd == "ingest":
         from roadpulse.streaming.ingest import run_ingest
+        from roadpulse.streaming.status import StreamStatus
         options = dict(kv.split("=", 1) for kv in args.option)
         trigger = {"availableNow": True} if args.available_now else None
         run_ingest(spark, args.landing, args.base, FEEDS, fmt=args.fmt, trigger=trigger, watermark=args.watermark,
-                   dead_letters=args.dead_letters, options=options)
+                   dead_letters=args.dead_letters, late_rows=args.late_rows, keep_going=args.keep_going,
+                   status=StreamStatus(spark, args.status) if args.status else None, options=options)
     elif args.cmd == "refine":
-        from roadpulse.sources.storage import refine_all
-        status = refine_all(spark, args.raw, args.refined, strict=args.strict, layout=args.layout,
+        from roadpulse.sources.storage import refine_all, refine_deltas
+        status = refine_deltas(spark, args.raw, args.refined, db=args.db, strict=args.strict, layout=args.layout) if args.delta else refine_all(spark, args.raw, args.refined, strict=args.strict, layout=args.layout,
                             dynamic=args.dynamic, filter_first=args.filter_first)
         print(json.dumps([r.asDict() for r in status.collect()]))
     elif args.cmd == "catalog":
@@ -78,7 +85,7 @@ def main(argv: list[str] | None = None) -> None:
             raise SystemExit(1)
     elif args.cmd == "report":
         from roadpulse.reports import REPORTS, run_report
-        from roadpulse.sources.catalog import scan
+        from roadpulse.sources.catalog import newest_rows, scan
         from roadpulse.sources.storage import read_refined
         dates = args.dates.split(",") if args.dates else None
         if args.db and not spark.catalog.databaseExists(args.db):
@@ -86,6 +93,8 @@ def main(argv: list[str] | None = None) -> None:
                              "configure a persistent catalog for both commands, or give --refined")
 
         def table(feed):
+            if args.db and args.latest and not dates:
+                return newest_rows(spark, args.db, feed, args.latest)  # the newest dates alone are read
             if args.db:
                 return scan(spark, args.db, feed, dates)
             df = read_refined(spark, feed, args.refined)

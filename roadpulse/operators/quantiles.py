@@ -40,6 +40,22 @@ def histogram_summary(df: DataFrame, groups: Sequence[str], value: str, percenti
     return walked.groupBy(*groups).agg(*aggs)
 
 
+def sketch_table(df: DataFrame, groups: Sequence[str], value: str, *, k: int = 200) -> DataFrame:
+    """A row per group with its number of rows and a KLL sketch of `value`: a few kilobytes whatever the
+    group's size. Kept as a table, percentiles of any union of its groups come from it alone."""
+    return df.groupBy(*groups).agg(F.count(F.lit(1)).alias("rows"), F.kll_sketch_agg_double(F.col(value), F.lit(k)).alias("sketch"))
+
+
+def merged_percentiles(sketches: DataFrame, groups: Sequence[str], percentiles: Sequence[float], names: Sequence[str], *, k: int = 200) -> DataFrame:
+    """Percentiles over all rows of `sketches` (as `sketch_table` gives them) that share `groups`, by merging
+    their sketches; no raw row is read. A rank is off by about 1.65 % of the rows at k = 200 (99 %
+    confidence), less with more k. Columns: groups..., rows, names...; null where all values are."""
+    merged = sketches.groupBy(*groups).agg(F.sum("rows").alias("rows"), F.kll_merge_agg_double("sketch", F.lit(k)).alias("_s"))
+    some = F.kll_sketch_get_n_double("_s") > 0
+    return merged.select(*groups, "rows", *[F.when(some, F.kll_sketch_get_quantile_double("_s", F.lit(float(p)))).alias(n)
+                                            for p, n in zip(percentiles, names)])
+
+
 def sketch_percentiles(df: DataFrame, groups: Sequence[str], value: str, percentiles: Sequence[float],
                        names: Sequence[str], *, scale: int, accuracy: int = 10_000) -> DataFrame:
     """Columns as histogram_summary, from one aggregate; null groups are kept."""

@@ -3,12 +3,10 @@ join (latest weather reading at or before each vehicle reading).
 
 Both need "the previous row of this vehicle", which a window partitioned by vehicle alone
 would compute in one task per vehicle: a vehicle holding a third of all rows would be a
-third of the job in one task. Here no window ever runs over raw rows of a vehicle. Rows are
-first aggregated (combined map-side, so hot keys never gather raw in one task) into
-summaries whose count per window partition is bounded by time, not by data volume: per
-(vehicle, bucket) for trips; per distinct instant within a second, per second within an
-hour, and per hour for the as-of join. Windows run over those summaries, and results join
-back with exactly one summary row per key.
+third of the job in one task. Here no window ever runs over all rows of a vehicle. Trips are
+built from summaries per (vehicle, bucket), combined map-side, whose number is bounded by time,
+not by data volume; the as-of join runs over ranges of (vehicle, time) of about equal size and
+hands what a range ends with to the ranges that follow.
 """
 
 from __future__ import annotations
@@ -59,72 +57,42 @@ def trips(v: DataFrame, gap_seconds: int = 7200, bucket_seconds: int | None = No
 
 
 WX_TYPE = "struct<t:timestamp,wid:string,temp:double,cond:string>"
-_US_PER_SECOND, _US_PER_HOUR = 1_000_000, 3_600_000_000
 
 
-def asof_weather(v: DataFrame, w: DataFrame, key: str = "vehicle_id", ts: str = "timestamp",
-                 materialize: bool = True) -> DataFrame:
+def asof_weather(v: DataFrame, w: DataFrame, key: str = "vehicle_id", ts: str = "timestamp") -> DataFrame:
     """Every vehicle reading with the latest weather reading of the same vehicle at or
     before its timestamp (a weather reading at the same instant counts as before; among
     weather readings at one instant the greatest id wins). No earlier reading: nulls.
     Output: id, vehicle_id, timestamp, speed_kmh, weather_id, weather_time, temperature,
     weatherCondition.
 
-    Every window has a size bound that no data volume can break:
-      1. one event per distinct (vehicle, timestamp): the latest weather at exactly that
-         instant and whether vehicle readings exist there (an aggregate, combined map-side;
-         vehicle readings sharing an instant share their answer);
-      2. inside a (vehicle, second): a running last-weather over at most 10^6 distinct
-         microsecond instants;
-      3. across the seconds of a (vehicle, hour): at most 3,600 per-second summaries;
-      4. across the hours of a vehicle: one summary per non-empty hour (its time span);
-      5. the answer per (vehicle, instant) joins back to the readings with one row per key
-         on that side; a hot instant on the readings side is split by AQE's skew join.
-    The narrow union of both inputs is written once to the shared checkpoint folder and
-    feeds every step (`materialize=False` re-reads the inputs instead); the instants are written
-    too, and seconds are summed up from instants, hours from seconds. Readings without a
-    vehicle or a time keep their row, with nulls."""
+    Both inputs, narrow, are laid out together by ranges of (vehicle, time, weather first, id). Ranges
+    are of about equal size whatever the skew: a busy vehicle, even one busy instant, is cut into
+    several. A window per range and vehicle carries the last weather along; then each vehicle that
+    goes on in a further range takes over the last weather of its earlier ranges, which is at most
+    one row per range, so that side is broadcast. Rows are shuffled twice (by range, and to
+    the window of their range) and never joined to each other. The laid-out rows are written
+    once below the shared checkpoint folder. Readings without a vehicle or a time keep their
+    row, with nulls."""
+    from roadpulse.sources.storage import materialize
+
     wx = F.struct(F.col(ts).alias("t"), F.col("id").alias("wid"), F.col("temperature").alias("temp"),
                   F.col("weatherCondition").alias("cond"))
-    vk = (v.select(key, ts, F.lit(1).alias("_side"), "id", "speed_kmh", F.lit(None).cast(WX_TYPE).alias("_wx")))
-    wk = (w.filter(F.col(key).isNotNull() & F.col(ts).isNotNull())
-           .select(key, ts, F.lit(0).alias("_side"), "id", F.lit(None).cast("double").alias("speed_kmh"),
-                   wx.alias("_wx")))
-    both = vk.unionByName(wk)
-    if materialize:
-        from roadpulse.sources.storage import materialize as write_once
-        both = write_once(both, "asof")
-    keyed = both.filter(F.col(key).isNotNull() & F.col(ts).isNotNull())
-    is_w = F.col("_side") == 0
-
-    micros = F.unix_micros(F.col(ts))
-    second = F.floor(micros / _US_PER_SECOND).cast("bigint")
-    hour = F.floor(micros / _US_PER_HOUR).cast("bigint")
-    latest_w = F.max_by(F.when(is_w, F.col("_wx")), F.when(is_w, F.struct(F.col(ts), F.col("id"))))
-
-    # 1) one row per distinct (vehicle, instant); 2) running last weather within the second
-    instants = keyed.groupBy(key, ts).agg(latest_w.alias("_at"), F.max("_side").alias("_has_v"))
-    if materialize:
-        instants = write_once(instants, "asof-instants")
-    instants = instants.withColumn("_s", second).withColumn("_h", hour)
-    newest = lambda c: F.max_by(c, F.col(c)["t"])  # noqa: E731  the latest weather of several summaries
-    upto = Window.partitionBy(key, "_s").orderBy(ts).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    local = (instants.withColumn("_near", F.last("_at", ignorenulls=True).over(upto))
-                     .filter(F.col("_has_v") == 1).select(key, ts, "_s", "_h", "_near"))
-    # 3) carry from earlier seconds of the same hour (every second holding any reading)
-    per_second = instants.groupBy(key, "_s", "_h").agg(newest("_at").alias("_ws"))
-    earlier_s = Window.partitionBy(key, "_h").orderBy("_s").rowsBetween(Window.unboundedPreceding, -1)
-    carry_s = per_second.select(key, "_s", F.last("_ws", ignorenulls=True).over(earlier_s).alias("_cs"))
-    # 4) carry from earlier hours of the vehicle
-    per_hour = per_second.groupBy(key, "_h").agg(newest("_ws").alias("_wh"))
-    earlier_h = Window.partitionBy(key).orderBy("_h").rowsBetween(Window.unboundedPreceding, -1)
-    carry_h = per_hour.select(key, "_h", F.last("_wh", ignorenulls=True).over(earlier_h).alias("_ch"))
-
-    answers = (local.join(carry_s, [key, "_s"], "left").join(carry_h, [key, "_h"], "left")
-                    .select(key, ts, F.coalesce("_near", "_cs", "_ch").alias("_m")))
-    # 5) back to every vehicle reading
-    readings = both.filter(F.col("_side") == 1).select("id", key, ts, "speed_kmh")
-    out = readings.join(answers, [key, ts], "left")
+    known = F.col(key).isNotNull() & F.col(ts).isNotNull()
+    readings = v.select(key, ts, F.lit(1).alias("_side"), "id", "speed_kmh", F.lit(None).cast(WX_TYPE).alias("_wx"))
+    both = readings.unionByName(w.select(key, ts, F.lit(0).alias("_side"), "id", F.lit(None).cast("double").alias("speed_kmh"), wx.alias("_wx")))
+    order = [ts, "_side", "id"]
+    upto = Window.partitionBy("_range", key).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    laid = materialize(both.filter(known).repartitionByRange(key, *order).withColumn("_range", F.spark_partition_id())
+                       .withColumn("_near", F.last("_wx", ignorenulls=True).over(upto)), "asof")
+    # one row per vehicle and range; of them only vehicles that go on in a further range get a carry
+    ends = laid.groupBy(key, "_range").agg(F.max_by("_wx", F.when(F.col("_side") == 0, F.struct(ts, "id"))).alias("_last"))
+    earlier = Window.partitionBy(key).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    carry = (ends.withColumn("_carry", F.last("_last", ignorenulls=True).over(earlier)).filter("_carry IS NOT NULL")
+             .select(key, "_range", "_carry"))
+    answered = (laid.filter("_side = 1").join(F.broadcast(carry), [key, "_range"], "left")
+                .select("id", key, ts, "speed_kmh", F.coalesce("_near", "_carry").alias("_m")))
+    out = answered.unionByName(v.filter(~known).select("id", key, ts, "speed_kmh", F.lit(None).cast(WX_TYPE).alias("_m")))
     return out.select("id", key, ts, "speed_kmh", F.col("_m.wid").alias("weather_id"),
                       F.col("_m.t").alias("weather_time"), F.col("_m.temp").alias("temperature"),
                       F.col("_m.cond").alias("weatherCondition"))

@@ -364,6 +364,10 @@ WHERE place = 1 AND speed BETWEEN 0 AND 200""")
 ORACLE["incremental_refine"] = ORACLE["incremental_refine"].replace("FROM steps", """FROM (
       SELECT *, CAST(substr(id, 5) AS BIGINT) AS step,
              CAST(timestamp AS DATE) >= (SELECT MAX(CAST(timestamp AS DATE)) FROM raw_vehicle) - 2 AS recent FROM raw_vehicle)""")
+ORACLE["speed_by_weather_bucketed"] = ORACLE["speed_by_weather"]
+ORACLE["daily_kpi_bucketed"] = ORACLE["daily_kpi"]
+ORACLE["speed_by_hour_merged"] = sql(["vehicle"], """SELECT hour, COUNT(*) AS observations, TRUE AS p50_near, TRUE AS p95_near
+FROM vehicle GROUP BY hour""")
 ORACLE["stream_trips"] = ORACLE["trips"]
 ORACLE["stream_rejects"] = ORACLE["reject_counts"]
 ORACLE["stream_recovery"] = sql(["raw_vehicle"], """SELECT sink, raw_vehicle.* FROM raw_vehicle CROSS JOIN (VALUES ('file'), ('split')) AS sinks(sink)""")

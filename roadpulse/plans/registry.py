@@ -17,6 +17,7 @@ from roadpulse.sources.feeds import derive_feed
 from roadpulse.sources.wire import decode, encode
 from roadpulse.functions.rules import humidity_ok, lat_lon, speed_ok, temperature_ok
 from roadpulse.operators import temporal as X
+from roadpulse.operators.quantiles import merged_percentiles, sketch_table
 from roadpulse.plans import streams as ST
 from roadpulse.session import run_concurrently, scratch_dir
 from roadpulse.sources import catalog as C
@@ -329,6 +330,30 @@ def _stream_rejects(s, d):
     return status.rejected().groupBy("feed", "rule").agg(F.sum("rejected").alias("rejected"), F.sum("checked").alias("checked"))
 
 
+@plan("speed_by_hour_merged")
+def _speed_by_hour_merged(s, d):
+    """F8, V2 from a sketch table: per (date, hour) sketches kept as a table, merged per hour, and whether the
+    medians and 95th percentiles lie within 3 % of the rows' ranks."""
+    v = _once(_v(s, d), "vehicle")
+    path = scratch_dir(s, "speed-sketches")
+    sketch_table(v, ["date", "hour"], "speed_kmh").write.partitionBy("date").parquet(path)
+    merged = merged_percentiles(s.read.parquet(path), ["hour"], [0.5, 0.95], ["p50", "p95"])
+    ranked = v.join(merged.withColumnRenamed("hour", "_h"), F.col("hour").eqNullSafe(F.col("_h")))
+    near = lambda p, q: (((F.count_if(F.col("speed_kmh") < F.col(q)) <= (p + 0.03) * F.count("speed_kmh"))
+                          & (F.count_if(F.col("speed_kmh") <= F.col(q)) >= (p - 0.03) * F.count("speed_kmh"))))
+    return ranked.groupBy("hour").agg(F.max("rows").alias("observations"), near(0.5, "p50").alias("p50_near"), near(0.95, "p95").alias("p95_near"))
+
+
+def _bucketed(s, d, *feeds):
+    """The refined feeds as tables bucketed by (vehicle_id, date)."""
+    base = scratch_dir(s, "bucketed")
+    db = "roadpulse_" + base.rsplit("-", 1)[-1]
+    C.ensure_database(s, db, f"{base}/_db")
+    return [s.table(C.write_bucketed(refined(s, d, feed), db, feed, base, buckets=8)) for feed in feeds]
+
+
+plan("speed_by_weather_bucketed")(lambda s, d: V.speed_by_weather(*_bucketed(s, d, VEHICLE, WEATHER)))
+plan("daily_kpi_bucketed")(lambda s, d: V.daily_kpi(*_bucketed(s, d, VEHICLE, WEATHER, EMERGENCY)))
 plan("trips")(lambda s, d: X.trips(_v(s, d)))
 plan("asof_weather")(lambda s, d: X.asof_weather(_v(s, d), _w(s, d)))
 

@@ -181,6 +181,27 @@ def _without(now: dict | None, buckets: list[int]) -> dict | None:
     return now and now | {"ids": {b: label for b, label in now["ids"].items() if int(b) not in buckets}}
 
 
+def refine_deltas(spark: SparkSession, raw_base: str, refined_base: str, feeds: tuple[str, ...] | None = None, *, db: str | None = None,
+                  strict: bool = False, layout: str = "rebalance") -> DataFrame:
+    """X13 for every feed that has raw rows at `raw_base`: each is brought in as a delta and, with `db`, the
+    dates it touched are registered. One feed failing does not stop the others. Returns (feed, status, rows)."""
+    from roadpulse.schemas import FEEDS
+    from roadpulse.sources.catalog import register_dates
+
+    results = []
+    for feed in feeds or FEEDS:
+        try:
+            rows = incremental_refine(read_raw(spark, feed, raw_base), feed, refined_base, layout=layout)
+            if db:
+                register_dates(spark, db, feed, refined_base, rows.dates)
+            results.append((feed, "OK", int(rows)))
+        except Exception as exc:
+            if strict:
+                raise
+            results.append((feed, f"FAIL: {type(exc).__name__}: {exc}", None))
+    return spark.createDataFrame(results, "feed string, status string, rows bigint")
+
+
 def refine_all(spark: SparkSession, raw_base: str, refined_base: str, feeds: tuple[str, ...] | None = None,
                *, strict: bool = False, layout: str = "rebalance", concurrent: bool = True,
                dynamic: bool = False, **refine_kw) -> DataFrame:

@@ -33,3 +33,19 @@ def test_ingest_refine_catalog_report(spark, capsys):
     main(["refine", "--raw", base, "--refined", f"{base}/refined-root", "--dynamic"])
     spark.sql(f"REFRESH TABLE {db}.{EMERGENCY}")
     assert spark.table(f"{db}.{EMERGENCY}").count() == 1000
+
+
+def test_late_rows_status_and_deltas(spark, capsys):
+    landing, base = scratch_dir(spark, "landing"), scratch_dir(spark, "base")
+    land(spark, f"{SF_SMALL}/events.parquet", landing)
+    main(["ingest", "--base", base, "--landing", landing, "--available-now", "--late-rows", "--dead-letters", "--keep-going", "--status", f"{base}/watch"])
+    seen = spark.read.parquet(f"{base}/watch/status")
+    assert {r.feed for r in seen.filter("event = 'ended'").collect()} == set(FEEDS)
+    assert seen.agg(F.sum("input_rows")).first()[0] == 5 * 1100
+    root, db = f"{base}/refined-root", "delta_" + base.rsplit("-", 1)[-1]
+    main(["refine", "--raw", base, "--refined", root])
+    main(["catalog", "--db", db, "--refined", root, "--location", f"{base}/_db"])
+    capsys.readouterr()
+    main(["refine", "--raw", base, "--refined", root, "--delta", "--db", db])  # nothing new: the same table
+    assert capsys.readouterr().out.count('"status": "OK"') == len(FEEDS)
+    assert spark.table(f"{db}.{EMERGENCY}").count() == 1000

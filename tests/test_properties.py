@@ -73,7 +73,7 @@ def test_asof_equals_merge_asof(spark, vt, wt, near, share):
     v = spark.createDataFrame(vrows, "id string, vehicle_id string, timestamp timestamp, speed_kmh double")
     w = spark.createDataFrame(wrows, "id string, vehicle_id string, timestamp timestamp, temperature double, "
                                      "weatherCondition string")
-    got = {r.id: r.weather_id for r in asof_weather(v, w, materialize=False).collect()}
+    got = {r.id: r.weather_id for r in asof_weather(v, w).collect()}
     left = pd.DataFrame(vrows, columns=["id", "vehicle_id", "timestamp", "s"]).sort_values("timestamp")
     right = pd.DataFrame(wrows, columns=["weather_id", "vehicle_id", "wt", "temp", "c"]).sort_values("wt")
     if len(right):

@@ -67,3 +67,39 @@ def test_trips_reject_buckets_wider_than_gap(spark):
                               "id string, vehicle_id string, timestamp timestamp, speed_kmh double")
     with pytest.raises(ValueError):
         trips(v, gap_seconds=600, bucket_seconds=3600)
+
+
+def test_asof_of_hot_vehicles_and_instants_over_many_ranges(spark):
+    rng = random.Random(21)
+    start = dt.datetime(2024, 1, 1)
+    at = lambda s: start + dt.timedelta(seconds=s)
+    vrows = [(f"a{i}", "hot", at(rng.randrange(5000)), 1.0) for i in range(1500)]
+    vrows += [(f"s{i}", "stuck", at(7), 2.0) for i in range(800)]  # all at one instant
+    vrows += [(f"o{i}", f"veh{i % 50}", at(rng.randrange(5000)), 3.0) for i in range(700)] + [("n1", None, at(1), 1.0), ("n2", "hot", None, 1.0)]
+    wrows = [("w0", "hot", at(10), 1.0, "Rain"), ("w1", "hot", at(4000), 2.0, "Sunny"), ("w2", "stuck", at(7), 3.0, "Rain"), ("w3", "stuck", at(7), 4.0, "Sunny"),
+             *[(f"x{i}", f"veh{i}", at(rng.randrange(3000)), float(i), "Cloudy") for i in range(40)]]
+    v = spark.createDataFrame(vrows, "id string, vehicle_id string, timestamp timestamp, speed_kmh double")
+    w = spark.createDataFrame(wrows, "id string, vehicle_id string, timestamp timestamp, temperature double, weatherCondition string")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # as many ranges as there are shuffle partitions
+    try:
+        out = asof_weather(v, w)
+        got = {r.id: r.weather_id for r in out.collect()}
+        plan = out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert len(got) == len(vrows) == out.count()
+    for i, vehicle, t, _ in vrows:
+        before = [(wt, wid) for wid, wv, wt, _, _ in wrows if wv == vehicle and t is not None and wt <= t]
+        assert got[i] == (max(before)[1] if before else None), i
+    assert "SortMergeJoin" not in plan and "rangepartitioning" not in plan  # rows lie as written
+
+
+def test_ranges_are_even_whatever_the_skew(spark):
+    from pyspark.sql import functions as F
+    rows = spark.range(6000).select(F.lit("hot").alias("vehicle_id"), F.lit("2024-01-01").cast("timestamp").alias("timestamp"), F.col("id").cast("string").alias("id"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        sizes = [r["count"] for r in rows.repartitionByRange("vehicle_id", "timestamp", "id").groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert len(sizes) >= 4 and max(sizes) < 6000 / 3
