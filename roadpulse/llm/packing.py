@@ -47,12 +47,12 @@ _ODD = ("\x1c", "\x1d", "\x1e", "\x1f", "<|")
 
 class WordTokens:
     """Token ids of a text by a public tokenizer that never joins what white space separates, so
-    each distinct word is encoded once and kept (at most about `keep` words a worker)."""
+    each distinct word is encoded once and kept (about `keep` bytes of them a worker)."""
 
-    def __init__(self, path: str, keep: int = 1_000_000, run: int = 2000, mark: str = "<|endoftext|>"):
+    def __init__(self, path: str, keep: int = 160 << 20, run: int = 2000, mark: str = "<|endoftext|>"):
         from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
-        self.tokenizer, self.known, self.keep, self.run = Tokenizer.from_file(path), {}, keep, run
+        self.tokenizer, self.known, self.held, self.keep, self.run = Tokenizer.from_file(path), {}, 0, keep, run
         self.mark, self.mark_id = mark, self.tokenizer.token_to_id(mark)
         # for runs of small Latin letters, which neither the normaliser nor the splitting pattern touches
         self.letters = Tokenizer.from_file(path)
@@ -65,10 +65,12 @@ class WordTokens:
     def learn(self, split: list[list[str]]) -> None:
         """Makes the words of `split` known. Latin letters with marks behind them are two
         runs to the splitting pattern, so letters are encoded once, whatever their case and marks."""
-        if len(self.known) > self.keep:
+        if self.held > self.keep:
             self.known.clear()
+            self.held = 0
         known = self.known
         new = [word for word in set().union(*split) if word not in known]
+        self.held += sum(5 * len(word) + 250 for word in new)  # a word, its letters alone, and their ids
         found = [_LATIN.fullmatch(word) for word in new]
         whole = [(word, match[1].lower(), match[2]) for word, match in zip(new, found, strict=True) if match]
         self.encode_letters([core for core in {core for _, core, _ in whole} if core not in known])
@@ -222,5 +224,7 @@ def pack(docs: DataFrame, tokens: Callable[[], object], *, end_id: int, seq_len:
             yield got
 
     text = F.col(text_col)
-    return (docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text"))
-            .repartitionByRange("doc_id", F.xxhash64("text")).sortWithinPartitions("doc_id").mapInArrow(run, SCHEMA))
+    # the row number lets ranges cut through rows that share an id and a text
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text"), F.monotonically_increasing_id().alias("row"))
+    return (rows.repartitionByRange("doc_id", F.xxhash64("text"), "row").sortWithinPartitions("doc_id")
+            .select("doc_id", "text").mapInArrow(run, SCHEMA))

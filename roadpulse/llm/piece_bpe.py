@@ -32,7 +32,7 @@ class PieceBpe:
     """The vocabulary of a model file (BPE, byte fallback, identity normaliser, a leading space
     mark) as merge tables. The model library only reads the file."""
 
-    def __init__(self, path: str, keep: int = 400_000):
+    def __init__(self, path: str, keep: int = 160 << 20):
         from sentencepiece import SentencePieceProcessor
 
         model = SentencePieceProcessor(model_file=path)
@@ -88,6 +88,7 @@ class PieceBpe:
         if any(MARK in p.lstrip(MARK) for p in symbol):
             raise ValueError("a piece holds a space mark after other characters: words cannot be told apart")
         self.known: dict[str, bytes] = {}
+        self.held = 0  # bytes of them, about
         self.keep = keep
 
     def _pairs(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -164,10 +165,12 @@ class PieceBpe:
 
     def encode_batch(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of whole texts between the begin and end ids (little-endian unsigned 32 bits)."""
-        if len(self.known) > self.keep:
+        if self.held > self.keep:
             self.known.clear()
+            self.held = 0
         split = [self.words.findall(MARK + t.replace(" ", MARK)) if t else [] for t in texts]
         new = [w for w in {w for own in split for w in own} if w not in self.known]
+        self.held += sum(5 * len(w) + 150 for w in new)
         for word, ids in zip(new, self.encode_words(new), strict=True):
             self.known[word] = ids.astype("<u4").tobytes()
         head, tail = np.array([self.begin], "<u4").tobytes(), np.array([self.end], "<u4").tobytes()

@@ -121,12 +121,12 @@ class Automaton:
 
 
 class Scanner:
-    """Hits of a text, with a verdict kept per distinct word."""
+    """Hits of a text, with a verdict kept per distinct word, in about `keep` bytes."""
 
-    def __init__(self, terms: dict[str, int], window: int = 12, keep: int = 500_000):
+    def __init__(self, terms: dict[str, int], window: int = 12, keep: int = 160 << 20):
         self.automaton = Automaton({t: k for t, k in terms.items() if k > HINT})
         self.hints = Automaton({t: HINT - k for t, k in terms.items() if k <= HINT})
-        self.window, self.keep, self.known = window, keep, {}
+        self.window, self.keep, self.known, self.held = window, keep, {}, 0
 
     def _verdict(self, word: str) -> int:
         """Edits of a hit, -1 for neither, -2 for a hint, -3 for a misspelled one."""
@@ -150,12 +150,14 @@ class Scanner:
         numbered, and windows measured, by white space."""
         found, known, hints, odd = [], self.known, 0, 0
         split = text.lower().split()
-        if len(known) > self.keep:
+        if self.held > self.keep:
             known.clear()
+            self.held = 0
         for at, raw in enumerate(split):
             verdicts = known.get(raw)
             if verdicts is None:
                 verdicts = known[raw] = self._verdicts(raw)
+                self.held += 4 * len(raw) + 250
             own, exact, misspelled = verdicts
             found += [(at, place, edits) for place, edits in own]
             hints += exact

@@ -121,3 +121,29 @@ def test_blocks_do_not_change_the_stream(spark, documents):
     path = PATH
     small = pack(documents, lambda: word_tokens(path), end_id=2, block_tokens=20_000).collect()
     _check(small, [(r.doc_id, r.text) for r in documents.collect()])
+
+
+def test_a_small_cache_changes_nothing(documents):
+    from roadpulse.llm.packing import WordTokens
+
+    texts = [r.text or "" for r in documents.limit(40).collect()]
+    large, small = WordTokens(PATH), WordTokens(PATH, keep=5_000)
+    for low in range(0, len(texts), 5):
+        part = texts[low:low + 5]
+        assert [a.tolist() for a in large.flagged(part)] == [a.tolist() for a in small.flagged(part)]
+    assert small.held < large.held
+
+
+def test_a_third_of_all_rows_alike_is_dealt_out(spark):
+    from pyspark.sql import functions as F
+
+    rows = [(None, "the same words in every row of this group")] * 600 + [(i, f"text number {i}") for i in range(900)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        packed = pack(docs, lambda: word_tokens(PATH), end_id=2)
+        per_task = [r["count"] for r in packed.groupBy(F.spark_partition_id()).count().collect()]
+        _check(packed.collect(), rows)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert max(per_task) < 600
