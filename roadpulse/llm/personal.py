@@ -357,7 +357,9 @@ def fit(docs: DataFrame, text_col: str = "text", *, fit_rows: int = 4000, per_ki
 
     own = sample.select("text").mapInArrow(cut, "kind int, chars string, tags array<int>").dropDuplicates(["chars"])
     order = F.row_number().over(W.partitionBy("kind").orderBy(F.xxhash64("chars"), "chars"))
-    chosen = written(own.withColumn("n", order).filter(F.col("n") <= F.when(F.col("kind") < 0, others).otherwise(per_kind)), "personal-windows")
+    # the plain bound lets tasks drop what cannot be among the first before the rows of a kind meet
+    first = own.withColumn("n", order).filter(F.col("n") <= max(per_kind, others))
+    chosen = written(first.filter(F.col("n") <= F.when(F.col("kind") < 0, others).otherwise(per_kind)), "personal-windows")
     if chosen.filter("kind >= 0").isEmpty():
         return None
 
