@@ -368,6 +368,19 @@ ORACLE["speed_by_weather_bucketed"] = ORACLE["speed_by_weather"]
 ORACLE["daily_kpi_bucketed"] = ORACLE["daily_kpi"]
 ORACLE["speed_by_hour_merged"] = sql(["vehicle"], """SELECT hour, COUNT(*) AS observations, TRUE AS p50_near, TRUE AS p95_near
 FROM vehicle GROUP BY hour""")
+ORACLE["active_incidents_today"] = ORACLE["active_incidents"]
+ORACLE["timestamp_cast"] = sql(["raw_gps"], """SELECT id, strftime(timestamp, '%Y-%m-%dT%H:%M:%S') AS text, timestamp FROM raw_gps""")
+# The columns of the refined tables, in their natural order.
+_COLUMNS = {
+    "vehicle": "id, vehicle_id, timestamp, location, speed, direction, make, model, year, fuelType, hour, speed_kmh, is_ev, date",
+    "gps": "id, vehicle_id, timestamp, speed, direction, vehicleType, hour, date",
+    "traffic": "id, vehicle_id, camera_id, location, timestamp, date",
+    "weather": "id, vehicle_id, location, timestamp, temperature, weatherCondition, precipitation, windSpeed, humidity, airQualityIndex, "
+               "heat_index, aqi_category, date",
+    "emergency": "id, vehicle_id, incidentId, type, timestamp, location, status, description, is_active, is_real_incident, date",
+}
+ORACLE["feed_registry"] = sql(_SHORT, " UNION ALL ".join(
+    f"SELECT '{t}_data' AS feed, '{names}' AS columns, COUNT(*) AS rows FROM (SELECT {names} FROM {t})" for t, names in _COLUMNS.items()))
 ORACLE["stream_trips"] = ORACLE["trips"]
 ORACLE["stream_rejects"] = ORACLE["reject_counts"]
 ORACLE["stream_recovery"] = sql(["raw_vehicle"], """SELECT sink, raw_vehicle.* FROM raw_vehicle CROSS JOIN (VALUES ('file'), ('split')) AS sinks(sink)""")

@@ -12,7 +12,7 @@ from roadpulse.operators import emergency as E
 from roadpulse.operators import refine as P
 from roadpulse.operators import vehicle as V
 from roadpulse.plans.inputs import comparable, events, raw, refined
-from roadpulse.schemas import EMERGENCY, FEEDS, GPS, TRAFFIC, VEHICLE, WEATHER
+from roadpulse.schemas import EMERGENCY, FEED_SCHEMAS, FEEDS, GPS, TRAFFIC, VEHICLE, WEATHER
 from roadpulse.sources.feeds import derive_feed
 from roadpulse.sources.wire import decode, encode
 from roadpulse.functions.rules import humidity_ok, lat_lon, speed_ok, temperature_ok
@@ -22,6 +22,7 @@ from roadpulse.plans import streams as ST
 from roadpulse.session import run_concurrently, scratch_dir
 from roadpulse.sources import catalog as C
 from roadpulse.sources import storage as S
+from roadpulse.sources.published import NO_DATE
 from roadpulse.sources.feeds import feed_exprs, observations
 from roadpulse.sources.wire import split_dead_letters
 from roadpulse.streaming import ingest as I
@@ -75,6 +76,27 @@ def _decode_roundtrip(s, d):
     return decode(encode(raw(s, d, VEHICLE), VEHICLE), VEHICLE)
 
 
+@plan("timestamp_cast")
+def _timestamp_cast(s, d):
+    """The text of a record's time on the wire, and the timestamp it becomes."""
+    wire = encode(raw(s, d, GPS), GPS, keep=("id",)).select(F.col("id").alias("_id"), "value", F.get_json_object("value", "$.timestamp").alias("text"))
+    typed = F.from_json("value", FEED_SCHEMAS[GPS])
+    return wire.select(F.col("_id").alias("id"), F.substring("text", 1, 19).alias("text"), typed["timestamp"].alias("timestamp"))
+
+
+@plan("feed_registry")
+def _feed_registry(s, d):
+    """Every feed refined by the function its name stands for, with the columns the registry declares."""
+    parts = [P.REFINERS[feed](raw(s, d, feed)) for feed in FEEDS]
+    declared = [", ".join(f.name for f in S.refined_read_schema(feed).fields) for feed in FEEDS]
+    rows = [p.select(*names.split(", ")).agg(F.count(F.lit(1)).alias("rows")).select(F.lit(feed).alias("feed"), F.lit(names).alias("columns"), "rows")
+            for feed, p, names in zip(FEEDS, parts, declared, strict=True)]
+    out = rows[0]
+    for r in rows[1:]:
+        out = out.unionByName(r)
+    return out
+
+
 # ---- cleaning -------------------------------------------------------------------------
 @plan("dedup_id")
 def _dedup_id(s, d):
@@ -108,9 +130,19 @@ plan("incidents_by_day")(lambda s, d: E.incidents_by_day(_e(s, d)))
 
 @plan("active_incidents")
 def _active_incidents(s, d):
-    """E2 with 'today' = the newest date present in the data."""
+    """E2 with 'today' = the newest date present in the data, as the write of the refined table observed it:
+    no scan looks for it, and one directory is read."""
+    base = scratch_dir(s, "active")
+    dates = [x for x in S.write_refined(_e(s, d), EMERGENCY, base).dates if x != NO_DATE]
+    return E.active_incidents(S.read_refined(s, EMERGENCY, base), as_of=max(dates, default=""))
+
+
+@plan("active_incidents_today")
+def _active_incidents_today(s, d):
+    """E2, F12 as the report runs by default: the incidents of the newest date, dated today."""
     e = _once(_e(s, d), "emergency")
-    return E.active_incidents(e, as_of=E.latest_date(e))
+    newest = e.agg(F.max("date")).scalar()
+    return E.active_incidents(e.withColumn("date", F.when(F.col("date") == newest, F.date_format(F.current_date(), "yyyy-MM-dd")).otherwise(F.col("date"))))
 
 
 plan("resolution_rate")(lambda s, d: E.resolution_rate(_e(s, d)))

@@ -9,6 +9,7 @@ come with the same events, one row per rule and batch.
 from __future__ import annotations
 
 import threading
+from collections import deque
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -48,13 +49,15 @@ class StreamStatus(StreamingQueryListener):
 
     def __init__(self, spark: SparkSession, path: str, every: int = 1000):
         self.spark, self.path, self.every = spark, path.rstrip("/"), every
-        self.lock, self.feeds, self.rows, self.rejects, self.early = threading.Lock(), {}, [], [], []
+        self.lock, self.feeds, self.rows, self.rejects = threading.Lock(), {}, [], []
+        self.early = deque(maxlen=1000)  # told of queries not made known yet; others of the session fall out
         spark.streams.addListener(self)
 
     def watch(self, query: StreamingQuery, feed: str) -> None:
         with self.lock:
             self.feeds[str(query.id)] = feed
-            early, self.early = self.early, []
+            early = list(self.early)
+            self.early.clear()
         for note in early:  # told before the query was made known
             note()
 
