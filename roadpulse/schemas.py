@@ -27,7 +27,8 @@ def _struct(*fields: tuple[str, DataType]) -> StructType:
     return StructType([StructField(name, dtype, True) for name, dtype in fields])
 
 
-# Raw (wire) schemas. Every field is nullable; `id` is the record key.
+# Feed names, columns, types and the columns refining adds, in their natural order; the
+# tables must carry these. Raw (wire) schemas first. Every field is nullable; `id` is the record key.
 FEED_SCHEMAS: dict[str, StructType] = {
     VEHICLE: _struct(("id", _S), ("vehicle_id", _S), ("timestamp", _TS), ("location", _S),
                      ("speed", _D), ("direction", _S), ("make", _S), ("model", _S),
