@@ -49,7 +49,7 @@ class WordTokens:
     """Token ids of a text by a public tokenizer that never joins what white space separates, so
     each distinct word is encoded once and kept (about `keep` bytes of them a worker)."""
 
-    def __init__(self, path: str, keep: int = 160 << 20, run: int = 2000, mark: str = "<|endoftext|>"):
+    def __init__(self, path: str, keep: int = 280 << 20, run: int = 2000, mark: str = "<|endoftext|>"):
         from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
         self.tokenizer, self.known, self.held, self.keep, self.run = Tokenizer.from_file(path), {}, 0, keep, run
@@ -70,7 +70,7 @@ class WordTokens:
             self.held = 0
         known = self.known
         new = [word for word in set().union(*split) if word not in known]
-        self.held += sum(5 * len(word) + 250 for word in new)  # a word, its letters alone, and their ids
+        self.held += 5 * sum(map(len, new)) + 250 * len(new)  # a word, its letters alone, and their ids
         found = [_LATIN.fullmatch(word) for word in new]
         whole = [(word, match[1].lower(), match[2]) for word, match in zip(new, found, strict=True) if match]
         self.encode_letters([core for core in {core for _, core, _ in whole} if core not in known])

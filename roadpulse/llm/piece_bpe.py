@@ -170,7 +170,7 @@ class PieceBpe:
             self.held = 0
         split = [self.words.findall(MARK + t.replace(" ", MARK)) if t else [] for t in texts]
         new = [w for w in {w for own in split for w in own} if w not in self.known]
-        self.held += sum(5 * len(w) + 150 for w in new)
+        self.held += 5 * sum(map(len, new)) + 150 * len(new)
         for word, ids in zip(new, self.encode_words(new), strict=True):
             self.known[word] = ids.astype("<u4").tobytes()
         head, tail = np.array([self.begin], "<u4").tobytes(), np.array([self.end], "<u4").tobytes()
