@@ -353,7 +353,7 @@ def _stream_rejects(s, d):
     status, queries = StreamStatus(s, scratch_dir(s, "status")), []
     for feed in (VEHICLE, GPS, WEATHER):
         r, out = raw(s, d, feed), scratch_dir(s, "observed")
-        landing = ST.land_batches(s, r, feed, ST.by_time(r, 5), 5)
+        landing = ST.land_batches(s, r, feed, ST.by_time(r, 3), 3)
         stream = SO.observed_refine(ST.one_file_stream(s, landing, feed), feed)
         queries.append(I.write_stream(stream, f"{out}/data", f"{out}/checkpoint", trigger=ST.AVAILABLE_NOW))
         status.watch(queries[-1], feed)
@@ -457,7 +457,7 @@ def _incremental_refine(s, d):
     first, *deltas = _arrivals(s, d)
     S.write_refined(P.REFINERS[VEHICLE](P.dedup_latest(first), dedup_rows=False), VEHICLE, base)
     for delta in deltas:
-        S.incremental_refine(delta, VEHICLE, base)
+        S.incremental_refine(delta, VEHICLE, base, id_buckets=8)
     return S.read_refined(s, VEHICLE, base).select("id", "vehicle_id", "timestamp", "date", "speed", "speed_kmh")
 
 

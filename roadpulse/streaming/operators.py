@@ -108,12 +108,14 @@ def join_weather(v: DataFrame, w: DataFrame, within: str = "5 minutes", within_s
     hi = bucket_of(vt + F.expr(f"INTERVAL {within}"))
     vs = v.select(F.col("id").alias("vehicle_record"), F.col("vehicle_id"),
                   F.col("timestamp").alias("vehicle_time"), "speed_kmh",
-                  F.pmod(F.xxhash64("id"), F.lit(salts)).cast("int").alias("_vs"),
+                  *([F.pmod(F.xxhash64("id"), F.lit(salts)).cast("int").alias("_vs")] if salts > 1 else []),
                   F.explode(F.array_distinct(F.array(lo, hi))).alias("_vb"))
     ws = w.select(F.col("id").alias("weather_record"), F.col("vehicle_id").alias("w_vehicle_id"),
                   F.col("timestamp").alias("weather_time"), "temperature", "weatherCondition",
-                  bucket_of(F.col("timestamp")).alias("_wb"), F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("_ws"))
-    cond = ((F.col("vehicle_id") == F.col("w_vehicle_id")) & (F.col("_vb") == F.col("_wb")) & (F.col("_vs") == F.col("_ws"))
+                  bucket_of(F.col("timestamp")).alias("_wb"),
+                  *([F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("_ws")] if salts > 1 else []))
+    cond = ((F.col("vehicle_id") == F.col("w_vehicle_id")) & (F.col("_vb") == F.col("_wb"))
+            & ((F.col("_vs") == F.col("_ws")) if salts > 1 else F.lit(True))
             & (F.col("weather_time") >= F.col("vehicle_time") - F.expr(f"INTERVAL {within}"))
             & (F.col("weather_time") <= F.col("vehicle_time") + F.expr(f"INTERVAL {within}")))
     return vs.join(ws, cond, "inner").drop("w_vehicle_id", "_vb", "_wb", "_vs", "_ws")
