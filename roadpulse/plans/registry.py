@@ -296,8 +296,10 @@ def _stream_join_weather(s, d):
 def _stream_trips(s, d):
     """X6 on a stream: trips as session windows over the refined vehicle stream, in five micro-batches."""
     r = raw(s, d, VEHICLE)
-    landing = ST.land_batches(s, r, VEHICLE, ST.by_time(r, 5), 5, end_marker=True)
-    stream = SO.stream_trips(SO.stream_refine(ST.one_file_stream(s, landing, VEHICLE), VEHICLE))
+    batch = ST.by_time(r, 5)
+    files = ST.files_a_batch(r, batch)
+    landing = ST.land_batches(s, r, VEHICLE, batch, 5, files=files, end_marker=True)
+    stream = SO.stream_trips(SO.stream_refine(ST.one_file_stream(s, landing, VEHICLE, files), VEHICLE))
     return ST.before_end(ST.run_to_parquet(s, stream, "trips"), "trip_start")
 
 
@@ -308,8 +310,9 @@ def _stream_late_rows(s, d):
     r = raw(s, d, VEHICLE)
     step = F.substring("id", 5, 20).cast("long")
     batch = F.least(F.lit(4), ST.by_time(r, 5) + F.when(step % 50 == 7, 2).otherwise(0))
-    landing, base = ST.land_batches(s, r, VEHICLE, batch, 5), scratch_dir(s, "late")
-    topic = I.read_topic(s, VEHICLE, landing=landing, max_files_per_trigger=1)
+    files = ST.files_a_batch(r, batch)
+    landing, base = ST.land_batches(s, r, VEHICLE, batch, 5, files=files), scratch_dir(s, "late")
+    topic = I.read_topic(s, VEHICLE, landing=landing, max_files_per_trigger=files)
     I.await_all(s, [I.write_split(topic, VEHICLE, base, trigger=ST.AVAILABLE_NOW, late_after="2 minutes")])
     late = s.read.parquet(I.late_path(base, VEHICLE))
     return (S.read_raw(s, VEHICLE, base).select("id", "timestamp", F.lit(False).alias("late"))

@@ -7,14 +7,14 @@ import json
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from roadpulse.plans.inputs import events
 from roadpulse.schemas import EMERGENCY, VEHICLE, WEATHER
 from roadpulse.session import run_concurrently, scratch_dir
 from roadpulse.sources.feeds import derive_feed
-from roadpulse.sources.storage import materialize
 from roadpulse.sources.wire import encode
-from roadpulse.streaming.ingest import decode_stream, publish, read_topic, write_stream
+from roadpulse.streaming.ingest import WIRE_SCHEMA, decode_stream, landing_path, publish, read_topic, write_stream
 
 AVAILABLE_NOW = {"availableNow": True}
 # End-of-input marker: one record per feed, far in event time, published after the data so
@@ -45,22 +45,44 @@ def land(spark: SparkSession, sf_dir: str, feeds: tuple[str, ...], *, end_marker
     return landing
 
 
-def land_batches(spark: SparkSession, rows: DataFrame, feed: str, batch: Column, n: int, *, end_marker: bool = False) -> str:
-    """Publishes `rows` as `n` files, one after the other: those of `batch` 0, 1, ... With one file per
-    trigger each is a micro-batch of its own."""
-    landing = scratch_dir(spark, "landing")
-    numbered = materialize(encode(rows.withColumn("_batch", batch), feed, keep=("_batch",)), "batches")
+FILE_ROWS = 100_000  # rows a landed file holds at most
+
+
+def files_a_batch(rows: DataFrame, batch: Column) -> int:
+    """Files that each batch needs so that none holds more than FILE_ROWS rows, or one more where they are
+    dealt unevenly: as many tasks encode, decode and write a micro-batch."""
+    largest = rows.groupBy(batch.alias("batch")).count().agg(F.max("count")).first()[0]
+    return max(1, -(-(largest or 0) // FILE_ROWS))
+
+
+def land_batches(spark: SparkSession, rows: DataFrame, feed: str, batch: Column, n: int, *, files: int = 1, end_marker: bool = False) -> str:
+    """Publishes `rows` in `n` batches of exactly `files` files each, one batch after the other: those of
+    `batch` 0, 1, ... With that many files per trigger each is a micro-batch of its own. The rows
+    are dealt out before they are encoded, so `files` tasks encode a batch."""
+    landing, staged = scratch_dir(spark, "landing"), scratch_dir(spark, "batches")
+    rows.withColumn("_batch", batch).write.partitionBy("_batch").parquet(staged)
+    numbered = spark.read.schema(StructType([*rows.schema.fields, StructField("_batch", IntegerType())])).parquet(staged)
+    landed = 0
     for k in range(n):
-        publish(numbered.filter(F.col("_batch") == k).coalesce(1), landing, feed)
+        dealt = numbered.filter(F.col("_batch") == k).withColumn("_file", (F.monotonically_increasing_id() % files).cast("int"))
+        publish(encode(dealt.repartitionById(files, "_file"), feed), landing, feed)
+        landed += files
+        for _ in range(landed - _landed_files(spark, landing, feed)):  # a batch of few rows: files without rows
+            publish(spark.createDataFrame([], WIRE_SCHEMA).coalesce(1), landing, feed)
     if end_marker:
         publish_marker(spark, landing, feed)
     return landing
 
 
+def _landed_files(spark: SparkSession, landing: str, feed: str) -> int:
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{landing_path(landing, feed)}/part-*")
+    return len(path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path))
+
+
 def by_time(rows: DataFrame, n: int) -> Column:
     """Which of `n` equal ranges of event time a row lies in."""
     micros = F.unix_micros("timestamp")
-    low, high = rows.agg(F.min(micros)).scalar(), rows.agg(F.max(micros)).scalar()
+    low, high = (F.lit(x).cast("bigint") for x in rows.agg(F.min(micros), F.max(micros)).first())
     return F.floor((micros - low) * n / (high - low + 1)).cast("int")
 
 
@@ -83,9 +105,9 @@ def decoded_stream(spark: SparkSession, landing: str, feed: str) -> DataFrame:
     return decode_stream(read_topic(spark, feed, fmt="parquet", landing=landing), feed)
 
 
-def one_file_stream(spark: SparkSession, landing: str, feed: str) -> DataFrame:
-    """Decoded records, one landing file a micro-batch."""
-    return decode_stream(read_topic(spark, feed, landing=landing, max_files_per_trigger=1), feed)
+def one_file_stream(spark: SparkSession, landing: str, feed: str, files: int = 1) -> DataFrame:
+    """Decoded records, one landing file (or a landed batch's `files`) a micro-batch."""
+    return decode_stream(read_topic(spark, feed, landing=landing, max_files_per_trigger=files), feed)
 
 
 # Diagnostics: the stateful operators of each stream run's micro-batches, by run name

@@ -37,11 +37,21 @@ def decode(df: DataFrame, feed: str, value_col: str = "value") -> DataFrame:
     return df.select(_decoded(df, feed, value_col).alias("data")).select("data.*")
 
 
+def parsed(df: DataFrame, feed: str, value_col: str = "value") -> DataFrame:
+    """data (the decoded record), bad (whether it is undecodable) and the undecodable original's key and
+    value. A record is undecodable when its id does not come out of the parse."""
+    data = df.select(F.col("key"), F.col(value_col).cast("string").alias("value"), _decoded(df, feed, value_col).alias("data"))
+    bad = F.col("data.id").isNull()
+    return data.select(F.when(bad, F.col("key")).alias("key"), F.when(bad, F.col("value")).alias("value"), "data", bad.alias("bad"))
+
+
+def parts(records: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(decoded good rows, undecodable originals) of `parsed` records."""
+    return records.filter("NOT bad").select("data.*"), records.filter("bad").select("key", "value")
+
+
 def split_dead_letters(df: DataFrame, feed: str, value_col: str = "value") -> tuple[DataFrame, DataFrame]:
     """(decoded good rows, undecodable originals). A record is undecodable when its id does
-    not come out of the parse. One pass decodes; both outputs are filters of it."""
-    parsed = df.select(F.col("key"), F.col(value_col).cast("string").alias("value"),
-                       _decoded(df, feed, value_col).alias("data"))
-    good = parsed.filter(F.col("data.id").isNotNull()).select("data.*")
-    bad = parsed.filter(F.col("data.id").isNull()).select("key", "value")
-    return good, bad
+    not come out of the parse. Both outputs are filters of one parse, which a caller that reads both
+    keeps (`parsed`, `parts`)."""
+    return parts(parsed(df, feed, value_col))

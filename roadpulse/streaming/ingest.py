@@ -18,7 +18,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from roadpulse.schemas import FEEDS
 from roadpulse.sources.storage import checkpoint_path, raw_path
-from roadpulse.sources.wire import decode, split_dead_letters
+from roadpulse.sources.wire import decode, parsed, parts
 from roadpulse.streaming.status import StreamStatus
 
 WIRE_SCHEMA = "key string, value string"
@@ -145,9 +145,9 @@ def split_batch(feed: str, base: str, late_after: str | None = None) -> Callable
     runs again decides alike. Every folder is a batch's own and is overwritten by a second run."""
     def split(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        batch.persist()
+        records = parsed(batch, feed).persist()  # parsed once, for all outputs
         try:
-            good, bad = split_dead_letters(batch, feed)
+            good, bad = parts(records)
             outputs = [(bad, dead_letter_path(base, feed))]
             if late_after:
                 before = spark.read.schema("high bigint").parquet(_high_path(base, feed, batch_id - 1)).first().high if batch_id else None
@@ -160,7 +160,7 @@ def split_batch(feed: str, base: str, late_after: str | None = None) -> Callable
             for df, path in [(good, raw_path(base, feed)), *outputs]:
                 df.write.mode("overwrite").option("compression", "snappy").parquet(f"{path}/batch={batch_id}")
         finally:
-            batch.unpersist()
+            records.unpersist()
     return split
 
 
