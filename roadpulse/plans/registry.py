@@ -325,9 +325,11 @@ def _stream_recovery(s, d):
     through the split ingest, stopped after batch 2 wrote its folders; both go on from their
     checkpoints. Each sink holds every record once."""
     r = raw(s, d, VEHICLE)
-    landing = ST.land_batches(s, r, VEHICLE, ST.by_time(r, 5), 5)
+    batch = ST.by_time(r, 5)
+    files = ST.files_a_batch(r, batch)
+    landing = ST.land_batches(s, r, VEHICLE, batch, 5, files=files)
     file_base, split_base = scratch_dir(s, "recovered-file"), scratch_dir(s, "recovered-split")
-    topic = I.read_topic(s, VEHICLE, landing=landing, max_files_per_trigger=1)
+    topic = I.read_topic(s, VEHICLE, landing=landing, max_files_per_trigger=files)
     for _ in range(2):
         I.await_all(s, [I.write_raw(I.decode_stream(topic, VEHICLE), VEHICLE, file_base, trigger=ST.AVAILABLE_NOW)])
         ST.forget_last_commit(s, I.checkpoint_path(file_base, VEHICLE))
