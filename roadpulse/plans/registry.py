@@ -358,8 +358,10 @@ def _stream_rejects(s, d):
     status, queries = StreamStatus(s, scratch_dir(s, "status")), []
     for feed in (VEHICLE, GPS, WEATHER):
         r, out = raw(s, d, feed), scratch_dir(s, "observed")
-        landing = ST.land_batches(s, r, feed, ST.by_time(r, 3), 3)
-        stream = SO.observed_refine(ST.one_file_stream(s, landing, feed), feed)
+        batch = ST.by_time(r, 3)
+        files = ST.files_a_batch(r, batch)
+        landing = ST.land_batches(s, r, feed, batch, 3, files=files)
+        stream = SO.observed_refine(ST.one_file_stream(s, landing, feed, files), feed)
         queries.append(I.write_stream(stream, f"{out}/data", f"{out}/checkpoint", trigger=ST.AVAILABLE_NOW))
         status.watch(queries[-1], feed)
     I.await_all(s, queries)

@@ -45,7 +45,7 @@ def test_a_batch_of_few_rows_still_has_its_files(spark):
     assert seen == [rows.count() - 3, 2, 1, 0]
 
 
-@pytest.mark.parametrize("name", ["stream_late_rows", "stream_recovery", "stream_trips"])
+@pytest.mark.parametrize("name", ["stream_late_rows", "stream_rejects", "stream_recovery", "stream_trips"])
 def test_plans_give_the_same_rows_from_many_files(spark, monkeypatch, name):
     one, files = sorted(map(str, registry.PLANS[name](spark, SMALL).collect())), []
     land = ST.land_batches
