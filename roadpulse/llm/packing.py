@@ -37,17 +37,64 @@ SCHEMA = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long
           "sequence_length long")
 _SENTENCE_END = np.uint32(1 << 31)  # flag on the last id of a sentence
 _PLAIN = np.uint32((1 << 31) - 1)
-#: Latin letters that are composed as they are and have one small letter each (so no dotted capital
-#: I), and marks behind them
-_LATIN = re.compile("([A-Za-zªµºÀ-ÖØ-öø-įı-ɏ]+)([.,;:!?]*)")
-#: what could act across the words that are looked up singly: separators that are no white space to
-#: the tokenizer, and special tokens
-_ODD = ("\x1c", "\x1d", "\x1e", "\x1f", "<|")
+#: Latin letters that are composed as they are and have one small letter each (so no dotted capital I)
+_LATIN = re.compile("[A-Za-zªµºÀ-ÖØ-öø-įı-ɏ]+")
+_SPACE, _LETTER, _DIGIT, _SIGN, _QUOTE, _BEYOND = range(6)
+_BLANK = b" \t\n\v\f\r"
+#: kind of each byte of UTF-8; what is not ASCII is _BEYOND
+_KIND = bytes([_SPACE if c in _BLANK else _LETTER if chr(c).isalpha() else _DIGIT if chr(c).isdigit() else _QUOTE if c == ord("'") else _SIGN
+               for c in range(128)] + [_BEYOND] * 128)
+_SMALL = bytes(range(256)).lower()
+_STOPS = np.frombuffer(b".!?", np.uint8)
+
+
+def _places() -> bytes:
+    """By 6 * kind before + kind behind, 1: a piece begins, 0: it goes on, 2: no piece. No match of the splitting
+    pattern spans a place where one begins, and no mark is composed across it. A sign and a quote may go together, a
+    quote and letters ('s), and anything beyond ASCII with what is beside it."""
+    begins = np.zeros((6, 6), np.uint8)
+    begins[_SPACE], begins[:, _DIGIT], begins[_DIGIT, [_LETTER, _SIGN, _QUOTE]] = 1, 1, 1
+    begins[_LETTER, [_SIGN, _QUOTE]], begins[_SIGN, _LETTER], begins[:, _SPACE] = 1, 1, 2
+    return begins.tobytes().ljust(256, b"\0")
+
+
+_PLACES = _places()
+
+
+def _wide_letters(data: np.ndarray) -> np.ndarray:
+    """Where U+00C0 to U+00FF begin in UTF-8, without the two signs among them."""
+    lead = np.flatnonzero(data == 0xC3)
+    second = data[lead + 1]
+    return lead[(second != 0x97) & (second != 0xB7)]
+
+
+def pieces(data: bytes) -> tuple[pa.StringArray, np.ndarray, np.ndarray]:
+    """Runs of letters, runs of signs and single digits of `data` (UTF-8 that begins with white space), as far as they
+    can be told apart by their bytes; where each begins; which ones end a sentence. Letters up to U+00FF are made small,
+    unless the piece holds characters behind that, as those may compose with capital letters in another way."""
+    kind = np.frombuffer(bytearray(data.translate(_KIND)), np.uint8)
+    lead = _wide_letters(np.frombuffer(data, np.uint8))
+    kind[lead] = kind[lead + 1] = _LETTER
+    places = b"\2" + (6 * kind[:-1] + kind[1:]).tobytes().translate(_PLACES)
+    at = np.flatnonzero(np.frombuffer(places, np.uint8) == 1)
+    low = np.frombuffer(bytearray(data.translate(_SMALL, _BLANK)), np.uint8)
+    lead = _wide_letters(low)
+    low[lead[low[lead + 1] < 0x9F] + 1] |= 0x20
+    offsets = np.append(np.flatnonzero(np.frombuffer(places.translate(None, b"\2"), np.uint8)), len(low))
+    far = np.flatnonzero(low >= 0xC4)
+    if len(far):
+        mixed = np.zeros(len(at), bool)
+        mixed[np.searchsorted(offsets, far, "right") - 1] = True
+        low = np.where(np.repeat(mixed, np.diff(offsets)), np.frombuffer(data.translate(None, _BLANK), np.uint8), low)
+    found = pa.StringArray.from_buffers(len(at), pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(low))
+    last_of_word = np.append(kind[at[1:] - 1] == _SPACE, True)[:len(at)]
+    return found, at, last_of_word & np.isin(low[offsets[1:] - 1], _STOPS)
 
 
 class WordTokens:
-    """Token ids of a text by a public tokenizer that never joins what white space separates, so
-    each distinct word is encoded once and kept (about `keep` bytes of them a worker)."""
+    """Token ids of a text by a public tokenizer that never joins what white space separates, nor
+    letters, digits and signs, so each distinct piece is encoded once and kept (about `keep` bytes
+    of them a worker)."""
 
     def __init__(self, path: str, keep: int = 280 << 20, run: int = 2000, mark: str = "<|endoftext|>"):
         from tokenizers import Tokenizer, normalizers, pre_tokenizers
@@ -62,21 +109,28 @@ class WordTokens:
         self.closes = np.zeros(max(vocabulary.values()) + 1, bool)
         self.closes[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
 
-    def learn(self, split: list[list[str]]) -> None:
-        """Makes the words of `split` known. Latin letters with marks behind them are two
-        runs to the splitting pattern, so letters are encoded once, whatever their case and marks."""
+    def looked_up(self, distinct: list[str]) -> list[bytes]:
+        """Ids of each piece, learnt if it is new. Letters are encoded once, whatever their case."""
         if self.held > self.keep:
             self.known.clear()
             self.held = 0
         known = self.known
-        new = [word for word in set().union(*split) if word not in known]
-        self.held += 5 * sum(map(len, new)) + 250 * len(new)  # a word, its letters alone, and their ids
-        found = [_LATIN.fullmatch(word) for word in new]
-        whole = [(word, match[1].lower(), match[2]) for word, match in zip(new, found, strict=True) if match]
-        self.encode_letters([core for core in {core for _, core, _ in whole} if core not in known])
-        others = {tail for _, _, tail in whole} | {word for word, match in zip(new, found, strict=True) if not match}
-        self.encode([word for word in others if word and word not in known])
-        known.update([(word, known[core] + known[tail] if tail else known[core]) for word, core, tail in whole])
+        found = list(map(known.get, distinct))
+        new = [k for k, ids in enumerate(found) if ids is None]
+        small, other = {}, []
+        for k in new:
+            piece = distinct[k]
+            if piece.isalpha() and (piece.isascii() or _LATIN.fullmatch(piece)):
+                small[piece] = piece.lower()
+            else:
+                other.append(piece)
+        self.held += 5 * sum(map(len, small)) + 5 * sum(map(len, other)) + 250 * len(new)  # a piece and its ids
+        self.encode_letters([core for core in set(small.values()) if core not in known])
+        self.encode(other)
+        known.update([(piece, known[core]) for piece, core in small.items() if piece != core])
+        for k in new:
+            found[k] = known[distinct[k]]
+        return found
 
     def encode_letters(self, new: list[str]) -> None:
         """Ids of runs of small Latin letters; a token that closes a run ends the word."""
@@ -87,22 +141,31 @@ class WordTokens:
             self.known.update(zip(part, [raw[a:b] for a, b in zip([0, *ends], ends, strict=False)], strict=True))
 
     def encode(self, new: list[str]) -> None:
-        """Ids of words, many in one string with a special token between."""
+        """Ids of pieces, many in one string with a special token between."""
         for low in range(0, len(new), self.run):
             part = new[low:low + self.run]
             got = self.tokenizer.encode_batch_fast([self.mark.join(part)], add_special_tokens=False)[0]
             ids = np.array([*got.ids, self.mark_id], "<u4")
-            ends = np.flatnonzero(ids == self.mark_id)
-            ids[ends[[w[-1] in ".!?" for w in part]] - 1] |= _SENTENCE_END
-            raw, ends = ids.tobytes(), (4 * ends).tolist()
+            raw, ends = ids.tobytes(), (4 * np.flatnonzero(ids == self.mark_id)).tolist()
             self.known.update(zip(part, [raw[a:b] for a, b in zip([0, *(e + 4 for e in ends)], ends, strict=False)], strict=True))
 
     def flagged(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of each text; the last one of a sentence carries a flag."""
-        split = [None if any(x in t for x in _ODD) else t.split() for t in texts]
-        self.learn([s for s in split if s is not None])
-        return [np.array(self.tokenizer.encode(t, add_special_tokens=False).ids, "<u4") if s is None
-                else np.frombuffer(b"".join(map(self.known.__getitem__, s)), "<u4") for t, s in zip(texts, split, strict=True)]
+        special = {k for k, t in enumerate(texts) if "<|" in t}  # may hold a special token
+        raw = [b"" if k in special else t.encode() for k, t in enumerate(texts)]
+        found, at, stops = pieces(b"\n" + b"\n".join(raw) + b"\n")
+        coded = found.dictionary_encode()
+        kept = self.looked_up(coded.dictionary.to_numpy(zero_copy_only=False).tolist())
+        which, sizes = coded.indices.to_numpy(), np.fromiter(map(len, kept), np.int64, len(kept)) // 4
+        size = sizes[which]
+        ends = np.cumsum(size)
+        ids = np.frombuffer(b"".join(kept), "<u4")[np.arange(size.sum()) + np.repeat((np.cumsum(sizes) - sizes)[which] - ends + size, size)]
+        ids[ends[stops] - 1] |= _SENTENCE_END
+        upto = np.searchsorted(at, np.cumsum([len(r) + 1 for r in raw]))  # pieces before each text's end
+        out = np.split(ids, np.append(0, ends)[upto][:-1])[:len(texts)]
+        for k in special:
+            out[k] = np.array(self.tokenizer.encode(texts[k], add_special_tokens=False).ids, "<u4")
+        return out
 
 
 @lru_cache(maxsize=2)
@@ -170,9 +233,9 @@ def cut_positions(flagged: np.ndarray, doc_ends: np.ndarray, *, last: bool, seq_
 
 def pack(docs: DataFrame, tokens: Callable[[], object], *, end_id: int, seq_len: int = 4096, block_tokens: int = 1 << 19,
          sentence_cost: float = 2.0, inner_cost: float = 16.0, open_cost: float = 8.0, gap: int = 64,
-         least_power: int = 512, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+         least_power: int = 512, id_col: str = "doc_id", text_col: str = "text", part_chars: int = 4 << 20) -> DataFrame:
     """One row per piece of a document (SCHEMA). `tokens()` gives an object such as
-    WordTokens, whose flagged(texts) are arrays of ids."""
+    WordTokens, whose flagged(texts) are arrays of ids; it gets texts of about `part_chars` at once."""
     rule = dict(seq_len=seq_len, sentence_cost=sentence_cost, inner_cost=inner_cost, open_cost=open_cost, gap=gap, least_power=least_power)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -213,8 +276,9 @@ def pack(docs: DataFrame, tokens: Callable[[], object], *, end_id: int, seq_len:
 
         for batch in batches:
             names, texts = batch.column(0).to_pylist(), [t or "" for t in batch.column(1).to_pylist()]
-            for low in range(0, len(texts), 256):
-                for doc_id, own in zip(names[low:low + 256], made.flagged(texts[low:low + 256]), strict=True):
+            parts = np.flatnonzero(np.diff(np.cumsum([len(t) for t in texts]) // part_chars)) + 1
+            for low, high in zip([0, *parts.tolist()], [*parts.tolist(), len(texts)], strict=True):
+                for doc_id, own in zip(names[low:high], made.flagged(texts[low:high]), strict=True):
                     own = np.append(own, np.uint32(end_id))
                     held.append((doc_id, len(own), 0, own))
                     size += len(own)

@@ -147,3 +147,43 @@ def test_a_third_of_all_rows_alike_is_dealt_out(spark):
     finally:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
     assert max(per_task) < 600
+
+
+def test_a_run_of_letters_is_encoded_once_whatever_stands_beside_it():
+    from roadpulse.llm.packing import WordTokens
+
+    texts = ["word Word WORD, (word) word### word&&& word@word.word word-word:word", "Éclair éclair. «éclair» word7word 77 7word"]
+    made, tokenizer = WordTokens(PATH), Tokenizer.from_file(PATH)
+    for text, got in zip(texts, made.flagged(texts), strict=True):
+        assert (got & 0x7FFFFFFF).tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+    assert {p for p in made.known if "word" in p} == {"word"}
+    assert {p for p in made.known if "éclair" in p} <= {"éclair", "«éclair»"}
+    assert "77" not in made.known
+
+
+#: what the splitting pattern, the normaliser or the pieces could treat in a way of their own
+_RARE = [*"aAhHtTwWsSvVmMdD'’.,!?#<>|=@-09²½٣ \t\n\x0b\x1c\x1f\x85\xa0 \u3000\u200béÉÀßÞÿ×÷ªµº«¨ŒİıŠǅẞ\u0301\u0300\u0338\u0331\u0308\u030a\u030c\u0307日가ᄀΣσK…€ﬁ😀", "'s", "'RE", "'ll"]
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.lists(st.lists(st.sampled_from(_RARE), max_size=14).map("".join), max_size=8))
+def test_rare_neighbours(texts):
+    made = word_tokens(PATH)
+    for text, got in zip(texts, made.flagged(texts), strict=True):
+        assert (got & 0x7FFFFFFF).tolist() == made.tokenizer.encode(text, add_special_tokens=False).ids
+
+
+def test_flags_stand_at_the_ends_of_sentences():
+    texts = ["One two. Three, e.g. 4.5? \"No.\" Yes!", "", ".", "no end", "a.b.\nc"]
+    tokenizer = Tokenizer.from_file(PATH)
+    for text, got in zip(texts, word_tokens(PATH).flagged(texts), strict=True):
+        want = []
+        for word in text.split():
+            want += [False] * len(tokenizer.encode(word, add_special_tokens=False).ids)
+            want[-1] = word[-1] in ".!?"
+        assert (got >> 31).astype(bool).tolist() == want
+
+
+def test_texts_looked_up_at_once_do_not_change_the_pieces(documents):
+    few = pack(documents, lambda: word_tokens(PATH), end_id=2, part_chars=1).collect()
+    assert sorted(few) == sorted(_packed(documents))
